@@ -12,7 +12,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings that change results, applied to every session the library touches.
+# Settings applied to every session the library touches: the first block
+# changes results (zone, timestamp type, ANSI), the rest is execution.
 SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
@@ -22,6 +23,10 @@ SEMANTIC_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Silver projections are wide (40+ lenient casts).  A generated method
+    # over 8000 bytes of bytecode is never JIT-compiled by HotSpot; past that
+    # size Spark falls back to split (compilable) projection code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
