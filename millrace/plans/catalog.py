@@ -72,3 +72,324 @@ def q_silver_workflow(spark, sf_dir):
 @register("silver_customer", O.with_bronze("customer", O.SILVER_CUSTOMER))
 def q_silver_customer(spark, sf_dir):
     return silver_customer_df(spark, sf_dir)
+
+
+# ------------------------------------------------------------------ silver operators
+
+from millrace.functions import casts as C  # noqa: E402
+from millrace.functions.metrics import surrogate_key  # noqa: E402
+from millrace.operators import quality  # noqa: E402
+from millrace.plans.fixtures import probes  # noqa: E402
+
+
+@register("silver_key_filter", O.with_bronze("erp", """
+SELECT ERP_RECORD_ID AS erp_record_id,
+       NULLIF(TRIM(SUPPLIER_ID), '') AS supplier_id,
+       NULLIF(TRIM(INVOICE_NUMBER), '') AS invoice_number
+FROM bz
+WHERE NULLIF(TRIM(SUPPLIER_ID), '') IS NOT NULL AND NULLIF(TRIM(INVOICE_NUMBER), '') IS NOT NULL"""))
+def q_silver_key_filter(spark, sf_dir):
+    kept = silver.key_filter(bronze(spark, sf_dir, "erp"))
+    return kept.select(F.col("ERP_RECORD_ID").alias("erp_record_id"),
+                       C.clean_text("SUPPLIER_ID").alias("supplier_id"),
+                       C.clean_text("INVOICE_NUMBER").alias("invoice_number"))
+
+
+_TEXT_COLS = ["SUPPLIER_ID", "INVOICE_ID", "INVOICE_NUMBER", "CURRENCY", "PAYMENT_STATUS",
+              "DUE_DATE_RAW", "DQ_SCENARIO"]
+
+
+@register("clean_text", O.with_bronze("erp", "SELECT ERP_RECORD_ID AS erp_record_id, " + ", ".join(
+    f"NULLIF(TRIM(CAST({c} AS VARCHAR)), '') AS {c.lower()}" for c in _TEXT_COLS) + " FROM bz"))
+def q_clean_text(spark, sf_dir):
+    b = bronze(spark, sf_dir, "erp")
+    return b.select(F.col("ERP_RECORD_ID").alias("erp_record_id"),
+                    *[C.clean_text(c).alias(c.lower()) for c in _TEXT_COLS])
+
+
+_NUM_PROBES = ["p_plain", "p_three_places", "p_negative_half", "p_half", "p_exponent",
+               "p_underscore", "p_hex", "p_padded", "p_thousands", "p_overflow", "p_junk"]
+_PROBE_ORACLE = "WITH pr AS ({probe}) SELECT {cols} FROM pr"
+
+
+def _probe_oracle(name, keys, probes_, cast_sql):
+    from millrace.plans.fixtures import bronze_sql
+    cols = ", ".join(keys + [cast_sql.format(p=p) + f" AS {p}" for p in probes_])
+    return _PROBE_ORACLE.format(probe=bronze_sql(name), cols=cols)
+
+
+@register("lenient_decimal", _probe_oracle(
+    "numbers", ["l_orderkey", "l_linenumber"], _NUM_PROBES,
+    "TRY_CAST(NULLIF(TRIM({p}), '') AS DECIMAL(18,2))"))
+def q_lenient_decimal(spark, sf_dir):
+    p = probes(spark, sf_dir, "numbers")
+    return p.select("l_orderkey", "l_linenumber",
+                    *[C.to_decimal(C.clean_text(c), 18, 2).alias(c) for c in _NUM_PROBES])
+
+
+@register("lenient_integer", _probe_oracle(
+    "numbers", ["l_orderkey", "l_linenumber"], _NUM_PROBES,
+    "TRY_CAST(NULLIF(TRIM({p}), '') AS BIGINT)"))
+def q_lenient_integer(spark, sf_dir):
+    p = probes(spark, sf_dir, "numbers")
+    return p.select("l_orderkey", "l_linenumber",
+                    *[C.to_bigint(C.clean_text(c)).alias(c) for c in _NUM_PROBES])
+
+
+_DATE_PROBES = ["p_iso", "p_slash", "p_space", "p_unpadded", "p_with_time", "p_t_time",
+                "p_midnight24", "p_zone_fraction", "p_bare_zone", "p_year_month",
+                "p_trailing_word", "p_february", "p_hour_only"]
+
+
+@register("lenient_date", _probe_oracle(
+    "dates", ["o_orderkey"], _DATE_PROBES, "TRY_CAST(NULLIF(TRIM({p}), '') AS DATE)"))
+def q_lenient_date(spark, sf_dir):
+    p = probes(spark, sf_dir, "dates")
+    return p.select("o_orderkey", *[C.to_date(C.clean_text(c)).alias(c) for c in _DATE_PROBES])
+
+
+@register("lenient_timestamp", _probe_oracle(
+    "dates", ["o_orderkey"], _DATE_PROBES, "TRY_CAST(NULLIF(TRIM({p}), '') AS TIMESTAMP)"))
+def q_lenient_timestamp(spark, sf_dir):
+    p = probes(spark, sf_dir, "dates")
+    return p.select("o_orderkey",
+                    *[C.to_timestamp_ntz(C.clean_text(c)).alias(c) for c in _DATE_PROBES])
+
+
+# ------------------------------------------------------------------ dimensional
+
+@register("dim_invoice", O.with_erp("SELECT * FROM dim"))
+def q_dim_invoice(spark, sf_dir):
+    return marts.dim_invoice(silver_erp_df(spark, sf_dir))
+
+
+@register("fact_invoice", O.with_erp("SELECT * FROM fi"))
+def q_fact_invoice(spark, sf_dir):
+    return marts.fact_invoice(silver_erp_df(spark, sf_dir))
+
+
+@register("fact_workflow_event", O.with_workflow("SELECT * FROM fe"))
+def q_fact_workflow_event(spark, sf_dir):
+    return marts.fact_workflow_event(silver_workflow_df(spark, sf_dir))
+
+
+@register("mart_customer", O.with_bronze(
+    "customer", f"SELECT customer_id, customer_name, city, modified_date FROM ({O.SILVER_CUSTOMER})"))
+def q_mart_customer(spark, sf_dir):
+    return marts.mart_customer(silver_customer_df(spark, sf_dir))
+
+
+@register("surrogate_keys", O.with_erp("""
+SELECT erp_record_id, md5(concat_ws('|', supplier_id, invoice_number, coalesce(invoice_id, ''))) AS invoice_row_key,
+       md5(concat_ws('|', supplier_id, invoice_number)) AS invoice_key,
+       md5(concat_ws('|', supplier_id, invoice_number, erp_record_id)) AS line_key
+FROM se"""))
+def q_surrogate_keys(spark, sf_dir):
+    s = silver_erp_df(spark, sf_dir)
+    return s.select("erp_record_id",
+                    surrogate_key("supplier_id", "invoice_number",
+                                  F.coalesce("invoice_id", F.lit(""))).alias("invoice_row_key"),
+                    surrogate_key("supplier_id", "invoice_number").alias("invoice_key"),
+                    surrogate_key("supplier_id", "invoice_number", "erp_record_id").alias("line_key"))
+
+
+# ------------------------------------------------------------------ aggregates / windows
+
+@register("invoice_totals", O.with_erp("SELECT * FROM tot"))
+def q_invoice_totals(spark, sf_dir):
+    return marts.invoice_totals(silver_erp_df(spark, sf_dir))
+
+
+_WT_COLS = ["invoice_amount_usd", "first_workflow_event_timestamp", "last_workflow_event_timestamp",
+            "workflow_event_count", "workflow_stage_count", "exception_event_count"]
+
+
+def _workflow_totals(spark, sf_dir):
+    t = marts.workflow_totals(silver_workflow_df(spark, sf_dir))
+    return t.withColumn("invoice_key", surrogate_key(*marts.INVOICE_PAIR))
+
+
+@register("workflow_totals", O.with_workflow("SELECT * FROM wt"))
+def q_workflow_totals(spark, sf_dir):
+    return _workflow_totals(spark, sf_dir).select("invoice_key", *_WT_COLS)
+
+
+@register("ranked_events", O.with_workflow(
+    "SELECT workflow_event_key, invoice_key, event_timestamp, event_sequence, event_rank FROM rk"))
+def q_ranked_events(spark, sf_dir):
+    fe = marts.fact_workflow_event(silver_workflow_df(spark, sf_dir))
+    return marts.ranked_events(fe).select("workflow_event_key", "invoice_key", "event_timestamp",
+                                          "event_sequence", "event_rank")
+
+
+@register("latest_event_per_invoice", O.with_workflow("""
+SELECT invoice_key, workflow_event_id, workflow_id AS current_workflow_id,
+       workflow_stage AS current_workflow_stage, current_status AS current_workflow_status
+FROM rk WHERE event_rank = 1"""))
+def q_latest_event_per_invoice(spark, sf_dir):
+    fe = marts.fact_workflow_event(silver_workflow_df(spark, sf_dir))
+    return marts.latest_event_per_invoice(fe)
+
+
+# ------------------------------------------------------------------ metrics
+
+def _erp_metrics(spark, sf_dir):
+    return marts.mart_erp(silver_erp_df(spark, sf_dir), FIXTURE_AS_OF)
+
+
+def _erp_metric_oracle(cols: str) -> str:
+    return O.with_erp(f"SELECT invoice_key, {cols} FROM (SELECT io.*,{O.ERP_METRIC_COLUMNS} FROM io)")
+
+
+@register("invoice_variance", _erp_metric_oracle("line_amount_variance_doc, outstanding_amount_doc"))
+def q_invoice_variance(spark, sf_dir):
+    return _erp_metrics(spark, sf_dir).select("invoice_key", "line_amount_variance_doc",
+                                              "outstanding_amount_doc")
+
+
+@register("paid_percent", _erp_metric_oracle("invoice_amount_doc, amount_paid, paid_percent"))
+def q_paid_percent(spark, sf_dir):
+    return _erp_metrics(spark, sf_dir).select("invoice_key", "invoice_amount_doc", "amount_paid",
+                                              "paid_percent")
+
+
+@register("days_metrics", _erp_metric_oracle("days_to_pay, days_to_post, overdue_days"))
+def q_days_metrics(spark, sf_dir):
+    return _erp_metrics(spark, sf_dir).select("invoice_key", "days_to_pay", "days_to_post",
+                                              "overdue_days")
+
+
+@register("payment_timing", O.with_erp(
+    f"SELECT payment_timing, count(*) AS invoice_count FROM (SELECT io.*,{O.ERP_METRIC_COLUMNS} FROM io) "
+    "GROUP BY payment_timing"))
+def q_payment_timing(spark, sf_dir):
+    return (_erp_metrics(spark, sf_dir).groupBy("payment_timing")
+            .agg(F.count(F.lit(1)).alias("invoice_count")))
+
+
+def _wf_metrics(spark, sf_dir):
+    return marts.workflow_metrics(_workflow_totals(spark, sf_dir))
+
+
+@register("exception_rate", O.with_workflow("""
+SELECT invoice_key, exception_event_count, workflow_event_count,
+       round(exception_event_count / nullif(workflow_event_count, 0) * 100, 2) AS exception_rate_percent,
+       exception_event_count > 0 AS has_exception
+FROM wt"""))
+def q_exception_rate(spark, sf_dir):
+    return _wf_metrics(spark, sf_dir).select("invoice_key", "exception_event_count",
+                                             "workflow_event_count", "exception_rate_percent",
+                                             "has_exception")
+
+
+@register("workflow_durations", O.with_workflow("""
+SELECT invoice_key, first_workflow_event_timestamp, last_workflow_event_timestamp,
+       round(epoch(last_workflow_event_timestamp - first_workflow_event_timestamp) / 3600, 2) AS workflow_duration_hours,
+       CASE WHEN workflow_event_count <= 1 THEN 0
+            ELSE round(epoch(last_workflow_event_timestamp - first_workflow_event_timestamp) / 3600
+                       / (workflow_event_count - 1), 2) END AS average_event_gap_hours
+FROM wt"""))
+def q_workflow_durations(spark, sf_dir):
+    return _wf_metrics(spark, sf_dir).select("invoice_key", "first_workflow_event_timestamp",
+                                             "last_workflow_event_timestamp",
+                                             "workflow_duration_hours", "average_event_gap_hours")
+
+
+@register("workflow_complete_flag", O.with_workflow("""
+SELECT t.invoice_key, l.current_status AS current_workflow_status,
+       upper(coalesce(l.current_status, '')) IN ('APPROVED', 'COMPLETED', 'CLOSED', 'PAID') AS is_workflow_complete
+FROM wt t LEFT JOIN rk l ON t.invoice_key = l.invoice_key AND l.event_rank = 1"""))
+def q_workflow_complete_flag(spark, sf_dir):
+    return _wf_metrics(spark, sf_dir).select(
+        "invoice_key", F.col("latest.current_status").alias("current_workflow_status"),
+        "is_workflow_complete")
+
+
+# ------------------------------------------------------------------ quality
+
+def _models_for_quality(spark, sf_dir):
+    erp_silver = silver_erp_df(spark, sf_dir)
+    cust = silver_customer_df(spark, sf_dir)
+    return {
+        "stg_customer": cust,
+        "customer": marts.mart_customer(cust),
+        "erp": marts.mart_erp(erp_silver, FIXTURE_AS_OF),
+        "workflow": marts.mart_workflow(silver_workflow_df(spark, sf_dir),
+                                        marts.dim_invoice(erp_silver)),
+    }
+
+
+def _dq(spark, sf_dir, kind):
+    frames = [quality.run_tests(df, model, [kind])
+              for model, df in _models_for_quality(spark, sf_dir).items()
+              if kind in quality.TESTS.get(model, {})]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+_MW = "(" + O.MART_WORKFLOW_BODY + ")"
+_ME = f"(SELECT io.*,{O.ERP_METRIC_COLUMNS} FROM io)"
+_SC = "(SELECT * FROM scu)"
+_DQ_CTES = f"bc AS ({O.bronze_sql('customer')}), scu AS ({O.SILVER_CUSTOMER.replace('FROM bz', 'FROM bc')})"
+
+
+def _dq_oracle(parts: list[str]) -> str:
+    body = "\nUNION ALL\n".join(parts)
+    return O.with_erp_and_workflow(body, extra=f"{O.TOTALS_CTE.strip()},\n{O.ERP_OUTPUT_CTE.strip()},\n{_DQ_CTES}")
+
+
+def _nn(model, src, col):
+    return (f"SELECT '{model}' AS model, '{col}' AS column_name, 'not_null' AS test, "
+            f"CAST(count(*) FILTER (WHERE {col} IS NULL) AS BIGINT) AS failures FROM {src} x")
+
+
+def _uq(model, src, col):
+    return (f"SELECT '{model}' AS model, '{col}' AS column_name, 'unique' AS test, "
+            f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {col} FROM {src} x "
+            f"WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1) d")
+
+
+ORACLE_DQ_NOT_NULL = _dq_oracle(
+    [_nn("stg_customer", _SC, "customer_id"), _nn("customer", _SC, "customer_id")]
+    + [_nn("erp", _ME, c) for c in ("invoice_key", "supplier_id", "invoice_number")]
+    + [_nn("workflow", _MW, c) for c in ("invoice_key", "supplier_id", "invoice_number")])
+ORACLE_DQ_UNIQUE = _dq_oracle(
+    [_uq("stg_customer", _SC, "customer_id"), _uq("customer", _SC, "customer_id"),
+     _uq("erp", _ME, "invoice_key"), _uq("workflow", _MW, "invoice_key")])
+ORACLE_DQ_ACCEPTED = _dq_oracle([
+    "SELECT 'erp' AS model, 'payment_timing' AS column_name, 'accepted_values' AS test, "
+    f"CAST(count(DISTINCT payment_timing) AS BIGINT) AS failures FROM {_ME} x WHERE payment_timing IS NOT NULL "
+    "AND payment_timing NOT IN ('UNKNOWN', 'OVERDUE', 'OPEN', 'ON_TIME', 'LATE')"])
+
+
+@register("dq_not_null", ORACLE_DQ_NOT_NULL)
+def q_dq_not_null(spark, sf_dir):
+    return _dq(spark, sf_dir, "not_null")
+
+
+@register("dq_unique", ORACLE_DQ_UNIQUE)
+def q_dq_unique(spark, sf_dir):
+    return _dq(spark, sf_dir, "unique")
+
+
+@register("dq_accepted_values", ORACLE_DQ_ACCEPTED)
+def q_dq_accepted_values(spark, sf_dir):
+    return _dq(spark, sf_dir, "accepted_values")
+
+
+@register("contract_report")
+def q_contract_report(spark, sf_dir):
+    """Rows-only: schema of each contracted mart against its contract; one
+    row per contract column with the expected and actual type."""
+    models = _models_for_quality(spark, sf_dir)
+    rows = []
+    for model, contract in quality.CONTRACTS.items():
+        actual = {f.name: f.dataType.simpleString() for f in models[model].schema.fields}
+        for f in contract.fields:
+            got = actual.get(f.name)
+            rows.append((model, f.name, f.dataType.simpleString(), got,
+                         got == f.dataType.simpleString()))
+    return spark.createDataFrame(
+        rows, "model string, column_name string, expected_type string, actual_type string, matches boolean")

@@ -141,3 +141,52 @@ def bronze_sql(name: str) -> str:
     """The same derivation as plain SQL over views named like the tables."""
     text, inputs = _TABLES[name]
     return text.format(**{t: t for t in inputs})
+
+
+# Edge-case texts for the lenient casts, derived row by row from the tables
+# (same SQL in both engines); every spelling family of the cast rules occurs
+# on every row, so the casts are checked over the whole tables.
+NUMBER_PROBES_SQL = """
+SELECT l_orderkey, l_linenumber,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) AS p_plain,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)||'5' AS p_three_places,
+       '-'||CAST(l_linenumber AS STRING)||'.5' AS p_negative_half,
+       CAST(l_linenumber AS STRING)||'.5' AS p_half,
+       CAST(CAST(l_quantity AS DECIMAL(18,2)) AS STRING)||'e2' AS p_exponent,
+       '1_'||LPAD(CAST(l_partkey % 1000 AS STRING), 3, '0')||'.25' AS p_underscore,
+       '0x'||CAST(l_linenumber AS STRING)||'f' AS p_hex,
+       ' '||CAST(l_suppkey AS STRING)||' ' AS p_padded,
+       CAST(l_suppkey AS STRING)||',000' AS p_thousands,
+       CAST(l_orderkey AS STRING)||'99999999999999999' AS p_overflow,
+       'n/a' AS p_junk
+FROM {lineitem}
+"""
+
+DATE_PROBES_SQL = """
+SELECT o_orderkey,
+       CAST(CAST(o_orderdate AS DATE) AS STRING) AS p_iso,
+       REPLACE(CAST(CAST(o_orderdate AS DATE) AS STRING), '-', '/') AS p_slash,
+       REPLACE(CAST(CAST(o_orderdate AS DATE) AS STRING), '-', ' ') AS p_space,
+       CAST(YEAR(CAST(o_orderdate AS DATE)) AS STRING)||'-'||CAST(MONTH(CAST(o_orderdate AS DATE)) AS STRING)||'-'||CAST(DAY(CAST(o_orderdate AS DATE)) AS STRING) AS p_unpadded,
+       CAST(CAST(o_orderdate AS DATE) AS STRING)||' '||CAST(o_orderkey % 24 AS STRING)||':'||LPAD(CAST(o_orderkey % 60 AS STRING), 2, '0')||':05' AS p_with_time,
+       CAST(CAST(o_orderdate AS DATE) AS STRING)||'T'||CAST(o_orderkey % 30 AS STRING)||':00' AS p_t_time,
+       CAST(CAST(o_orderdate AS DATE) AS STRING)||' 24:00' AS p_midnight24,
+       CAST(CAST(o_orderdate AS DATE) AS STRING)||' '||CAST(o_orderkey % 24 AS STRING)||':30:00.1234567+02' AS p_zone_fraction,
+       CAST(CAST(o_orderdate AS DATE) AS STRING)||'Z' AS p_bare_zone,
+       SUBSTR(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 7) AS p_year_month,
+       CAST(CAST(o_orderdate AS DATE) AS STRING)||' BC' AS p_trailing_word,
+       CAST(YEAR(CAST(o_orderdate AS DATE)) AS STRING)||'-02-'||CAST(28 + o_orderkey % 4 AS STRING) AS p_february,
+       CAST(CAST(o_orderdate AS DATE) AS STRING)||' '||CAST(o_orderkey % 24 AS STRING) AS p_hour_only
+FROM {orders}
+"""
+
+_PROBES = {
+    "numbers": (NUMBER_PROBES_SQL, ("lineitem",)),
+    "dates": (DATE_PROBES_SQL, ("orders",)),
+}
+_TABLES.update(_PROBES)
+
+
+def probes(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Probe texts ``numbers`` (from lineitem) or ``dates`` (from orders)."""
+    return bronze(spark, sf_dir, name)
