@@ -393,3 +393,494 @@ def q_contract_report(spark, sf_dir):
                          got == f.dataType.simpleString()))
     return spark.createDataFrame(
         rows, "model string, column_name string, expected_type string, actual_type string, matches boolean")
+
+
+# ------------------------------------------------------------------ ingest (real files)
+
+import datetime as _dt  # noqa: E402
+
+from millrace.operators import bronze as bronze_ops  # noqa: E402
+from millrace.plans import ledger as ledger_ops  # noqa: E402
+from millrace.plans.export import CSV_OPTIONS, export_tables  # noqa: E402
+from millrace.plans.fixtures import (  # noqa: E402
+    CUSTOMER_SOURCE_COLUMNS, ERP_SOURCE_COLUMNS, WORKFLOW_SOURCE_COLUMNS, bronze_sql,
+)
+from millrace.plans.pipeline import load_files, run_all, run_pipeline  # noqa: E402
+from millrace.plans.scratch import scratch, write_csv  # noqa: E402
+from millrace.sources import files as src_files  # noqa: E402
+from millrace.sources.csv import scan_profiled  # noqa: E402
+from millrace.sources.parquet import scan_parquet  # noqa: E402
+from millrace.store import TableStore  # noqa: E402
+
+
+def _nullif_all(cols, src="bz"):
+    return ", ".join(f"NULLIF({c}, '') AS {c}" for c in cols)
+
+
+def _store(spark, root):
+    store = TableStore(spark, f"{root}/warehouse")
+    ledger = ledger_ops.Ledger(spark, store)
+    ledger.initialize()
+    return store, ledger
+
+
+def _ingest(spark, store, ledger, name, cfg, root, run=None):
+    run = run or f"run-{uuid.uuid4().hex[:8]}"
+    return load_files(spark, store, ledger, name, cfg, root, run, ledger_ops.now())
+
+
+import uuid  # noqa: E402
+
+_ERP_WORKFLOW_KEYS = ["WORKFLOW_EVENT_ID", "WORKFLOW_ID", "EVENT_SEQUENCE", "INVOICE_NUMBER",
+                      "SUPPLIER_ID", "INVOICE_AMOUNT_USD", "WORKFLOW_STAGE", "PREVIOUS_STATUS",
+                      "CURRENT_STATUS", "STAGE_DURATION_HOURS", "EXCEPTION_REASON"]
+
+
+@register("ingest_csv_append", O.with_bronze("erp", f"SELECT {_nullif_all(ERP_SOURCE_COLUMNS)} FROM bz"))
+def q_ingest_csv_append(spark, sf_dir):
+    """Derived ERP rows as several CSV files -> two incremental runs (the
+    second finds nothing new) -> Bronze read back (source columns)."""
+    root = scratch(spark, "ingest")
+    write_csv(bronze(spark, sf_dir, "erp").select(*ERP_SOURCE_COLUMNS), f"{root}/source/erp",
+              key="ERP_RECORD_ID")
+    store, ledger = _store(spark, root)
+    cfg = {"source_folder": "source/erp", "source_pattern": "*.csv", "bronze_table": "bronze.erp"}
+    _ingest(spark, store, ledger, "erp", cfg, root)
+    _ingest(spark, store, ledger, "erp", cfg, root)
+    return store.read("bronze.erp").select(*ERP_SOURCE_COLUMNS)
+
+
+def _workflow_csv(spark, sf_dir, root, keep_empty=False):
+    write_csv(bronze(spark, sf_dir, "workflow").select(*_ERP_WORKFLOW_KEYS), f"{root}/wf",
+              key="WORKFLOW_EVENT_ID")
+    found = src_files.discover(spark, f"{root}/wf", "*.csv")
+    frames = scan_profiled(spark, src_files.profile(spark, found), keep_empty=keep_empty)
+    out = frames[0][1]
+    for _, f in frames[1:]:
+        out = out.unionByName(f)
+    return out.drop("_source_file")
+
+
+@register("scan_csv_strings", O.with_bronze("workflow", f"SELECT {_nullif_all(_ERP_WORKFLOW_KEYS)} FROM bz"))
+def q_scan_csv_strings(spark, sf_dir):
+    return _workflow_csv(spark, sf_dir, scratch(spark, "scan"))
+
+
+@register("scan_csv_keep_empty", O.with_bronze(
+    "workflow", "SELECT " + ", ".join(f"COALESCE({c}, '') AS {c}" for c in _ERP_WORKFLOW_KEYS) + " FROM bz"))
+def q_scan_csv_keep_empty(spark, sf_dir):
+    return _workflow_csv(spark, sf_dir, scratch(spark, "scan"), keep_empty=True)
+
+
+@register("scan_parquet", O.with_bronze("customer", "SELECT * FROM bz"))
+def q_scan_parquet(spark, sf_dir):
+    root = scratch(spark, "parquet")
+    bronze(spark, sf_dir, "customer").write.parquet(f"{root}/customer.parquet")
+    return scan_parquet(spark, f"{root}/customer.parquet")
+
+
+_SEPS = [",", ";", "\t", "|"]
+
+
+@register("sniff_delimiter", O.with_bronze("workflow", """
+SELECT WORKFLOW_EVENT_ID, WORKFLOW_STAGE, NULLIF(EXCEPTION_REASON, '') AS EXCEPTION_REASON,
+       CASE CAST(WORKFLOW_EVENT_ID AS BIGINT) % 4 WHEN 0 THEN ',' WHEN 1 THEN ';' WHEN 2 THEN chr(9) ELSE '|' END AS detected_sep
+FROM bz"""))
+def q_sniff_delimiter(spark, sf_dir):
+    root = scratch(spark, "sniff")
+    wf = bronze(spark, sf_dir, "workflow").select(*_ERP_WORKFLOW_KEYS)
+    folders = []
+    for i, sep in enumerate(_SEPS):
+        part = wf.where(F.col("WORKFLOW_EVENT_ID").cast("bigint") % 4 == i)
+        folders.append(write_csv(part, f"{root}/sep{i}", sep=sep))
+    prof = src_files.profile(spark, src_files.discover(spark, folders, "*.csv"))
+    frames = scan_profiled(spark, prof)
+    rows = frames[0][1]
+    for _, f in frames[1:]:
+        rows = rows.unionByName(f)
+    seps = prof.select(F.col("path").alias("_source_file"), F.col("sep").alias("detected_sep"))
+    return rows.join(seps, "_source_file").select("WORKFLOW_EVENT_ID", "WORKFLOW_STAGE",
+                                                  "EXCEPTION_REASON", "detected_sep")
+
+
+_CUST_B_ORDER = ["MODIFIED_DATE", "City", "customer_id", "order_ref"]
+
+
+@register("append_by_name", O.with_bronze("customer", """
+SELECT _run_id AS order_ref, customer_id,
+       CASE WHEN CAST(_run_id AS BIGINT) % 2 = 0 THEN NULLIF(customer_name, '') END AS customer_name,
+       NULLIF(city, '') AS city, NULLIF(modified_date, '') AS modified_date
+FROM bz"""))
+def q_append_by_name(spark, sf_dir):
+    """Run 1 loads files with one header; run 2 adds files whose columns are
+    reordered, differently cased and missing one: aligned by name."""
+    root = scratch(spark, "byname")
+    c = bronze(spark, sf_dir, "customer").withColumn("order_ref", F.col("_run_id"))
+    even = F.col("order_ref").cast("bigint") % 2 == 0
+    write_csv(c.where(even).select("order_ref", *CUSTOMER_SOURCE_COLUMNS), f"{root}/src", key="order_ref")
+    store, ledger = _store(spark, root)
+    cfg = {"source_folder": "src", "source_pattern": "*.csv", "bronze_table": "bronze.customer"}
+    _ingest(spark, store, ledger, "customer", cfg, root)
+    later = c.where(~even).select(F.col("modified_date").alias("MODIFIED_DATE"),
+                                  F.col("city").alias("City"), "customer_id", "order_ref")
+    write_csv(later, f"{root}/src", mode="append", key="order_ref")
+    _ingest(spark, store, ledger, "customer", cfg, root)
+    return store.read("bronze.customer").select("order_ref", *CUSTOMER_SOURCE_COLUMNS)
+
+
+@register("append_dataframe", O.with_bronze(
+    "customer", "SELECT customer_id, customer_name, city, modified_date, "
+                "'/inbound/customer_frame.csv' AS _source_file FROM bz"))
+def q_append_dataframe(spark, sf_dir):
+    root = scratch(spark, "frame")
+    store, _ = _store(spark, root)
+    df = bronze(spark, sf_dir, "customer").select(*CUSTOMER_SOURCE_COLUMNS)
+    bronze_ops.append_dataframe(store, "bronze.customer", df, "/inbound/customer_frame.csv",
+                                "run-frame", ledger_ops.now())
+    return store.read("bronze.customer").select(*CUSTOMER_SOURCE_COLUMNS, "_source_file")
+
+
+@register("replace_load", O.with_bronze("customer", f"SELECT {_nullif_all(CUSTOMER_SOURCE_COLUMNS)} FROM bz"))
+def q_replace_load(spark, sf_dir):
+    """Append half the rows, then a replace run over the full snapshot: every
+    row exactly once."""
+    root = scratch(spark, "replace")
+    c = bronze(spark, sf_dir, "customer").select(*CUSTOMER_SOURCE_COLUMNS, "_run_id")
+    store, ledger = _store(spark, root)
+    write_csv(c.where(F.col("_run_id").cast("bigint") % 2 == 0).drop("_run_id"), f"{root}/half")
+    _ingest(spark, store, ledger, "customer", {"source_folder": "half", "bronze_table": "bronze.customer"}, root)
+    write_csv(c.drop("_run_id"), f"{root}/full", key="customer_id")
+    _ingest(spark, store, ledger, "customer",
+            {"source_folder": "full", "bronze_table": "bronze.customer", "append": False}, root)
+    return store.read("bronze.customer").select(*CUSTOMER_SOURCE_COLUMNS)
+
+
+@register("rows_per_file", O.with_bronze(
+    "erp", "SELECT _source_file AS source_group, count(*) AS row_count FROM bz GROUP BY _source_file"))
+def q_rows_per_file(spark, sf_dir):
+    root = scratch(spark, "perfile")
+    b = bronze(spark, sf_dir, "erp").select(*ERP_SOURCE_COLUMNS, F.col("_source_file").alias("src"))
+    b.repartition("ERP_RECORD_ID").write.partitionBy("src").options(
+        header="true", escape='"', ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false").csv(f"{root}/src")
+    store, _ = _store(spark, root)
+    prof = src_files.profile(spark, src_files.discover(spark, f"{root}/src", "*.csv", recursive=True))
+    counts = bronze_ops.land(store, "bronze.erp", scan_profiled(spark, prof), "run-1", ledger_ops.now())
+    return (counts.select(F.regexp_extract("_source_file", r"src=([^/]+)/", 1).alias("source_group"),
+                          "row_count")
+            .groupBy("source_group").agg(F.sum("row_count").cast("bigint").alias("row_count")))
+
+
+@register("required_columns", O.with_bronze("workflow", """
+SELECT CASE WHEN CAST(WORKFLOW_EVENT_ID AS BIGINT) % 2 = 0 THEN 'full' ELSE 'partial' END AS file_group,
+       CASE WHEN CAST(WORKFLOW_EVENT_ID AS BIGINT) % 2 = 0 THEN '' ELSE 'SUPPLIER_ID,WORKFLOW_ID' END AS missing_columns,
+       count(*) AS row_count
+FROM bz GROUP BY 1, 2"""))
+def q_required_columns(spark, sf_dir):
+    root = scratch(spark, "required")
+    wf = bronze(spark, sf_dir, "workflow").select(*_ERP_WORKFLOW_KEYS)
+    even = F.col("WORKFLOW_EVENT_ID").cast("bigint") % 2 == 0
+    write_csv(wf.where(even), f"{root}/full")
+    write_csv(wf.where(~even).drop("SUPPLIER_ID", "WORKFLOW_ID"), f"{root}/partial")
+    prof = src_files.profile(spark, src_files.discover(spark, [f"{root}/full", f"{root}/partial"], "*.csv"))
+    miss = src_files.missing_required(prof, ["WORKFLOW_ID", "SUPPLIER_ID"])
+    rows = None
+    for _, f in scan_profiled(spark, prof):
+        f = f.select("_source_file")
+        rows = f if rows is None else rows.unionByName(f)
+    per_file = rows.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n"))
+    return (per_file.join(miss.withColumnRenamed("path", "_source_file"), "_source_file")
+            .select(F.regexp_extract("_source_file", r"/(full|partial)/", 1).alias("file_group"),
+                    F.array_join("missing", ",").alias("missing_columns"), "n")
+            .groupBy("file_group", "missing_columns").agg(F.sum("n").cast("bigint").alias("row_count")))
+
+
+@register("unsupported_files", """
+SELECT suffix, count(*) AS files FROM (VALUES ('.json'), ('.txt')) v(suffix) GROUP BY suffix""")
+def q_unsupported_files(spark, sf_dir):
+    """CSV, JSON and text exports of the customer rows in one folder: the
+    discovery rejects the suffixes no reader supports (one row per suffix)."""
+    root = scratch(spark, "unsupported")
+    c = bronze(spark, sf_dir, "customer").select(*CUSTOMER_SOURCE_COLUMNS)
+    write_csv(c, f"{root}/in")
+    c.coalesce(1).write.mode("append").json(f"{root}/in")
+    c.select(F.concat_ws("|", *CUSTOMER_SOURCE_COLUMNS)).coalesce(1).write.mode("append").text(f"{root}/in")
+    bad = src_files.unsupported(src_files.discover(spark, f"{root}/in", "part-*"))
+    return bad.groupBy("suffix").agg(F.lit(1).cast("bigint").alias("files"))
+
+
+# ------------------------------------------------------------------ ledger (derived from events)
+
+def _ledger_frame(spark, sf_dir):
+    return bronze(spark, sf_dir, "ledger")
+
+
+_HISTORY_COLS = [f.name for f in ledger_ops.FILE_HISTORY.fields]
+_LEDGER_CTE = f"lg AS ({bronze_sql('ledger')})"
+
+
+def _with_ledger(body: str) -> str:
+    return f"WITH {_LEDGER_CTE}\n{body}"
+
+
+@register("upsert_latest", _with_ledger(f"""
+SELECT {', '.join(_HISTORY_COLS)} FROM lg
+QUALIFY row_number() OVER (PARTITION BY pipeline_name, source_file, file_hash
+                           ORDER BY loaded_at DESC NULLS LAST, run_id DESC NULLS LAST) = 1"""))
+def q_upsert_latest(spark, sf_dir):
+    from millrace.operators.latest import latest_by
+    lg = _ledger_frame(spark, sf_dir).select(*_HISTORY_COLS)
+    return latest_by(lg, ["pipeline_name", "source_file", "file_hash"],
+                     ["loaded_at", "run_id", *_HISTORY_COLS], _HISTORY_COLS)
+
+
+@register("loaded_by_hash", _with_ledger("""
+SELECT DISTINCT 'file_'||CAST(o_custkey AS VARCHAR)||'.csv' AS source_file, 'h'||CAST(o_orderkey % 5 AS VARCHAR) AS file_hash
+FROM orders o
+WHERE EXISTS (SELECT 1 FROM lg WHERE lg.status = 'SUCCESS' AND lg.pipeline_name = 'events'
+              AND lg.source_file = 'file_'||CAST(o.o_custkey AS VARCHAR)||'.csv'
+              AND lg.file_hash = 'h'||CAST(o.o_orderkey % 5 AS VARCHAR))"""))
+def q_loaded_by_hash(spark, sf_dir):
+    from millrace.sources.parquet import read_table
+    probes_ = read_table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("file_"), F.col("o_custkey").cast("string"), F.lit(".csv")).alias("path"),
+        F.concat(F.lit("h"), (F.col("o_orderkey") % 5).cast("string")).alias("file_hash")).distinct()
+    return ledger_ops.loaded_by_hash(probes_, _ledger_frame(spark, sf_dir), "events") \
+        .select(F.col("path").alias("source_file"), "file_hash")
+
+
+_LISTING = """
+SELECT DISTINCT source_file AS path, file_size_bytes,
+       CASE WHEN event_id % 4 = 0 THEN file_modified_at + INTERVAL 1 DAY ELSE file_modified_at END AS file_modified_at
+FROM lg"""
+
+
+@register("incremental_skip", _with_ledger(f"""
+SELECT * FROM ({_LISTING}) d
+WHERE NOT EXISTS (SELECT 1 FROM lg WHERE lg.pipeline_name = 'events' AND lg.status = 'SUCCESS'
+                  AND lg.source_file = d.path AND lg.file_size_bytes = d.file_size_bytes
+                  AND lg.file_modified_at = d.file_modified_at)"""))
+def q_incremental_skip(spark, sf_dir):
+    lg = _ledger_frame(spark, sf_dir)
+    listing = lg.select(
+        F.col("source_file").alias("path"), "file_size_bytes",
+        F.when(F.col("event_id") % 4 == 0, F.col("file_modified_at") + F.expr("INTERVAL 1 DAY"))
+         .otherwise(F.col("file_modified_at")).alias("file_modified_at")).distinct()
+    return ledger_ops.new_or_changed_files(listing, lg, "events")
+
+
+@register("watermark_upsert", _with_ledger("""
+SELECT pipeline_name, watermark_value, run_id FROM (
+  SELECT event_type AS pipeline_name, 'run-'||CAST(user_id % 3 AS VARCHAR) AS run_id,
+         max(file_modified_at) AS watermark_value, max(loaded_at) AS updated_at
+  FROM lg GROUP BY 1, 2) w
+QUALIFY row_number() OVER (PARTITION BY pipeline_name ORDER BY updated_at DESC, run_id DESC) = 1"""))
+def q_watermark_upsert(spark, sf_dir):
+    """Per (pipeline, run) the max file time is a watermark record; the
+    pipeline's watermark is its latest record (upsert semantics)."""
+    from millrace.operators.latest import latest_by
+    lg = _ledger_frame(spark, sf_dir)
+    records = lg.groupBy(F.col("event_type").alias("pipeline_name"),
+                         F.concat(F.lit("run-"), (F.col("user_id") % 3).cast("string")).alias("run_id")) \
+        .agg(F.max("file_modified_at").alias("watermark_value"), F.max("loaded_at").alias("updated_at"))
+    return latest_by(records, ["pipeline_name"], ["updated_at", "run_id"],
+                     ["watermark_value", "run_id"])
+
+
+@register("run_log_latest", _with_ledger("""
+SELECT 'run-'||CAST(user_id AS VARCHAR) AS run_id, status, loaded_at AS recorded_at, row_count AS rows_loaded
+FROM lg
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY loaded_at DESC, event_id DESC) = 1"""))
+def q_run_log_latest(spark, sf_dir):
+    """Each event is one state record of run ``run-<user_id>``; the run log
+    view keeps each run's last record."""
+    from millrace.operators.latest import latest_by
+    lg = _ledger_frame(spark, sf_dir).select(
+        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"), "status",
+        F.col("loaded_at").alias("recorded_at"), F.col("row_count").alias("rows_loaded"), "event_id")
+    return latest_by(lg, ["run_id"], ["recorded_at", "event_id"], ["status", "recorded_at", "rows_loaded"])
+
+
+@register("audit_rollup", _with_ledger("""
+SELECT CASE event_id % 5 WHEN 0 THEN 'DISCOVERY' WHEN 1 THEN 'BRONZE' WHEN 2 THEN 'DBT_BUILD'
+                         WHEN 3 THEN 'EXPORT' ELSE 'PIPELINE' END AS stage,
+       status, count(*) AS events, CAST(sum(row_count) AS BIGINT) AS rows_total,
+       count(DISTINCT user_id) AS runs
+FROM lg GROUP BY 1, 2"""))
+def q_audit_rollup(spark, sf_dir):
+    lg = _ledger_frame(spark, sf_dir)
+    stage = F.element_at(F.array(*[F.lit(s) for s in ledger_ops.STAGES]),
+                         (F.col("event_id") % 5 + 1).cast("int"))
+    return lg.groupBy(stage.alias("stage"), "status").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("row_count").cast("bigint").alias("rows_total"),
+        F.count_distinct("user_id").alias("runs"))
+
+
+@register("history_recent", _with_ledger(f"""
+SELECT {', '.join(_HISTORY_COLS)} FROM lg
+ORDER BY loaded_at DESC, source_file, file_hash, run_id LIMIT 10"""))
+def q_history_recent(spark, sf_dir):
+    """Top-10 most recent loads (the limit is the report)."""
+    return (_ledger_frame(spark, sf_dir).select(*_HISTORY_COLS)
+            .orderBy(F.col("loaded_at").desc(), "source_file", "file_hash", "run_id").limit(10))
+
+
+@register("table_sample", O.with_bronze("customer", """
+SELECT * FROM bz ORDER BY customer_id, _run_id LIMIT 10"""))
+def q_table_sample(spark, sf_dir):
+    return bronze(spark, sf_dir, "customer").orderBy("customer_id", "_run_id").limit(10)
+
+
+@register("discover_files")
+def q_discover_files(spark, sf_dir):
+    root = scratch(spark, "discover")
+    write_csv(bronze(spark, sf_dir, "erp").select(*ERP_SOURCE_COLUMNS), f"{root}/erp", key="ERP_RECORD_ID")
+    return src_files.discover(spark, f"{root}/erp", "*.csv").orderBy("path")
+
+
+@register("file_profile")
+def q_file_profile(spark, sf_dir):
+    root = scratch(spark, "profile")
+    write_csv(bronze(spark, sf_dir, "erp").select(*ERP_SOURCE_COLUMNS), f"{root}/erp", key="ERP_RECORD_ID")
+    prof = src_files.profile(spark, src_files.discover(spark, f"{root}/erp", "*.csv"))
+    return prof.select("file_name", "file_size_bytes", "file_hash", "sep", F.size("columns").alias("n_columns"))
+
+
+# ------------------------------------------------------------------ sinks
+
+def _mart_erp_store(spark, sf_dir, label):
+    root = scratch(spark, label)
+    store = TableStore(spark, f"{root}/warehouse")
+    store.overwrite("mart.erp", marts.mart_erp(silver_erp_df(spark, sf_dir), FIXTURE_AS_OF))
+    return root, store
+
+
+@register("export_parquet", O.MART_ERP)
+def q_export_parquet(spark, sf_dir):
+    root, store = _mart_erp_store(spark, sf_dir, "export")
+    out = export_tables(store, ["mart.erp"], f"{root}/exports", parquet=True)
+    return spark.read.parquet(out[0])
+
+
+@register("export_csv", O.MART_ERP)
+def q_export_csv(spark, sf_dir):
+    root, store = _mart_erp_store(spark, sf_dir, "export")
+    out = export_tables(store, ["mart.erp"], f"{root}/exports", parquet=False, csv=True)
+    return spark.read.schema(quality.ERP_CONTRACT).options(**CSV_OPTIONS).csv(out[0])
+
+
+# ------------------------------------------------------------------ build and pipelines (rows-only)
+
+def _landed_store(spark, sf_dir, root):
+    store, ledger = _store(spark, root)
+    now_ = ledger_ops.now()
+    for name, cols in (("erp", ERP_SOURCE_COLUMNS), ("workflow", WORKFLOW_SOURCE_COLUMNS),
+                       ("customer", CUSTOMER_SOURCE_COLUMNS)):
+        df = bronze(spark, sf_dir, name)
+        store.write_batch(f"bronze.{name}", df.select(*cols, "_source_file", "_loaded_at", "_run_id"),
+                          "derived")
+    return store, ledger, now_
+
+
+@register("build_report")
+def q_build_report(spark, sf_dir):
+    from millrace.plans.models import build
+    root = scratch(spark, "build")
+    store, _, _ = _landed_store(spark, sf_dir, root)
+    report = build(store, "+tag:workflow tag:erp tag:customer", FIXTURE_AS_OF)
+    return spark.createDataFrame(report, "model string, table_name string, row_count long, status string")
+
+
+_APP = {"warehouse": "warehouse", "exports": {"folder": "exports", "parquet": True, "csv": False}}
+_PIPES = {
+    "erp": {"source_folder": "source/erp", "source_pattern": "*.csv", "bronze_table": "bronze.erp",
+            "dbt_selector": "tag:erp", "mart_tables": ["mart.erp"]},
+    "workflow": {"source_folder": "source/workflow", "source_pattern": "*.csv",
+                 "bronze_table": "bronze.workflow", "required_columns": ["WORKFLOW_ID", "SUPPLIER_ID"],
+                 "dbt_selector": "+tag:workflow", "mart_tables": ["mart.workflow"]},
+    "customer": {"source_folder": "source/customer", "source_pattern": "*.csv", "append": False,
+                 "bronze_table": "bronze.customer", "dbt_selector": "tag:customer",
+                 "mart_tables": ["mart.customer"]},
+}
+
+
+def _write_sources(spark, sf_dir, root):
+    write_csv(bronze(spark, sf_dir, "erp").select(*ERP_SOURCE_COLUMNS), f"{root}/source/erp",
+              key="ERP_RECORD_ID")
+    write_csv(bronze(spark, sf_dir, "workflow").select(*WORKFLOW_SOURCE_COLUMNS),
+              f"{root}/source/workflow", key="WORKFLOW_EVENT_ID")
+    write_csv(bronze(spark, sf_dir, "customer").select(*CUSTOMER_SOURCE_COLUMNS),
+              f"{root}/source/customer", key="customer_id")
+
+
+@register("pipeline_erp")
+def q_pipeline_erp(spark, sf_dir):
+    """One ERP run end to end; returns that run's audit trail."""
+    root = scratch(spark, "pipeline")
+    _write_sources(spark, sf_dir, root)
+    app = {**_APP, "root": root}
+    r = run_pipeline(spark, "erp", _PIPES["erp"], app, FIXTURE_AS_OF)
+    store = TableStore(spark, f"{root}/warehouse")
+    return (store.read("metadata.audit_log").where(F.col("run_id") == r["run_id"])
+            .select("pipeline_name", "stage", "status", "row_count"))
+
+
+@register("pipeline_all")
+def q_pipeline_all(spark, sf_dir):
+    root = scratch(spark, "pipeline")
+    _write_sources(spark, sf_dir, root)
+    return run_all(spark, _PIPES, {**_APP, "root": root}, as_of=FIXTURE_AS_OF)
+
+
+# ------------------------------------------------------------------ Excel
+
+def _write_workbooks(spark, sf_dir, folder):
+    """Customer rows as .xlsx workbooks (one per 50,000-row block of keys),
+    written by executors straight into ``folder``."""
+    from millrace.sources.excel import write_workbook
+    cols = CUSTOMER_SOURCE_COLUMNS
+
+    def write(pdf):
+        import pandas as pd
+        from pyarrow import fs as pafs
+        block = int(pdf["block"].iloc[0])
+        path = f"{folder}/customers_{block:05d}.xlsx"
+        data = write_workbook(cols, pdf[cols].itertuples(index=False, name=None))
+        filesystem, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        with filesystem.open_output_stream(inner) as out:
+            out.write(data)
+        return pd.DataFrame({"path": [path], "rows": [len(pdf)]})
+
+    c = bronze(spark, sf_dir, "customer").select(*cols, "_run_id")
+    blocks = c.withColumn("block", (F.col("_run_id").cast("bigint") / 50000).cast("int")).drop("_run_id")
+    return blocks.groupBy("block").applyInPandas(write, "path string, rows long").collect()
+
+
+_EXCEL_ORACLE = O.with_bronze("customer", "SELECT " + ", ".join(
+    f"COALESCE({c}, '') AS {c}" for c in CUSTOMER_SOURCE_COLUMNS) + " FROM bz")
+
+
+@register("scan_excel", _EXCEL_ORACLE)
+def q_scan_excel(spark, sf_dir):
+    from millrace.sources.excel import scan_excel
+    root = scratch(spark, "excel")
+    _write_workbooks(spark, sf_dir, f"{root}/xlsx")
+    frames = scan_excel(spark, [f"{root}/xlsx"])
+    out = frames[0][1]
+    for _, f in frames[1:]:
+        out = out.unionByName(f)
+    return out.select(*CUSTOMER_SOURCE_COLUMNS)
+
+
+@register("excel_to_staging", _EXCEL_ORACLE)
+def q_excel_to_staging(spark, sf_dir):
+    """Workbooks -> staged Parquet (one partition per workbook) -> Bronze
+    with the original workbook path as lineage."""
+    root = scratch(spark, "excel")
+    _write_workbooks(spark, sf_dir, f"{root}/source/customer")
+    store, ledger = _store(spark, root)
+    cfg = {"source_folder": "source/customer", "source_pattern": "*.xlsx",
+           "bronze_table": "bronze.customer", "excel": {"sheet_name": 0, "header": 0}}
+    _ingest(spark, store, ledger, "customer", cfg, root)
+    return store.read("bronze.customer").select(*CUSTOMER_SOURCE_COLUMNS)

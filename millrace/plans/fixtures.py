@@ -190,3 +190,23 @@ _TABLES.update(_PROBES)
 def probes(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Probe texts ``numbers`` (from lineitem) or ``dates`` (from orders)."""
     return bronze(spark, sf_dir, name)
+
+
+# A run ledger derived from ``events``: each event is one file-history
+# record (user_id names the file, event_id % 5 its content hash, ts its load
+# time); errors are failed loads.
+LEDGER_SQL = """
+SELECT 'events' AS pipeline_name,
+       'file_'||CAST(user_id AS STRING)||'.csv' AS source_file,
+       'h'||CAST(event_id % 5 AS STRING) AS file_hash,
+       CAST(user_id % 7 * 1000 AS BIGINT) AS file_size_bytes,
+       ts AS file_modified_at,
+       ts AS loaded_at,
+       'run-'||CAST(event_id AS STRING) AS run_id,
+       CAST(event_id % 100 AS BIGINT) AS row_count,
+       CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+       CAST(NULL AS STRING) AS error_message,
+       event_type, event_id, user_id
+FROM {events}
+"""
+_TABLES["ledger"] = (LEDGER_SQL, ("events",))
