@@ -99,9 +99,12 @@ def assert_passing(results: DataFrame) -> list[tuple]:
 # ---------------------------------------------------------------- contracts
 
 def _type(name: str) -> T.DataType:
+    if name.startswith("decimal("):
+        p, s = name[len("decimal("):-1].split(",")
+        return T.DecimalType(int(p), int(s))
     return {"varchar": T.StringType(), "date": T.DateType(), "bigint": T.LongType(),
             "double": T.DoubleType(), "boolean": T.BooleanType(),
-            "timestamp": T.TimestampNTZType()}.get(name) or T._parse_datatype_string(name)
+            "timestamp": T.TimestampNTZType()}[name]
 
 
 def _contract(pairs: Sequence[tuple[str, str]]) -> T.StructType:

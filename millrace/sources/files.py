@@ -72,7 +72,7 @@ def _separator(header: Column) -> Column:
 
 
 def _header_from_content(content: Column) -> Column:
-    head = F.decode(F.substring(content, 1, HEADER_BYTES), "UTF-8")
+    head = F.substring(content, 1, HEADER_BYTES).cast("string")  # no UTF-8 validation
     line = F.split(head, "\n", 2)[0]
     return F.regexp_replace(F.regexp_replace(line, "\r$", ""), "^﻿", "")
 
@@ -104,9 +104,14 @@ def profile(spark: SparkSession, files: DataFrame) -> DataFrame:
     """Per file: SHA-256 hex, header line, separator and header columns.
 
     ``files`` is a :func:`discover` frame (already filtered, e.g. by the
-    incremental anti-join); only those paths are opened.
+    incremental anti-join); only those paths are opened.  The per-file
+    listing (one small row per file) is fixed here, so the result no longer
+    depends on the ledger the filter read: appending to that ledger later
+    cannot change which files this profile describes.
     """
-    meta = files.select("path", "file_size_bytes").collect()
+    listing = files.select("path", "file_name", "suffix", "file_size_bytes", "file_modified_at")
+    meta = listing.collect()
+    files = spark.createDataFrame(meta, listing.schema)
     small = [r.path for r in meta if r.file_size_bytes <= LARGE_FILE_BYTES]
     large = [r.path for r in meta if r.file_size_bytes > LARGE_FILE_BYTES]
     parts = []
