@@ -884,3 +884,21 @@ def q_excel_to_staging(spark, sf_dir):
            "bronze_table": "bronze.customer", "excel": {"sheet_name": 0, "header": 0}}
     _ingest(spark, store, ledger, "customer", cfg, root)
     return store.read("bronze.customer").select(*CUSTOMER_SOURCE_COLUMNS)
+
+
+# ------------------------------------------------------------------ streaming ingest
+
+@register("stream_ingest_csv", O.with_bronze("erp", f"SELECT {_nullif_all(ERP_SOURCE_COLUMNS)} FROM bz"))
+def q_stream_ingest_csv(spark, sf_dir):
+    """The ERP CSV files landed by an AvailableNow file stream, in two
+    triggers' worth of batches, then re-run on the same checkpoint (nothing
+    new: nothing added)."""
+    from millrace.streaming.ingest import stream_ingest
+    root = scratch(spark, "stream")
+    write_csv(bronze(spark, sf_dir, "erp").select(*ERP_SOURCE_COLUMNS), f"{root}/source/erp",
+              key="ERP_RECORD_ID")
+    store, ledger = _store(spark, root)
+    for _ in range(2):
+        stream_ingest(spark, store, ledger, "erp", f"{root}/source/erp", "bronze.erp",
+                      f"{root}/checkpoints/erp", max_files_per_trigger=4)
+    return store.read("bronze.erp").select(*ERP_SOURCE_COLUMNS)
