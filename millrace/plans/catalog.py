@@ -603,8 +603,8 @@ def q_unsupported_files(spark, sf_dir):
     root = scratch(spark, "unsupported")
     c = bronze(spark, sf_dir, "customer").select(*CUSTOMER_SOURCE_COLUMNS)
     write_csv(c, f"{root}/in")
-    c.coalesce(1).write.mode("append").json(f"{root}/in")
-    c.select(F.concat_ws("|", *CUSTOMER_SOURCE_COLUMNS)).coalesce(1).write.mode("append").text(f"{root}/in")
+    c.write.mode("append").json(f"{root}/in")
+    c.select(F.concat_ws("|", *CUSTOMER_SOURCE_COLUMNS)).write.mode("append").text(f"{root}/in")
     bad = src_files.unsupported(src_files.discover(spark, f"{root}/in", "part-*"))
     return bad.groupBy("suffix").agg(F.lit(1).cast("bigint").alias("files"))
 
