@@ -5,8 +5,8 @@
 * Silver / Mart models are full refreshes (BLD-2): written to a sibling
   temporary folder and swapped in by rename, so readers never see half a table
   and a model may read the table it replaces.
-* Bronze tables are append-only sets of batches: each load writes
-  ``_batch=<run_id>`` with dynamic partition overwrite, so a retried run
+* Bronze tables are append-only sets of batches: each load writes the
+  partition folder ``_batch=<run_id>`` in overwrite mode, so a retried run
   replaces its own batch instead of duplicating rows (closes the gap between
   the Bronze insert and the ledger insert).
 * The ledger tables (``metadata.*``) are append-only; "latest row per key"
@@ -137,17 +137,32 @@ class TableStore:
         return final
 
     def write_batch(self, table: str, df: DataFrame, batch_id: str) -> str:
-        """Write (or re-write) one Bronze batch partition."""
-        p = self.path(table)
-        (df.withColumn(BATCH_COLUMN, F.lit(batch_id))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(BATCH_COLUMN).parquet(p))
-        return f"{p}/{BATCH_COLUMN}={batch_id}"
+        """Write (or re-write) one Bronze batch partition.  The batch is
+        written straight into its partition folder: no partitioned-write
+        sort, and a retry of the same run replaces only that folder."""
+        if "/" in batch_id or "=" in batch_id:
+            raise ValueError(f"bad batch id: {batch_id}")
+        target = f"{self.path(table)}/{BATCH_COLUMN}={batch_id}"
+        df.write.mode("overwrite").parquet(target)
+        return target
 
     def replace_batches(self, table: str, df: DataFrame, batch_id: str) -> str:
-        """Replace load: the table becomes exactly this batch."""
-        return self.overwrite(table, df.withColumn(BATCH_COLUMN, F.lit(batch_id)),
-                              partition_by=[BATCH_COLUMN])
+        """Replace load: the table becomes exactly this batch (written to a
+        temporary table folder, then swapped in)."""
+        final = self.path(table)
+        tmp = f"{final}.__tmp_{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(f"{tmp}/{BATCH_COLUMN}={batch_id}")
+        old = f"{final}.__old_{uuid.uuid4().hex}"
+        had_old = self.fs.exists(final)
+        if had_old and not self.fs.rename(final, old):
+            raise RuntimeError(f"could not move {final} aside")
+        if not self.fs.rename(tmp, final):
+            if had_old:
+                self.fs.rename(old, final)
+            raise RuntimeError(f"could not publish {tmp} as {final}")
+        if had_old:
+            self.fs.delete(old)
+        return final
 
     def append(self, table: str, df: DataFrame) -> None:
         """Append-only write (ledger records)."""
