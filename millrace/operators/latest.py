@@ -38,10 +38,50 @@ def latest_by(df: DataFrame, keys: Sequence[str], order_by: Sequence,
     return out.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in payload])
 
 
-def rank_desc(df: DataFrame, keys: Sequence[str], order_by: Sequence,
-              name: str = "event_rank") -> DataFrame:
-    """``row_number()`` per key by ``order_by`` descending, NULLs last — the
-    reporting form of the same order (every row kept, ranked)."""
+def rank_desc_window(df: DataFrame, keys: Sequence[str], order_by: Sequence,
+                     name: str = "event_rank") -> DataFrame:
+    """Plain ``row_number()`` window (all rows of a key in one task); kept as
+    the reference formulation for tests."""
     from pyspark.sql import Window
     w = Window.partitionBy(*keys).orderBy(*[_as_col(c).desc_nulls_last() for c in order_by])
     return df.withColumn(name, F.row_number().over(w))
+
+
+def rank_desc(df: DataFrame, keys: Sequence[str], order_by: Sequence,
+              name: str = "event_rank", partitions: int | None = None) -> DataFrame:
+    """``row_number()`` per key by ``order_by`` descending (NULLs last), with
+    no task holding a whole key.
+
+    1. Range-partition and sort by (keys, order): a hot key spreads over
+       several consecutive partitions, each sorted.
+    2. Number rows inside each partition (``monotonically_increasing_id``
+       is consecutive within a partition, in the sorted order).
+    3. A small aggregate per (key, partition) gives each key's row count and
+       first position per partition; a running sum over the partitions of a
+       key (at most one row per partition) gives the offset.
+    4. rank = offset + position - first position + 1, joined on
+       (key, partition) — a hot key's rows are spread over its partitions.
+    The ranged rows are checkpointed once, so the count branch and the row
+    branch read the very same partitions (re-evaluating a range exchange over
+    an input of unstable order could sample different bounds).  Keys are
+    column names; ``order_by`` should be a total order.
+    """
+    from pyspark.sql import Window
+    sort = [F.col(k).asc_nulls_first() for k in keys] + \
+        [_as_col(c).desc_nulls_last() for c in order_by]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    from millrace.session import shared_dir
+    shared_dir(df.sparkSession)  # checkpoint folder: the cluster's, or a local one in tests
+    # Materialize once (reliable checkpoint, survives executor loss): the
+    # partition ids and positions become plain columns both branches share.
+    ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_pos", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    per_part = ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n"),
+                                                 F.min("_pos").alias("_first"))
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    joined = ranged.join(offsets.drop("_n"), [*keys, "_pid"])
+    return joined.withColumn(name, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int")) \
+        .drop("_pid", "_pos", "_first", "_offset")

@@ -69,11 +69,16 @@ def shared_dir(spark: SparkSession) -> str:
     session has none (local tests) is a private one created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.sparkContext.getCheckpointDir()
+    try:
+        active = spark.sparkContext.getCheckpointDir()
+    except Exception:
+        active = None
+    if configured and not active:
+        try:  # make DataFrame.checkpoint() use the cluster's folder
+            spark.sparkContext.setCheckpointDir(configured)
         except Exception:
-            configured = None
+            pass
+    configured = configured or active
     if configured:
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="millrace-ckpt-")

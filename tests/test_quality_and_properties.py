@@ -98,3 +98,15 @@ def test_workflow_without_erp_fails_and_is_logged(spark, tmp_root):
     assert status["workflow"].status == "FAILED" and "bronze.erp" in status["workflow"].error
     audit = TableStore(spark, f"{tmp_root}/warehouse").read("metadata.audit_log")
     assert audit.where("stage = 'PIPELINE' AND status = 'FAILED'").count() == 1
+
+
+def test_skew_safe_rank_equals_window(spark):
+    from millrace.operators.latest import rank_desc, rank_desc_window
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 101).cast("string")).alias("k"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") % 50).alias("t"),
+        F.col("id").cast("string").alias("s"))
+    fast, ref = rank_desc(df, ["k"], ["t", "s"], partitions=6), rank_desc_window(df, ["k"], ["t", "s"])
+    assert fast.exceptAll(ref).count() == 0 and ref.exceptAll(fast).count() == 0
+    hot_tasks = fast.where("k = 'HOT'").select(F.spark_partition_id()).distinct().count()
+    assert hot_tasks > 1
