@@ -157,3 +157,22 @@ def test_by_name_append_rejects_extra_columns(spark, tmp_root):
     bronze_ops.append_dataframe(store, "bronze.customer", c, "/c.csv", "r3", L.now())
     rows = sorted((r.customer_id, r.customer_name) for r in store.read("bronze.customer").collect())
     assert rows == [("1", "Ada"), ("3", None)]
+
+
+def test_excel_date_styled_cells_read_as_datetimes():
+    import io
+    import zipfile
+    from millrace.sources.excel import workbook_rows
+    data = write_workbook(["d", "t", "n"], [(45296, 0.4375, 1.5)])
+    zin, buf = zipfile.ZipFile(io.BytesIO(data)), io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zout:
+        for item in zin.namelist():
+            b = zin.read(item)
+            if item == "xl/worksheets/sheet1.xml":
+                b = b.replace(b'<c r="A2">', b'<c r="A2" s="1">').replace(b'<c r="B2">', b'<c r="B2" s="2">')
+            zout.writestr(item, b)
+        ns = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+        zout.writestr("xl/styles.xml", f'<styleSheet xmlns="{ns}"><numFmts count="1"><numFmt numFmtId="164" '
+                      'formatCode="yyyy\\-mm\\-dd"/></numFmts><cellXfs count="3"><xf numFmtId="0"/>'
+                      '<xf numFmtId="164"/><xf numFmtId="21"/></cellXfs></styleSheet>')
+    assert list(workbook_rows(buf.getvalue()))[1] == (1, ["2024-01-05 00:00:00", "10:30:00", "1.5"])
