@@ -31,12 +31,23 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from millrace.session import build_session  # noqa: E402
 
 
+def driver_memory_gb() -> int:
+    """About 60% of physical memory (local mode: the driver is the executor),
+    between 1 and 16 GiB."""
+    try:
+        with open("/proc/meminfo") as fh:
+            kb = int(next(line for line in fh if line.startswith("MemTotal")).split()[1])
+        return max(1, min(16, int(kb / 1024 / 1024 * 0.6)))
+    except (OSError, StopIteration, ValueError):
+        return 4
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    cpus = int(os.environ.get("BENCH_CPUS", str(min(8, os.cpu_count() or 4))))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus * 2, 8),
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": f"{driver_memory_gb()}g"})
     spark.sparkContext.setLogLevel("ERROR")
 
     from millrace.operators import marts, silver

@@ -25,7 +25,7 @@ PARQUET_SUFFIXES = (".parquet",)
 SUPPORTED_SUFFIXES = CSV_SUFFIXES + EXCEL_SUFFIXES + PARQUET_SUFFIXES
 SEPARATORS = [",", ";", "\t", "|"]
 HEADER_BYTES = 1 << 20          # the header must fit in the first MiB
-LARGE_FILE_BYTES = 1 << 30      # above this, hash by streaming blocks
+LARGE_FILE_BYTES = 256 << 20    # above this, hash by streaming blocks (bounded task memory)
 HASH_BLOCK = 1 << 20
 
 

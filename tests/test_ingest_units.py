@@ -176,3 +176,14 @@ def test_excel_date_styled_cells_read_as_datetimes():
                       'formatCode="yyyy\\-mm\\-dd"/></numFmts><cellXfs count="3"><xf numFmtId="0"/>'
                       '<xf numFmtId="164"/><xf numFmtId="21"/></cellXfs></styleSheet>')
     assert list(workbook_rows(buf.getvalue()))[1] == (1, ["2024-01-05 00:00:00", "10:30:00", "1.5"])
+
+
+def test_streamed_profile_of_large_files_matches(spark, tmp_root, monkeypatch):
+    contents = "﻿a;b;c\r\n1;2;3\n" + "x;y;z\n" * 1000
+    _write(f"{tmp_root}/in/big.csv", contents)
+    found = S.discover(spark, f"{tmp_root}/in", "*.csv")
+    small = S.profile(spark, found).first()
+    monkeypatch.setattr(S, "LARGE_FILE_BYTES", 0)
+    big = S.profile(spark, found).first()
+    assert big.file_hash == small.file_hash == hashlib.sha256(contents.encode()).hexdigest()
+    assert (big.sep, list(big.columns)) == (small.sep, list(small.columns)) == (";", ["a", "b", "c"])
