@@ -124,9 +124,9 @@ def profile(spark: SparkSession, files: DataFrame) -> DataFrame:
         paths = spark.createDataFrame([(p,) for p in large], "path string").repartition(len(large))
         parts.append(paths.mapInPandas(_stream_profile,
                                        "path string, file_hash string, header string"))
-    if not parts:
-        return files.select("path").limit(0).select(
-            "path", F.lit(None).cast("string").alias("file_hash"),
+    if not parts:  # nothing to open: same columns, no rows
+        return files.select(
+            "*", F.lit(None).cast("string").alias("file_hash"),
             F.lit(None).cast("string").alias("header"), F.lit(None).cast("string").alias("sep"),
             F.lit(None).cast("array<string>").alias("columns"))
     prof = parts[0]
