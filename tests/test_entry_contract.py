@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.oracle_check import compare, duck_connection
 
-ROWS_ONLY = {"scan_excel_rows", "contract_report", "build_report", "pipeline_erp", "pipeline_all",
+ROWS_ONLY = {"scan_excel_rows", "contract_report",
              "discover_files", "file_profile"}
 
 
