@@ -27,6 +27,10 @@ SEPARATORS = [",", ";", "\t", "|"]
 HEADER_BYTES = 1 << 20          # the header must fit in the first MiB
 LARGE_FILE_BYTES = 256 << 20    # above this, hash by streaming blocks (bounded task memory)
 HASH_BLOCK = 1 << 20
+# A line with an odd number of quote characters opens a quoted field that
+# continues on the next line: only files with such a line need a whole-file
+# CSV parse.  (Possessive quantifiers: linear-time scan.)
+ODD_QUOTE_LINE = r'(?m)^[^"\n]*+(?:"[^"\n]*+"[^"\n]*+)*+"[^"\n]*+$'
 
 
 def local_path(c) -> Column:
@@ -77,6 +81,18 @@ def _header_from_content(content: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(line, "\r$", ""), "^﻿", "")
 
 
+def _multiline_needed(content: Column) -> Column:
+    text = content.cast("string")
+    return (F.instr(text, '"') > 0) & text.rlike(ODD_QUOTE_LINE)
+
+
+def _odd_quote_lines(block: bytes, carry: bytes) -> tuple[bool, bytes]:
+    """Whether a complete line of ``carry + block`` has an odd number of
+    quotes; returns the unfinished last line as the next carry."""
+    lines = (carry + block).split(b"\n")
+    return any(line.count(b'"') % 2 for line in lines[:-1]), lines[-1]
+
+
 def _stream_profile(batches: Iterable) -> Iterable:
     """mapInPandas body for very large files: hash in blocks, read line 1."""
     import pandas as pd
@@ -87,21 +103,30 @@ def _stream_profile(batches: Iterable) -> Iterable:
             filesystem, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
             digest = hashlib.sha256()
             first = b""
+            quoted = False
+            carry = b""
             with filesystem.open_input_stream(inner) as stream:
                 while True:
                     block = stream.read(HASH_BLOCK)
                     if not block:
+                        quoted = quoted or carry.count(b'"') % 2 == 1
                         break
+                    if not quoted and b'"' in block or carry:
+                        odd, carry = _odd_quote_lines(block, carry)
+                        quoted = quoted or odd
                     if len(first) < HEADER_BYTES:
                         first += block[:HEADER_BYTES - len(first)]
                     digest.update(block)
             line = first.decode("utf-8", "replace").split("\n", 1)[0]
-            out.append((path, digest.hexdigest(), line.rstrip("\r").lstrip("﻿")))
-        yield pd.DataFrame(out, columns=["path", "file_hash", "header"])
+            out.append((path, digest.hexdigest(), line.rstrip("\r").lstrip("﻿"), quoted))
+        yield pd.DataFrame(out, columns=["path", "file_hash", "header", "quoted"])
 
 
 def profile(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Per file: SHA-256 hex, header line, separator and header columns.
+    """Per file: SHA-256 hex, header line, separator, header columns and
+    ``quoted``: whether some line has an odd number of quote characters, i.e.
+    a quoted field continues on the next line (only such files need a
+    whole-file CSV parse; the rest stay splittable).
 
     ``files`` is a :func:`discover` frame (already filtered, e.g. by the
     incremental anti-join); only those paths are opened.  The per-file
@@ -119,15 +144,17 @@ def profile(spark: SparkSession, files: DataFrame) -> DataFrame:
         b = spark.read.format("binaryFile").load(small)
         parts.append(b.select(local_path("path").alias("path"),
                               F.sha2("content", 256).alias("file_hash"),
-                              _header_from_content(F.col("content")).alias("header")))
+                              _header_from_content(F.col("content")).alias("header"),
+                              _multiline_needed(F.col("content")).alias("quoted")))
     if large:
         paths = spark.createDataFrame([(p,) for p in large], "path string").repartition(len(large))
         parts.append(paths.mapInPandas(_stream_profile,
-                                       "path string, file_hash string, header string"))
+                                       "path string, file_hash string, header string, quoted boolean"))
     if not parts:  # nothing to open: same columns, no rows
         return files.select(
             "*", F.lit(None).cast("string").alias("file_hash"),
-            F.lit(None).cast("string").alias("header"), F.lit(None).cast("string").alias("sep"),
+            F.lit(None).cast("string").alias("header"), F.lit(None).cast("boolean").alias("quoted"),
+            F.lit(None).cast("string").alias("sep"),
             F.lit(None).cast("array<string>").alias("columns"))
     prof = parts[0]
     for p in parts[1:]:
@@ -135,7 +162,7 @@ def profile(spark: SparkSession, files: DataFrame) -> DataFrame:
     sep = _separator(F.col("header"))
     cols = F.transform(F.split(F.col("header"), F.concat(F.lit("\\Q"), sep, F.lit("\\E"))),
                        lambda c: F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"))
-    prof = prof.select("path", "file_hash", "header", sep.alias("sep"),
+    prof = prof.select("path", "file_hash", "header", "quoted", sep.alias("sep"),
                        F.when(F.trim("header") == "", F.array().cast("array<string>"))
                         .otherwise(cols).alias("columns"))
     return files.join(prof, "path", "inner")

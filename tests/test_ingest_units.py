@@ -187,3 +187,18 @@ def test_streamed_profile_of_large_files_matches(spark, tmp_root, monkeypatch):
     big = S.profile(spark, found).first()
     assert big.file_hash == small.file_hash == hashlib.sha256(contents.encode()).hexdigest()
     assert (big.sep, list(big.columns)) == (small.sep, list(small.columns)) == (";", ["a", "b", "c"])
+
+
+def test_quoted_line_breaks_are_read_like_the_reference(spark, tmp_root, monkeypatch):
+    _write(f"{tmp_root}/in/a.csv", 'id,note\n1,"two\nlines"\n2,"say ""hi"""\n')
+    _write(f"{tmp_root}/in/b.csv", "id,note\n3,plain\n")
+    prof = S.profile(spark, S.discover(spark, f"{tmp_root}/in", "*.csv"))
+    assert {r.file_name: r.quoted for r in prof.collect()} == {"a.csv": True, "b.csv": False}
+    monkeypatch.setattr(S, "LARGE_FILE_BYTES", 0)  # streamed profile agrees
+    assert {r.file_name: r.quoted for r in S.profile(spark, S.discover(spark, f"{tmp_root}/in", "*.csv")).collect()} == \
+        {"a.csv": True, "b.csv": False}
+    monkeypatch.undo()
+    frames = scan_profiled(spark, prof)
+    assert len(frames) == 1
+    rows = sorted((r.id, r.note) for r in frames[0][1].collect())
+    assert rows == [("1", "two\nlines"), ("2", 'say "hi"'), ("3", "plain")]
