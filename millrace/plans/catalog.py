@@ -7,14 +7,30 @@ blueprint: models, operators, metrics, quality, ingest, ledger, sinks.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import marts, silver
+from millrace.functions import casts as C
+from millrace.functions.metrics import surrogate_key
+from millrace.operators import bronze as bronze_ops
+from millrace.operators import marts, quality, silver
+from millrace.plans import ledger as ledger_ops
 from millrace.plans import oracles as O
-from millrace.plans.fixtures import FIXTURE_AS_OF, bronze
+from millrace.plans.export import CSV_OPTIONS, export_tables
+from millrace.plans.fixtures import (
+    CUSTOMER_SOURCE_COLUMNS, ERP_SOURCE_COLUMNS, FIXTURE_AS_OF, WORKFLOW_SOURCE_COLUMNS,
+    bronze, bronze_sql, probes,
+)
+from millrace.plans.pipeline import load_files, run_all, run_pipeline
+from millrace.plans.scratch import scratch, write_csv
+from millrace.sources import files as src_files
+from millrace.sources.csv import scan_profiled
+from millrace.sources.parquet import scan_parquet
+from millrace.store import TableStore
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,11 +92,6 @@ def q_silver_customer(spark, sf_dir):
 
 # ------------------------------------------------------------------ silver operators
 
-from millrace.functions import casts as C  # noqa: E402
-from millrace.functions.metrics import surrogate_key  # noqa: E402
-from millrace.operators import quality  # noqa: E402
-from millrace.plans.fixtures import probes  # noqa: E402
-
 
 @register("silver_key_filter", O.with_bronze("erp", """
 SELECT ERP_RECORD_ID AS erp_record_id,
@@ -397,21 +408,6 @@ def q_contract_report(spark, sf_dir):
 
 # ------------------------------------------------------------------ ingest (real files)
 
-import datetime as _dt  # noqa: E402
-
-from millrace.operators import bronze as bronze_ops  # noqa: E402
-from millrace.plans import ledger as ledger_ops  # noqa: E402
-from millrace.plans.export import CSV_OPTIONS, export_tables  # noqa: E402
-from millrace.plans.fixtures import (  # noqa: E402
-    CUSTOMER_SOURCE_COLUMNS, ERP_SOURCE_COLUMNS, WORKFLOW_SOURCE_COLUMNS, bronze_sql,
-)
-from millrace.plans.pipeline import load_files, run_all, run_pipeline  # noqa: E402
-from millrace.plans.scratch import scratch, write_csv  # noqa: E402
-from millrace.sources import files as src_files  # noqa: E402
-from millrace.sources.csv import scan_profiled  # noqa: E402
-from millrace.sources.parquet import scan_parquet  # noqa: E402
-from millrace.store import TableStore  # noqa: E402
-
 
 def _nullif_all(cols, src="bz"):
     return ", ".join(f"NULLIF({c}, '') AS {c}" for c in cols)
@@ -429,8 +425,6 @@ def _ingest(spark, store, ledger, name, cfg, root, run=None):
     return load_files(spark, store, ledger, name, cfg, root, run, ledger_ops.now())
 
 
-import uuid  # noqa: E402
-
 _ERP_WORKFLOW_KEYS = ["WORKFLOW_EVENT_ID", "WORKFLOW_ID", "EVENT_SEQUENCE", "INVOICE_NUMBER",
                       "SUPPLIER_ID", "INVOICE_AMOUNT_USD", "WORKFLOW_STAGE", "PREVIOUS_STATUS",
                       "CURRENT_STATUS", "STAGE_DURATION_HOURS", "EXCEPTION_REASON"]
