@@ -202,3 +202,17 @@ def test_quoted_line_breaks_are_read_like_the_reference(spark, tmp_root, monkeyp
     assert len(frames) == 1
     rows = sorted((r.id, r.note) for r in frames[0][1].collect())
     assert rows == [("1", "two\nlines"), ("2", 'say "hi"'), ("3", "plain")]
+
+
+def test_excel_workbooks_with_different_layouts(spark, tmp_root):
+    folder = f"{tmp_root}/xl"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/a.xlsx", "wb") as fh:
+        fh.write(write_workbook(["customer_id", "customer_name"], [("1", "Ada")]))
+    with open(f"{folder}/b.xlsx", "wb") as fh:
+        fh.write(write_workbook(["city", "customer_id"], [("Oslo", "2")]))
+    staged = stage_excel(spark, scan_excel(spark, [folder]), f"{tmp_root}/staging")
+    got = sorted(sorted((k, v) for k, v in r.asDict().items() if k != "_source_file")
+                 for _, df in staged for r in df.collect())
+    assert got == [[("city", "Oslo"), ("customer_id", "2")],
+                   [("customer_id", "1"), ("customer_name", "Ada")]]

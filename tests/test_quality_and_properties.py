@@ -151,3 +151,27 @@ def test_cli_runs_reference_style_config(spark, tmp_root):
     assert main(["--pipelines", f"{tmp_root}/pipelines.yml", "--app", f"{tmp_root}/app.yml",
                  "--root", tmp_root, "--as-of", FIXTURE_AS_OF]) == 0
     assert spark.read.parquet(f"{tmp_root}/exports/powerbi/mart_erp.parquet").count() > 0
+
+
+def test_replace_load_validates_before_clearing(spark, tmp_root):
+    """A replace run whose new file lacks a required column fails and leaves
+    the previous Bronze snapshot untouched (the reference clears first)."""
+    import os
+    from millrace.plans import ledger as L
+    from millrace.plans.pipeline import load_files
+    from millrace.store import TableStore
+    os.makedirs(f"{tmp_root}/src")
+    with open(f"{tmp_root}/src/a.csv", "w") as fh:
+        fh.write("customer_id,customer_name\n1,Ada\n")
+    store = TableStore(spark, f"{tmp_root}/wh")
+    ledger = L.Ledger(spark, store)
+    ledger.initialize()
+    cfg = {"source_folder": "src", "bronze_table": "bronze.customer", "append": False,
+           "required_columns": ["customer_id"]}
+    load_files(spark, store, ledger, "c", cfg, tmp_root, "r1", L.now())
+    with open(f"{tmp_root}/src/b.csv", "w") as fh:
+        fh.write("customer_name\nBo\n")
+    with pytest.raises(ValueError, match="Missing required column"):
+        load_files(spark, store, ledger, "c", cfg, tmp_root, "r2", L.now())
+    assert [tuple(r) for r in store.read("bronze.customer").select("customer_id", "customer_name").collect()] \
+        == [("1", "Ada")]
