@@ -15,7 +15,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Supported source suffixes and candidate CSV separators (in
 # tie-break order: the first wins when counts are equal).
@@ -203,5 +202,3 @@ def dedupe_names(columns: Sequence[str]) -> list[str]:
         out.append(name)
     return out
 
-
-STRING_SCHEMA = T.StringType()
