@@ -44,7 +44,7 @@ def rank_desc_window(df: DataFrame, keys: Sequence[str], order_by: Sequence,
     the reference formulation for tests."""
     from pyspark.sql import Window
     w = Window.partitionBy(*keys).orderBy(*[_as_col(c).desc_nulls_last() for c in order_by])
-    return df.withColumn(name, F.row_number().over(w))
+    return df.withColumn(name, F.row_number().over(w).cast("bigint"))
 
 
 def rank_desc(df: DataFrame, keys: Sequence[str], order_by: Sequence,
@@ -83,5 +83,5 @@ def rank_desc(df: DataFrame, keys: Sequence[str], order_by: Sequence,
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     joined = ranged.join(offsets.drop("_n"), [*keys, "_pid"])
-    return joined.withColumn(name, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int")) \
+    return joined.withColumn(name, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("bigint")) \
         .drop("_pid", "_pos", "_first", "_offset")
