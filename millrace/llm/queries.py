@@ -4,18 +4,29 @@ parameters) and their DuckDB texts where SQL can state them."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.language import fit, identify, remainder
+    docs = table(spark, sf_dir, "documents")
+    held = remainder(F.col("doc_id"), 3) == 1
+    model = fit(docs.where(~held))
+    out = identify(docs, model).withColumn("held_out", held)
+    return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.repetition import quality
     return quality(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op4_language": op4_language,
     "op10_repetition": op10_repetition,
 }
 
