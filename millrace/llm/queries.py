@@ -11,6 +11,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.near_dups import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.language import fit, identify, remainder
     docs = table(spark, sf_dir, "documents")
@@ -26,6 +31,7 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_near_dups": op3_near_dups,
     "op4_language": op4_language,
     "op10_repetition": op10_repetition,
 }
