@@ -23,6 +23,8 @@ _MASK = (1 << 64) - 1
 _WEIGHT = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# also ASCII punctuation and controls
+NOT_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _HEAD = (np.arange(256) & 0xC0) != 0x80      # first byte of a code point
@@ -101,11 +103,11 @@ class Words:
         return np.diff(self.first)
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool, blank: np.ndarray = _BLANK) -> Words:
     data = _LOWER[data] if lower else data
     n = len(data)
     inside = np.zeros(n + 2, bool)
-    inside[1:-1] = ~_BLANK[data]
+    inside[1:-1] = ~blank[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     start = np.flatnonzero(inside[1:] & (~inside[:-1] | edge))
