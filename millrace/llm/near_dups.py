@@ -18,7 +18,9 @@ Chance that a pair at the threshold 0.75 shares no bucket: 2.3e-6, less above.
 
 Defined results: a null text, or one without words, has an empty set and is
 linked with nothing.  Rows that share an id are one document: every row is
-returned, links of any of them count.  Other columns are never read.
+returned, links of any of them count.  A row without an id belongs to the class
+of equal sets if that has an id and isn't kept; else its component is null and
+it is kept.  Other columns are never read.
 """
 
 from __future__ import annotations
@@ -243,4 +245,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      .select("n_shingles", "print_a", "print_b", F.coalesce("component", "id").alias("component")))
     out = sketches.select("id", "n_shingles", "print_a", "print_b").join(classes, ["n_shingles", "print_a", "print_b"], "left")
     component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    kept = F.coalesce(F.col("id") == component, component.isNull())
+    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: Config | None = None) -> DataFrame:
+    """One document of each class, all columns unchanged.
+
+    Only rows whose id may have to go (it isn't kept, or it is repeated) are
+    joined and shuffled; a bounded filter lets all others pass in place.  Rows
+    without an id stay."""
+    config = config or Config()
+    spark, ws = docs.sparkSession, Workspace(docs.sparkSession, "keep-one")
+    classes = near_duplicates(docs, id_col, text_col, config).where(F.col(id_col).isNotNull())
+    suspects = ws.put("suspects", classes.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+                      .where("n > 1 or not kept"))
+    bits = spark.sparkContext.broadcast(bloom.build(suspects.select(F.xxhash64("id").alias("key")), config.filter_segments, 4))
+    keyed = docs.select(*[docs[c] for c in docs.columns], F.xxhash64(docs[id_col].cast("bigint")).alias("_suspect_key"))
+
+    def split(want: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                key = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                mask = bloom.contains(bits.value, key, 4)
+                yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(mask == want))
+
+        return keyed.mapInArrow(run, docs.schema)
+
+    held = split(True)
+    named = held.where(held[id_col].isNotNull())
+    judged = named.join(suspects.select(F.col("id").alias("_suspect_id"), F.col("kept").alias("_suspect_kept")),
+                        named[id_col] == F.col("_suspect_id"), "left").where(F.coalesce("_suspect_kept", F.lit(True)))
+    # repeated rows of a kept id: one of them
+    once = judged.drop("_suspect_kept", "_suspect_id").dropDuplicates([id_col])
+    return split(False).unionByName(once).unionByName(held.where(held[id_col].isNull()))

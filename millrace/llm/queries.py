@@ -25,6 +25,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op5_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.decontaminate import leaks
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.packing import pack
     return pack(table(spark, sf_dir, "documents"))
@@ -38,6 +43,7 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_near_dups": op3_near_dups,
     "op4_language": op4_language,
+    "op5_leaks": op5_leaks,
     "op6_packing": op6_packing,
     "op10_repetition": op10_repetition,
 }
