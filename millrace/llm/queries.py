@@ -11,6 +11,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.kd_shards import shards
+    return shards(table(spark, sf_dir, "documents")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.near_dups import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -41,6 +46,7 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_kd_shards": op2_kd_shards,
     "op3_near_dups": op3_near_dups,
     "op4_language": op4_language,
     "op5_leaks": op5_leaks,
