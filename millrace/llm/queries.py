@@ -49,6 +49,11 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chats(turns.unionByName(extra)))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.token_fst import count_tokens
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.repetition import quality
     return quality(table(spark, sf_dir, "documents"))
@@ -61,6 +66,7 @@ QUERIES = {
     "op5_leaks": op5_leaks,
     "op6_packing": op6_packing,
     "op7_chat": op7_chat,
+    "op8_token_counts": op8_token_counts,
     "op10_repetition": op10_repetition,
 }
 
