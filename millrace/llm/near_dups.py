@@ -12,7 +12,8 @@ several buckets meets several centres.  Edges are confirmed on the full sets.
 Stars alone could miss a link between two classes that are no centre of a
 shared bucket.  So every bucket that still holds two components is compared in
 blocks by signatures (one byte per bin); pairs of different components that can
-reach the threshold are confirmed on the full sets too.  No bucket is capped.
+reach the threshold are confirmed on the full sets too, in the task that finds
+them.  No bucket is capped.
 
 Chance that a pair at the threshold 0.75 shares no bucket: 2.3e-6, less above.
 
@@ -178,41 +179,76 @@ def components(ws: Workspace, links: DataFrame, name: str) -> DataFrame:
         edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def _mixed_pairs(mixed: DataFrame, config: Config) -> DataFrame:
-    """Pairs of different components, in buckets that hold several, that the
-    signatures let through.  ``mixed``: bucket, centre, id, component, n,
-    signature.  Large buckets are dealt out as pairs of blocks."""
+def _dealt(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` of buckets with ``n`` members, dealt out as pairs of blocks of about ``size``."""
+    blocks = F.ceil(F.col("n") / size).cast("bigint")
+    rows = (rows.withColumn("block", F.pmod(F.xxhash64("id", F.lit(17)), blocks))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))))
+    rest = [c for c in rows.columns if c not in ("bucket", "block", "other", "n")]
+    rows = rows.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", *rest)
+    return rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+
+
+def _open_pairs(group: pa.Table, config: Config) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, js): pairs of different components that only this bucket decides on
+    (it is the first they share, neither is its centre) and whose signatures
+    can reach the threshold."""
     bins = config.bands * config.rows
     least = (config.percent / 100 - config.slack) * bins
+    sig = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(-1, bins)
+    shared = group["buckets"].combine_chunks().flatten().to_numpy().reshape(-1, config.bands)
+    label, ids, block = group["component"].to_numpy(), group["id"].to_numpy(), group["block"].to_numpy()
+    middle, bucket = ids == group["centre"].to_numpy(), group["bucket"][0].as_py()
+    low, high = group["low"][0].as_py(), group["high"][0].as_py()
+    right = np.flatnonzero((block == high) & ~middle)
+    for i in np.flatnonzero((block == low) & ~middle):
+        j = right[label[right] != label[i]]
+        if low == high:
+            j = j[j > i]
+        j = j[(sig[j] == sig[i]).sum(axis=1) >= least]
+        if len(j):
+            j = j[shared[i][(shared[j] == shared[i]).argmax(axis=1)] == bucket]
+        if len(j):
+            yield i, j
+
+
+def _mixed_links(ws: Workspace, mixed: DataFrame, sets: DataFrame, config: Config) -> DataFrame:
+    """Links between components in buckets that hold several of them.
+
+    ``mixed``: bucket, centre, id, component, n, buckets, signature.  Signatures
+    show which members have open pairs; only those bring their sets to a second
+    deal, where the pairs are confirmed in place, so only links leave a task."""
     kind = mixed.schema["id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, 3):
+            some = np.zeros(group.num_rows, bool)
+            for i, j in _open_pairs(group, config):
+                some[i] = True
+                some[j] = True
+            if some.any():
+                yield from group.select(["bucket", "id"]).filter(pa.array(some)).to_batches()
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, 3):
-            sig = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(-1, bins)
-            label, ids = group["component"].to_numpy(), group["id"].to_numpy()
-            centre, block = group["centre"].to_numpy(), group["block"].to_numpy()
-            left, right = np.flatnonzero(block == group["low"][0].as_py()), np.flatnonzero(block == group["high"][0].as_py())
-            one, two = [], []
-            for i in left:
-                if ids[i] == centre[i]:
-                    continue
-                j = right[(label[right] != label[i]) & (ids[right] != centre[right])]
-                if group["low"][0].as_py() == group["high"][0].as_py():
-                    j = j[j > i]
-                j = j[(sig[j] == sig[i]).sum(axis=1) >= least]
-                one.append(np.full(len(j), ids[i]))
-                two.append(ids[j])
-            if one and sum(map(len, one)):
-                x, y = np.concatenate(one), np.concatenate(two)
+            ids, full = group["id"].to_numpy(), {}
+            links = []
+            for i, js in _open_pairs(group, config):
+                for k in (i, *js):
+                    if k not in full:
+                        full[k] = np.array(group["shingles"][int(k)].as_py(), np.int64)
+                for j in js:
+                    both = len(np.intersect1d(full[i], full[j], assume_unique=True))
+                    if 100 * both >= config.percent * (len(full[i]) + len(full[j]) - both):
+                        links.append((int(ids[i]), int(ids[j])))
+            if links:
+                x, y = np.array(links).T
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
-    blocks = F.ceil(F.col("n") / config.block).cast("bigint")
-    dealt = (mixed.withColumn("block", F.pmod(F.xxhash64("id", F.lit(17)), blocks))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-             .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                     "block", "centre", "id", "component", "signature"))
-    return (dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-            .mapInArrow(run, f"a {kind}, b {kind}").distinct())
+    active = ws.put("active", _dealt(mixed, config.block).mapInArrow(find, f"bucket bigint, id {kind}").distinct())
+    size = active.groupBy("bucket").agg(F.count("*").alias("n"))
+    whole = active.join(size, "bucket").join(mixed.drop("n"), ["bucket", "id"]).join(sets, "id")
+    return _dealt(whole, config.block // 4).mapInArrow(confirm, f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: Config | None = None) -> DataFrame:
@@ -236,8 +272,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = ws.put("first", components(ws, links, "round1"))
     named = members.where("n > 2").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-    mixed = ws.put("mixed", named.join(mixed, "bucket").join(reps.select("id", "signature"), "id"))
-    more = ws.put("more", _confirmed(_mixed_pairs(mixed, config).join(pairs, ["a", "b"], "left_anti"), sets, config))
+    mixed = ws.put("mixed", named.join(mixed, "bucket").join(reps.select("id", "buckets", "signature"), "id"))
+    more = ws.put("more", _mixed_links(ws, mixed, sets, config))
     # the first round's components stand for its links
     last = components(ws, first.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), "round2")
     last = ws.put("components", last)
