@@ -54,6 +54,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.token_files import token_files
+    return token_files(table(spark, sf_dir, "documents"))
+
+
 def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.repetition import quality
     return quality(table(spark, sf_dir, "documents"))
@@ -67,6 +72,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_chat": op7_chat,
     "op8_token_counts": op8_token_counts,
+    "op9_token_files": op9_token_files,
     "op10_repetition": op10_repetition,
 }
 
