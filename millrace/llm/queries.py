@@ -11,6 +11,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.lm_bloom import score_documents
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.kd_shards import shards
     return shards(table(spark, sf_dir, "documents")).withColumn("grown_shard", F.lit(None).cast("int"))
@@ -65,6 +70,7 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_bloom": op1_lm_bloom,
     "op2_kd_shards": op2_kd_shards,
     "op3_near_dups": op3_near_dups,
     "op4_language": op4_language,
