@@ -47,7 +47,7 @@ class Config:
     orders: tuple = (2, 3, 4)
     buckets_log2: int = 16
     dim: int = 16
-    epochs: int = 3
+    steps: int = 350             # gradient steps, however few rows there are
     batch: int = 64
     rate: float = 4.0
     reject_rate: float = 0.002
@@ -127,8 +127,8 @@ def train(rows: list[tuple[str, str]], config: Config) -> Model | None:
     use = np.array([i for i, f in enumerate(feats) if len(f)], np.int64)
     emb = rng.uniform(-1 / config.dim, 1 / config.dim, (1 << config.buckets_log2, config.dim)).astype(np.float32)
     w, b = np.zeros((len(languages), config.dim), np.float32), np.zeros(len(languages), np.float32)
-    steps, step = config.epochs * max(1, -(-len(use) // config.batch)), 0
-    for _ in range(config.epochs):
+    step = 0
+    while step < config.steps and len(use):
         order = rng.permutation(use)
         for lo in range(0, len(order), config.batch):
             pick = order[lo:lo + config.batch]
@@ -138,7 +138,7 @@ def train(rows: list[tuple[str, str]], config: Config) -> Model | None:
             h = _sums(emb, f, first) / sizes[:, None]
             g = _softmax(h @ w.T + b)
             g[np.arange(len(pick)), y[pick]] -= 1
-            rate = config.rate * (1 - step / steps) / len(pick)
+            rate = config.rate * max(0.02, 1 - step / config.steps) / len(pick)
             back = (g @ w) / sizes[:, None] * rate * config.dim
             w -= rate * (g.T @ h)
             b -= 0.1 * rate * g.sum(axis=0)
@@ -167,7 +167,7 @@ def logits(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _calibrate(model: Model, held: list[tuple[str, str]], label: dict) -> None:
     data, offsets = tx.column_bytes(pa.array([t for _, t in held], pa.large_string()))
     z, y = logits(model, data, offsets), np.array([label[lang] for lang, _ in held])
-    grid = np.exp(np.linspace(np.log(0.05), np.log(20), 60))
+    grid = np.exp(np.linspace(np.log(0.3), np.log(20), 60))
     loss = [-np.log(np.maximum(_softmax(z / t)[np.arange(len(y)), y], 1e-9)).mean() for t in grid]
     model.temperature = float(grid[int(np.argmin(loss))])
     top = _softmax(z / model.temperature).max(axis=1)

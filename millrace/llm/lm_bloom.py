@@ -249,7 +249,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
                 spot = np.minimum(np.searchsorted(m.exact_key, key), max(0, len(m.exact_key) - 1))
                 exact = m.exact_key[spot] == key if len(m.exact_key) else np.zeros(len(key), bool)
                 count = m.exact_count[spot[exact]] if exact.any() else np.empty(0, np.int64)
-                base = np.bincount(owner[exact], weights=np.log10((count + c.smooth) / floor), minlength=n)
+                base = np.bincount(owner[exact], weights=np.log10((count + c.smooth) / floor), minlength=n).astype(np.float64)
                 known = np.bincount(owner[exact], minlength=n).astype(np.int64)
                 # the other words, summed per row
                 pair = np.stack([owner[~exact].astype(np.uint64), key[~exact]])
@@ -268,7 +268,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(docs_part[0]), pa.array(docs_part[1]), pa.array(docs_part[2]), batch.column(0).slice(a, n),
                      pa.array(np.bincount(owner, minlength=n).astype(np.int64)), pa.array(known), pa.array(base),
-                     pa.array(np.bincount(owner, weights=logs, minlength=n))], names=NAMES)
+                     pa.array(np.bincount(owner, weights=logs, minlength=n).astype(np.float64))], names=NAMES)
                 if k:
                     yield pa.RecordBatch.from_arrays(
                         [*map(pa.array, rare_part), pa.nulls(k, batch.column(0).type), none, none, pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())], names=NAMES)
