@@ -17,11 +17,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The accepted text shapes.
-# A date is year, month, day with one separator repeated ('-', '/' or ' ').
+# A date is year, month, day with one separator repeated ('-', '/', '\\' or ' ').
 # A time is H:MM[:SS[.fraction]] after a space or 'T'; an optional zone
 # (Z, UTC, +hh, +hh:mm, +hhmm) is read and ignored (timestamps carry no zone).
 # A bare date may carry trailing blanks only when cast to a date.
-_DATE = r"^\s*(\d{4})([-/ ])(\d{1,2})\2(\d{1,2})"
+_DATE = r"^\s*(\d{4})([-/ \\])(\d{1,2})\2(\d{1,2})"
 _ZONE = r"\s*(?:[Zz]|[Uu][Tt][Cc]|[+-]\d{2}(?::?\d{2})?)?\s*$"
 WITH_TIME = _DATE + r"[ T]\s*(\d{1,2}):(\d{2})(:\d{2})?(\.\d+)?" + _ZONE
 MIDNIGHT_24 = _DATE + r"[ T]\s*24:00(?::00(?:\.0+)?)?" + _ZONE
@@ -30,7 +30,8 @@ BARE_DATE_BLANKS = _DATE + r"\s*$"
 CANONICAL_DATE = r"^\d{4}-\d{2}-\d{2}$"
 CANONICAL_TS = r"^\d{4}-\d{2}-\d{2}[ T]([01]\d|2[0-3]):\d{2}:\d{2}(\.\d{1,6})?$"
 PLAIN_INTEGER = r"^\s*[+-]?\d{1,18}\s*$"
-HEX_INTEGER = r"^\s*0[xX][0-9a-fA-F]{1,15}\s*$"
+HEX_INTEGER = r"^\s*0[xX]0*[0-9a-fA-F]{1,16}\s*$"
+PLAIN_DECIMAL = r"^\s*([+-]?)(\d*)\.(\d)\d*\s*$"
 DIGIT_UNDERSCORE = r"(?<=[0-9])_(?=[0-9])"
 
 
@@ -48,19 +49,31 @@ def _strip_digit_underscores(x: Column) -> Column:
                   F.regexp_replace(x, DIGIT_UNDERSCORE, "")).otherwise(x)
 
 
+def _ascii(x: Column) -> Column:
+    """The text if it is plain ASCII (other scripts' digits are no numbers)."""
+    return F.when(F.octet_length(x) == F.char_length(x), x)
+
+
 def to_decimal(c, precision: int = 18, scale: int = 2) -> Column:
     """Text to decimal(p,s); half-away rounding, overflow and junk to NULL."""
-    return _strip_digit_underscores(_col(c)).try_cast(f"decimal({precision},{scale})")
+    return _strip_digit_underscores(_ascii(_col(c))).try_cast(f"decimal({precision},{scale})")
 
 
 def to_bigint(c) -> Column:
     """Text to bigint the forgiving way: ``'12.5'`` -> 13, ``'1e3'`` -> 1000,
-    ``'1_000'`` -> 1000, ``'0x10'`` -> 16; anything else unparsable -> NULL."""
-    x = _col(c)
-    via_decimal = F.round(_strip_digit_underscores(x).try_cast("decimal(38,10)")).try_cast("bigint")
+    ``'1_000'`` -> 1000, ``'0x10'`` -> 16; anything else unparsable -> NULL.
+    Rounded once: a plain decimal by its first digit behind the point."""
+    x = _ascii(_col(c))
+    plain = _strip_digit_underscores(x)
+    whole = F.coalesce(F.nullif(F.regexp_extract(plain, PLAIN_DECIMAL, 2), F.lit("")), F.lit("0")).try_cast("decimal(38,0)")
+    up = F.when(F.regexp_extract(plain, PLAIN_DECIMAL, 3) >= "5", F.lit(1)).otherwise(F.lit(0))
+    size = whole + up
+    rounded = F.when(F.regexp_extract(plain, PLAIN_DECIMAL, 1) == "-", -size).otherwise(size).try_cast("bigint")
+    via_decimal = F.round(plain.try_cast("decimal(38,18)")).try_cast("bigint")
     hex_value = F.conv(F.regexp_extract(x, r"0[xX]([0-9a-fA-F]+)", 1), 16, 10).try_cast("bigint")
     return (F.when(x.rlike(PLAIN_INTEGER), x.try_cast("bigint"))
             .when(x.rlike(HEX_INTEGER), hex_value)
+            .when(plain.rlike(PLAIN_DECIMAL), rounded)
             .otherwise(via_decimal))
 
 

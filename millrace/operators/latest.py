@@ -82,6 +82,11 @@ def rank_desc(df: DataFrame, keys: Sequence[str], order_by: Sequence,
                                                  F.min("_pos").alias("_first"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    joined = ranged.join(offsets.drop("_n"), [*keys, "_pid"])
+    # NULL is a key like any other (as in the window)
+    named = offsets.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_pid").alias("_part"), "_first", "_offset")
+    same = F.col("_pid") == F.col("_part")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    joined = ranged.join(named, same).drop("_part", *[f"_k{i}" for i in range(len(keys))])
     return joined.withColumn(name, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("bigint")) \
         .drop("_pid", "_pos", "_first", "_offset")

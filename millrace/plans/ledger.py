@@ -65,6 +65,7 @@ class Ledger:
     def __init__(self, spark: SparkSession, store: TableStore):
         self.spark = spark
         self.store = store
+        self._audits: list[tuple] = []       # of this run, written together at its end
 
     # LED-1
     def initialize(self) -> None:
@@ -75,13 +76,15 @@ class Ledger:
 
     def _append(self, table: str, rows: Sequence[tuple]) -> None:
         schema = TABLES[table][0]
-        self.store.append(table, self.spark.createDataFrame(list(rows), schema))
+        self.store.append(table, self.spark.createDataFrame(list(rows), schema).coalesce(1))
 
     def append_frame(self, table: str, df: DataFrame) -> None:
         schema = TABLES[table][0]
         self.store.append(table, df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
 
     def raw(self, table: str) -> DataFrame:
+        if table == "metadata.audit_log":
+            self.flush()
         return self.store.read(table)
 
     def latest(self, table: str) -> DataFrame:
@@ -98,14 +101,20 @@ class Ledger:
     def run_finished(self, run_id: str, pipeline: str, started: _dt.datetime, status: str,
                      found: int, loaded: int, rows: int, error: str | None = None) -> None:
         end = now()
+        self.flush()
         self._append("metadata.elt_run_log",
                      [(run_id, pipeline, started, end, status, found, loaded, rows, error, end)])
 
     # LED-7
     def audit(self, run_id: str, pipeline: str, stage: str, status: str, rows: int = 0,
               message: str | None = None) -> None:
-        self._append("metadata.audit_log",
-                     [(str(uuid.uuid4()), run_id, pipeline, stage, now(), status, rows, message)])
+        self._audits.append((str(uuid.uuid4()), run_id, pipeline, stage, now(), status, rows, message))
+
+    def flush(self) -> None:
+        """Write the audit records held so far (at a run's end, or before a read)."""
+        held, self._audits = self._audits, []
+        if held:
+            self._append("metadata.audit_log", held)
 
     # LED-4
     def record_files(self, loaded: DataFrame) -> None:

@@ -1,21 +1,27 @@
 """File discovery and profiling (SRC-1, 2, 4, 8, 9, 10).
 
-``discover`` lists a folder with the ``binaryFile`` source and keeps only the
-metadata columns, so Spark never opens the files (the content column is
-pruned from the scan).  ``profile`` opens each surviving file once, in a
-distributed job: SHA-256 of the whole content, the header line, the detected
-separator and the column names.  Files too large for one binary value are
-hashed by streaming 1 MiB blocks inside ``mapInPandas``.
+``discover`` lists files through the session's Hadoop file systems, so names
+that begin with ``_`` or ``.``, patterns with folders and names with glob
+characters all work.  ``profile`` opens each surviving file once, in a
+distributed job that streams it in blocks whatever its size: SHA-256 of the
+whole content, the header record (as long as it is), the separator, the column
+names and whether a quoted field runs over a line end.
 """
 
 from __future__ import annotations
 
+import csv
+import datetime as dt
+import fnmatch
 import hashlib
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.store import HadoopFS, arrow_file_system, glob_escape
+
 # Supported source suffixes and candidate CSV separators (in
 # tie-break order: the first wins when counts are equal).
 CSV_SUFFIXES = (".csv",)
@@ -23,13 +29,9 @@ EXCEL_SUFFIXES = (".xlsx", ".xlsm")
 PARQUET_SUFFIXES = (".parquet",)
 SUPPORTED_SUFFIXES = CSV_SUFFIXES + EXCEL_SUFFIXES + PARQUET_SUFFIXES
 SEPARATORS = [",", ";", "\t", "|"]
-HEADER_BYTES = 1 << 20          # the header must fit in the first MiB
-LARGE_FILE_BYTES = 256 << 20    # above this, hash by streaming blocks (bounded task memory)
-HASH_BLOCK = 1 << 20
-# A line with an odd number of quote characters opens a quoted field that
-# continues on the next line: only files with such a line need a whole-file
-# CSV parse.  (Possessive quantifiers: linear-time scan.)
-ODD_QUOTE_LINE = r'(?m)^[^"\n]*+(?:"[^"\n]*+"[^"\n]*+)*+"[^"\n]*+$'
+BLOCK = 1 << 20                 # bytes read at once; no effect on results
+LISTING = ("path string, file_name string, suffix string, file_size_bytes bigint, "
+           "file_modified_at timestamp_ntz")
 
 
 def local_path(c) -> Column:
@@ -38,21 +40,33 @@ def local_path(c) -> Column:
     return F.regexp_replace(col, r"^file:(//)?(?=/)", "")
 
 
+def source_path() -> Column:
+    """The path of the file a row was read from, as :func:`discover` lists it
+    (Spark's metadata column is URL-encoded; a plus sign stands for itself)."""
+    return local_path(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+
+
 def discover(spark: SparkSession, folders: str | Sequence[str], pattern: str = "*",
              recursive: bool = False) -> DataFrame:
-    """Files below ``folders`` matching the glob ``pattern``: path, name,
-    suffix, size and modification time (no content is read)."""
-    folders = [folders] if isinstance(folders, str) else list(folders)
-    reader = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-              .option("recursiveFileLookup", str(recursive).lower()))
-    df = reader.load(folders).select("path", "length", "modificationTime")
-    return df.select(
-        local_path("path").alias("path"),
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-        F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1)).alias("suffix"),
-        F.col("length").alias("file_size_bytes"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("file_modified_at"),
-    )
+    """Files below ``folders`` matching the glob ``pattern`` (which may name
+    sub-folders; ``recursive``: names at any depth): path, name, suffix, size
+    and modification time.  No content is read; like Spark's own file index,
+    the driver holds one small row per file."""
+    fs, found = HadoopFS(spark), []
+    for folder in [folders] if isinstance(folders, str) else folders:
+        folder = folder.rstrip("/")
+        if recursive:
+            found += [x for x in fs.walk(folder) if fnmatch.fnmatchcase(x[0].rsplit("/", 1)[1], pattern)]
+        else:
+            found += fs.glob(f"{glob_escape(folder)}/{pattern}")
+    rows = []
+    for path, size, stamp in sorted(set(found)):
+        path = re.sub(r"^file:(//)?(?=/)", "", path)
+        name = path.rsplit("/", 1)[1]
+        dot = name.rfind(".")
+        at = dt.datetime.fromtimestamp(stamp // 1000, dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(milliseconds=stamp % 1000)
+        rows.append((path, name, name[dot:].lower() if dot >= 0 else "", size, at))
+    return spark.createDataFrame(rows, LISTING)
 
 
 def unsupported(files: DataFrame) -> DataFrame:
@@ -61,110 +75,90 @@ def unsupported(files: DataFrame) -> DataFrame:
 
 
 def raise_if_unsupported(files: DataFrame) -> None:
-    bad = [r.path for r in unsupported(files).select("path").limit(20).collect()]
+    bad = [r.path for r in unsupported(files).select("path").orderBy("path").collect()]
     if bad:
         raise ValueError(f"Unsupported file: {', '.join(bad)}")
 
 
-def _separator(header: Column) -> Column:
-    counts = [F.struct((F.length(header) - F.length(F.replace(header, F.lit(s), F.lit(""))))
-                       .alias("n"), F.lit(-i).alias("rank"), F.lit(s).alias("sep"))
-              for i, s in enumerate(SEPARATORS)]
-    best = F.greatest(*counts)
-    return F.when(best["n"] > 0, best["sep"]).otherwise(F.lit(","))
+def separator(header: str) -> str:
+    """The candidate that occurs most outside quotes (ties: listed order)."""
+    bare = "".join(header.split('"')[::2])
+    best = max(SEPARATORS, key=lambda x: (bare.count(x), -SEPARATORS.index(x)))
+    return best if best in bare else ","
+
 
+def header_columns(header: str, sep: str) -> list[str]:
+    """Column names of a header record, by the rules of CSV."""
+    return [c.strip() for c in next(csv.reader([header], delimiter=sep), [])] if header.strip() else []
 
-def _header_from_content(content: Column) -> Column:
-    head = F.substring(content, 1, HEADER_BYTES).cast("string")  # no UTF-8 validation
-    line = F.split(head, "\n", 2)[0]
-    return F.regexp_replace(F.regexp_replace(line, "\r$", ""), "^﻿", "")
 
+class _Scan:
+    """One pass over a CSV file's blocks: the header record, and whether some
+    line (ended by a line feed or a carriage return) has an odd number of
+    quotes, i.e. a quoted field goes on behind it.  Holds the header and two
+    flags, never a whole line of the data."""
 
-def _multiline_needed(content: Column) -> Column:
-    text = content.cast("string")
-    return (F.instr(text, '"') > 0) & text.rlike(ODD_QUOTE_LINE)
+    def __init__(self):
+        self.head, self.head_done, self.in_quotes, self.odd, self.quoted = [], False, False, False, False
 
+    def feed(self, block: bytes) -> None:
+        if not self.head_done:
+            for i, part in enumerate(re.split(rb"([\n\r])", block)):
+                if i % 2 and not self.in_quotes:
+                    self.head_done = True
+                    break
+                self.in_quotes ^= part.count(b'"') % 2 == 1
+                self.head.append(part)
+        if not self.quoted and (self.odd or b'"' in block):
+            lines = re.split(rb"[\n\r]", block)
+            for line in lines[:-1]:
+                self.odd ^= line.count(b'"') % 2 == 1
+                self.quoted = self.quoted or self.odd
+                self.odd = False
+            self.odd ^= lines[-1].count(b'"') % 2 == 1
 
-def _odd_quote_lines(block: bytes, carry: bytes) -> tuple[bool, bytes]:
-    """Whether a complete line of ``carry + block`` has an odd number of
-    quotes; returns the unfinished last line as the next carry."""
-    lines = (carry + block).split(b"\n")
-    return any(line.count(b'"') % 2 for line in lines[:-1]), lines[-1]
+    def header(self) -> str:
+        return b"".join(self.head).decode("utf-8", "replace").lstrip("\ufeff")
 
 
 def _stream_profile(batches: Iterable) -> Iterable:
-    """mapInPandas body for very large files: hash in blocks, read line 1."""
+    """mapInPandas body: every file is read once, in blocks."""
     import pandas as pd
-    from pyarrow import fs as pafs
     for pdf in batches:
         out = []
-        for path in pdf["path"]:
-            filesystem, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-            digest = hashlib.sha256()
-            first = b""
-            quoted = False
-            carry = b""
-            with filesystem.open_input_stream(inner) as stream:
-                while True:
-                    block = stream.read(HASH_BLOCK)
-                    if not block:
-                        quoted = quoted or carry.count(b'"') % 2 == 1
-                        break
-                    if not quoted and b'"' in block or carry:
-                        odd, carry = _odd_quote_lines(block, carry)
-                        quoted = quoted or odd
-                    if len(first) < HEADER_BYTES:
-                        first += block[:HEADER_BYTES - len(first)]
+        for path, suffix in zip(pdf["path"], pdf["suffix"]):
+            system, inner = arrow_file_system(path)
+            digest, scan = hashlib.sha256(), _Scan()
+            with system.open_input_stream(inner, compression=None) as stream:
+                while block := stream.read(BLOCK):
                     digest.update(block)
-            line = first.decode("utf-8", "replace").split("\n", 1)[0]
-            out.append((path, digest.hexdigest(), line.rstrip("\r").lstrip("﻿"), quoted))
-        yield pd.DataFrame(out, columns=["path", "file_hash", "header", "quoted"])
+                    if suffix in CSV_SUFFIXES:
+                        scan.feed(block)
+            header, sep = scan.header(), None
+            columns: list[str] = []
+            if suffix in CSV_SUFFIXES:
+                sep = separator(header)
+                columns = header_columns(header, sep)
+            elif suffix in PARQUET_SUFFIXES:
+                import pyarrow.parquet as pq
+                with system.open_input_file(inner) as f:
+                    columns = pq.read_schema(f).names
+            out.append((path, digest.hexdigest(), header, scan.quoted or scan.odd, sep, columns))
+        yield pd.DataFrame(out, columns=["path", "file_hash", "header", "quoted", "sep", "columns"])
 
 
 def profile(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Per file: SHA-256 hex, header line, separator, header columns and
-    ``quoted``: whether some line has an odd number of quote characters, i.e.
-    a quoted field continues on the next line (only such files need a
-    whole-file CSV parse; the rest stay splittable).
+    """Per file: SHA-256 hex, header record, separator, column names (CSV and
+    Parquet) and ``quoted``: a quoted field may run over a line end (only such
+    files need a whole-file CSV parse; the rest stay splittable).
 
     ``files`` is a :func:`discover` frame (already filtered, e.g. by the
-    incremental anti-join); only those paths are opened.  The per-file
-    listing (one small row per file) is fixed here, so the result no longer
-    depends on the ledger the filter read: appending to that ledger later
-    cannot change which files this profile describes.
+    incremental anti-join); only those paths are opened.  Lazy: a caller that
+    uses it twice, or changes the ledger behind its filter, writes it first.
     """
-    listing = files.select("path", "file_name", "suffix", "file_size_bytes", "file_modified_at")
-    meta = listing.collect()
-    files = spark.createDataFrame(meta, listing.schema)
-    small = [r.path for r in meta if r.file_size_bytes <= LARGE_FILE_BYTES]
-    large = [r.path for r in meta if r.file_size_bytes > LARGE_FILE_BYTES]
-    parts = []
-    if small:
-        b = spark.read.format("binaryFile").load(small)
-        parts.append(b.select(local_path("path").alias("path"),
-                              F.sha2("content", 256).alias("file_hash"),
-                              _header_from_content(F.col("content")).alias("header"),
-                              _multiline_needed(F.col("content")).alias("quoted")))
-    if large:
-        paths = spark.createDataFrame([(p,) for p in large], "path string").repartition(len(large))
-        parts.append(paths.mapInPandas(_stream_profile,
-                                       "path string, file_hash string, header string, quoted boolean"))
-    if not parts:  # nothing to open: same columns, no rows
-        return files.select(
-            "*", F.lit(None).cast("string").alias("file_hash"),
-            F.lit(None).cast("string").alias("header"), F.lit(None).cast("boolean").alias("quoted"),
-            F.lit(None).cast("string").alias("sep"),
-            F.lit(None).cast("array<string>").alias("columns"))
-    prof = parts[0]
-    for p in parts[1:]:
-        prof = prof.unionByName(p)
-    sep = _separator(F.col("header"))
-    cols = F.transform(F.split(F.col("header"), F.concat(F.lit("\\Q"), sep, F.lit("\\E"))),
-                       lambda c: F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"))
-    prof = prof.select("path", "file_hash", "header", "quoted", sep.alias("sep"),
-                       F.when(F.trim("header") == "", F.array().cast("array<string>"))
-                        .otherwise(cols).alias("columns"))
-    return files.join(prof, "path", "inner")
+    prof = files.select("path", "suffix").repartition("path").mapInPandas(
+        _stream_profile, "path string, file_hash string, header string, quoted boolean, sep string, columns array<string>")
+    return files.select("path", "file_name", "suffix", "file_size_bytes", "file_modified_at").join(prof, "path")
 
 
 def missing_required(profiled: DataFrame, required: Sequence[str] | None) -> DataFrame:

@@ -5,10 +5,10 @@
 * Silver / Mart models are full refreshes (BLD-2): written to a sibling
   temporary folder and swapped in by rename, so readers never see half a table
   and a model may read the table it replaces.
-* Bronze tables are append-only sets of batches: each load writes the
-  partition folder ``_batch=<run_id>`` in overwrite mode, so a retried run
-  replaces its own batch instead of duplicating rows (closes the gap between
-  the Bronze insert and the ledger insert).
+* Bronze tables are append-only sets of batches: each load writes a temporary
+  sibling and renames it to the partition folder ``_batch=<batch id>``, so a
+  failed write leaves no table.  A batch counts once the ledger holds its run;
+  the next load of the pipeline removes batches it wrote but never recorded.
 * The ledger tables (``metadata.*``) are append-only; "latest row per key"
   views are aggregates on read (:mod:`millrace.plans.ledger`).
 
@@ -66,15 +66,43 @@ class HadoopFS:
             return []
         return sorted(s.getPath().getName() for s in self._fs(p).listStatus(self._path(p)))
 
-    def write_bytes(self, p: str, data: bytes) -> None:
-        out = self._fs(p).create(self._path(p), True)
-        try:
-            out.write(bytearray(data))
-        finally:
-            out.close()
+    def glob(self, pattern: str) -> list[tuple[str, int, int]]:
+        """(path, bytes, modification time in ms) of the files a glob matches,
+        names that begin with ``_`` or ``.`` included."""
+        found = self._fs(pattern).globStatus(self._path(pattern)) or []
+        return [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found if s.isFile()]
+
+    def walk(self, folder: str) -> list[tuple[str, int, int]]:
+        """The same for every file below a folder."""
+        out, it = [], self._fs(folder).listFiles(self._path(folder), True)
+        while it.hasNext():
+            s = it.next()
+            out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+        return out
+
+    def copy(self, src: str, dst: str) -> None:
+        util = self._jvm.org.apache.hadoop.fs.FileUtil
+        util.copy(self._fs(src), self._path(src), self._fs(dst), self._path(dst), False, self._conf)
+
+
+_GLOB_MARK = re.compile(r"([{}\[\]*?\\])")
+
+
+def glob_escape(path: str) -> str:
+    """A path that stands for itself where Spark and Hadoop expect a glob."""
+    return _GLOB_MARK.sub(r"\\\1", path)
+
 
-    def qualify(self, p: str) -> str:
-        return str(self._fs(p).makeQualified(self._path(p)).toString())
+def arrow_file_system(uri: str):
+    """(pyarrow file system, path) for a URI as Spark writes it, for code that
+    streams a file inside a task."""
+    from pyarrow import fs
+    scheme, sep, rest = uri.partition("://")
+    if not sep:
+        return fs.LocalFileSystem(), "/" + re.sub(r"^file:", "", uri).lstrip("/")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(("s3" if scheme in ("s3a", "s3n") else scheme) + "://" + rest)
 
 
 class TableStore:
@@ -91,18 +119,43 @@ class TableStore:
         return f"{self.root}/{schema}/{name}"
 
     def exists(self, table: str) -> bool:
+        """Whether the table holds written data (a folder that a failed write
+        left behind is none)."""
         p = self.path(table)
-        return self.fs.exists(p) and any(not n.startswith((".", "_")) or "=" in n
+        self._repair(p)
+        return self.fs.exists(p) and any(not n.startswith((".", "_")) or n.startswith(f"{BATCH_COLUMN}=")
                                          for n in self.fs.list_names(p))
 
-    def tables(self) -> list[str]:
-        out = []
-        for schema in self.fs.list_names(self.root):
-            for name in self.fs.list_names(f"{self.root}/{schema}"):
-                t = f"{schema}.{name}"
-                if SAFE_TABLE.fullmatch(t) and self.exists(t):
-                    out.append(t)
-        return sorted(out)
+    def _repair(self, final: str) -> None:
+        """Finish a swap that a crash cut short: between its two renames only
+        the table's old folder is there."""
+        if self.fs.exists(final):
+            return
+        parent, name = final.rsplit("/", 1)
+        old = [n for n in self.fs.list_names(parent) if n.startswith(f"{name}.__old_")]
+        if old:
+            self._move(f"{parent}/{old[-1]}", final)
+
+    def _move(self, src: str, dst: str) -> None:
+        if not self.fs.rename(src, dst):
+            raise RuntimeError(f"could not rename {src} to {dst}")
+
+    def _swap(self, tmp: str, final: str) -> str:
+        """Publish ``tmp`` as ``final``; what was there is removed afterwards."""
+        self._repair(final)
+        old = f"{final}.__old_{uuid.uuid4().hex}"
+        had_old = self.fs.exists(final)
+        if had_old:
+            self._move(final, old)
+        try:
+            self._move(tmp, final)
+        except RuntimeError:
+            if had_old:
+                self._move(old, final)
+            raise
+        if had_old:
+            self.fs.delete(old)
+        return final
 
     # ------------------------------------------------------------ read
     def read(self, table: str) -> DataFrame:
@@ -126,26 +179,19 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(tmp)
-        old = f"{final}.__old_{uuid.uuid4().hex}"
-        had_old = self.fs.exists(final)
-        if had_old and not self.fs.rename(final, old):
-            raise RuntimeError(f"could not move {final} aside")
-        if not self.fs.rename(tmp, final):
-            if had_old:
-                self.fs.rename(old, final)
-            raise RuntimeError(f"could not publish {tmp} as {final}")
-        if had_old:
-            self.fs.delete(old)
-        return final
+        return self._swap(tmp, final)
 
     def write_batch(self, table: str, df: DataFrame, batch_id: str) -> str:
-        """Write (or re-write) one Bronze batch partition.  The batch is
-        written straight into its partition folder: no partitioned-write
-        sort, and a retry of the same run replaces only that folder."""
+        """Write (or re-write) one Bronze batch: a hidden sibling first, then a
+        rename to its partition folder, so readers never see half a batch."""
         if "/" in batch_id or "=" in batch_id:
             raise ValueError(f"bad batch id: {batch_id}")
         target = f"{self.path(table)}/{BATCH_COLUMN}={batch_id}"
-        df.write.mode("overwrite").parquet(target)
+        tmp = f"{self.path(table)}/.__tmp_{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(tmp)
+        if self.fs.exists(target):
+            self.fs.delete(target)
+        self._move(tmp, target)
         return target
 
     def replace_batches(self, table: str, df: DataFrame, batch_id: str) -> str:
@@ -154,24 +200,21 @@ class TableStore:
         final = self.path(table)
         tmp = f"{final}.__tmp_{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(f"{tmp}/{BATCH_COLUMN}={batch_id}")
-        old = f"{final}.__old_{uuid.uuid4().hex}"
-        had_old = self.fs.exists(final)
-        if had_old and not self.fs.rename(final, old):
-            raise RuntimeError(f"could not move {final} aside")
-        if not self.fs.rename(tmp, final):
-            if had_old:
-                self.fs.rename(old, final)
-            raise RuntimeError(f"could not publish {tmp} as {final}")
-        if had_old:
-            self.fs.delete(old)
-        return final
+        return self._swap(tmp, final)
+
+    def batches(self, table: str) -> list[str]:
+        """Ids of the table's batches."""
+        mark = f"{BATCH_COLUMN}="
+        return [n[len(mark):] for n in self.fs.list_names(self.path(table)) if n.startswith(mark)]
+
+    def drop_batch(self, table: str, batch_id: str) -> None:
+        self.fs.delete(f"{self.path(table)}/{BATCH_COLUMN}={batch_id}")
 
     def append(self, table: str, df: DataFrame) -> None:
         """Append-only write (ledger records)."""
         df.write.mode("append").parquet(self.path(table))
 
     def clear(self, table: str) -> None:
-        """Empty a table (no-op when absent)."""
-        p = self.path(table)
-        if self.fs.exists(p):
-            self.fs.delete(p)
+        """Empty a table; its columns stay (no-op when absent)."""
+        if self.exists(table):
+            self.replace_batches(table, self.read(table).limit(0), "empty")

@@ -7,13 +7,16 @@ from millrace.functions import to_bigint, to_date, to_decimal, to_int, to_timest
 
 NUMBERS = ["12", "12.5", "-2.5", "1e3", "1_000", " 12 ", "", "1,000", "0x10", "abc",
            "9223372036854775807", "9223372036854775808", "1.5e1", "+7", "007", "12.49999",
-           ".5", "1e-2", "  -3.5 ", "1__0", "_1", "1_", "NaN", "inf", "2147483648"]
+           ".5", "1e-2", "  -3.5 ", "1__0", "_1", "1_", "NaN", "inf", "2147483648",
+           "12.49999999995", "-12.49999999995", "-12.5", "0.4999999999999999999999", "+.5", "-.5", "5.", "0x7fffffffffffffff",
+           "0xffffffffffffffff", "\u0661", "\u0661.5", "9223372036854775807.5", "9223372036854775806.5"]
 DATES = ["2024-01-05", "2024/01/05", "2024 01 05", "2024", "2024-01", "2024-01-05 BC",
          "2024-1-5", "2024-01-05 10:00:00", "2024-02-30", "01/05/2024", "20240105",
          "2024-01-05T10:00", "  2024-01-05", "2024-01-05  ", "2024-13-01", "2024-01-05 x",
          "2024-01-05 10", "2024-01-05 25:00:00", "2024-01/05", "2024-01-05 10:00:00Z",
          "2024-01-05 10:00:00 UTC", "2024-01-05 10:00:00.1234567", "2024-01-05 24:00:00",
-         "2024-01-05 24:00:01", "2024-01-05+02", "2024-01-05Z", "2024-12-31 24:00", "12.5"]
+         "2024-01-05 24:00:01", "2024-01-05+02", "2024-01-05Z", "2024-12-31 24:00", "12.5",
+         "2024\\01\\05", "2024\\01-05", "2024\\1\\5 10:00"]
 
 
 @pytest.fixture(scope="module")
