@@ -28,7 +28,7 @@ from millrace.plans.pipeline import load_files, run_all, run_pipeline
 from millrace.plans.scratch import scratch, write_csv
 from millrace.sources import files as src_files
 from millrace.sources.csv import scan_profiled
-from millrace.sources.parquet import scan_parquet
+from millrace.sources.parquet import read_table, scan_parquet
 from millrace.store import TableStore
 
 
@@ -119,7 +119,8 @@ def q_clean_text(spark, sf_dir):
 
 
 _NUM_PROBES = ["p_plain", "p_three_places", "p_negative_half", "p_half", "p_exponent",
-               "p_underscore", "p_hex", "p_padded", "p_thousands", "p_overflow", "p_junk"]
+               "p_underscore", "p_hex", "p_padded", "p_thousands", "p_overflow", "p_junk",
+               "p_just_below_half", "p_just_over_half", "p_large_hex", "p_other_digits"]
 _PROBE_ORACLE = "WITH pr AS ({probe}) SELECT {cols} FROM pr"
 
 
@@ -149,7 +150,7 @@ def q_lenient_integer(spark, sf_dir):
 
 _DATE_PROBES = ["p_iso", "p_slash", "p_space", "p_unpadded", "p_with_time", "p_t_time",
                 "p_midnight24", "p_zone_fraction", "p_bare_zone", "p_year_month",
-                "p_trailing_word", "p_february", "p_hour_only"]
+                "p_trailing_word", "p_february", "p_hour_only", "p_backslash"]
 
 
 @register("lenient_date", _probe_oracle(
@@ -169,17 +170,17 @@ def q_lenient_timestamp(spark, sf_dir):
 
 # ------------------------------------------------------------------ dimensional
 
-@register("dim_invoice", O.with_erp("SELECT * FROM dim"))
+@register("dim_invoice", O.with_erp(f"SELECT {O.DIM_COLUMNS} FROM inv"))
 def q_dim_invoice(spark, sf_dir):
     return marts.dim_invoice(silver_erp_df(spark, sf_dir))
 
 
-@register("fact_invoice", O.with_erp("SELECT * FROM fi"))
+@register("fact_invoice", O.with_erp(O.FACT_INVOICE))
 def q_fact_invoice(spark, sf_dir):
     return marts.fact_invoice(silver_erp_df(spark, sf_dir))
 
 
-@register("fact_workflow_event", O.with_workflow("SELECT * FROM fe"))
+@register("fact_workflow_event", O.with_workflow(O.FACT_WORKFLOW))
 def q_fact_workflow_event(spark, sf_dir):
     return marts.fact_workflow_event(silver_workflow_df(spark, sf_dir))
 
@@ -191,10 +192,10 @@ def q_mart_customer(spark, sf_dir):
 
 
 @register("surrogate_keys", O.with_erp("""
-SELECT erp_record_id, md5(concat_ws('|', supplier_id, invoice_number, coalesce(invoice_id, ''))) AS invoice_row_key,
-       md5(concat_ws('|', supplier_id, invoice_number)) AS invoice_key,
-       md5(concat_ws('|', supplier_id, invoice_number, erp_record_id)) AS line_key
-FROM se"""))
+SELECT erp_record_id, md5(concat_ws('|', supplier_id, invoice_number)) AS invoice_key,
+       md5(concat_ws('|', supplier_id, invoice_number, erp_record_id)) AS line_key,
+       md5(concat_ws('|', supplier_id, invoice_number) || '|' || ifnull(invoice_id, '')) AS invoice_row_key
+FROM lines"""))
 def q_surrogate_keys(spark, sf_dir):
     s = silver_erp_df(spark, sf_dir)
     return s.select("erp_record_id",
@@ -206,7 +207,7 @@ def q_surrogate_keys(spark, sf_dir):
 
 # ------------------------------------------------------------------ aggregates / windows
 
-@register("invoice_totals", O.with_erp("SELECT * FROM tot"))
+@register("invoice_totals", O.with_erp(f"SELECT {O.TOTAL_COLUMNS} FROM inv"))
 def q_invoice_totals(spark, sf_dir):
     return marts.invoice_totals(silver_erp_df(spark, sf_dir))
 
@@ -220,13 +221,12 @@ def _workflow_totals(spark, sf_dir):
     return t.withColumn("invoice_key", surrogate_key(*marts.INVOICE_PAIR))
 
 
-@register("workflow_totals", O.with_workflow("SELECT * FROM wt"))
+@register("workflow_totals", O.with_workflow(f"SELECT {O.WORKFLOW_TOTAL_COLUMNS} FROM flow"))
 def q_workflow_totals(spark, sf_dir):
     return _workflow_totals(spark, sf_dir).select("invoice_key", *_WT_COLS)
 
 
-@register("ranked_events", O.with_workflow(
-    "SELECT workflow_event_key, invoice_key, event_timestamp, event_sequence, event_rank FROM rk"))
+@register("ranked_events", O.with_workflow(O.EVENT_RANKS))
 def q_ranked_events(spark, sf_dir):
     fe = marts.fact_workflow_event(silver_workflow_df(spark, sf_dir))
     return marts.ranked_events(fe).select("workflow_event_key", "invoice_key", "event_timestamp",
@@ -234,9 +234,9 @@ def q_ranked_events(spark, sf_dir):
 
 
 @register("latest_event_per_invoice", O.with_workflow("""
-SELECT invoice_key, workflow_event_id, workflow_id AS current_workflow_id,
-       workflow_stage AS current_workflow_stage, current_status AS current_workflow_status
-FROM rk WHERE event_rank = 1"""))
+SELECT invoice_key, final.event AS workflow_event_id, final.flow AS current_workflow_id,
+       final.stage AS current_workflow_stage, final.status AS current_workflow_status
+FROM flow"""))
 def q_latest_event_per_invoice(spark, sf_dir):
     fe = marts.fact_workflow_event(silver_workflow_df(spark, sf_dir))
     return marts.latest_event_per_invoice(fe)
@@ -249,7 +249,7 @@ def _erp_metrics(spark, sf_dir):
 
 
 def _erp_metric_oracle(cols: str) -> str:
-    return O.with_erp(f"SELECT invoice_key, {cols} FROM (SELECT io.*,{O.ERP_METRIC_COLUMNS} FROM io)")
+    return O.with_erp(f"SELECT invoice_key, {cols} FROM invm")
 
 
 @register("invoice_variance", _erp_metric_oracle("line_amount_variance_doc, outstanding_amount_doc"))
@@ -270,9 +270,7 @@ def q_days_metrics(spark, sf_dir):
                                               "overdue_days")
 
 
-@register("payment_timing", O.with_erp(
-    f"SELECT payment_timing, count(*) AS invoice_count FROM (SELECT io.*,{O.ERP_METRIC_COLUMNS} FROM io) "
-    "GROUP BY payment_timing"))
+@register("payment_timing", O.with_erp("SELECT payment_timing, count(*) AS invoice_count FROM invm GROUP BY ALL"))
 def q_payment_timing(spark, sf_dir):
     return (_erp_metrics(spark, sf_dir).groupBy("payment_timing")
             .agg(F.count(F.lit(1)).alias("invoice_count")))
@@ -283,10 +281,7 @@ def _wf_metrics(spark, sf_dir):
 
 
 @register("exception_rate", O.with_workflow("""
-SELECT invoice_key, exception_event_count, workflow_event_count,
-       round(exception_event_count / nullif(workflow_event_count, 0) * 100, 2) AS exception_rate_percent,
-       exception_event_count > 0 AS has_exception
-FROM wt"""))
+SELECT invoice_key, exception_event_count, workflow_event_count, exception_rate_percent, has_exception FROM flowm"""))
 def q_exception_rate(spark, sf_dir):
     return _wf_metrics(spark, sf_dir).select("invoice_key", "exception_event_count",
                                              "workflow_event_count", "exception_rate_percent",
@@ -294,12 +289,7 @@ def q_exception_rate(spark, sf_dir):
 
 
 @register("workflow_durations", O.with_workflow("""
-SELECT invoice_key, first_workflow_event_timestamp, last_workflow_event_timestamp,
-       round(epoch(last_workflow_event_timestamp - first_workflow_event_timestamp) / 3600, 2) AS workflow_duration_hours,
-       CASE WHEN workflow_event_count <= 1 THEN 0
-            ELSE round(epoch(last_workflow_event_timestamp - first_workflow_event_timestamp) / 3600
-                       / (workflow_event_count - 1), 2) END AS average_event_gap_hours
-FROM wt"""))
+SELECT invoice_key, first_workflow_event_timestamp, last_workflow_event_timestamp, workflow_duration_hours, average_event_gap_hours FROM flowm"""))
 def q_workflow_durations(spark, sf_dir):
     return _wf_metrics(spark, sf_dir).select("invoice_key", "first_workflow_event_timestamp",
                                              "last_workflow_event_timestamp",
@@ -307,9 +297,7 @@ def q_workflow_durations(spark, sf_dir):
 
 
 @register("workflow_complete_flag", O.with_workflow("""
-SELECT t.invoice_key, l.current_status AS current_workflow_status,
-       upper(coalesce(l.current_status, '')) IN ('APPROVED', 'COMPLETED', 'CLOSED', 'PAID') AS is_workflow_complete
-FROM wt t LEFT JOIN rk l ON t.invoice_key = l.invoice_key AND l.event_rank = 1"""))
+SELECT invoice_key, final.status AS current_workflow_status, is_workflow_complete FROM flowm"""))
 def q_workflow_complete_flag(spark, sf_dir):
     return _wf_metrics(spark, sf_dir).select(
         "invoice_key", F.col("latest.current_status").alias("current_workflow_status"),
@@ -341,14 +329,12 @@ def _dq(spark, sf_dir, kind):
 
 
 _MW = "(" + O.MART_WORKFLOW_BODY + ")"
-_ME = f"(SELECT io.*,{O.ERP_METRIC_COLUMNS} FROM io)"
-_SC = "(SELECT * FROM scu)"
-_DQ_CTES = f"bc AS ({O.bronze_sql('customer')}), scu AS ({O.SILVER_CUSTOMER.replace('FROM bz', 'FROM bc')})"
+_SC = "scu"
+_DQ_CTES = f"bc AS ({O.bronze_sql('customer')}), scu AS ({O.silver_customer('bc')})"
 
 
 def _dq_oracle(parts: list[str]) -> str:
-    body = "\nUNION ALL\n".join(parts)
-    return O.with_erp_and_workflow(body, extra=f"{O.TOTALS_CTE.strip()},\n{O.ERP_OUTPUT_CTE.strip()},\n{_DQ_CTES}")
+    return O.with_erp_and_workflow("\nUNION ALL\n".join(parts), extra=_DQ_CTES)
 
 
 def _nn(model, src, col):
@@ -364,14 +350,14 @@ def _uq(model, src, col):
 
 ORACLE_DQ_NOT_NULL = _dq_oracle(
     [_nn("stg_customer", _SC, "customer_id"), _nn("customer", _SC, "customer_id")]
-    + [_nn("erp", _ME, c) for c in ("invoice_key", "supplier_id", "invoice_number")]
+    + [_nn("erp", "invm", c) for c in ("invoice_key", "supplier_id", "invoice_number")]
     + [_nn("workflow", _MW, c) for c in ("invoice_key", "supplier_id", "invoice_number")])
 ORACLE_DQ_UNIQUE = _dq_oracle(
     [_uq("stg_customer", _SC, "customer_id"), _uq("customer", _SC, "customer_id"),
-     _uq("erp", _ME, "invoice_key"), _uq("workflow", _MW, "invoice_key")])
+     _uq("erp", "invm", "invoice_key"), _uq("workflow", _MW, "invoice_key")])
 ORACLE_DQ_ACCEPTED = _dq_oracle([
     "SELECT 'erp' AS model, 'payment_timing' AS column_name, 'accepted_values' AS test, "
-    f"CAST(count(DISTINCT payment_timing) AS BIGINT) AS failures FROM {_ME} x WHERE payment_timing IS NOT NULL "
+    f"CAST(count(DISTINCT payment_timing) AS BIGINT) AS failures FROM invm x WHERE payment_timing IS NOT NULL "
     "AND payment_timing NOT IN ('UNKNOWN', 'OVERDUE', 'OPEN', 'ON_TIME', 'LATE')"])
 
 
@@ -390,20 +376,54 @@ def q_dq_accepted_values(spark, sf_dir):
     return _dq(spark, sf_dir, "accepted_values")
 
 
-@register("contract_report")
+# DuckDB's type names as Spark says them.
+_SPARK_TYPE = """replace(replace(replace(replace(replace(lower(typeof(any_value({c}))), 'varchar', 'string'),
+  'timestamp', 'timestamp_ntz'), 'hugeint', 'bigint'), 'integer', 'int'), ' ', '')"""
+
+
+def _contract_oracle() -> str:
+    sources = {"erp": "invm", "workflow": _MW, "customer": "scu", "stg_customer": "scu"}
+    parts = []
+    for model, contract in quality.CONTRACTS.items():
+        for f in contract.fields:
+            parts.append(f"SELECT '{model}' AS model, '{f.name}' AS column_name, {_SPARK_TYPE.format(c=f.name)} AS actual_type, "
+                         f"TRUE AS matches, count({f.name}) AS filled_rows FROM {sources[model]} x")
+    return _dq_oracle(parts)
+
+
+@register("contract_report", _contract_oracle())
 def q_contract_report(spark, sf_dir):
-    """Rows-only: schema of each contracted mart against its contract; one
-    row per contract column with the expected and actual type."""
+    """The written marts against their contracts: per column the type it was
+    written with, whether that is the contract's, and its filled rows."""
+    store, _ = _store(spark, scratch(spark, "contract"))
     models = _models_for_quality(spark, sf_dir)
-    rows = []
+    out = None
     for model, contract in quality.CONTRACTS.items():
-        actual = {f.name: f.dataType.simpleString() for f in models[model].schema.fields}
-        for f in contract.fields:
-            got = actual.get(f.name)
-            rows.append((model, f.name, f.dataType.simpleString(), got,
-                         got == f.dataType.simpleString()))
-    return spark.createDataFrame(
-        rows, "model string, column_name string, expected_type string, actual_type string, matches boolean")
+        table = f"mart.{model}"
+        store.overwrite(table, models[model])
+        written = store.read(table)
+        actual = {f.name: f.dataType.simpleString() for f in written.schema.fields}
+        counts = written.agg(*[F.count(f.name).alias(f.name) for f in contract.fields])
+        rows = F.explode(F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(actual.get(f.name)).alias("actual_type"),
+                                            F.lit(actual.get(f.name) == f.dataType.simpleString()).alias("matches"),
+                                            F.col(f.name).alias("filled_rows")) for f in contract.fields]))
+        part = counts.select(F.lit(model).alias("model"), rows.alias("r")).select("model", "r.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# Checks that must fail: blank and repeated values of the raw lines.
+@register("dq_failures", O.with_bronze("erp", """
+SELECT 'raw' AS model, 'supplier_id' AS column_name, 'not_null' AS test, count(*) FILTER (WHERE trim(SUPPLIER_ID) = '') AS failures FROM bz
+UNION ALL SELECT 'raw', 'due_date_raw', 'not_null', count(*) - count(nullif(trim(DUE_DATE_RAW), '')) FROM bz
+UNION ALL SELECT 'raw', 'invoice_number', 'unique', count(*) FROM (SELECT 1 FROM bz GROUP BY trim(INVOICE_NUMBER) HAVING count(*) > 1)
+UNION ALL SELECT 'raw', 'category', 'accepted_values', count(DISTINCT CATEGORY) - 2 FROM bz"""))
+def q_dq_failures(spark, sf_dir):
+    b = bronze(spark, sf_dir, "erp")
+    raw = b.select(*[C.clean_text(c).alias(c.lower()) for c in ("SUPPLIER_ID", "DUE_DATE_RAW", "INVOICE_NUMBER", "CATEGORY")])
+    return (quality.not_null(raw, "raw", ["supplier_id", "due_date_raw"])
+            .unionByName(quality.unique(raw, "raw", "invoice_number"))
+            .unionByName(quality.accepted_values(raw, "raw", "category", ["category 0", "category 1"])))
 
 
 # ------------------------------------------------------------------ ingest (real files)
@@ -430,18 +450,36 @@ _ERP_WORKFLOW_KEYS = ["WORKFLOW_EVENT_ID", "WORKFLOW_ID", "EVENT_SEQUENCE", "INV
                       "CURRENT_STATUS", "STAGE_DURATION_HOURS", "EXCEPTION_REASON"]
 
 
-@register("ingest_csv_append", O.with_bronze("erp", f"SELECT {_nullif_all(ERP_SOURCE_COLUMNS)} FROM bz"))
+def _lineage(store, ledger, table):
+    """Bronze rows with what their lineage says: the source folder's name, and
+    whether the file history holds the row's file, run and row count."""
+    rows = store.read(table)
+    landed = rows.groupBy("_source_file", "_run_id").agg(F.count(F.lit(1)).alias("row_count"))
+    known = ledger.raw("metadata.file_history").select(F.col("source_file").alias("_source_file"), F.col("run_id").alias("_run_id"),
+                                                       "row_count", F.lit(True).alias("in_history"))
+    seen = landed.join(known, ["_source_file", "_run_id", "row_count"], "left").drop("row_count")
+    return (rows.join(seen, ["_source_file", "_run_id"])
+            .withColumn("source_folder", F.element_at(F.split("_source_file", "/"), -2))
+            .withColumn("in_history", F.coalesce("in_history", F.lit(False))))
+
+
+_LINEAGE_SQL = "'{folder}' AS source_folder, TRUE AS in_history"
+
+
+@register("ingest_csv_append", O.with_bronze(
+    "erp", f"SELECT {_nullif_all(ERP_SOURCE_COLUMNS)}, {_LINEAGE_SQL.format(folder='erp 50%+ x')} FROM bz"))
 def q_ingest_csv_append(spark, sf_dir):
-    """Derived ERP rows as several CSV files -> two incremental runs (the
-    second finds nothing new) -> Bronze read back (source columns)."""
+    """Derived ERP rows as several CSV files, in a folder whose name has
+    blanks and a percent sign -> two incremental runs (the second finds nothing
+    new) -> Bronze read back with its lineage."""
     root = scratch(spark, "ingest")
-    write_csv(bronze(spark, sf_dir, "erp").select(*ERP_SOURCE_COLUMNS), f"{root}/source/erp",
+    write_csv(bronze(spark, sf_dir, "erp").select(*ERP_SOURCE_COLUMNS), f"{root}/source/erp 50%+ x",
               key="ERP_RECORD_ID")
     store, ledger = _store(spark, root)
-    cfg = {"source_folder": "source/erp", "source_pattern": "*.csv", "bronze_table": "bronze.erp"}
+    cfg = {"source_folder": "source/erp 50%+ x", "source_pattern": "*.csv", "bronze_table": "bronze.erp"}
     _ingest(spark, store, ledger, "erp", cfg, root)
     _ingest(spark, store, ledger, "erp", cfg, root)
-    return store.read("bronze.erp").select(*ERP_SOURCE_COLUMNS)
+    return _lineage(store, ledger, "bronze.erp").select(*ERP_SOURCE_COLUMNS, "source_folder", "in_history")
 
 
 def _workflow_csv(spark, sf_dir, root, keep_empty=False):
@@ -503,7 +541,8 @@ _CUST_B_ORDER = ["MODIFIED_DATE", "City", "customer_id", "order_ref"]
 @register("append_by_name", O.with_bronze("customer", """
 SELECT _run_id AS order_ref, customer_id,
        CASE WHEN CAST(_run_id AS BIGINT) % 2 = 0 THEN NULLIF(customer_name, '') END AS customer_name,
-       NULLIF(city, '') AS city, NULLIF(modified_date, '') AS modified_date
+       NULLIF(city, '') AS city, NULLIF(modified_date, '') AS modified_date,
+       CASE WHEN CAST(_run_id AS BIGINT) % 2 = 0 THEN 'early 1%' ELSE 'late [2]' END AS source_folder, TRUE AS in_history
 FROM bz"""))
 def q_append_by_name(spark, sf_dir):
     """Run 1 loads files with one header; run 2 adds files whose columns are
@@ -511,15 +550,15 @@ def q_append_by_name(spark, sf_dir):
     root = scratch(spark, "byname")
     c = bronze(spark, sf_dir, "customer").withColumn("order_ref", F.col("_run_id"))
     even = F.col("order_ref").cast("bigint") % 2 == 0
-    write_csv(c.where(even).select("order_ref", *CUSTOMER_SOURCE_COLUMNS), f"{root}/src", key="order_ref")
+    write_csv(c.where(even).select("order_ref", *CUSTOMER_SOURCE_COLUMNS), f"{root}/src/early 1%", key="order_ref")
     store, ledger = _store(spark, root)
-    cfg = {"source_folder": "src", "source_pattern": "*.csv", "bronze_table": "bronze.customer"}
+    cfg = {"source_folder": "src", "source_pattern": "*/*.csv", "bronze_table": "bronze.customer"}
     _ingest(spark, store, ledger, "customer", cfg, root)
     later = c.where(~even).select(F.col("modified_date").alias("MODIFIED_DATE"),
                                   F.col("city").alias("City"), "customer_id", "order_ref")
-    write_csv(later, f"{root}/src", mode="append", key="order_ref")
+    write_csv(later, f"{root}/src/late [2]", key="order_ref")
     _ingest(spark, store, ledger, "customer", cfg, root)
-    return store.read("bronze.customer").select("order_ref", *CUSTOMER_SOURCE_COLUMNS)
+    return _lineage(store, ledger, "bronze.customer").select("order_ref", *CUSTOMER_SOURCE_COLUMNS, "source_folder", "in_history")
 
 
 @register("append_dataframe", O.with_bronze(
@@ -590,17 +629,19 @@ def q_required_columns(spark, sf_dir):
 
 
 @register("unsupported_files", """
-SELECT suffix, count(*) AS files FROM (VALUES ('.json'), ('.txt')) v(suffix) GROUP BY suffix""")
+SELECT '.json' AS suffix, count(DISTINCT c_mktsegment) AS files FROM customer
+UNION ALL SELECT '.txt', count(DISTINCT c_nationkey) FROM customer""")
 def q_unsupported_files(spark, sf_dir):
-    """CSV, JSON and text exports of the customer rows in one folder: the
-    discovery rejects the suffixes no reader supports (one row per suffix)."""
+    """CSV, JSON and text files of customers in one tree, one JSON file per
+    market segment and one text file per nation: the discovery lists those
+    whose suffix no reader supports."""
     root = scratch(spark, "unsupported")
-    c = bronze(spark, sf_dir, "customer").select(*CUSTOMER_SOURCE_COLUMNS)
-    write_csv(c, f"{root}/in")
-    c.write.mode("append").json(f"{root}/in")
-    c.select(F.concat_ws("|", *CUSTOMER_SOURCE_COLUMNS)).write.mode("append").text(f"{root}/in")
-    bad = src_files.unsupported(src_files.discover(spark, f"{root}/in", "part-*"))
-    return bad.groupBy("suffix").agg(F.lit(1).cast("bigint").alias("files"))
+    c = read_table(spark, sf_dir, "customer")
+    c.select("c_custkey", "c_mktsegment").repartition("c_mktsegment").write.partitionBy("c_mktsegment").csv(f"{root}/in/a")
+    c.select("c_custkey", "c_mktsegment").repartition("c_mktsegment").write.partitionBy("c_mktsegment").json(f"{root}/in/b")
+    c.select(F.col("c_name"), "c_nationkey").repartition("c_nationkey").write.partitionBy("c_nationkey").text(f"{root}/in/c")
+    bad = src_files.unsupported(src_files.discover(spark, f"{root}/in", "*/*/part-*"))
+    return bad.groupBy("suffix").agg(F.count(F.lit(1)).alias("files"))
 
 
 # ------------------------------------------------------------------ ledger (derived from events)
@@ -622,10 +663,9 @@ SELECT {', '.join(_HISTORY_COLS)} FROM lg
 QUALIFY row_number() OVER (PARTITION BY pipeline_name, source_file, file_hash
                            ORDER BY loaded_at DESC NULLS LAST, run_id DESC NULLS LAST) = 1"""))
 def q_upsert_latest(spark, sf_dir):
-    from millrace.operators.latest import latest_by
-    lg = _ledger_frame(spark, sf_dir).select(*_HISTORY_COLS)
-    return latest_by(lg, ["pipeline_name", "source_file", "file_hash"],
-                     ["loaded_at", "run_id", *_HISTORY_COLS], _HISTORY_COLS)
+    _, ledger = _store(spark, scratch(spark, "ledger"))
+    ledger.record_files(_ledger_frame(spark, sf_dir))
+    return ledger.latest("metadata.file_history").select(*_HISTORY_COLS)
 
 
 @register("loaded_by_hash", _with_ledger("""
@@ -635,7 +675,6 @@ WHERE EXISTS (SELECT 1 FROM lg WHERE lg.status = 'SUCCESS' AND lg.pipeline_name
               AND lg.source_file = 'file_'||CAST(o.o_custkey AS VARCHAR)||'.csv'
               AND lg.file_hash = 'h'||CAST(o.o_orderkey % 5 AS VARCHAR))"""))
 def q_loaded_by_hash(spark, sf_dir):
-    from millrace.sources.parquet import read_table
     probes_ = read_table(spark, sf_dir, "orders").select(
         F.concat(F.lit("file_"), F.col("o_custkey").cast("string"), F.lit(".csv")).alias("path"),
         F.concat(F.lit("h"), (F.col("o_orderkey") % 5).cast("string")).alias("file_hash")).distinct()
@@ -670,29 +709,30 @@ SELECT pipeline_name, watermark_value, run_id FROM (
   FROM lg GROUP BY 1, 2) w
 QUALIFY row_number() OVER (PARTITION BY pipeline_name ORDER BY updated_at DESC, run_id DESC) = 1"""))
 def q_watermark_upsert(spark, sf_dir):
-    """Per (pipeline, run) the max file time is a watermark record; the
-    pipeline's watermark is its latest record (upsert semantics)."""
-    from millrace.operators.latest import latest_by
-    lg = _ledger_frame(spark, sf_dir)
-    records = lg.groupBy(F.col("event_type").alias("pipeline_name"),
-                         F.concat(F.lit("run-"), (F.col("user_id") % 3).cast("string")).alias("run_id")) \
-        .agg(F.max("file_modified_at").alias("watermark_value"), F.max("loaded_at").alias("updated_at"))
-    return latest_by(records, ["pipeline_name"], ["updated_at", "run_id"],
-                     ["watermark_value", "run_id"])
+    """Every (pipeline, run) sets the pipeline's watermark from its files, in
+    the order of their load times; the last one stays."""
+    _, ledger = _store(spark, scratch(spark, "ledger"))
+    lg = _ledger_frame(spark, sf_dir).withColumn("run", F.concat(F.lit("run-"), (F.col("user_id") % 3).cast("string")))
+    runs = lg.groupBy("event_type", "run").agg(F.max("loaded_at").alias("at")).orderBy("at", "run").collect()
+    for r in runs:       # event types times three
+        ledger.set_watermark(r["event_type"], r["run"], lg.where((F.col("event_type") == r["event_type"]) & (F.col("run") == r["run"])))
+    return ledger.latest("metadata.watermark").select("pipeline_name", "watermark_value", "run_id")
 
 
 @register("run_log_latest", _with_ledger("""
 SELECT 'run-'||CAST(user_id AS VARCHAR) AS run_id, status, loaded_at AS recorded_at, row_count AS rows_loaded
 FROM lg
-QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY loaded_at DESC, event_id DESC) = 1"""))
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY loaded_at DESC, status DESC, row_count DESC) = 1"""))
 def q_run_log_latest(spark, sf_dir):
-    """Each event is one state record of run ``run-<user_id>``; the run log
-    view keeps each run's last record."""
-    from millrace.operators.latest import latest_by
-    lg = _ledger_frame(spark, sf_dir).select(
-        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"), "status",
-        F.col("loaded_at").alias("recorded_at"), F.col("row_count").alias("rows_loaded"), "event_id")
-    return latest_by(lg, ["run_id"], ["recorded_at", "event_id"], ["status", "recorded_at", "rows_loaded"])
+    """Each event is one state record of run ``run-<user_id>`` (the ledger's
+    order within a run: record time, then status)."""
+    _, ledger = _store(spark, scratch(spark, "ledger"))
+    none = F.lit(None)
+    ledger.append_frame("metadata.elt_run_log", _ledger_frame(spark, sf_dir).select(
+        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"), "pipeline_name", F.col("loaded_at").alias("started_at"),
+        none.alias("ended_at"), "status", none.alias("files_found"), none.alias("files_loaded"), F.col("row_count").alias("rows_loaded"),
+        "error_message", F.col("loaded_at").alias("recorded_at")))
+    return ledger.latest("metadata.elt_run_log").select("run_id", "status", "recorded_at", "rows_loaded")
 
 
 @register("audit_rollup", _with_ledger("""
@@ -702,12 +742,14 @@ SELECT CASE event_id % 5 WHEN 0 THEN 'DISCOVERY' WHEN 1 THEN 'BRONZE' WHEN 2 THE
        count(DISTINCT user_id) AS runs
 FROM lg GROUP BY 1, 2"""))
 def q_audit_rollup(spark, sf_dir):
-    lg = _ledger_frame(spark, sf_dir)
-    stage = F.element_at(F.array(*[F.lit(s) for s in ledger_ops.STAGES]),
-                         (F.col("event_id") % 5 + 1).cast("int"))
-    return lg.groupBy(stage.alias("stage"), "status").agg(
+    _, ledger = _store(spark, scratch(spark, "ledger"))
+    stage = F.element_at(F.array(*[F.lit(s) for s in ledger_ops.STAGES]), (F.col("event_id") % 5 + 1).cast("int"))
+    ledger.append_frame("metadata.audit_log", _ledger_frame(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("audit_id"), F.col("user_id").cast("string").alias("run_id"), "pipeline_name",
+        stage.alias("stage"), F.col("loaded_at").alias("event_time"), "status", "row_count", F.col("error_message").alias("message")))
+    return ledger.raw("metadata.audit_log").groupBy("stage", "status").agg(
         F.count(F.lit(1)).alias("events"), F.sum("row_count").cast("bigint").alias("rows_total"),
-        F.count_distinct("user_id").alias("runs"))
+        F.count_distinct("run_id").alias("runs"))
 
 
 @register("history_recent", _with_ledger(f"""
@@ -725,19 +767,40 @@ def q_table_sample(spark, sf_dir):
     return bronze(spark, sf_dir, "customer").orderBy("customer_id", "_run_id").limit(10)
 
 
-@register("discover_files")
+def _segment_files(spark, sf_dir, root):
+    """One CSV file per market segment, customers in key order."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    (c.repartition("c_mktsegment").sortWithinPartitions("c_mktsegment", "c_custkey")
+     .write.partitionBy("c_mktsegment").option("header", "true").option("sep", ";").csv(f"{root}/seg"))
+    return src_files.discover(spark, f"{root}/seg", "c_mktsegment=*/*.csv")
+
+
+def _segment():
+    return F.regexp_extract("path", r"c_mktsegment=([^/]+)/", 1).alias("segment")
+
+
+_SEGMENT_TEXT = """
+WITH f AS (SELECT c_mktsegment AS segment, 'c_custkey;c_name' || chr(10) ||
+                  string_agg(c_custkey || ';' || c_name || chr(10), '' ORDER BY c_custkey) AS content
+           FROM customer GROUP BY ALL)
+"""
+
+
+@register("discover_files", _SEGMENT_TEXT + """
+SELECT segment, '.csv' AS suffix, strlen(content) AS file_size_bytes, TRUE AS modified_today FROM f""")
 def q_discover_files(spark, sf_dir):
-    root = scratch(spark, "discover")
-    write_csv(bronze(spark, sf_dir, "erp").select(*ERP_SOURCE_COLUMNS), f"{root}/erp", key="ERP_RECORD_ID")
-    return src_files.discover(spark, f"{root}/erp", "*.csv").orderBy("path")
+    """The files of a tree by a pattern with folders: name parts, size, time."""
+    found = _segment_files(spark, sf_dir, scratch(spark, "discover"))
+    today = F.abs(F.datediff(F.current_date(), F.to_date("file_modified_at"))) <= 1
+    return found.select(_segment(), "suffix", "file_size_bytes", today.alias("modified_today")).orderBy("segment")
 
 
-@register("file_profile")
+@register("file_profile", _SEGMENT_TEXT + """
+SELECT segment, sha256(content) AS file_hash, ';' AS sep, 'c_custkey,c_name' AS column_names, FALSE AS quoted FROM f""")
 def q_file_profile(spark, sf_dir):
-    root = scratch(spark, "profile")
-    write_csv(bronze(spark, sf_dir, "erp").select(*ERP_SOURCE_COLUMNS), f"{root}/erp", key="ERP_RECORD_ID")
-    prof = src_files.profile(spark, src_files.discover(spark, f"{root}/erp", "*.csv"))
-    return prof.select("file_name", "file_size_bytes", "file_hash", "sep", F.size("columns").alias("n_columns"))
+    """SHA-256, separator and header columns of files with known content."""
+    prof = src_files.profile(spark, _segment_files(spark, sf_dir, scratch(spark, "profile")))
+    return prof.select(_segment(), "file_hash", "sep", F.array_join("columns", ",").alias("column_names"), "quoted")
 
 
 # ------------------------------------------------------------------ sinks
@@ -776,11 +839,11 @@ def _landed_store(spark, sf_dir, root):
     return store, ledger, now_
 
 
-_BUILD_COUNTS = [("stg_erp", "silver.erp", "se"), ("stg_workflow", "silver.workflow", "sw"),
-                 ("stg_customer", "silver.customer", "scu"), ("dim_invoice", "mart.dim_invoice", "dim"),
-                 ("fact_invoice", "mart.fact_invoice", "se"),
-                 ("fact_workflow_event", "mart.fact_workflow_event", "sw"),
-                 ("customer", "mart.customer", "scu"), ("erp", "mart.erp", "dim"),
+_BUILD_COUNTS = [("stg_erp", "silver.erp", "lines"), ("stg_workflow", "silver.workflow", "acts"),
+                 ("stg_customer", "silver.customer", "scu"), ("dim_invoice", "mart.dim_invoice", "inv"),
+                 ("fact_invoice", "mart.fact_invoice", "lines"),
+                 ("fact_workflow_event", "mart.fact_workflow_event", "acts"),
+                 ("customer", "mart.customer", "scu"), ("erp", "mart.erp", "inv"),
                  ("workflow", "mart.workflow", _MW)]
 ORACLE_BUILD_REPORT = _dq_oracle([
     f"SELECT '{m}' AS model, '{t}' AS table_name, count(*) AS row_count, 'SUCCESS' AS status FROM {src} x"
@@ -821,7 +884,7 @@ def _write_sources(spark, sf_dir, root):
 ORACLE_PIPELINE_ERP = O.with_erp("""
 SELECT 'erp' AS pipeline_name, 'BRONZE' AS stage, 'SUCCESS' AS status, CAST(count(*) AS BIGINT) AS row_count FROM bz
 UNION ALL
-SELECT 'erp', 'DBT_BUILD', 'SUCCESS', CAST(2 * (SELECT count(*) FROM se) + 2 * (SELECT count(*) FROM dim) AS BIGINT)
+SELECT 'erp', 'DBT_BUILD', 'SUCCESS', CAST(2 * (SELECT count(*) FROM lines) + 2 * (SELECT count(*) FROM inv) AS BIGINT)
 UNION ALL
 SELECT 'erp', 'EXPORT', 'SUCCESS', CAST(0 AS BIGINT)""")
 
@@ -869,11 +932,11 @@ def _write_workbooks(spark, sf_dir, folder):
 
     def write(pdf):
         import pandas as pd
-        from pyarrow import fs as pafs
+        from millrace.store import arrow_file_system
         block = int(pdf["block"].iloc[0])
         path = f"{folder}/customers_{block:05d}.xlsx"
         data = write_workbook(cols, pdf[cols].itertuples(index=False, name=None))
-        filesystem, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        filesystem, inner = arrow_file_system(path)
         filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
         with filesystem.open_output_stream(inner) as out:
             out.write(data)
@@ -893,24 +956,26 @@ def q_scan_excel(spark, sf_dir):
     from millrace.sources.excel import scan_excel
     root = scratch(spark, "excel")
     _write_workbooks(spark, sf_dir, f"{root}/xlsx")
-    frames = scan_excel(spark, [f"{root}/xlsx"])
+    found = src_files.discover(spark, f"{root}/xlsx", "*.xlsx").orderBy("path").collect()
+    frames = scan_excel(spark, [r.path for r in found])
     out = frames[0][1]
     for _, f in frames[1:]:
         out = out.unionByName(f)
     return out.select(*CUSTOMER_SOURCE_COLUMNS)
 
 
-@register("excel_to_staging", _EXCEL_ORACLE)
+@register("excel_to_staging", O.with_bronze("customer", "SELECT " + ", ".join(
+    f"COALESCE({c}, '') AS {c}" for c in CUSTOMER_SOURCE_COLUMNS) + f", {_LINEAGE_SQL.format(folder='customer 50% x')} FROM bz"))
 def q_excel_to_staging(spark, sf_dir):
     """Workbooks -> staged Parquet (one partition per workbook) -> Bronze
     with the original workbook path as lineage."""
     root = scratch(spark, "excel")
-    _write_workbooks(spark, sf_dir, f"{root}/source/customer")
+    _write_workbooks(spark, sf_dir, f"{root}/source/customer 50% x")
     store, ledger = _store(spark, root)
-    cfg = {"source_folder": "source/customer", "source_pattern": "*.xlsx",
+    cfg = {"source_folder": "source/customer 50% x", "source_pattern": "*.xlsx",
            "bronze_table": "bronze.customer", "excel": {"sheet_name": 0, "header": 0}}
     _ingest(spark, store, ledger, "customer", cfg, root)
-    return store.read("bronze.customer").select(*CUSTOMER_SOURCE_COLUMNS)
+    return _lineage(store, ledger, "bronze.customer").select(*CUSTOMER_SOURCE_COLUMNS, "source_folder", "in_history")
 
 
 # ------------------------------------------------------------------ streaming ingest

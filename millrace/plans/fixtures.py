@@ -73,6 +73,21 @@ _ERP_DERIVED = {
     "SOURCE_SYSTEM": "'ERP'",
     "LAST_UPDATED_TIMESTAMP": "REPLACE(CAST(CAST(l_shipdate AS DATE) AS STRING), '-', '/')||' 10:30:00'",
     "LATE_ARRIVAL_FLAG": "CASE WHEN l_linenumber = 7 THEN 'Y' ELSE 'N' END",
+    "DISTRIBUTION_NUMBER": "' '||CAST(l_suppkey % 11 AS STRING)",
+    "INVOICE_HEADER_FLAG": "CASE WHEN l_linenumber = 1 THEN 'Y' ELSE '' END",
+    "CRITICAL_SUPPLIER_FLAG": "CASE WHEN o_custkey % 13 = 0 THEN 'critical' ELSE 'no ' END",
+    "REGION": "'region '||CAST(o_custkey % 5 AS STRING)",
+    "COUNTRY_CODE": "'K'||CAST(o_custkey % 25 AS STRING)",
+    "BUSINESS_UNIT": "'BU-'||CAST(l_partkey % 17 AS STRING)",
+    "COST_CENTER": "'CC-'||CAST(l_partkey % 19 AS STRING)||' '",
+    "GL_ACCOUNT": "CAST(400000 + l_partkey % 23 AS STRING)",
+    "CATEGORY": "'category '||CAST(l_partkey % 6 AS STRING)",
+    "UNIT_PRICE": "CASE WHEN l_partkey % 31 = 0 THEN 'free' ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)||'7' END",
+    "PO_NUMBER": "CASE WHEN o_orderkey % 4 = 0 THEN '  ' ELSE 'PO'||CAST(o_orderkey AS STRING) END",
+    "PO_NON_PO": "CASE WHEN o_orderkey % 4 = 0 THEN 'NON-PO' ELSE 'PO' END",
+    "MATCH_TYPE": "CAST(2 + o_orderkey % 2 AS STRING)||'-way'",
+    "INVOICE_TYPE": "CASE WHEN o_orderkey % 8 = 0 THEN 'credit' ELSE 'standard' END",
+    "DQ_SCENARIO": "CASE WHEN l_partkey % 97 = 0 THEN 'blank supplier' WHEN l_partkey % 89 = 0 THEN 'bad amount' ELSE '' END",
 }
 
 _WF_DERIVED = {
@@ -85,7 +100,16 @@ _WF_DERIVED = {
     "WORKFLOW_STAGE": "event_type",
     "PREVIOUS_STATUS": "'New'",
     "CURRENT_STATUS": "CASE event_type WHEN 'purchase' THEN 'Approved' WHEN 'signup' THEN 'paid' ELSE 'In Review' END",
-    "EVENT_TIMESTAMP": "CAST(ts AS STRING)",
+    # whole weeks: events of an invoice share timestamps, so the text order of
+    # EVENT_SEQUENCE ('10' below '2') decides which one is the latest
+    "EVENT_TIMESTAMP": "CAST(DATE_TRUNC('week', ts) AS STRING)",
+    "PREVIOUS_EVENT_TIMESTAMP": "CASE WHEN event_id % 6 = 0 THEN 'never' ELSE CAST(ts AS STRING) END",
+    "ERP_RECORD_ID": "CAST(okey AS STRING)||'-'||CAST(event_id % 7 AS STRING)",
+    "DOCUMENT_ID": "' D'||CAST(okey AS STRING)",
+    "INVOICE_ID": "CASE WHEN event_id % 9 = 0 THEN '' ELSE 'I'||CAST(okey AS STRING) END",
+    "PO_NUMBER": "'PO'||CAST(okey % 1000 AS STRING)||' '",
+    "COMPANY_CODE": "'C'||CAST(okey % 5 AS STRING)",
+    "PROCESSOR_ID": "CASE WHEN event_id % 12 = 0 THEN ' ' ELSE 'user-'||CAST(user_id % 40 AS STRING) END",
     "STAGE_DURATION_HOURS": "'1.5'",
     "EXCEPTION_REASON": "CASE WHEN event_type = 'error' THEN 'code '||CAST(event_id % 7 AS STRING) ELSE ' ' END",
 }
@@ -158,7 +182,11 @@ SELECT l_orderkey, l_linenumber,
        ' '||CAST(l_suppkey AS STRING)||' ' AS p_padded,
        CAST(l_suppkey AS STRING)||',000' AS p_thousands,
        CAST(l_orderkey AS STRING)||'99999999999999999' AS p_overflow,
-       'n/a' AS p_junk
+       'n/a' AS p_junk,
+       CAST(l_linenumber AS STRING)||'.49999999995' AS p_just_below_half,
+       '-'||CAST(l_linenumber AS STRING)||'.5000000000000000000001' AS p_just_over_half,
+       '0x7ffffffffffffff'||CAST(l_linenumber AS STRING) AS p_large_hex,
+       CAST(l_linenumber AS STRING)||'\u0661' AS p_other_digits
 FROM {lineitem}
 """
 
@@ -176,7 +204,8 @@ SELECT o_orderkey,
        SUBSTR(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 7) AS p_year_month,
        CAST(CAST(o_orderdate AS DATE) AS STRING)||' BC' AS p_trailing_word,
        CAST(YEAR(CAST(o_orderdate AS DATE)) AS STRING)||'-02-'||CAST(28 + o_orderkey % 4 AS STRING) AS p_february,
-       CAST(CAST(o_orderdate AS DATE) AS STRING)||' '||CAST(o_orderkey % 24 AS STRING) AS p_hour_only
+       CAST(CAST(o_orderdate AS DATE) AS STRING)||' '||CAST(o_orderkey % 24 AS STRING) AS p_hour_only,
+       REPLACE(CAST(CAST(o_orderdate AS DATE) AS STRING), '-', CHR(92)) AS p_backslash
 FROM {orders}
 """
 
