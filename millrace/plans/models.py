@@ -26,19 +26,21 @@ class Model:
     deps: tuple = ()
     sources: tuple = ()
     build: Callable[[TableStore, object], DataFrame] = field(default=None, compare=False)
+    # row-wise models: the result of one source batch, kept as the same batch
+    per_batch: Callable[[DataFrame], DataFrame] | None = field(default=None, compare=False)
 
 
 def _models() -> dict[str, Model]:
-    def m(name, table, tags, deps=(), sources=(), fn=None):
-        return Model(name, table, frozenset(tags), tuple(deps), tuple(sources), fn)
+    def m(name, table, tags, deps=(), sources=(), fn=None, per_batch=None):
+        return Model(name, table, frozenset(tags), tuple(deps), tuple(sources), fn, per_batch)
 
     return {x.name: x for x in [
         m("stg_customer", "silver.customer", ["customer"], sources=["bronze.customer"],
           fn=lambda s, a: silver.silver_customer(s.read("bronze.customer"))),
         m("stg_erp", "silver.erp", ["erp"], sources=["bronze.erp"],
-          fn=lambda s, a: silver.silver_erp(s.read("bronze.erp"))),
+          fn=lambda s, a: silver.silver_erp(s.read("bronze.erp")), per_batch=silver.silver_erp),
         m("stg_workflow", "silver.workflow", ["workflow"], sources=["bronze.workflow"],
-          fn=lambda s, a: silver.silver_workflow(s.read("bronze.workflow"))),
+          fn=lambda s, a: silver.silver_workflow(s.read("bronze.workflow")), per_batch=silver.silver_workflow),
         m("dim_invoice", "mart.dim_invoice", ["erp", "workflow"], ["stg_erp"],
           fn=lambda s, a: marts.dim_invoice(s.read("silver.erp"))),
         m("fact_invoice", "mart.fact_invoice", ["erp"], ["stg_erp"],
@@ -110,10 +112,29 @@ def build(store: TableStore, selector: str, as_of=None,
         for src in model.sources:
             if not store.exists(src):
                 raise RuntimeError(f"Model {model.name} needs source {src}, which has not been loaded")
-        df = model.build(store, as_of)
-        quality.enforce_contract(df, model.name)
-        store.overwrite(model.table, df)
+        if model.per_batch and store.batches(model.sources[0]):
+            _build_batches(store, model)
+        else:
+            df = model.build(store, as_of)
+            quality.enforce_contract(df, model.name)
+            store.overwrite(model.table, df)
         written = store.read(model.table)
         quality.assert_passing(quality.run_tests(written, model.name))
         report.append((model.name, model.table, written.count(), "SUCCESS"))
     return report
+
+
+def _build_batches(store: TableStore, model: Model) -> None:
+    """A row-wise model follows its source batch by batch: only batches it
+    lacks are read, those the source no longer has are dropped."""
+    source, = model.sources
+    want, have = store.batches(source), set(store.batches(model.table))
+    if not have and store.exists(model.table):
+        store.drop(model.table)              # written whole before
+    for batch in want:
+        if batch not in have:
+            df = model.per_batch(store.read_batch(source, batch))
+            quality.enforce_contract(df, model.name)
+            store.write_batch(model.table, df, batch)
+    for batch in have - set(want):
+        store.drop_batch(model.table, batch)

@@ -52,13 +52,11 @@ def build_session(master: str | None = None, app_name: str = "millrace",
 
 
 def apply_semantics(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable semantic settings to an existing session."""
+    """Apply the semantic settings to an existing session.  Those that a
+    session can't change (static ones) are left as they are."""
     for key, value in SEMANTIC_CONF.items():
-        try:
-            if spark.conf.get(key, None) != value:
-                spark.conf.set(key, value)
-        except Exception:  # static conf on a shared session: leave it
-            pass
+        if spark.conf.get(key, None) != value and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 
@@ -69,25 +67,15 @@ def shared_dir(spark: SparkSession) -> str:
     session has none (local tests) is a private one created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        active = spark.sparkContext.getCheckpointDir()
-    except Exception:
-        active = None
-    if configured and not active:
-        try:  # make DataFrame.checkpoint() use the cluster's folder
-            spark.sparkContext.setCheckpointDir(configured)
-        except Exception:
-            pass
+    active = spark.sparkContext.getCheckpointDir()
+    if configured and not active:        # DataFrame.checkpoint() uses the cluster's folder
+        spark.sparkContext.setCheckpointDir(configured)
     configured = configured or active
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
     local = tempfile.mkdtemp(prefix="millrace-ckpt-")
-    try:
-        spark.sparkContext.setCheckpointDir(local)
-    except Exception:
-        pass
-    try:
-        spark.conf.set("spark.checkpoint.dir", local)
-    except Exception:
-        pass
+    spark.sparkContext.setCheckpointDir(local)      # the next call finds it there
     return local

@@ -2,8 +2,9 @@
 
 * Names are checked against a strict ``schema.table`` pattern before any path
   is built (BRZ-9 / SNK-3) — one rule for ingest and export.
-* Silver / Mart models are full refreshes (BLD-2): written to a sibling
-  temporary folder and swapped in by rename, so readers never see half a table
+* Silver ERP and workflow are row-wise and follow Bronze batch by batch; the
+  other models are full refreshes (BLD-2): written to a sibling temporary
+  folder and swapped in by rename, so readers never see half a table
   and a model may read the table it replaces.
 * Bronze tables are append-only sets of batches: each load writes a temporary
   sibling and renames it to the partition folder ``_batch=<batch id>``, so a
@@ -210,6 +211,10 @@ class TableStore:
     def drop_batch(self, table: str, batch_id: str) -> None:
         self.fs.delete(f"{self.path(table)}/{BATCH_COLUMN}={batch_id}")
 
+    def drop(self, table: str) -> None:
+        """Remove a table with its columns."""
+        self.fs.delete(self.path(table))
+
     def append(self, table: str, df: DataFrame) -> None:
         """Append-only write (ledger records)."""
         df.write.mode("append").parquet(self.path(table))

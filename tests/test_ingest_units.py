@@ -355,3 +355,21 @@ def test_rank_keeps_rows_with_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1), ("a", 3)], "k string, t int")
     got = sorted(map(str, rank_desc(df, ["k"], ["t"]).collect()))
     assert got == sorted(map(str, rank_desc_window(df, ["k"], ["t"]).collect()))
+
+
+def test_silver_follows_bronze_batch_by_batch(spark, tmp_root):
+    from millrace.plans.models import build
+    _write(f"{tmp_root}/src/a.csv", "SUPPLIER_ID,INVOICE_NUMBER,UNIT_PRICE\nS1,I1,2.50\n,I2,1\n")
+    cfg = {"bronze_table": "bronze.erp"}
+    store, _ = _load(spark, tmp_root, cfg, "r1", "erp")
+    assert build(store, "stg_erp")[0][2] == 1
+    first = {n: os.listdir(f"{tmp_root}/wh/silver/erp/{n}") for n in os.listdir(f"{tmp_root}/wh/silver/erp") if "=" in n}
+    _write(f"{tmp_root}/src/b.csv", "SUPPLIER_ID,INVOICE_NUMBER,UNIT_PRICE\nS2,I3,x\n")
+    _load(spark, tmp_root, cfg, "r2", "erp")
+    assert build(store, "stg_erp")[0][2] == 2
+    after = {n: os.listdir(f"{tmp_root}/wh/silver/erp/{n}") for n in os.listdir(f"{tmp_root}/wh/silver/erp") if "=" in n}
+    assert len(after) == 2 and {k: after[k] for k in first} == first       # the first batch wasn't written again
+    # a replace load leaves one Bronze batch, so one of Silver
+    _load(spark, tmp_root, {**cfg, "append": False}, "r3", "erp")
+    assert build(store, "stg_erp")[0][2] == 2 and store.batches("silver.erp") == ["erp.r3"]
+    assert {(r.supplier_id, str(r.unit_price)) for r in store.read("silver.erp").collect()} == {("S1", "2.50"), ("S2", "None")}
