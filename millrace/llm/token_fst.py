@@ -3,7 +3,8 @@
 A BPE piece model is compiled, as far as texts need it, into a deterministic
 transducer over characters.  A state holds what later characters can depend
 on: the longest suffix read that begins some piece, and for each place in it
-the last token of the text up to there, with token counts relative to now.  A
+from which a piece may go on the last token of the text up to there, with token
+counts relative to now.  A
 transition reads one character and is annotated with the change in the number
 of tokens.  The last token of a longer prefix is the one suffix piece that is
 compatible with the last token before it, i.e. the pair tokenizes to itself;
@@ -38,7 +39,7 @@ from millrace.llm.subword import per_process, tokenizer_path
 
 PIECE_MODEL = "piece_bpe_32k.model"
 SEGMENT = 1 << 16            # characters per state map
-STATES = 150_000             # compiled states kept; beyond, compilation starts again
+STATES = 400_000             # compiled states kept; beyond, compilation starts again
 STRETCHES = 400_000          # memoised stretches
 _STRETCH = re.compile(" +[^ ]*")
 _HEAD = re.compile(" *[^ ]*")
@@ -65,6 +66,7 @@ class Transducer:
         self.prefixes = {p[:k] for p in self.score for k in range(1, len(p) + 1)}
         self.touch = {p[k:k + 2] for p in self.score for k in range(len(p) - 1)}
         self.pairs: dict = {}
+        self.shapes: dict = {}
         self.memo: dict[str, int] = {}
         self._reset()
 
@@ -74,6 +76,26 @@ class Transducer:
         self.moves: list[dict] = []
         self.start = self._state(("", (None,), (0,)))
 
+    def _live(self, suffix: str) -> list[int]:
+        """Places in a suffix from which a piece may go on, and its end."""
+        return [k for k in range(len(suffix)) if suffix[k:] in self.prefixes] + [len(suffix)]
+
+    def _shape(self, suffix: str, ch: str) -> tuple:
+        """What reading ``ch`` behind a suffix means whatever came before: the
+        pieces that may end here (place, piece; longest first), the next suffix,
+        the places it keeps, and whether what is before them still matters."""
+        got = self.shapes.get((suffix, ch))
+        if got is None:
+            if len(self.shapes) >= STRETCHES:
+                self.shapes.clear()
+            read, at = suffix + ch, {k: i for i, k in enumerate(self._live(suffix))}
+            ends = [(at[k], read[k:]) for k in range(len(read)) if read[k:] in self.score]
+            keep = next((k for k in range(len(read)) if read[k:] in self.prefixes), len(read))
+            take = [at[keep + k] for k in self._live(read[keep:])[:-1]]
+            cut = 0 < keep < len(read) and read[keep - 1:keep + 1] not in self.touch
+            got = self.shapes[suffix, ch] = (ends, read[keep:], take, cut)
+        return got
+
     def _state(self, key: tuple) -> int:
         got = self.index.get(key)
         if got is None:
@@ -107,24 +129,24 @@ class Transducer:
 
     def _compile(self, state: int, ch: str) -> tuple[int, int]:
         suffix, last, count = self.keys[state]
-        if last[-1] is not None and last[-1][-1] + ch not in self.touch:
+        if suffix and suffix[-1] + ch not in self.touch:
             # nothing before can matter any more
             suffix, last, count = "", (None,), (0,)
-        read = suffix + ch
-        token, value = None, 0
-        for k in range(len(read)):
-            piece = read[k:]
-            if piece in self.score and self._compatible(last[k], piece):
-                token, value = piece, count[k] + 1
+        ends, after, take, cut = self._shape(suffix, ch)
+        for i, piece in ends:
+            if self._compatible(last[i], piece):
+                token, value = piece, count[i] + 1
                 break
-        if token is None:
+        else:
             # a character without a piece: its bytes, and nothing merges with it
-            token, value = ch, count[-1] + len(ch.encode("utf-8", "surrogatepass"))
-        keep = next((k for k in range(len(read)) if read[k:] in self.prefixes), len(read))
-        last, count = (*last, token)[keep:], (*count, value)[keep:]
-        if keep and keep < len(read) and (last[0] is None or last[0][-1] + read[keep] not in self.touch):
-            last = (None, *last[1:])
-        key = (read[keep:], last, tuple(c - value for c in count))
+            token, value = None, count[-1] + len(ch.encode("utf-8", "surrogatepass"))
+        if after:
+            last = (*[last[i] for i in take], token)
+            if cut:
+                last = (None, *last[1:])
+            key = (after, last, (*[count[i] - value for i in take], 0))
+        else:
+            key = ("", (None,), (0,))
         moves = self.moves[state]
         moves[ch] = got = (self._state(key), value)
         return got
