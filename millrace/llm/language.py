@@ -98,13 +98,20 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _features(texts: list[str], config: Config) -> list[np.ndarray]:
-    out: list[list[np.ndarray]] = [[] for _ in texts]
-    data, offsets = tx.column_bytes(pa.array(texts, pa.large_string()))
-    for bucket, first in grams(data, offsets, config):
-        for i in range(len(texts)):
-            out[i].append(bucket[first[i]:first[i + 1]])
-    return [np.concatenate(x) for x in out]
+def _features(texts: list[str], config: Config, chunk: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of every text's n-grams, one after the other, and the texts' ranges."""
+    kind = np.uint16 if config.buckets_log2 <= 16 else np.uint32
+    out, size = [], []
+    for lo in range(0, len(texts), chunk):
+        some = texts[lo:lo + chunk]
+        data, offsets = tx.column_bytes(pa.array(some, pa.large_string()))
+        parts = list(grams(data, offsets, config))
+        for i in range(len(some)):
+            own = np.concatenate([bucket[first[i]:first[i + 1]].astype(kind) for bucket, first in parts])
+            out.append(own)
+            size.append(len(own))
+    first = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    return (np.concatenate(out) if out else np.empty(0, kind)), first
 
 
 def train(rows: list[tuple[str, str]], config: Config) -> Model | None:
@@ -120,11 +127,11 @@ def train(rows: list[tuple[str, str]], config: Config) -> Model | None:
     texts, target = [], []
     for lang, text in fit:           # the text and a short piece of it
         size = int(rng.integers(12, 120))
-        at = int(rng.integers(0, max(1, len(text) - size)))
-        texts += [text, text[at:at + size]]
+        place = int(rng.integers(0, max(1, len(text) - size)))
+        texts += [text, text[place:place + size]]
         target += [label[lang]] * 2
-    feats, y = _features(texts, config), np.array(target)
-    use = np.array([i for i, f in enumerate(feats) if len(f)], np.int64)
+    (feats, at), y = _features(texts, config), np.array(target)
+    use = np.flatnonzero(np.diff(at))
     emb = rng.uniform(-1 / config.dim, 1 / config.dim, (1 << config.buckets_log2, config.dim)).astype(np.float32)
     w, b = np.zeros((len(languages), config.dim), np.float32), np.zeros(len(languages), np.float32)
     step = 0
@@ -132,8 +139,8 @@ def train(rows: list[tuple[str, str]], config: Config) -> Model | None:
         order = rng.permutation(use)
         for lo in range(0, len(order), config.batch):
             pick = order[lo:lo + config.batch]
-            sizes = np.array([len(feats[i]) for i in pick])
-            f = np.concatenate([feats[i] for i in pick])
+            sizes = at[pick + 1] - at[pick]
+            f = np.concatenate([feats[at[i]:at[i + 1]] for i in pick])
             first = np.concatenate([[0], np.cumsum(sizes)])
             h = _sums(emb, f, first) / sizes[:, None]
             g = _softmax(h @ w.T + b)
@@ -143,9 +150,9 @@ def train(rows: list[tuple[str, str]], config: Config) -> Model | None:
             w -= rate * (g.T @ h)
             b -= 0.1 * rate * g.sum(axis=0)
             by = np.argsort(f, kind="stable")
-            at = np.flatnonzero(np.concatenate([[True], f[by][1:] != f[by][:-1]]))
+            run = np.flatnonzero(np.concatenate([[True], f[by][1:] != f[by][:-1]]))
             owner = np.repeat(np.arange(len(pick)), sizes)[by]
-            emb[f[by][at]] -= np.add.reduceat(back[owner], at, axis=0).astype(np.float32)
+            emb[f[by][run]] -= np.add.reduceat(back[owner], run, axis=0).astype(np.float32)
             step += 1
     model = Model(languages, emb, w, b, 1.0, 0.0, config)
     if len(languages) <= config.dim:
@@ -216,7 +223,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             .where("text is not null and length(text) > 0")
             .select("lang", "pick", "id", F.substr("text", at, F.lit(config.sample_chars)).alias("text"))
             .orderBy("pick", "id", "text").limit(config.sample_rows).select("lang", "text").collect())
-    return train([(r["lang"], r["text"]) for r in rows], config)
+    model = train([(r["lang"], r["text"]) for r in rows], config)
+    tx.release()
+    return model
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

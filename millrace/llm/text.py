@@ -10,6 +10,7 @@ text itself.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -137,8 +138,18 @@ def heads(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def release() -> None:
+    """Give memory that is free back to the system (worker processes live on
+    between tasks, and the driver goes on too)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc
+    if trim is not None:
+        trim(0)
+
+
 def text_blocks(column) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) over blocks of whole rows."""
     data, offsets = column_bytes(column)
     for a, b in row_blocks(offsets):
         yield a, b, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+    release()
