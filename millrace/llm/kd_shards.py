@@ -82,8 +82,9 @@ def shards(docs: DataFrame, count: int = 16, id_col: str = "doc_id", text_col: s
         for n, c in cuts.items():
             right = F.when(F.col("node") == n, _beyond(c)).otherwise(right)
         points = ws.put(f"level{level}", placed.withColumn("node", (F.col("node") * 2 + right.cast("int")).cast("int")))
+        ws.drop(f"level{level - 1}" if level else "points")
         node = F.col("node")
-    return _slots(ws, points.withColumn("node", node), id_col, slot_partitions)
+    return _slots(ws, points.withColumn("node", node), f"level{depth - 1}" if depth else "points", id_col, slot_partitions)
 
 
 def _digits(axis: int) -> list[Column]:
@@ -140,7 +141,7 @@ def _beyond(cut: dict) -> Column:
     return out
 
 
-def _slots(ws: Workspace, points: DataFrame, id_col: str, partitions: int | None) -> DataFrame:
+def _slots(ws: Workspace, points: DataFrame, last: str, id_col: str, partitions: int | None) -> DataFrame:
     """Number each shard's rows: range partitions in (shard, crc, id) order, row
     numbers inside a partition, and per partition the rows of its shard before."""
     spark = points.sparkSession
@@ -148,6 +149,7 @@ def _slots(ws: Workspace, points: DataFrame, id_col: str, partitions: int | None
     order = ["node", "crc", "key"]
     placed = points.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
     placed = ws.put("ordered", placed.select("id", "size", "crc", "node", "at"))
+    ws.drop(last)
     part = F.shiftright("at", 33).alias("part")
     # one row for each partition and shard in it: at most partitions + shards
     counts = placed.groupBy("node", part).agg(F.count("*").alias("n"), F.min("at").alias("first")).select(

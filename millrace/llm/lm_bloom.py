@@ -215,6 +215,7 @@ def fit(docs: DataFrame, ws: Workspace, text_col: str = "text", config: Config |
     held, kinds = sum(r["total"] for r in levels), sum(r["grams"] for r in levels)
     rare = (tokens - held + config.smooth) / (types - kinds + 1) / (tokens + config.smooth * (types + 1))
     mean *= tokens / (tokens + config.smooth * (types + 1))
+    ws.drop(*[f"grams{n}" for n in range(1, config.order + 1)])
     exact = words.where(F.col("n") >= max(1, -(-tokens // config.exact_words))).toPandas()
     key = exact["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(key)

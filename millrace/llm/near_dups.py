@@ -172,6 +172,7 @@ def components(ws: Workspace, links: DataFrame, name: str) -> DataFrame:
         small = (edges.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).distinct())
         edges, before = ws.put(f"{name}_{k}", small), now
+        ws.drop(f"{name}_{k - 1}", f"{name}_{k}a")
         now = totals(edges)
         if now == before:
             break
@@ -279,6 +280,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     last = ws.put("components", last)
     classes = ws.put("classes", reps.select("n_shingles", "print_a", "print_b", "id").join(last, "id", "left")
                      .select("n_shingles", "print_a", "print_b", F.coalesce("component", "id").alias("component")))
+    # what follows reads the sketches and the classes only
+    ws.drop("reps", "members", "pairs", "sets", "links", "first", "mixed", "active", "more", "components")
     out = sketches.select("id", "n_shingles", "print_a", "print_b").join(classes, ["n_shingles", "print_a", "print_b"], "left")
     component = F.coalesce("component", "id")
     kept = F.coalesce(F.col("id") == component, component.isNull())

@@ -24,10 +24,11 @@ class Workspace:
     def get(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}")
 
-    def drop(self, name: str) -> None:
-        """Remove a table that no later step reads."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *names: str) -> None:
+        """Remove tables that no later step reads."""
+        for name in names:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
