@@ -11,12 +11,16 @@ string goes to the library whole.
 
 from __future__ import annotations
 
+import re
 import sys
 import types
+from array import array
 from collections.abc import Callable
 
 MEMO_UNITS = 400_000        # entries kept per process; beyond, the memo starts again
 BYTE_BPE = "byte_bpe_50k.json"
+# Latin letters, then ASCII punctuation: the pattern makes one piece of each
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\\[-`{-~]*)").fullmatch
 
 
 def per_process(name: str, make: Callable):
@@ -48,9 +52,7 @@ class Encoder:
     """``encode(text)``: ids as little-endian uint32 bytes."""
 
     def __init__(self, path: str | None = None):
-        import numpy as np
         from tokenizers import Tokenizer
-        self._np = np
         self.library = Tokenizer.from_file(path or tokenizer_path(BYTE_BPE))
         self.library.no_padding()
         self.library.no_truncation()
@@ -65,8 +67,15 @@ class Encoder:
         self._first: dict[str, bytes] = {}      # unit at a text's start
         self._piece: dict[str, bytes] = {}      # single pieces
 
+    @staticmethod
+    def _bytes(ids: list[int]) -> bytes:
+        out = array("I", ids)
+        if sys.byteorder != "little":
+            out.byteswap()
+        return out.tobytes()
+
     def whole(self, text: str) -> bytes:
-        return self._np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._bytes(self.library.encode(text, add_special_tokens=False).ids)
 
     def _word(self, piece: str) -> bytes:
         got = self._piece.get(piece)
@@ -74,19 +83,15 @@ class Encoder:
             if len(self._piece) >= MEMO_UNITS:
                 self._piece.clear()
             symbols = piece.encode().decode("latin-1").translate(self._symbols)
-            got = self._piece[piece] = self._np.array([t.id for t in self._model.tokenize(symbols)], "<u4").tobytes()
+            got = self._piece[piece] = self._bytes([t.id for t in self._model.tokenize(symbols)])
         return got
 
-    @staticmethod
-    def _letters(s: str) -> bool:
-        return s.isalpha() and max(s) < "ɐ"
-
     def _unit(self, unit: str, lead: str) -> bytes:
         """Ids of ``lead + unit``; lead is a space or nothing."""
-        if self._letters(unit):
-            return self._word(lead + unit)
-        if unit[-1:] in (".", ",") and self._letters(unit[:-1]):
-            return self._word(lead + unit[:-1]) + self._word(unit[-1])
+        plain = _PLAIN(unit)
+        if plain:
+            letters, marks = plain.groups()
+            return self._word(lead + letters) + self._word(marks) if marks else self._word(lead + letters)
         a, feed, b = unit.partition("\n")
         if feed and a and b and not a[-1].isspace() and not b[0].isspace():
             return self._unit(a, lead) + self._word("\n") + self._unit(b, "")
@@ -108,13 +113,13 @@ class Encoder:
         units = text.split(" ")
         parts = list(map(self._after.get, units))
         parts[0] = self._known(self._first, units[0], "") if units[0] else b""
-        if None in parts:
-            for i, p in enumerate(parts):
-                if p is None:
-                    u = units[i]
-                    if not u or u[0].isspace():
-                        return self._joined(units)
-                    parts[i] = self._known(self._after, u, " ")
+        i = -1
+        for _ in range(parts.count(None)):
+            i = parts.index(None, i + 1)
+            u = units[i]
+            if not u or u[0].isspace():
+                return self._joined(units)
+            parts[i] = self._known(self._after, u, " ")
         return b"".join(parts)
 
     def _joined(self, units: list[str]) -> bytes:
