@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millrace.llm.subword import encoder
+from millrace.llm.subword import encoder, per_process
 
 
 @dataclass(frozen=True)
@@ -55,24 +55,28 @@ def cut(position: np.ndarray, penalty: np.ndarray, config: Config, last: bool) -
     size, per = config.length, config.sequence_cost
     powers = [p for p in (1 << k for k in range(size.bit_length())) if config.least_power <= p <= size]
     pos, pen = position.tolist(), penalty.tolist()
-    index = {p: i for i, p in enumerate(pos)}
+    exact: dict[int, list[int]] = {}     # windows of an unpadded length, by their end
+    for n in powers:
+        start = np.searchsorted(position, position - n)
+        for k in np.flatnonzero(position[start] == position - n).tolist():
+            exact.setdefault(k, []).append(int(start[k]))
     cost, back = [0] * len(pos), [0] * len(pos)
-    queue: deque[int] = deque()          # candidates, cost + position ascending
     low = [0] * len(pos)                 # cost + position
-    for i in range(len(pos)):
+    queue: deque[int] = deque([0])       # candidates, cost + position ascending
+    low[0] = pos[0]
+    for i in range(1, len(pos)):
         p = pos[i]
-        if i:
-            while pos[queue[0]] < p - size:
-                queue.popleft()
-            j = queue[0]
-            best = low[j] + size - p
-            for n in powers:
-                k = index.get(p - n)
-                if k is not None and cost[k] < best:
+        while pos[queue[0]] < p - size:
+            queue.popleft()
+        j = queue[0]
+        best = low[j] + size - p
+        if i in exact:
+            for k in exact[i]:
+                if cost[k] < best:
                     best, j = cost[k], k
-            cost[i] = best + pen[i] + per
-            back[i] = j
-        low[i] = v = cost[i] + p
+        cost[i] = best = best + pen[i] + per
+        back[i] = j
+        low[i] = v = best + p
         while queue and low[queue[-1]] >= v:
             queue.pop()
         queue.append(i)
@@ -87,10 +91,11 @@ def cut(position: np.ndarray, penalty: np.ndarray, config: Config, last: bool) -
     return out[::-1]
 
 
-def _sentence_ends(vocabulary: int, library) -> np.ndarray:
+def _sentence_ends(library) -> np.ndarray:
     """Ids whose text ends a sentence: it has a line feed, or ends in . ! or ?"""
-    ends = np.zeros(vocabulary, bool)
-    for piece, i in library.get_vocab(with_added_tokens=True).items():
+    vocabulary = library.get_vocab(with_added_tokens=True)
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    for piece, i in vocabulary.items():
         ends[i] = "Ċ" in piece or piece[-1:] in (".", "!", "?")
     return ends
 
@@ -101,7 +106,7 @@ class Packer:
     def __init__(self, config: Config, first_sequence: int):
         self.config, self.sequence = config, first_sequence
         self.encoder = encoder(config.tokenizer)
-        self.ends = _sentence_ends(max(self.encoder.library.get_vocab(with_added_tokens=True).values()) + 1, self.encoder.library)
+        self.ends = per_process(f"sentence_ends:{config.tokenizer}", lambda: _sentence_ends(self.encoder.library))
         self.ids: list[np.ndarray] = []      # documents of the block, the first perhaps begun before
         self.docs: list[tuple[int, int, int]] = []   # id, ids before this part, all its ids
         self.held = 0
@@ -122,10 +127,13 @@ class Packer:
         stop = np.cumsum([len(x) for x in self.ids])
         begin = stop - [len(x) for x in self.ids]
         sentence = np.flatnonzero(self.ends[stream]) + 1
-        known = np.unique(np.concatenate([[0], sentence, stop]))
+        border = np.zeros(len(stream) + 1, bool)
+        border[0] = border[sentence] = border[stop] = True
+        known = np.flatnonzero(border)
         wide = np.flatnonzero(np.diff(known) > c.stride)
-        hard = [np.arange(known[k] + c.stride, known[k + 1], c.stride) for k in wide]
-        position = np.unique(np.concatenate([known, *hard]))
+        for k in wide:
+            border[known[k] + c.stride:known[k + 1]:c.stride] = True
+        position = np.flatnonzero(border)
         penalty = np.full(len(position), c.hard_cost)
         penalty[np.searchsorted(position, sentence)] = c.sentence_cost
         penalty[np.searchsorted(position, stop)] = 0
