@@ -17,7 +17,7 @@ import types
 from array import array
 from collections.abc import Callable
 
-MEMO_UNITS = 400_000        # entries kept per process; beyond, the memo starts again
+MEMO_UNITS = 300_000        # entries of a memo's newer half; as many older ones are kept
 BYTE_BPE = "byte_bpe_50k.json"
 # Latin letters, then ASCII punctuation: the pattern makes one piece of each
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\\[-`{-~]*)").fullmatch
@@ -48,6 +48,26 @@ def _byte_symbols() -> dict[int, str]:
     return table
 
 
+class Memo(dict):
+    """Bounded: when it is full, what it holds becomes the older half and what
+    that held is dropped; an older entry that is asked for becomes a new one."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict[str, bytes] = {}
+
+    def find(self, key: str, make: Callable[[str], bytes]) -> bytes:
+        """The value of a key that the newer half lacks."""
+        got = self.older.get(key)
+        if got is None:
+            got = make(key)
+        if len(self) >= MEMO_UNITS:
+            self.older = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
 class Encoder:
     """``encode(text)``: ids as little-endian uint32 bytes."""
 
@@ -63,9 +83,9 @@ class Encoder:
         self.plain = pre.startswith("ByteLevel") and "add_prefix_space=False" in pre and "use_regex=True" in pre \
             and self.library.normalizer is None
         self._symbols = _byte_symbols()
-        self._after: dict[str, bytes] = {}      # unit that follows a space
-        self._first: dict[str, bytes] = {}      # unit at a text's start
-        self._piece: dict[str, bytes] = {}      # single pieces
+        self._after = Memo()     # units that follow a space
+        self._first = Memo()     # units at a text's start
+        self._piece = Memo()     # single pieces
 
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
@@ -77,14 +97,13 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return self._bytes(self.library.encode(text, add_special_tokens=False).ids)
 
+    def _new_word(self, piece: str) -> bytes:
+        symbols = piece.encode().decode("latin-1").translate(self._symbols)
+        return self._bytes([t.id for t in self._model.tokenize(symbols)])
+
     def _word(self, piece: str) -> bytes:
         got = self._piece.get(piece)
-        if got is None:
-            if len(self._piece) >= MEMO_UNITS:
-                self._piece.clear()
-            symbols = piece.encode().decode("latin-1").translate(self._symbols)
-            got = self._piece[piece] = self._bytes([t.id for t in self._model.tokenize(symbols)])
-        return got
+        return self._piece.find(piece, self._new_word) if got is None else got
 
     def _unit(self, unit: str, lead: str) -> bytes:
         """Ids of ``lead + unit``; lead is a space or nothing."""
@@ -97,13 +116,9 @@ class Encoder:
             return self._unit(a, lead) + self._word("\n") + self._unit(b, "")
         return self.whole(lead + unit)
 
-    def _known(self, memo: dict, unit: str, lead: str) -> bytes:
+    def _known(self, memo: Memo, unit: str, lead: str) -> bytes:
         got = memo.get(unit)
-        if got is None:
-            if len(memo) >= MEMO_UNITS:
-                memo.clear()
-            got = memo[unit] = self._unit(unit, lead)
-        return got
+        return memo.find(unit, lambda u: self._unit(u, lead)) if got is None else got
 
     def encode(self, text: str) -> bytes:
         if not text:
