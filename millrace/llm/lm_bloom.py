@@ -1,20 +1,26 @@
 """Language-model scoring with a log-frequency Bloom filter (operator 1).
 
 Texts are lower-cased (A-Z) words followed by one end token; a text's n-grams
-run over end, words, end.  Counts of 1- to ``order``-grams are exact Spark
-aggregates of pre-summed 64-bit hashes over all training texts.  An n-gram
-enters the model when its count is at least t = max(1, N / capacity), N being
-the training tokens: at most ``capacity`` n-grams of an order can reach that,
-whatever the corpus, which bounds the filter.  (A longer n-gram can only reach
-t if its parts do, so n-grams with a part outside the filter aren't counted.)
-
-Counts are quantised: level q stands for counts from t*base**(q-1).  The filter
+run over end, words, end.  Counts of 1- to ``order``-grams are exact, over all
+training texts, and every n-gram that occurs enters the filter: no threshold,
+so what the model holds grows with the input.
+
+Counts are quantised: level q stands for counts from base**(q-1).  The filter
 holds (n-gram, 1) ... (n-gram, q); a lookup probes levels 1, 2, ... until one is
 missing.  The probability of a token is interpolated over the orders whose
 context the filter knows: an order gives lower bound of the n-gram's level /
 upper bound of the context's, so no context gets more than its mass; unigrams
-use the mean count of their level; words outside the filter share the mass of
-the words below t and of one unknown word, evenly.
+use the mean count of their level; a word outside the filter is the unknown one.
+
+The filter is cut into segments by ranges of the keys, as many as there are
+n-grams for, each sized by its entries.  n-grams travel packed: a task sums or
+deduplicates those of a chunk of text, sorts them, and sends each segment one
+row of them, so a common n-gram is one entry per chunk wherever it goes.  A
+filter of at most ``capacity`` entries is broadcast; a larger one stays a table,
+and blocks of texts send their distinct n-grams to the segments and get one byte
+of level for each back, in the same order.  Both ways give the same scores.  The filter
+takes 48 bits of a key: with 5e9 n-grams an absent one has another's key in
+2e-5 of the cases, far below the 3e-3 in which its probes are all set.
 
 The base score is exact: words of count N / exact_words or more (at most
 ``exact_words``) are looked up from a bounded broadcast table, the others by a
@@ -35,9 +41,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import bloom
 from millrace.llm import text as tx
-from millrace.llm.scratch import Workspace
+from millrace.llm.scratch import Workspace, sorted_groups
 
 END = np.uint64(0x5DEECE66D1CEB00C)      # the end token's hash
 
@@ -45,13 +50,15 @@ END = np.uint64(0x5DEECE66D1CEB00C)      # the end token's hash
 @dataclass(frozen=True)
 class Config:
     order: int = 3
-    capacity: int = 1 << 21          # most n-grams of one order in the filter
+    capacity: int = 1 << 22          # most entries of a filter that is broadcast (how, not what: same scores)
+    segment_grams: int = 1 << 21     # n-grams, repeats counted, for which there is a segment
     base: float = 1.5                # counts of one level differ by at most this factor
     bits_per_entry: int = 12
     probes: int = 8
     weights: tuple = (0.2, 0.15)     # of the 2-gram, 3-gram, ... estimates
     exact_words: int = 1 << 20       # most words in the broadcast table of exact counts
     chunk: int = 1 << 22             # n-grams summed in a task before they are shuffled
+    block_bytes: int = 1 << 22       # text whose n-grams are looked up together
     smooth: float = 0.1
 
 
@@ -70,47 +77,115 @@ def level_key(key: np.ndarray, order: int, level) -> np.ndarray:
     return tx.mix(key ^ tx.mix(np.atleast_1d(np.asarray(level, np.uint64)) + np.uint64(1000 * order)))
 
 
+COUNT = np.uint64((1 << 16) - 1)     # the low bits of a packed key hold a count
+
+
+def pack(key: np.ndarray) -> bytes:
+    """Ascending uint64 keys as differences, byte planes apart (most are zero)."""
+    return np.ascontiguousarray(np.diff(key, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    step = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    return np.cumsum(step, dtype=np.uint64)
+
+
+def sliced(key: np.ndarray, order: int, cuts: int) -> Iterator[tuple[int, slice]]:
+    """(slot, range) of ascending keys for each of the order's 2**cuts segments that has some."""
+    edge = np.searchsorted(key, np.arange(1 << cuts, dtype=np.uint64) << np.uint64(64 - cuts))
+    edge = np.append(edge, len(key))
+    for k in np.flatnonzero(np.diff(edge)).tolist():
+        yield order << 40 | k, slice(int(edge[k]), int(edge[k + 1]))
+
+
+def _spots(key: np.ndarray, size, probes: int) -> Iterator[np.ndarray]:
+    a = tx.mix(key)
+    b = tx.mix(a) | np.uint64(1)
+    for k in range(probes):
+        yield (((a + np.uint64(k) * b) >> np.uint64(20)) % size).astype(np.int64)
+
+
+def segment_bits(key: np.ndarray, n: np.ndarray, order: int, config: Config) -> tuple[int, np.ndarray]:
+    """(entries, bit array) of one segment's n-grams and counts."""
+    q = (np.floor(np.log(n) / np.log(config.base) + 1e-9) + 1).astype(np.int64)
+    entries = int(q.sum())
+    bits = np.zeros(max(1, -(-entries * config.bits_per_entry // 8)) * 8, bool)
+    for level in range(1, int(q.max(initial=0)) + 1):
+        for at in _spots(level_key(key[q >= level], order, level), np.uint64(len(bits)), config.probes):
+            bits[at] = True
+    return entries, np.packbits(bits)
+
+
 class Filter:
-    """Levels of n-grams by repeated probes, one bit array per order."""
+    """Levels of n-grams by repeated probes, one list of segments per order."""
+
+    def __init__(self, config: Config, cuts: int):
+        self.config, self.cuts, self.orders = config, cuts, {}
 
-    def __init__(self, config: Config, t: int):
-        self.config, self.t, self.bits = config, t, []
+    def hold(self, order: int, segments: dict[int, np.ndarray]) -> None:
+        """The bit arrays of an order's segments (those that have entries)."""
+        parts = [segments.get(k, np.zeros(1, np.uint8)) for k in range(1 << self.cuts)]
+        size = np.array([8 * len(x) for x in parts], np.uint64)
+        self.orders[order] = np.concatenate(parts), np.cumsum(size).astype(np.int64) - size.astype(np.int64), size
 
     def levels(self, key: np.ndarray, order: int) -> np.ndarray:
         """Level of each key (0: not in the model)."""
-        unique, back = np.unique(key, return_inverse=True)
-        out = np.zeros(len(unique), np.int64)
-        left, level = np.arange(len(unique)), 1
+        unique, back = np.unique(key & ~COUNT, return_inverse=True)
+        return self.probe(unique, order)[back]
+
+    def probe(self, key: np.ndarray, order: int) -> np.ndarray:
+        flat, begin, size = self.orders[order]
+        part = (key >> np.uint64(64 - self.cuts)).astype(np.int64)
+        out = np.zeros(len(key), np.int64)
+        left, level = np.arange(len(key)), 1
         while len(left):
-            left = left[bloom.contains(self.bits[order - 1], level_key(unique[left], order, level), self.config.probes)]
+            some = np.arange(len(left))
+            for at in _spots(level_key(key[left], order, level), size[part[left]], self.config.probes):
+                at = at[some] + begin[part[left[some]]]
+                hit = (flat[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+                some = some[hit]
+            left = left[some]
             out[left] = level
             level += 1
-        return out[back]
+        return out
 
     def low(self, level: np.ndarray) -> np.ndarray:
-        return np.where(level > 0, self.t * self.config.base ** (level - 1.0), 0.0)
+        return np.where(level > 0, self.config.base ** (level - 1.0), 0.0)
 
     def high(self, level: np.ndarray) -> np.ndarray:
-        return np.where(level > 0, self.t * self.config.base ** level.astype(float), np.inf)
+        return np.where(level > 0, self.config.base ** level.astype(float), np.inf)
 
     def grams(self, seq: np.ndarray, row: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(keys, first token, level) for the orders up to ``order``; a level is
-        only probed where both parts are in the model."""
+        """(keys, first token, level) for the orders up to ``order``; a level
+        only counts where both parts are in the model."""
         out = [(seq, np.arange(len(seq)), self.levels(seq, 1))]
         for n in range(2, order + 1):
             key, at = tx.windows(seq, row, n)
             shorter = np.zeros(len(seq), np.int64)
             shorter[out[-1][1]] = out[-1][2]
             may = (shorter[at] > 0) & (shorter[at + 1] > 0)
-            level = np.zeros(len(key), np.int64)
-            if len(self.bits) >= n:
-                level[may] = self.levels(key[may], n)
-            out.append((key, at, np.where(may, level, -1)))
+            level = np.full(len(key), -1, np.int64)
+            level[may] = self.levels(key[may], n)
+            out.append((key, at, level))
         return out
 
 
-def _counted(src: DataFrame, order: int, model: Filter | None, config: Config) -> DataFrame:
-    """Exact counts (key, n) of the n-grams of one order over ``src`` (text)."""
+class Answered(Filter):
+    """Levels of one block's n-grams as its segments gave them back."""
+
+    def levels(self, key: np.ndarray, order: int) -> np.ndarray:
+        unique, level = self.orders[order]
+        return level[np.searchsorted(unique, key & ~COUNT)]
+
+
+def block_keys(seq: np.ndarray, row: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(order, distinct keys, ascending) of a block's n-grams."""
+    for n in range(1, order + 1):
+        yield n, np.unique((seq if n == 1 else tx.windows(seq, row, n)[0]) & ~COUNT)
+
+
+def _counted(src: DataFrame, config: Config) -> DataFrame:
+    """Exact counts (key, n) of the words of ``src`` (text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held = [], 0
 
@@ -121,15 +196,10 @@ def _counted(src: DataFrame, order: int, model: Filter | None, config: Config) -
         for batch in batches:
             for _, _, data, offsets in tx.text_blocks(batch.column(0)):
                 seq, row, _ = sequences(data, offsets)
-                if order == 1:       # without the end token before the text
-                    first = np.ones(len(row), bool)
-                    first[1:] = row[1:] != row[:-1]
-                    key = seq[~first]
-                else:
-                    key, _, level = model.grams(seq, row, order)[-1]
-                    key = key[level >= 0]
-                held.append(key)
-                n_held += len(key)
+                first = np.ones(len(row), bool)      # without the end token before the text
+                first[1:] = row[1:] != row[:-1]
+                held.append(seq[~first])
+                n_held += len(held[-1])
                 if n_held >= config.chunk:
                     yield summed()
                     held, n_held = [], 0
@@ -139,27 +209,87 @@ def _counted(src: DataFrame, order: int, model: Filter | None, config: Config) -
     return src.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _levelled(counts: DataFrame, t: int, config: Config) -> DataFrame:
-    """Counts that reach t, with their level."""
-    q = (F.floor(F.log(F.col("n") / F.lit(float(t))) / F.lit(float(np.log(config.base))) + F.lit(1e-9)) + 1).cast("bigint")
-    return counts.where(F.col("n") >= t).withColumn("q", q)
+PACKED = "slot bigint, data binary"
+
+
+def _summed(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, ascending, and counts of keys with counts in their low bits."""
+    data = np.sort(data)
+    key = data & ~COUNT
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], np.add.reduceat((data & COUNT).astype(np.int64), first)
+
+
+def _packed(data: np.ndarray, order: int, cuts: int) -> pa.RecordBatch:
+    """A chunk's n-grams with counts, summed, one row per segment."""
+    key, n = _summed(data)
+    times = -(-n // int(COUNT))          # larger counts take several entries
+    key, n, rest = np.repeat(key, times), np.full(times.sum(), int(COUNT)), n - (times - 1) * int(COUNT)
+    n[np.cumsum(times) - times] = rest
+    data = np.sort(key | n.astype(np.uint64))
+    slot, rows = zip(*((slot, pack(data[at])) for slot, at in sliced(data, order, cuts)))
+    return pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(rows, pa.binary())], names=["slot", "data"])
+
+
+def _words_packed(words: DataFrame, cuts: int, config: Config) -> DataFrame:
+    most = F.lit(int(COUNT))
+    parts = F.when(F.col("n") <= most, F.array("n")).otherwise(
+        F.concat(F.array_repeat(most.cast("bigint"), F.floor((F.col("n") - 1) / most).cast("int")), F.array((F.col("n") - 1) % most + 1)))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held = [], 0
+        for batch in batches:
+            held.append(batch.column(0).to_numpy().astype(np.int64).view(np.uint64) & ~COUNT | batch.column(1).to_numpy().astype(np.uint64))
+            n_held += batch.num_rows
+            if n_held >= config.chunk:
+                yield _packed(np.concatenate(held), 1, cuts)
+                held, n_held = [], 0
+        if n_held:
+            yield _packed(np.concatenate(held), 1, cuts)
 
-def _add_order(model: Filter, grams: DataFrame, order: int, config: Config) -> list:
-    """Build the bit array of one order; returns (level, n-grams, total count) rows."""
-    levels = grams.groupBy("q").agg(F.count("*").alias("grams"), F.sum("n").alias("total")).collect()
-    entries = sum(r["q"] * r["grams"] for r in levels)
-    segments = max(1, -(-entries * config.bits_per_entry // bloom.SEGMENT_BITS))
+    return words.select("key", F.explode(parts).alias("n")).mapInArrow(run, PACKED)
 
+
+def _grams_packed(src: DataFrame, cuts: int, config: Config) -> DataFrame:
+    """Summed 2- to ``order``-grams of chunks of text, one row per chunk and segment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held = {n: [] for n in range(2, config.order + 1)}, 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for order, keys in held.items():
+                key = np.concatenate(keys)
+                keys.clear()
+                if len(key):
+                    yield _packed(key & ~COUNT | np.uint64(1), order, cuts)
+
         for batch in batches:
-            key = batch.column(0).to_numpy().astype(np.int64).view(np.uint64)
-            q = batch.column(1).to_numpy().astype(np.int64)
-            level = np.arange(q.sum()) - np.repeat(np.cumsum(q) - q, q) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(level_key(np.repeat(key, q), order, level).view(np.int64))], names=["key"])
+            for _, _, data, offsets in tx.text_blocks(batch.column(0)):
+                seq, row, _ = sequences(data, offsets)
+                for order, keys in held.items():
+                    keys.append(tx.windows(seq, row, order)[0])
+                n_held += len(seq)
+                if n_held >= config.chunk:
+                    yield from out()
+                    n_held = 0
+        if n_held:
+            yield from out()
+        tx.release()
+
+    return src.mapInArrow(run, PACKED)
+
+
+def _segments(packed: DataFrame, config: Config) -> DataFrame:
+    """(slot, entries, bits) of each segment, from the rows of its chunks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, 1):
+            slot = group.column(0)[0].as_py()
+            key, n = _summed(np.concatenate([unpack(x.as_py()) for x in group.column(1)]))
+            entries, bits = segment_bits(key, n, slot >> 40, config)
+            yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int64()), pa.array([entries], pa.int64()), pa.array([bits.tobytes()], pa.binary())],
+                                             names=["slot", "entries", "bits"])
+        tx.release()
 
-    model.bits.append(bloom.build(grams.select("key", "q").mapInArrow(run, "key bigint"), int(segments), config.probes))
-    return levels
+    return packed.repartition("slot").sortWithinPartitions("slot").mapInArrow(run, "slot bigint, entries bigint, bits binary")
 
 
 @dataclass
@@ -168,14 +298,14 @@ class Model:
     tokens: int                  # N
     types: int                   # V
     level_mean: np.ndarray       # unigrams: mean count by level
-    rare: float                  # probability of one word outside the filter
+    rare: float                  # probability of the unknown word
     exact_key: np.ndarray        # frequent words' hashes, ascending, and their counts
     exact_count: np.ndarray
 
-    def token_logs(self, seq: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def token_logs(self, seq: np.ndarray, row: np.ndarray, f: Filter) -> tuple[np.ndarray, np.ndarray]:
         """(position, log10 probability) of every token after a row's first."""
-        f, c = self.filter, self.filter.config
-        grams = f.grams(seq, row, min(c.order, len(f.bits)))
+        c = f.config
+        grams = f.grams(seq, row, c.order)
         target = np.flatnonzero(np.concatenate([[False], row[1:] == row[:-1]]))
         level = grams[0][2]
         p = np.where(level > 0, self.level_mean[np.minimum(level, len(self.level_mean) - 1)] / max(1, self.tokens), self.rare)
@@ -192,45 +322,138 @@ class Model:
         return target, np.log10(p[target])
 
 
+def _put(ws: Workspace, name: str, df: DataFrame) -> DataFrame:
+    """``ws.put``; what the write shuffled is removed with its end, not at some later collection."""
+    conf, key = ws.spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return ws.put(name, df)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def fit(docs: DataFrame, ws: Workspace, text_col: str = "text", config: Config | None = None) -> tuple[Model, DataFrame]:
     """Train on all rows of ``docs``; returns the model and the table of word counts (key, n)."""
     config = config or Config()
     src = docs.select(docs[text_col].alias("text"))
-    words = ws.put("words", _counted(src, 1, None, config))
+    words = _put(ws, "words", _counted(src, config))
     r = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     tokens, types = r["n"], r["v"]
-    t = max(1, -(-tokens // config.capacity))
-    model = Filter(config, t)
-    grams = ws.put("grams1", _levelled(words, t, config))
-    levels = _add_order(model, grams, 1, config)
-    sc = docs.sparkSession.sparkContext
-    for n in range(2, config.order + 1):
-        sent = sc.broadcast(model)
-        counts = _counted_with(src, n, sent, config)
-        _add_order(model, ws.put(f"grams{n}", _levelled(counts, t, config)), n, config)
-        sent.unpersist()
+    cuts = max(1, int(np.ceil(np.log2(max(1, tokens) / config.segment_grams))))
+    packed = _words_packed(words, cuts, config).union(_grams_packed(src, cuts, config))
+    segments = _put(ws, "segments", _segments(packed, config))
+    model = Filter(config, cuts)
+    if (segments.agg(F.sum("entries")).first()[0] or 0) <= config.capacity:
+        got = {r["slot"]: np.frombuffer(r["bits"], np.uint8) for r in segments.collect()}
+        for n in range(1, config.order + 1):
+            model.hold(n, {slot & (1 << 40) - 1: x for slot, x in got.items() if slot >> 40 == n})
+    q = (F.floor(F.log("n") / F.lit(float(np.log(config.base))) + F.lit(1e-9)) + 1).cast("bigint")
+    levels = words.groupBy(q.alias("q")).agg(F.count("*").alias("grams"), F.sum("n").alias("total")).collect()
     mean = np.zeros(max([r["q"] for r in levels], default=0) + 1)
     for r in levels:
         mean[r["q"]] = r["total"] / r["grams"]
-    held, kinds = sum(r["total"] for r in levels), sum(r["grams"] for r in levels)
-    rare = (tokens - held + config.smooth) / (types - kinds + 1) / (tokens + config.smooth * (types + 1))
+    rare = config.smooth / (tokens + config.smooth * (types + 1))
     mean *= tokens / (tokens + config.smooth * (types + 1))
-    ws.drop(*[f"grams{n}" for n in range(1, config.order + 1)])
     exact = words.where(F.col("n") >= max(1, -(-tokens // config.exact_words))).toPandas()
     key = exact["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(key)
     return Model(model, tokens, types, mean, rare, key[order], exact["n"].to_numpy(np.int64)[order]), words
 
 
-def _counted_with(src: DataFrame, order: int, sent, config: Config) -> DataFrame:
-    class Late:                          # the broadcast is read on the worker
-        def grams(self, *a):
-            return sent.value.grams(*a)
-
-    return _counted(src, order, Late(), config)
-
+def _scored(m: Model, f: Filter, ids: pa.Array, seq: np.ndarray, row: np.ndarray, serial: int) -> Iterator[pa.RecordBatch]:
+    """A row for each text of a block, then its words that aren't in the broadcast table."""
+    n = len(ids)
+    at, logs = m.token_logs(seq, row, f)
+    c, floor = f.config, m.tokens + f.config.smooth * (m.types + 1)
+    key, owner = seq[at], row[at]
+    spot = np.minimum(np.searchsorted(m.exact_key, key), max(0, len(m.exact_key) - 1))
+    exact = m.exact_key[spot] == key if len(m.exact_key) else np.zeros(len(key), bool)
+    count = m.exact_count[spot[exact]] if exact.any() else np.empty(0, np.int64)
+    base = np.bincount(owner[exact], weights=np.log10((count + c.smooth) / floor), minlength=n).astype(np.float64)
+    known = np.bincount(owner[exact], minlength=n).astype(np.int64)
+    # the other words, summed per row
+    pair = np.stack([owner[~exact].astype(np.uint64), key[~exact]])
+    order = np.lexsort(pair[::-1])
+    pair = pair[:, order]
+    fresh = np.ones(pair.shape[1], bool)
+    fresh[1:] = (pair[:, 1:] != pair[:, :-1]).any(axis=0)
+    first = np.flatnonzero(fresh)
+    times = np.diff(np.concatenate([first, [pair.shape[1]]]))
+    k = len(first)
+    none = pa.nulls(k, pa.int64())
+    serials = serial + np.arange(n)
+    docs_part = [serials, tx.mix(serials.view(np.uint64)).view(np.int64), np.zeros(n, np.int64)]
+    rare_part = [serials[pair[0][first].astype(np.int64)], pair[1][first].view(np.int64), times.astype(np.int64)]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(docs_part[0]), pa.array(docs_part[1]), pa.array(docs_part[2]), ids,
+         pa.array(np.bincount(owner, minlength=n).astype(np.int64)), pa.array(known), pa.array(base),
+         pa.array(np.bincount(owner, weights=logs, minlength=n).astype(np.float64))], names=NAMES)
+    if k:
+        yield pa.RecordBatch.from_arrays(
+            [*map(pa.array, rare_part), pa.nulls(k, ids.type), none, none, pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())], names=NAMES)
+
+
+def _answered(src: DataFrame, kind: str, ws: Workspace, cuts: int, config: Config) -> DataFrame:
+    """(block, slot, ids, texts, levels): blocks of texts (slot -1), each followed
+    by the levels of its distinct n-grams, segment by segment, in key order."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        serial = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            _, offsets = tx.column_bytes(batch.column(1))
+            texts = batch.column(1).cast(pa.string()).fill_null("")
+            for a, b in tx.row_blocks(offsets, config.block_bytes):
+                ends = pa.array([0, b - a], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([serial], pa.int64()), pa.ListArray.from_arrays(ends, batch.column(0).slice(a, b - a)),
+                     pa.ListArray.from_arrays(ends, texts.slice(a, b - a))], names=["block", "ids", "texts"])
+                serial += b - a
 
-def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                seq, row, _ = sequences(*tx.column_bytes(batch.column(1)[i].values))
+                rows = [(slot, pack(key[at])) for order, key in block_keys(seq, row, config.order) for slot, at in sliced(key, order, cuts)]
+                slot, keys = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array([batch.column(0)[i].as_py()] * len(slot), pa.int64()),
+                                                  pa.array(keys, pa.binary())], names=["slot", "block", "data"])
+            tx.release()
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = None, None
+        for batch in batches:
+            block, slot, levels = [], [], []
+            for s, k, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if k < 0:                    # the segment comes before what is asked of it
+                    held, at = Filter(config, cuts), s
+                    held.hold(s >> 40, {s & (1 << 40) - 1: np.frombuffer(data, np.uint8)})
+                    continue
+                key = unpack(data)
+                got = held.probe(key, s >> 40) if at == s else np.zeros(len(key), np.int64)
+                block.append(k)
+                slot.append(s)
+                levels.append(got.astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(slot, pa.int64()), pa.array(levels, pa.binary())],
+                                             names=["block", "slot", "levels"])
+        tx.release()
+
+    # written, so that both reads see the same blocks; small row groups bound what a reader holds
+    cut_up = src.mapInArrow(cut, f"block bigint, ids array<{kind}>, texts array<string>")
+    cut_up.write.mode("overwrite").option("parquet.block.size", 1 << 24).parquet(f"{ws.path}/blocks")
+    blocks = ws.get("blocks")
+    asked = blocks.select("block", "texts").mapInArrow(ask, "slot bigint, block bigint, data binary")
+    bits = ws.get("segments").select("slot", F.lit(-1).cast("bigint").alias("block"), F.col("bits").alias("data"))
+    levels = _put(ws, "levels", asked.union(bits).repartition("slot").sortWithinPartitions("slot", "block")
+                  .mapInArrow(answer, "block bigint, slot bigint, levels binary"))
+    ws.drop("segments")
+    none = F.lit(None)
+    return (blocks.select("block", F.lit(-1).cast("bigint").alias("slot"), "ids", "texts", none.cast("binary").alias("levels"))
+            .union(levels.select("block", "slot", none.cast(f"array<{kind}>").alias("ids"), none.cast("array<string>").alias("texts"), "levels"))
+            .repartition("block").sortWithinPartitions("block", "slot"))
+
+
+def score(docs: DataFrame, model: Model, words: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_tokens, n_known, train_tokens, base_score, score."""
     c = model.filter.config
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -243,38 +466,44 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
         m, serial = sent.value, TaskContext.get().partitionId() << 33
         for batch in batches:
             for a, b, data, offsets in tx.text_blocks(batch.column(1)):
-                n = b - a
                 seq, row, _ = sequences(data, offsets)
-                at, logs = m.token_logs(seq, row)
-                key, owner = seq[at], row[at]
-                spot = np.minimum(np.searchsorted(m.exact_key, key), max(0, len(m.exact_key) - 1))
-                exact = m.exact_key[spot] == key if len(m.exact_key) else np.zeros(len(key), bool)
-                count = m.exact_count[spot[exact]] if exact.any() else np.empty(0, np.int64)
-                base = np.bincount(owner[exact], weights=np.log10((count + c.smooth) / floor), minlength=n).astype(np.float64)
-                known = np.bincount(owner[exact], minlength=n).astype(np.int64)
-                # the other words, summed per row
-                pair = np.stack([owner[~exact].astype(np.uint64), key[~exact]])
-                order = np.lexsort(pair[::-1])
-                pair = pair[:, order]
-                fresh = np.ones(pair.shape[1], bool)
-                fresh[1:] = (pair[:, 1:] != pair[:, :-1]).any(axis=0)
-                first = np.flatnonzero(fresh)
-                times = np.diff(np.concatenate([first, [pair.shape[1]]]))
-                k = len(first)
-                none = pa.nulls(k, pa.int64())
-                serials = serial + np.arange(n)
-                serial += n
-                docs_part = [serials, tx.mix(serials.view(np.uint64)).view(np.int64), np.zeros(n, np.int64)]
-                rare_part = [serials[pair[0][first].astype(np.int64)], pair[1][first].view(np.int64), times.astype(np.int64)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs_part[0]), pa.array(docs_part[1]), pa.array(docs_part[2]), batch.column(0).slice(a, n),
-                     pa.array(np.bincount(owner, minlength=n).astype(np.int64)), pa.array(known), pa.array(base),
-                     pa.array(np.bincount(owner, weights=logs, minlength=n).astype(np.float64))], names=NAMES)
-                if k:
-                    yield pa.RecordBatch.from_arrays(
-                        [*map(pa.array, rare_part), pa.nulls(k, batch.column(0).type), none, none, pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())], names=NAMES)
-
-    rows = src.mapInArrow(run, f"serial bigint, key bigint, times bigint, id {kind}, n_tokens bigint, n_known bigint, base double, score double")
+                yield from _scored(m, m.filter, batch.column(0).slice(a, b - a), seq, row, serial)
+                serial += b - a
+
+    def run_answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, held, answers = sent.value, None, []
+
+        def scored() -> Iterator[pa.RecordBatch]:
+            block, ids, texts = held
+            data, offsets = tx.column_bytes(texts)
+            seq, row, _ = sequences(data, offsets)
+            f = Answered(c, m.filter.cuts)
+            for order, key in block_keys(seq, row, c.order):
+                got = [np.frombuffer(x, np.uint8) for slot, x in answers if slot >> 40 == order]
+                f.orders[order] = key, np.concatenate(got or [np.empty(0, np.uint8)]).astype(np.int64)
+            # as many rows at once as without segments
+            for a, b in tx.row_blocks(offsets):
+                lo, hi = np.searchsorted(row, [a, b])
+                yield from _scored(m, f, ids.slice(a, b - a), seq[lo:hi], row[lo:hi] - a, block + a)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                slot = batch.column(1)[i].as_py()
+                if slot < 0:
+                    if held is not None:
+                        yield from scored()
+                    held, answers = (batch.column(0)[i].as_py(), batch.column(2)[i].values, batch.column(3)[i].values), []
+                else:
+                    answers.append((slot, batch.column(4)[i].as_py()))
+        if held is not None:
+            yield from scored()
+        tx.release()
+
+    out = f"serial bigint, key bigint, times bigint, id {kind}, n_tokens bigint, n_known bigint, base double, score double"
+    if model.filter.orders:
+        rows = src.mapInArrow(run, out)
+    else:
+        rows = _answered(src, kind, ws, model.filter.cuts, c).mapInArrow(run_answered, out)
     joined = rows.join(words.select("key", F.col("n").alias("c")), "key", "left")
     count = F.coalesce("c", F.lit(0))
     rare = F.col("times") > 0
@@ -298,5 +527,5 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Learn from the rows that aren't held out, score all rows."""
     ws = Workspace(docs.sparkSession, "lm")
     model, words = fit(docs.where(~held_out(docs[id_col])), ws, text_col, config)
-    out = score(docs, model, words, id_col, text_col)
+    out = score(docs, model, words, ws, id_col, text_col)
     return out.select(id_col, held_out(F.col(id_col)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

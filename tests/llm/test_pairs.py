@@ -197,3 +197,23 @@ def test_filter_levels_are_those_of_the_counts(spark):
     got = model.filter.levels(np.array([r["key"] for r in rows], np.int64).view(np.uint64), 1)
     want = np.array([1 + math.floor(math.log(r["n"]) / math.log(c.base) + 1e-9) for r in rows])
     assert (got >= want).all() and (got == want).mean() > 0.98
+
+
+def test_every_gram_stays_in_the_filter_and_segments_score_alike(spark):
+    docs, texts = d.frame(spark), [r[1] for r in d.rows() if zlib.crc32(str(r[0]).encode()) % 10]
+    c = lm_bloom.Config(capacity=500, chunk=50, segment_grams=1000, block_bytes=3000)    # many segments, none broadcast
+    ws = lm_bloom.Workspace(spark, "test-grams")
+    model, _ = lm_bloom.fit(docs.where(~lm_bloom.held_out(docs["doc_id"])), ws, config=c)
+    seqs = [["\n", *d.words(t), "\n"] for t in texts]
+    # an n-gram of level q is q entries, so a single one that is missing shows
+    counts = [collections.Counter(tuple(s[i:i + n]) for s in seqs for i in range((n == 1), len(s) - n + 1)) for n in (1, 2, 3)]
+    entries = [sum(1 + math.floor(math.log(k) / math.log(c.base) + 1e-9) for k in x.values()) for x in counts]
+    got = collections.Counter()
+    for r in ws.get("segments").collect():
+        got[r["slot"] >> 40] += r["entries"]
+    assert not model.filter.orders and model.filter.cuts > 1
+    assert [got[n] for n in (1, 2, 3)] == entries
+    whole = {r["doc_id"]: r for r in lm_bloom.score_documents(docs, config=lm_bloom.Config(segment_grams=1000)).collect()}
+    parts = {r["doc_id"]: r for r in lm_bloom.score_documents(docs, config=c).collect()}
+    assert whole.keys() == parts.keys() and len(whole) == docs.count()
+    assert all(math.isclose(whole[i]["score"], parts[i]["score"], rel_tol=1e-12) and whole[i]["n_known"] == parts[i]["n_known"] for i in whole)
