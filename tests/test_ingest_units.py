@@ -71,6 +71,17 @@ def test_append_adds_lineage_and_loaded_check(spark, tmp_root):
     assert L.loaded_by_hash(probe, ledger.raw("metadata.file_history"), "customer").count() == 1
 
 
+def test_frames_of_one_run_are_all_kept(spark, tmp_root):
+    store = TableStore(spark, f"{tmp_root}/wh")
+    a, b = (spark.createDataFrame([(k, k)], "customer_id string, customer_name string") for k in "ab")
+    assert bronze_ops.append_dataframe(store, "bronze.customer", a, "/src/a.csv", "run-1", L.now()) == 1
+    for _ in range(2):                       # the second time is a retry
+        assert bronze_ops.append_dataframe(store, "bronze.customer", b, "/src/b.csv", "run-1", L.now()) == 1
+    bronze_ops.append_dataframe(store, "bronze.customer", a, "/src/b.csv", "run-1", L.now(), batch_id="more")
+    got = sorted((r.customer_id, r._source_file, r._run_id) for r in store.read("bronze.customer").collect())
+    assert got == [("a", "/src/a.csv", "run-1"), ("a", "/src/b.csv", "run-1"), ("b", "/src/b.csv", "run-1")]
+
+
 def test_clear_removes_rows(spark, tmp_root):
     store = TableStore(spark, f"{tmp_root}/wh")
     df = spark.createDataFrame([("1", "Ada")], "customer_id string, customer_name string")
