@@ -30,3 +30,18 @@ def test_stream_ingest_exactly_once(spark, tmp_root):
     assert rows == [("1", "Ada", "a.csv"), ("2", "Bo", "a.csv"), ("3", "Cy", "b.csv")]
     hist = ledger.raw("metadata.file_history")
     assert sorted(r.row_count for r in hist.collect()) == [1, 2]
+
+
+def test_stream_takes_hidden_names_and_patterns_with_folders(spark, tmp_root):
+    src = f"{tmp_root}/in[1]"
+    for k, name in enumerate(("a/x.csv", "b/_y.csv", "b/.z.csv", "b/w.csv", "top.csv", "b/no.txt")):
+        _write(f"{src}/{name}", f"customer_id,customer_name\n{k},n{k}\n")
+    store = TableStore(spark, f"{tmp_root}/wh")
+    ledger = Ledger(spark, store)
+    ledger.initialize()
+    for times in range(2):
+        ids = stream_ingest(spark, store, ledger, "customer", src, "bronze.customer", f"{tmp_root}/ckpt", pattern="*/*.csv")
+        assert bool(ids) == (times == 0)
+        got = sorted((r.customer_id, r._source_file) for r in store.read("bronze.customer").collect())
+        assert got == [(str(k), f"{src}/{n}") for k, n in enumerate(("a/x.csv", "b/_y.csv", "b/.z.csv", "b/w.csv"))]
+    assert sorted(r.source_file for r in ledger.raw("metadata.file_history").collect()) == sorted(x for _, x in got)
