@@ -69,6 +69,29 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.periodic_runs import periodic_runs
+    docs = table(spark, sf_dir, "documents")
+    # the contract's rewriting: from word a on, words repeat with period p
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    planted = (docs.where(h % 10 == 0).select("doc_id", F.floor(h / 10).alias("g"), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1).alias("w"))
+               .select("doc_id", "g", "w", F.size("w").alias("n")).where("n > 0")
+               .selectExpr("doc_id", "g", "w", "n", "cast(g % n as int) AS a")
+               .selectExpr("doc_id", "w", "n", "a", "cast(1 + (n - a) div (3 + g % 8) as int) AS p")
+               .selectExpr("doc_id", "array_join(concat(slice(w, 1, a), slice(flatten(array_repeat(slice(w, a + 1, p), "
+                           "cast(ceil((n - a) / p) as int))), 1, n - a)), ' ') AS text"))
+    plain = docs.where((h % 10 != 0) | h.isNull() | F.col("text").isNull() | ~F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    out = periodic_runs(planted.unionByName(plain.select("doc_id", "text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(r.start.cast("string"), F.lit(","), r.length.cast("string"), F.lit(","),
+                                                   r.period.cast("string"), F.lit("\n")))
+    out = out.select("doc_id", "runs", "collapsed", best.alias("best"))
+    return out.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_lm_bloom": op1_lm_bloom,
     "op2_kd_shards": op2_kd_shards,
@@ -80,6 +103,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_repetition": op10_repetition,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
