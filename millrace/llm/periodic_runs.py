@@ -46,6 +46,7 @@ CELLS = 1 << 20        # words compared at once (memory only)
 class Config:
     min_length: int = 12     # words of a run, at least; at least two periods anyway
     core: int = 4096         # words of a tile's core, at least
+    task_words: int = 1 << 18    # words of tiles a task solves, about
 
 
 @dataclass(frozen=True)
@@ -275,7 +276,7 @@ def _tile_lists(tiles: list[tuple], rows: int) -> pa.ListArray:
 
 
 def _split(docs: DataFrame, id_col: str, text_col: str, config: Config) -> DataFrame:
-    """Rows (key, id, text: words joined by one space, hot: there are tiles, tiles)."""
+    """Rows (key, id, text: words joined by one space, hot: there are tiles, load: their words, tiles)."""
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,15 +286,15 @@ def _split(docs: DataFrame, id_col: str, text_col: str, config: Config) -> DataF
             for a, b, data, offsets in tx.text_blocks(batch.column(1)):
                 w = tx.words(data, offsets, lower=False)
                 tiles = list(_tile_rows(w, w.hashes(), config))
-                hot = np.zeros(b - a, bool)
-                hot[[t[0] for t in tiles]] = True
+                load = np.zeros(b - a, np.int64)
+                np.add.at(load, np.array([t[0] for t in tiles], np.int64), [len(t[4]) for t in tiles])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(key, key + b - a)), batch.column(0).slice(a, b - a), joined(data, w).cast(pa.string()),
-                     pa.array(hot), _tile_lists(tiles, b - a)], names=["key", "id", "text", "hot", "tiles"])
+                     pa.array(load > 0), pa.array(load), _tile_lists(tiles, b - a)], names=["key", "id", "text", "hot", "load", "tiles"])
                 key += b - a
 
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"key bigint, id {kind}, text string, hot boolean, tiles {TILE}")
+    return src.mapInArrow(run, f"key bigint, id {kind}, text string, hot boolean, load bigint, tiles {TILE}")
 
 
 def _fragments(tiles: DataFrame, config: Config) -> DataFrame:
@@ -353,7 +354,9 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     split = ws.put("split", _split(docs, id_col, text_col, config))
     hot = split.where("hot")
     tiles = hot.select("key", F.explode("tiles").alias("t")).select("key", "t.*")
-    tiles = tiles.repartition("key", "octave", "first")         # a long document's tiles go to many tasks
+    # a long document's tiles go to many tasks; tasks are counted by words, not bytes (which compress well)
+    load = hot.agg(F.sum("load")).first()[0] or 0
+    tiles = tiles.repartition(1 + load // config.task_words, "key", "octave", "first")
     runs = stitch(_fragments(tiles, config), config).groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
     runs = runs.withColumn("runs", F.transform("runs", lambda r: F.struct(r.start, r.length, r.period)).cast(RUNS))
