@@ -287,7 +287,7 @@ def _split(docs: DataFrame, id_col: str, text_col: str, config: Config) -> DataF
                 w = tx.words(data, offsets, lower=False)
                 tiles = list(_tile_rows(w, w.hashes(), config))
                 load = np.zeros(b - a, np.int64)
-                np.add.at(load, np.array([t[0] for t in tiles], np.int64), [len(t[4]) for t in tiles])
+                np.add.at(load, np.array([t[0] for t in tiles], np.int64), np.array([len(t[4]) for t in tiles], np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(key, key + b - a)), batch.column(0).slice(a, b - a), joined(data, w).cast(pa.string()),
                      pa.array(load > 0), pa.array(load), _tile_lists(tiles, b - a)], names=["key", "id", "text", "hot", "load", "tiles"])

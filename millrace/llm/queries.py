@@ -92,6 +92,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.byte_codec import decode, encode
+    coded = encode(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
+    return decode(coded).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_lm_bloom": op1_lm_bloom,
     "op2_kd_shards": op2_kd_shards,
@@ -104,6 +112,7 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_repetition": op10_repetition,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
