@@ -23,6 +23,7 @@ error.  Repeated rows are coded alike; other columns are not read.
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Iterator
 from functools import cache
 
@@ -35,6 +36,7 @@ from millrace.llm.subword import per_process
 from millrace.llm.unit_coder import UnitCoder, byte_symbols, gather
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+BLOCK_IDS = 1 << 18         # ids decoded at once (memory only)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -86,23 +88,17 @@ def model(path: str | None = None, pattern: str | None = None) -> str:
     return _model(path or public_tokenizers.path(RANKS), pattern or public_tokenizers.PATTERN)
 
 
-class Codec:
-    """Coder and byte table of one model string."""
+class ByteTable:
+    """Bytes of every id of a model string."""
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-        library = Tokenizer.from_str(spec)
-        self.coder = UnitCoder(library)
         back = {s: b for b, s in byte_symbols().items()}
-        vocabulary = sorted(library.get_vocab(with_added_tokens=False).items(), key=lambda e: e[1])
+        vocabulary = sorted(json.loads(spec)["model"]["vocab"].items(), key=lambda e: e[1])
         self.size = np.zeros(vocabulary[-1][1] + 1, np.int64)
         self.size[[i for _, i in vocabulary]] = [len(s) for s, _ in vocabulary]
         self.start = np.cumsum(self.size) - self.size
         self.bytes = np.frombuffer(bytes(back[c] for s, _ in vocabulary for c in s), np.uint8)
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.coder.encode(data, offsets)
-
     def spans(self, ids: np.ndarray, first: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and one past the last character of each token, counted in its row."""
         stop = np.cumsum(self.size[ids])
@@ -118,8 +114,13 @@ class Codec:
         return gather(self.bytes, self.start[ids], size), np.concatenate([[0], np.cumsum(size)])[first]
 
 
-def _codec(shared) -> Codec:
-    return per_process(f"byte_codec:{hash(shared.value)}", lambda: Codec(shared.value))
+def coder_of(spec: str) -> UnitCoder:
+    from tokenizers import Tokenizer
+    return UnitCoder(Tokenizer.from_str(spec))
+
+
+def _once(kind, shared):
+    return per_process(f"{kind.__name__}:{hash(shared.value)}", lambda: kind(shared.value))
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec: str | None = None, spans: bool = False) -> DataFrame:
@@ -127,11 +128,11 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec
     shared = docs.sparkSession.sparkContext.broadcast(spec or model())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
+        coder = _once(coder_of, shared)
         for batch in batches:
             for a, b, data, offsets in tx.text_blocks(batch.column(1)):
-                ids, first = codec.encode(data, offsets)
-                values = [ids, *(codec.spans(ids, first, data, offsets) if spans else ())]
+                ids, first = coder.encode(data, offsets)
+                values = [ids, *(_once(ByteTable, shared).spans(ids, first, data, offsets) if spans else ())]
                 lists = [pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(v.astype(np.int32))) for v in values]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *lists], names=["id", "ids", "begins", "ends"][:1 + len(lists)])
 
@@ -148,18 +149,20 @@ def decode(coded: DataFrame, ids_col: str = "ids", spec: str | None = None, text
         raise ValueError(f"columns {sorted(clash)} exist already")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
+        table = _once(ByteTable, shared)
         for batch in batches:
             lists = batch.column(len(keep))
             filled = lists.fill_null([]) if lists.null_count else lists
             first = filled.offsets.to_numpy().astype(np.int64)
-            ids = filled.values.to_numpy(zero_copy_only=False)[first[0]:first[-1]]
-            data, offsets = codec.decode(ids, first - first[0])
-            made = [pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(offsets), pa.py_buffer(data)])]
-            if text:
-                made.append(pa.array([x.as_py().decode("utf-8", "replace") for x in made[0]], pa.string()))
-            made[0] = made[0].cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *made], names=names)
+            for a, b in tx.row_blocks(first, BLOCK_IDS):
+                ids = filled.values.slice(first[a], first[b] - first[a]).to_numpy(zero_copy_only=False)
+                data, offsets = table.decode(ids, first[a:b + 1] - first[a])
+                made = [pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(data)])]
+                if text:
+                    made.append(pa.array([x.as_py().decode("utf-8", "replace") for x in made[0]], pa.string()))
+                made[0] = made[0].cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(len(keep))), *made], names=names)
+            tx.release()
 
     out = coded.select(*keep, ids_col)
     fields = [f"`{c.replace('`', '``')}` {out.schema[c].dataType.simpleString()}" for c in keep]

@@ -83,8 +83,7 @@ class UnitCoder:
         self.plain = spec["normalizer"] is None and steps[-1].get("type") == "ByteLevel" and not steps[-1]["add_prefix_space"] \
             and (steps[-1]["use_regex"] if len(steps) == 1 else [s["type"] for s in steps] == ["Split", "ByteLevel"])
         self.special = [t["content"] for t in spec["added_tokens"]]
-        spec.update(pre_tokenizer=None, post_processor=None, added_tokens=[])
-        self.pieces = Tokenizer.from_str(json.dumps(spec))
+        self.pieces = Tokenizer(library.model)          # the same model, without a pattern
         self.symbols = byte_symbols()
         self._forget()
 

@@ -37,27 +37,27 @@ def coded(coder, texts):
 
 
 def test_ids_equal_tiktoken_and_decode_back(tikt):
-    codec = bc.Codec(bc.model())
+    coder, table = bc.coder_of(bc.model()), bc.ByteTable(bc.model())
     texts = fuzz(1, 3000) + [r[1] or "" for r in d.rows()] + [b.decode("utf-8", "ignore") * 3 for b in list(bc.read_ranks(public_tokenizers.path(bc.RANKS)))[::37]]
     for part in (texts[:1], texts[1:50], texts[50:]):      # cold and warm memo
-        got, ids, first, data, offsets = coded(codec, part)
+        got, ids, first, data, offsets = coded(coder, part)
         assert got == [tikt.encode_ordinary(t) for t in part]
-        back, at = codec.decode(ids, first)
+        back, at = table.decode(ids, first)
         assert (back == data).all() and (at == offsets).all()
 
 
 def test_a_small_memo_changes_nothing(tikt, monkeypatch):
     monkeypatch.setattr(unit_coder, "MEMO_BYTES", 2000)
-    codec, texts = bc.Codec(bc.model()), fuzz(2, 400)
+    coder, texts = bc.coder_of(bc.model()), fuzz(2, 400)
     for i in range(0, 400, 40):
-        assert coded(codec, texts[i:i + 40])[0] == [tikt.encode_ordinary(t) for t in texts[i:i + 40]]
+        assert coded(coder, texts[i:i + 40])[0] == [tikt.encode_ordinary(t) for t in texts[i:i + 40]]
 
 
 def test_spans_are_the_librarys_offsets():
-    codec, library = bc.Codec(bc.model()), Tokenizer.from_str(bc.model())
+    coder, table, library = bc.coder_of(bc.model()), bc.ByteTable(bc.model()), Tokenizer.from_str(bc.model())
     for text in fuzz(3, 300) + ["a\U0001f9ff中文ünï"]:
-        _, ids, first, data, offsets = coded(codec, ["é pad", text])
-        begin, end = codec.spans(ids, first, data, offsets)
+        _, ids, first, data, offsets = coded(coder, ["é pad", text])
+        begin, end = table.spans(ids, first, data, offsets)
         want = library.encode(text, add_special_tokens=False).offsets
         assert list(zip(begin[first[1]:].tolist(), end[first[1]:].tolist())) == want
 
@@ -69,9 +69,9 @@ def test_merges_of_ranks_without_training_order():
         ranks[e] = len(ranks)
     pattern = public_tokenizers.PATTERN
     ref = tiktoken.Encoding("small", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    codec, rng = bc.Codec(bc.library_of(ranks, pattern)), random.Random(4)
+    coder, rng = bc.coder_of(bc.library_of(ranks, pattern)), random.Random(4)
     texts = ["".join(rng.choice("abcxyz ") for _ in range(rng.randrange(12))) for _ in range(800)] + ["a" * n for n in range(40)] + ["xyz", " xyz"]
-    assert coded(codec, texts)[0] == [ref.encode_ordinary(t) for t in texts]
+    assert coded(coder, texts)[0] == [ref.encode_ordinary(t) for t in texts]
     with pytest.raises(ValueError):
         bc.library_of({b"a": 0}, pattern)
 
