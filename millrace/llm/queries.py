@@ -100,6 +100,11 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(coded).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.filter_audit import filter_audit
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_lm_bloom": op1_lm_bloom,
     "op2_kd_shards": op2_kd_shards,
@@ -113,6 +118,7 @@ QUERIES = {
     "op10_repetition": op10_repetition,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -133,5 +139,36 @@ SELECT conv_id, count(*) AS n_turns,
       + CASE WHEN esc THEN 1 + length(text) - length(replace(replace(replace(text, '<', ''), '[', ''), chr(92), '')) ELSE 0 END)::BIGINT
     AS formatted_chars
 FROM e GROUP BY conv_id
+""",
+    "op13_filter_audit": """
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+f AS (
+  SELECT d.doc_id, part,
+    (len(w) < 50)::INT AS a, (100 * len(list_distinct(w)) < 65 * len(w))::INT AS b,
+    (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t))::INT AS c,
+    regexp_matches(t, '[#$%&*|]')::INT AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), FALSE)::INT AS e FROM d),
+l AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT f.*, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic,
+    map {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS fails FROM f LEFT JOIN l USING (doc_id)),
+g AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE toxic) AS n_toxic FROM m GROUP BY ALL),
+s AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT p.x || q.x || r.x || u.x || v.x AS filter_order FROM s p, s q, s r, s u, s v
+  WHERE len(list_distinct([p.x, q.x, r.x, u.x, v.x])) = 5),
+st AS (SELECT filter_order, step::INT AS step, filter_order[step] AS own, string_split(filter_order[:step - 1], '') AS before
+  FROM o, range(1, 6) AS k(step)),
+z AS (
+  SELECT part, filter_order, step, own, n, n_good, n_toxic, fails[own] = 1 AS bad, list_sum(map_values(fails)) AS total,
+    len(list_filter(before, lambda y: fails[y] = 1)) > 0 AS gone FROM g, st),
+y AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (WHERE NOT bad AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (WHERE bad AND NOT gone), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (WHERE bad AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (WHERE bad AND total = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n_good) FILTER (WHERE bad AND NOT gone), 0)::BIGINT AS good_lost,
+    coalesce(sum(n_toxic) FILTER (WHERE bad AND NOT gone), 0)::BIGINT AS toxic_lost FROM z GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM y
 """,
 }
