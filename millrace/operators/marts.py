@@ -176,8 +176,29 @@ def erp_metrics(df: DataFrame, as_of=None) -> DataFrame:
 
 def mart_erp(silver_erp: DataFrame, as_of=None) -> DataFrame:
     """``mart.erp``: one aggregate (dimension + totals), then the metrics."""
-    agg = silver_erp.groupBy(*INVOICE_PAIR).agg(*_dim_aggs(), *_total_aggs())
-    return erp_metrics(_with_invoice_key(agg), as_of).select(*ERP_MART_COLUMNS)
+    return erp_metrics(_with_invoice_key(erp_partial(silver_erp)), as_of).select(*ERP_MART_COLUMNS)
+
+
+def erp_partial(lines: DataFrame) -> DataFrame:
+    """MOD-4/8: dimension and totals of the invoices in some Silver rows."""
+    return lines.groupBy(*INVOICE_PAIR).agg(*_dim_aggs(), *_total_aggs())
+
+
+def merge_erp(parts: DataFrame) -> DataFrame:
+    """One row per invoice from several partial ones: extremes of extremes, sums of sums."""
+    again = [F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in ("line_amount_doc", "line_amount_usd", "source_row_count")]
+    again += [F.max(c).alias(c) for c in ("invoice_amount_doc", "amount_paid")]
+    return parts.groupBy(*INVOICE_PAIR).agg(*_dim_aggs(), *again)
+
+
+def dim_invoice_of(parts: DataFrame) -> DataFrame:
+    """``mart.dim_invoice`` from partial aggregates."""
+    return _with_invoice_key(merge_erp(parts)).select(*DIM_INVOICE_COLUMNS)
+
+
+def mart_erp_of(parts: DataFrame, as_of=None) -> DataFrame:
+    """``mart.erp`` from partial aggregates."""
+    return erp_metrics(_with_invoice_key(merge_erp(parts)), as_of).select(*ERP_MART_COLUMNS)
 
 
 # ---------------------------------------------------------------- workflow mart
@@ -204,6 +225,30 @@ def workflow_totals(events: DataFrame, group_by=None) -> DataFrame:
     )
 
 
+def workflow_partial(events: DataFrame) -> DataFrame:
+    """MOD-9: totals of the invoices in some events; stages as a set, so that they merge."""
+    return events.groupBy(*INVOICE_PAIR).agg(
+        F.max("invoice_amount_usd").alias("invoice_amount_usd"),
+        F.min("event_timestamp").alias("first_workflow_event_timestamp"),
+        F.max("event_timestamp").alias("last_workflow_event_timestamp"),
+        F.count(F.lit(1)).alias("workflow_event_count"),
+        F.collect_set("workflow_stage").alias("stages"),
+        F.count("exception_reason").alias("exception_event_count"),
+        latest_struct(LATEST_EVENT_ORDER, ["workflow_id", "workflow_stage", "current_status"], name="latest"))
+
+
+def merge_workflow(parts: DataFrame) -> DataFrame:
+    """:func:`workflow_totals` from partial ones (a set of stages per invoice and batch is collected)."""
+    return parts.groupBy(*INVOICE_PAIR).agg(
+        F.max("invoice_amount_usd").alias("invoice_amount_usd"),
+        F.min("first_workflow_event_timestamp").alias("first_workflow_event_timestamp"),
+        F.max("last_workflow_event_timestamp").alias("last_workflow_event_timestamp"),
+        F.sum("workflow_event_count").alias("workflow_event_count"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("stages")))).cast("bigint").alias("workflow_stage_count"),
+        F.sum("exception_event_count").alias("exception_event_count"),
+        F.max("latest").alias("latest"))
+
+
 def ranked_events(events: DataFrame) -> DataFrame:
     """WIN-2 as a report: every event with its rank inside its invoice."""
     return rank_desc(events, ["invoice_key"], LATEST_EVENT_ORDER)
@@ -241,7 +286,16 @@ def mart_workflow(silver_workflow: DataFrame, dim: DataFrame) -> DataFrame:
     """``mart.workflow``: event totals ⋈ invoice dimension (inner), with the
     latest event's id / stage / status.  ``dim`` is :func:`dim_invoice` output
     (or the materialized table)."""
-    totals = workflow_metrics(workflow_totals(silver_workflow))
+    return _flows_with_dimension(workflow_totals(silver_workflow), dim)
+
+
+def mart_workflow_of(parts: DataFrame, dim: DataFrame) -> DataFrame:
+    """``mart.workflow`` from partial aggregates."""
+    return _flows_with_dimension(merge_workflow(parts), dim)
+
+
+def _flows_with_dimension(totals: DataFrame, dim: DataFrame) -> DataFrame:
+    totals = workflow_metrics(totals)
     d = dim.select(*INVOICE_PAIR, "invoice_key", "invoice_id", "invoice_date",
                    "creation_date", "receipt_date", "posting_date", "payment_date",
                    "due_date_raw", "_loaded_at", "_run_id")

@@ -859,6 +859,75 @@ def q_build_report(spark, sf_dir):
     return spark.createDataFrame(report, "model string, table_name string, row_count long, status string")
 
 
+# ------------------------------------------------------------------ batches: what counts, what is rebuilt
+
+def _dealt(df, n):
+    """``df`` in n parts by a checksum of its first column, so that invoices span parts."""
+    part = F.pmod(F.crc32(F.coalesce(F.col(df.columns[0]), F.lit("")).cast("binary")), F.lit(n))
+    return [df.where(part == i) for i in range(n)]
+
+
+def _batch_rows(spark, sf_dir, name, columns):
+    return bronze(spark, sf_dir, name).select(*columns, "_source_file", "_loaded_at", "_run_id")
+
+
+@register("committed_reads", O.with_bronze("erp", f"SELECT * FROM ({O.SILVER_ERP}) WHERE CAST(_run_id AS BIGINT) % 3 <> 1"))
+def q_committed_reads(spark, sf_dir):
+    """Three runs land ERP rows; the second's files are never recorded, as after
+    a crash.  Silver, built afterwards, holds the recorded runs' rows only."""
+    from millrace.plans.models import build
+    store, ledger = _store(spark, scratch(spark, "committed"))
+    rows = _batch_rows(spark, sf_dir, "erp", ERP_SOURCE_COLUMNS)
+    for i, run in enumerate(("first", "crashed", "last")):
+        store.write_batch("bronze.erp", rows.where(F.col("_run_id").cast("bigint") % 3 == i), f"erp.{run}")
+        if run != "crashed":
+            ledger.record_files(spark.createDataFrame(
+                [("erp", f"/in/{run}.csv", run, 1, None, ledger_ops.now(), run, 1, "SUCCESS", None)], ledger_ops.FILE_HISTORY))
+    build(store, "stg_erp")
+    return store.read("silver.erp")
+
+
+@register("silver_rewritten_batch", O.with_bronze("erp", O.SILVER_ERP))
+def q_silver_rewritten_batch(spark, sf_dir):
+    """Silver is built, a Bronze batch is written again with other rows, Silver
+    is built again: it equals Bronze."""
+    from millrace.plans.models import build
+    store, _ = _store(spark, scratch(spark, "rewritten"))
+    a, b = _dealt(_batch_rows(spark, sf_dir, "erp", ERP_SOURCE_COLUMNS), 2)
+    store.write_batch("bronze.erp", a, "one")
+    store.write_batch("bronze.erp", a, "two")
+    build(store, "stg_erp")
+    store.write_batch("bronze.erp", b, "two")
+    build(store, "stg_erp")
+    return store.read("silver.erp")
+
+
+def _built_in_steps(spark, sf_dir, selector, names):
+    from millrace.plans.models import build
+    store, _ = _store(spark, scratch(spark, "steps"))
+    columns = {"erp": ERP_SOURCE_COLUMNS, "workflow": WORKFLOW_SOURCE_COLUMNS}
+    parts = {n: _dealt(_batch_rows(spark, sf_dir, n, columns[n]), 3) for n in names}
+    for step, batches in enumerate((("b0", "b1"), ("b2",))):
+        for batch in batches:
+            for n in names:
+                store.write_batch(f"bronze.{n}", parts[n][int(batch[1])], batch)
+        build(store, selector, FIXTURE_AS_OF)
+    return store
+
+
+@register("mart_erp_incremental", O.MART_ERP)
+def q_mart_erp_incremental(spark, sf_dir):
+    """The invoice mart merged from per-batch partial aggregates over two
+    builds; invoices span the batches."""
+    return _built_in_steps(spark, sf_dir, "+erp", ["erp"]).read("mart.erp")
+
+
+@register("mart_workflow_incremental", O.MART_WORKFLOW)
+def q_mart_workflow_incremental(spark, sf_dir):
+    """The workflow mart likewise: latest event and stage sets merge."""
+    return _built_in_steps(spark, sf_dir, "+workflow", ["erp", "workflow"]).read("mart.workflow")
+
+
 _APP = {"warehouse": "warehouse", "exports": {"folder": "exports", "parquet": True, "csv": False}}
 _PIPES = {
     "erp": {"source_folder": "source/erp", "source_pattern": "*.csv", "bronze_table": "bronze.erp",

@@ -2,14 +2,21 @@
 
 * Names are checked against a strict ``schema.table`` pattern before any path
   is built (BRZ-9 / SNK-3) — one rule for ingest and export.
-* Silver ERP and workflow are row-wise and follow Bronze batch by batch; the
-  other models are full refreshes (BLD-2): written to a sibling temporary
+* Bronze tables are sets of batches: each load writes a temporary sibling and
+  renames it to the partition folder ``_batch=<batch id>``, so a failed write
+  leaves no table.  Row-wise models (Silver, facts) and the partial aggregates
+  of the marts follow Bronze batch by batch, under the same ids.
+* Reads take committed batches only (BRZ-8, SRC-12).  An id with a dot is
+  ``<pipeline>.<run id>``; it counts once the file history holds that run, so
+  rows of a load under way, or of one that crashed, are never visible.  Other
+  ids are written outside a pipeline and count at once.
+* A pipeline's replace load names its batch in a ``_full-<batch id>`` file; from
+  the moment the run is recorded, earlier batches no longer count.
+* A written batch has an id of its own (``_id-<uuid>``), which changes when the
+  batch is written again; what was built from it names it (``_from-<digest>``).
+* The other models are full refreshes (BLD-2): written to a sibling temporary
   folder and swapped in by rename, so readers never see half a table
   and a model may read the table it replaces.
-* Bronze tables are append-only sets of batches: each load writes a temporary
-  sibling and renames it to the partition folder ``_batch=<batch id>``, so a
-  failed write leaves no table.  A batch counts once the ledger holds its run;
-  the next load of the pipeline removes batches it wrote but never recorded.
 * The ledger tables (``metadata.*``) are append-only; "latest row per key"
   views are aggregates on read (:mod:`millrace.plans.ledger`).
 
@@ -28,6 +35,9 @@ from pyspark.sql import functions as F
 # Accepted table names, ``schema.table`` with identifier parts.
 SAFE_TABLE = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*\.[A-Za-z_][A-Za-z0-9_]*$")
 BATCH_COLUMN = "_batch"
+HISTORY = "metadata.file_history"
+# names of mark files; Spark's readers skip them
+WRITE_MARK, SOURCE_MARK, FULL_MARK = "_id-", "_from-", "_full-"
 
 
 def check_table_name(table: str) -> tuple[str, str]:
@@ -62,6 +72,9 @@ class HadoopFS:
     def mkdirs(self, p: str) -> bool:
         return self._fs(p).mkdirs(self._path(p))
 
+    def touch(self, p: str) -> None:
+        self._fs(p).create(self._path(p), True).close()
+
     def list_names(self, p: str) -> list[str]:
         if not self.exists(p):
             return []
@@ -120,12 +133,14 @@ class TableStore:
         return f"{self.root}/{schema}/{name}"
 
     def exists(self, table: str) -> bool:
-        """Whether the table holds written data (a folder that a failed write
-        left behind is none)."""
+        """Whether the table holds data that counts (a folder that a failed
+        write or an unrecorded load left behind is none)."""
         p = self.path(table)
         self._repair(p)
-        return self.fs.exists(p) and any(not n.startswith((".", "_")) or n.startswith(f"{BATCH_COLUMN}=")
-                                         for n in self.fs.list_names(p))
+        names = self.fs.list_names(p)
+        if any(n.startswith(f"{BATCH_COLUMN}=") for n in names):
+            return bool(self.committed(table))
+        return any(not n.startswith((".", "_")) for n in names)
 
     def _repair(self, final: str) -> None:
         """Finish a swap that a crash cut short: between its two renames only
@@ -160,16 +175,47 @@ class TableStore:
 
     # ------------------------------------------------------------ read
     def read(self, table: str) -> DataFrame:
-        """The whole table.  Every batch is written aligned to the table's
-        columns, so no schema merge (no pass over all file footers) is needed."""
+        """The whole table: its committed batches, if it is made of batches.
+        Every batch is written aligned to the table's columns, so no schema
+        merge (no pass over all file footers) is needed."""
         p = self.path(table)
-        df = self.spark.read.parquet(p)
-        return df.drop(BATCH_COLUMN) if BATCH_COLUMN in df.columns else df
+        if not self.batches(table):
+            return self.spark.read.parquet(p)
+        visible = self.committed(table)
+        if not visible:
+            raise ValueError(f"{table} has no committed batch")
+        return self.spark.read.parquet(*(glob_escape(f"{p}/{BATCH_COLUMN}={b}") for b in visible))
 
     def read_batch(self, table: str, batch_id: str) -> DataFrame:
-        """One Bronze batch; the partition filter prunes every other folder."""
-        df = self.spark.read.parquet(self.path(table))
-        return df.where(F.col(BATCH_COLUMN) == F.lit(batch_id)).drop(BATCH_COLUMN)
+        """One batch, committed or not."""
+        return self.spark.read.parquet(glob_escape(f"{self.path(table)}/{BATCH_COLUMN}={batch_id}"))
+
+    def committed(self, table: str) -> list[str]:
+        """Ids of the batches that count: those of recorded runs, from the last
+        recorded replace load on, and those written outside a pipeline."""
+        batches = self.batches(table)
+        owned = [b for b in batches if "." in b]
+        if not owned:
+            return batches
+        at = self._recorded(owned)
+        cut = max((at[b] for b in self._full_batches(table) if b in at), default=None)
+        if cut is not None:
+            return [b for b in batches if b in at and at[b] >= cut]
+        return [b for b in batches if "." not in b or b in at]
+
+    def _recorded(self, batches: list[str]) -> dict:
+        """Batch id -> when its run was recorded, for recorded ones (one row a batch)."""
+        history = self.path(HISTORY)
+        if not self.fs.exists(history):
+            return {}
+        runs = (self.spark.read.parquet(history).where(F.col("status") == "SUCCESS")
+                .select(F.concat_ws(".", "pipeline_name", "run_id").alias("batch"), "loaded_at"))
+        asked = self.spark.createDataFrame([(b,) for b in batches], "batch string")
+        found = runs.join(asked, "batch", "left_semi").groupBy("batch").agg(F.max("loaded_at").alias("at"))
+        return {r["batch"]: r["at"] for r in found.collect()}
+
+    def _full_batches(self, table: str) -> list[str]:
+        return [n[len(FULL_MARK):] for n in self.fs.list_names(self.path(table)) if n.startswith(FULL_MARK)]
 
     # ------------------------------------------------------------ write
     def overwrite(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
@@ -182,27 +228,64 @@ class TableStore:
         writer.parquet(tmp)
         return self._swap(tmp, final)
 
-    def write_batch(self, table: str, df: DataFrame, batch_id: str) -> str:
-        """Write (or re-write) one Bronze batch: a hidden sibling first, then a
-        rename to its partition folder, so readers never see half a batch."""
+    def write_batch(self, table: str, df: DataFrame, batch_id: str, source: str | None = None, full: bool = False) -> str:
+        """Write (or re-write) one batch: a hidden sibling first, then a rename
+        to its partition folder, so readers never see half a batch.  ``source``
+        names what it was built from; ``full`` marks a pipeline's replace load."""
         if "/" in batch_id or "=" in batch_id:
             raise ValueError(f"bad batch id: {batch_id}")
-        target = f"{self.path(table)}/{BATCH_COLUMN}={batch_id}"
-        tmp = f"{self.path(table)}/.__tmp_{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(tmp)
+        folder = self.path(table)
+        target = f"{folder}/{BATCH_COLUMN}={batch_id}"
+        tmp = self._written(f"{folder}/.__tmp_{uuid.uuid4().hex}", df, source)
+        if full:
+            self.fs.touch(f"{folder}/{FULL_MARK}{batch_id}")
         if self.fs.exists(target):
-            self.fs.delete(target)
-        self._move(tmp, target)
+            old = f"{folder}/.__old_{uuid.uuid4().hex}"
+            self._move(target, old)
+            self._move(tmp, target)
+            self.fs.delete(old)
+        else:
+            self._move(tmp, target)
         return target
 
-    def replace_batches(self, table: str, df: DataFrame, batch_id: str) -> str:
-        """Replace load: the table becomes exactly this batch (written to a
-        temporary table folder, then swapped in)."""
+    def _written(self, folder: str, df: DataFrame, source: str | None) -> str:
+        df.write.mode("overwrite").parquet(folder)
+        self.fs.touch(f"{folder}/{WRITE_MARK}{uuid.uuid4().hex}")
+        if source is not None:
+            self.fs.touch(f"{folder}/{SOURCE_MARK}{source}")
+        return folder
+
+    def replace_batches(self, table: str, df: DataFrame, batch_id: str, source: str | None = None) -> str:
+        """The table becomes exactly this batch (written to a temporary table
+        folder, then swapped in)."""
         final = self.path(table)
         tmp = f"{final}.__tmp_{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(f"{tmp}/{BATCH_COLUMN}={batch_id}")
+        self._written(f"{tmp}/{BATCH_COLUMN}={batch_id}", df, source)
         return self._swap(tmp, final)
 
+    def marks(self, table: str, mark: str) -> dict[str, str]:
+        """Batch id -> its mark of one kind, from one listing."""
+        found = self.fs.glob(f"{glob_escape(self.path(table))}/{BATCH_COLUMN}=*/{mark}*")
+        named = (p.rsplit("/", 2)[-2:] for p, _, _ in found)
+        return {folder[len(BATCH_COLUMN) + 1:]: name[len(mark):] for folder, name in named}
+
+    def drop_superseded(self, table: str) -> None:
+        """After a recorded replace load: remove the batches before it."""
+        full = self._full_batches(table)
+        if not full:
+            return
+        batches = self.batches(table)
+        at, keep = self._recorded([b for b in batches if "." in b]), set(self.committed(table))
+        if not any(b in at for b in full):
+            return
+        for b in batches:
+            # what no run recorded belongs to a load under way, or is removed by its pipeline's next one
+            if b not in keep and ("." not in b or b in at):
+                self.drop_batch(table, b)
+        for b in full:
+            if b in at:
+                self.fs.delete(f"{self.path(table)}/{FULL_MARK}{b}")
+
     def batches(self, table: str) -> list[str]:
         """Ids of the table's batches."""
         mark = f"{BATCH_COLUMN}="
@@ -210,6 +293,7 @@ class TableStore:
 
     def drop_batch(self, table: str, batch_id: str) -> None:
         self.fs.delete(f"{self.path(table)}/{BATCH_COLUMN}={batch_id}")
+        self.fs.delete(f"{self.path(table)}/{FULL_MARK}{batch_id}")
 
     def drop(self, table: str) -> None:
         """Remove a table with its columns."""
