@@ -871,7 +871,7 @@ def _batch_rows(spark, sf_dir, name, columns):
     return bronze(spark, sf_dir, name).select(*columns, "_source_file", "_loaded_at", "_run_id")
 
 
-@register("committed_reads", O.with_bronze("erp", f"SELECT * FROM ({O.SILVER_ERP}) WHERE CAST(_run_id AS BIGINT) % 3 <> 1"))
+@register("committed_reads", O.with_bronze("erp", f"SELECT * FROM ({O.SILVER_ERP}) WHERE CAST(substr(_run_id, 5) AS BIGINT) % 3 <> 1"))
 def q_committed_reads(spark, sf_dir):
     """Three runs land ERP rows; the second's files are never recorded, as after
     a crash.  Silver, built afterwards, holds the recorded runs' rows only."""
@@ -879,7 +879,7 @@ def q_committed_reads(spark, sf_dir):
     store, ledger = _store(spark, scratch(spark, "committed"))
     rows = _batch_rows(spark, sf_dir, "erp", ERP_SOURCE_COLUMNS)
     for i, run in enumerate(("first", "crashed", "last")):
-        store.write_batch("bronze.erp", rows.where(F.col("_run_id").cast("bigint") % 3 == i), f"erp.{run}")
+        store.write_batch("bronze.erp", rows.where(F.substring("_run_id", 5, 20).cast("bigint") % 3 == i), f"erp.{run}")
         if run != "crashed":
             ledger.record_files(spark.createDataFrame(
                 [("erp", f"/in/{run}.csv", run, 1, None, ledger_ops.now(), run, 1, "SUCCESS", None)], ledger_ops.FILE_HISTORY))
