@@ -504,6 +504,27 @@ def q_scan_csv_keep_empty(spark, sf_dir):
     return _workflow_csv(spark, sf_dir, scratch(spark, "scan"), keep_empty=True)
 
 
+_NOTE = "concat({c}, {nl}, '\"', {k}, '\", line ', {nl}, {nl}, 'end')"
+
+
+@register("scan_csv_quoted_breaks", "SELECT CAST(o_orderkey AS VARCHAR) AS order_key, "
+          + _NOTE.format(c="o_orderpriority", k="o_orderkey", nl="chr(10)") + " AS note, o_orderstatus AS status FROM orders")
+def q_scan_csv_quoted_breaks(spark, sf_dir):
+    """Orders with a note of several lines, quotes and separators in it, as CSV
+    files; every file is cut into blocks of 64 KB and its records put together."""
+    from millrace.sources.records import scan_records
+    root = scratch(spark, "breaks")
+    orders = read_table(spark, sf_dir, "orders")
+    write_csv(orders.select(F.col("o_orderkey").cast("string").alias("order_key"),
+                            F.expr(_NOTE.format(c="o_orderpriority", k="o_orderkey", nl="chr(10)")).alias("note"),
+                            F.col("o_orderstatus").alias("status")), root, key="status")
+    paths = [r.path for r in src_files.discover(spark, root, "*.csv").select("path").collect()]
+    rows, irregular = scan_records(spark, paths, ["order_key", "note", "status"], ",", block_bytes=1 << 16)
+    if irregular:
+        raise RuntimeError(f"irregular quotes in {irregular}")
+    return rows.drop("_source_file")
+
+
 @register("scan_parquet", O.with_bronze("customer", "SELECT * FROM bz"))
 def q_scan_parquet(spark, sf_dir):
     root = scratch(spark, "parquet")
