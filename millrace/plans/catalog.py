@@ -25,7 +25,7 @@ from millrace.plans.fixtures import (
     bronze, bronze_sql, probes,
 )
 from millrace.plans.pipeline import load_files, run_all, run_pipeline
-from millrace.plans.scratch import scratch, write_csv
+from millrace.plans.scratch import SOURCE_CSV_OPTIONS, scratch, write_csv
 from millrace.sources import files as src_files
 from millrace.sources.csv import scan_profiled
 from millrace.sources.parquet import read_table, scan_parquet
@@ -788,40 +788,52 @@ def q_table_sample(spark, sf_dir):
     return bronze(spark, sf_dir, "customer").orderBy("customer_id", "_run_id").limit(10)
 
 
-def _segment_files(spark, sf_dir, root):
-    """One CSV file per market segment, customers in key order."""
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    (c.repartition("c_mktsegment").sortWithinPartitions("c_mktsegment", "c_custkey")
-     .write.partitionBy("c_mktsegment").option("header", "true").option("sep", ";").csv(f"{root}/seg"))
-    return src_files.discover(spark, f"{root}/seg", "c_mktsegment=*/*.csv")
+# ERP rows with the files they go to: by order range, and in every third file
+# the region holds a separator, quotes and a line feed.
+_FILE_KEY = "CAST(split_part(ERP_RECORD_ID, '-', 1) AS BIGINT) // 2048"
+_FILE_REGION = "CASE WHEN {file} % 3 = 0 THEN REGION || ', \"' || COUNTRY_CODE || '\"' || chr(10) || 'x' ELSE REGION END"
 
 
-def _segment():
-    return F.regexp_extract("path", r"c_mktsegment=([^/]+)/", 1).alias("segment")
+def _erp_files(spark, sf_dir, root):
+    """Full ERP files of known text: one per range of orders, in record order."""
+    erp = bronze(spark, sf_dir, "erp").select(*ERP_SOURCE_COLUMNS)
+    erp = erp.withColumn("file", F.expr(_FILE_KEY.replace("//", "div"))).withColumn("REGION", F.expr(_FILE_REGION.format(file="file")))
+    order = [F.coalesce(c, F.lit("")) for c in ERP_SOURCE_COLUMNS]        # record ids may repeat
+    (erp.repartition("file").sortWithinPartitions("file", *order).write.partitionBy("file")
+     .options(**SOURCE_CSV_OPTIONS).csv(f"{root}/erp"))
+    return src_files.discover(spark, f"{root}/erp", "file=*/*.csv")
 
 
-_SEGMENT_TEXT = """
-WITH f AS (SELECT c_mktsegment AS segment, 'c_custkey;c_name' || chr(10) ||
-                  string_agg(c_custkey || ';' || c_name || chr(10), '' ORDER BY c_custkey) AS content
-           FROM customer GROUP BY ALL)
-"""
+def _file_number():
+    return F.regexp_extract("path", r"file=(\d+)/", 1).cast("bigint").alias("file")
+
+
+def _file_text() -> str:
+    """Each file's content, by the rules of CSV."""
+    cells = [f"CASE WHEN {c} IS NULL THEN '' WHEN {c} = '' THEN '\"\"' WHEN regexp_matches({c}, '[,\"\\n]') "
+             f"THEN '\"' || replace({c}, '\"', '\"\"') || '\"' ELSE {c} END" for c in ERP_SOURCE_COLUMNS]
+    return O.with_bronze("erp", "", f"""k AS (SELECT *, {_FILE_KEY} AS file FROM bz),
+r AS (SELECT * REPLACE ({_FILE_REGION.format(file='file')} AS REGION) FROM k),
+f AS (SELECT file, '{','.join(ERP_SOURCE_COLUMNS)}' || chr(10) ||
+             string_agg({" || ',' || ".join(cells)} || chr(10), '' ORDER BY {', '.join(f"coalesce({c}, '')" for c in ERP_SOURCE_COLUMNS)}) AS content FROM r GROUP BY file)
+""")
 
 
-@register("discover_files", _SEGMENT_TEXT + """
-SELECT segment, '.csv' AS suffix, strlen(content) AS file_size_bytes, TRUE AS modified_today FROM f""")
+@register("discover_files", _file_text() + """
+SELECT file, '.csv' AS suffix, strlen(content) AS file_size_bytes, TRUE AS modified_today FROM f""")
 def q_discover_files(spark, sf_dir):
     """The files of a tree by a pattern with folders: name parts, size, time."""
-    found = _segment_files(spark, sf_dir, scratch(spark, "discover"))
+    found = _erp_files(spark, sf_dir, scratch(spark, "discover"))
     today = F.abs(F.datediff(F.current_date(), F.to_date("file_modified_at"))) <= 1
-    return found.select(_segment(), "suffix", "file_size_bytes", today.alias("modified_today")).orderBy("segment")
+    return found.select(_file_number(), "suffix", "file_size_bytes", today.alias("modified_today")).orderBy("file")
 
 
-@register("file_profile", _SEGMENT_TEXT + """
-SELECT segment, sha256(content) AS file_hash, ';' AS sep, 'c_custkey,c_name' AS column_names, FALSE AS quoted FROM f""")
+@register("file_profile", _file_text() + f"""
+SELECT file, sha256(content) AS file_hash, ',' AS sep, '{','.join(ERP_SOURCE_COLUMNS)}' AS column_names, file % 3 = 0 AS quoted FROM f""")
 def q_file_profile(spark, sf_dir):
-    """SHA-256, separator and header columns of files with known content."""
-    prof = src_files.profile(spark, _segment_files(spark, sf_dir, scratch(spark, "profile")))
-    return prof.select(_segment(), "file_hash", "sep", F.array_join("columns", ",").alias("column_names"), "quoted")
+    """SHA-256, separator, header columns and quoted line breaks of ERP files with known content."""
+    prof = src_files.profile(spark, _erp_files(spark, sf_dir, scratch(spark, "profile")))
+    return prof.select(_file_number(), "file_hash", "sep", F.array_join("columns", ",").alias("column_names"), "quoted")
 
 
 # ------------------------------------------------------------------ sinks

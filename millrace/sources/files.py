@@ -17,6 +17,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ EXCEL_SUFFIXES = (".xlsx", ".xlsm")
 PARQUET_SUFFIXES = (".parquet",)
 SUPPORTED_SUFFIXES = CSV_SUFFIXES + EXCEL_SUFFIXES + PARQUET_SUFFIXES
 SEPARATORS = [",", ";", "\t", "|"]
-BLOCK = 1 << 20                 # bytes read at once; no effect on results
+BLOCK = 4 << 20                 # bytes read at once; no effect on results
 LISTING = ("path string, file_name string, suffix string, file_size_bytes bigint, "
            "file_modified_at timestamp_ntz")
 
@@ -103,19 +104,28 @@ class _Scan:
 
     def feed(self, block: bytes) -> None:
         if not self.head_done:
-            for i, part in enumerate(re.split(rb"([\n\r])", block)):
-                if i % 2 and not self.in_quotes:
-                    self.head_done = True
-                    break
-                self.in_quotes ^= part.count(b'"') % 2 == 1
-                self.head.append(part)
+            self._feed_header(block)
         if not self.quoted and (self.odd or b'"' in block):
-            lines = re.split(rb"[\n\r]", block)
-            for line in lines[:-1]:
-                self.odd ^= line.count(b'"') % 2 == 1
-                self.quoted = self.quoted or self.odd
-                self.odd = False
-            self.odd ^= lines[-1].count(b'"') % 2 == 1
+            data = np.frombuffer(block, np.uint8)
+            quotes = np.flatnonzero(data == 0x22)
+            ends = np.flatnonzero((data == 0x0A) | (data == 0x0D))
+            # quotes before each line end and before the block's own end, less those of earlier lines
+            before = np.append(np.searchsorted(quotes, ends), len(quotes))
+            odd = np.diff(before, prepend=0) % 2 == 1
+            odd[0] ^= self.odd
+            self.quoted, self.odd = bool(odd[:-1].any()), bool(odd[-1])
+
+    def _feed_header(self, block: bytes) -> None:
+        start = 0
+        for end in re.finditer(rb"[\n\r]", block):
+            self.in_quotes ^= block.count(b'"', start, end.start()) % 2 == 1
+            start = end.start()
+            if not self.in_quotes:
+                self.head_done = True
+                self.head.append(block[:start])
+                return
+        self.in_quotes ^= block.count(b'"', start) % 2 == 1
+        self.head.append(block)
 
     def header(self) -> str:
         return b"".join(self.head).decode("utf-8", "replace").lstrip("\ufeff")
@@ -156,7 +166,9 @@ def profile(spark: SparkSession, files: DataFrame) -> DataFrame:
     incremental anti-join); only those paths are opened.  Lazy: a caller that
     uses it twice, or changes the ledger behind its filter, writes it first.
     """
-    prof = files.select("path", "suffix").repartition("path").mapInPandas(
+    # listings are tiny: by column alone, adaptive execution would put all files into one task
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    prof = files.select("path", "suffix").repartition(tasks, "path").mapInPandas(
         _stream_profile, "path string, file_hash string, header string, quoted boolean, sep string, columns array<string>")
     return files.select("path", "file_name", "suffix", "file_size_bytes", "file_modified_at").join(prof, "path")
 
