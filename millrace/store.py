@@ -156,8 +156,9 @@ class TableStore:
         if not self.fs.rename(src, dst):
             raise RuntimeError(f"could not rename {src} to {dst}")
 
-    def _swap(self, tmp: str, final: str) -> str:
-        """Publish ``tmp`` as ``final``; what was there is removed afterwards."""
+    def publish(self, tmp: str, final: str) -> str:
+        """Move ``tmp`` (file or folder) to ``final``; what was there is put
+        back if that fails, and removed afterwards."""
         self._repair(final)
         old = f"{final}.__old_{uuid.uuid4().hex}"
         had_old = self.fs.exists(final)
@@ -226,7 +227,7 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(tmp)
-        return self._swap(tmp, final)
+        return self.publish(tmp, final)
 
     def write_batch(self, table: str, df: DataFrame, batch_id: str, source: str | None = None, full: bool = False) -> str:
         """Write (or re-write) one batch: a hidden sibling first, then a rename
@@ -261,7 +262,7 @@ class TableStore:
         final = self.path(table)
         tmp = f"{final}.__tmp_{uuid.uuid4().hex}"
         self._written(f"{tmp}/{BATCH_COLUMN}={batch_id}", df, source)
-        return self._swap(tmp, final)
+        return self.publish(tmp, final)
 
     def marks(self, table: str, mark: str) -> dict[str, str]:
         """Batch id -> its mark of one kind, from one listing."""

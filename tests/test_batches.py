@@ -248,3 +248,31 @@ def test_partials_merge_to_the_same_rows_however_events_are_cut(spark):
         got = marts.merge_workflow(parts)
         assert got.dtypes == want.dtypes
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("single", [False, True])
+def test_an_export_is_whole_or_as_before(spark, wh, tmp_root, monkeypatch, single):
+    from millrace.plans.export import export_tables
+    from millrace.store import HadoopFS
+    store, _ = wh
+    out = f"{tmp_root}/out/mart_t.parquet"
+
+    def export(n):
+        store.overwrite("mart.t", spark.range(n))
+        return export_tables(store, ["mart.t"], f"{tmp_root}/out", csv=True, single_file=single)
+    assert export(3)[0] == out and os.path.isfile(out) == single
+    assert spark.read.parquet(out).count() == 3 and sorted(os.listdir(f"{tmp_root}/out"))[0] != ".__tmp"
+    real, before = HadoopFS.rename, []
+
+    def watched(self, src, dst):
+        if src == out:                   # the last moment before the new one takes its place
+            before.append(spark.read.parquet(out).count())
+        if dst == out and ".__tmp" in src and len(before) == 2:
+            return False                 # the move fails
+        return real(self, src, dst)
+    monkeypatch.setattr(HadoopFS, "rename", watched)
+    export(5)
+    assert before == [3] and spark.read.parquet(out).count() == 5
+    with pytest.raises(RuntimeError, match="could not rename"):
+        export(7)
+    assert before == [3, 5] and spark.read.parquet(out).count() == 5
