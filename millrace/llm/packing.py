@@ -30,7 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millrace.llm.subword import encoder, per_process
+from millrace.llm import text as tx
+from millrace.llm.subword import coder, per_process
 
 
 @dataclass(frozen=True)
@@ -105,15 +106,21 @@ class Packer:
 
     def __init__(self, config: Config, first_sequence: int):
         self.config, self.sequence = config, first_sequence
-        self.encoder = encoder(config.tokenizer)
-        self.ends = per_process(f"sentence_ends:{config.tokenizer}", lambda: _sentence_ends(self.encoder.library))
+        self.coder = coder(config.tokenizer)
+        self.ends = per_process(f"sentence_ends:{config.tokenizer}", lambda: _sentence_ends(self.coder.library))
         self.ids: list[np.ndarray] = []      # documents of the block, the first perhaps begun before
         self.docs: list[tuple[int, int, int]] = []   # id, ids before this part, all its ids
         self.held = 0
 
-    def add(self, doc_id, text: str | None) -> Iterator[tuple]:
-        ids = np.frombuffer(self.encoder.encode(text or ""), "<u4")
-        ids = np.concatenate([ids, np.array([self.config.end_id], "<u4")])
+    def texts(self, doc_ids: list, column) -> Iterator[tuple]:
+        """Adds texts, a block at a time."""
+        for a, b, data, offsets in tx.text_blocks(column):
+            ids, first = self.coder.encode(data, offsets)
+            for k in range(b - a):
+                yield from self.add(doc_ids[a + k], ids[first[k]:first[k + 1]])
+
+    def add(self, doc_id, ids: np.ndarray) -> Iterator[tuple]:
+        ids = np.append(ids, np.uint32(self.config.end_id)).astype("<u4", copy=False)
         self.docs.append((doc_id, 0, len(ids)))
         self.ids.append(ids)
         self.held += len(ids)
@@ -169,8 +176,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config
         from pyspark import TaskContext
         packer = Packer(config, TaskContext.get().partitionId() << 32)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                yield from packer.add(doc_id, text.as_py())
+            yield from packer.texts(batch.column(0).to_pylist(), batch.column(1))
         yield from packer.flush(last=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

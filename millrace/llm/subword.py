@@ -1,31 +1,20 @@
-"""Byte-level BPE ids of whole texts with the tokenizers library, memoised.
-
-Running text repeats its space-delimited units, so each worker process keeps
-the ids of units it has seen and asks the library only for new ones.  A space
-before a non-blank is always a border of the byte-level pattern (the space
-opens the next piece), which makes the joined ids equal to those of the whole
-text; units without that property (double blanks, other blanks next to the
-space) stay joined to their neighbour, and a text that holds a special token's
-string goes to the library whole.
-"""
+"""Objects that a worker process keeps, and the coder of a tokenizer file."""
 
 from __future__ import annotations
 
-import re
 import sys
 import types
-from array import array
 from collections.abc import Callable
 
-MEMO_UNITS = 300_000        # entries of a memo's newer half; as many older ones are kept
+from millrace.llm.unit_coder import UnitCoder
+
 BYTE_BPE = "byte_bpe_50k.json"
-# Latin letters, then ASCII punctuation: the pattern makes one piece of each
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\\[-`{-~]*)").fullmatch
 
 
 def per_process(name: str, make: Callable):
     """One object per worker process, kept over tasks (functions are shipped by
-    value, so their module globals last only for a task)."""
+    value, so their module globals last only for a task).  Workers outlive
+    stages: what is kept must be bounded in bytes."""
     shelf = sys.modules.setdefault("_millrace_process_shelf", types.ModuleType("_millrace_process_shelf"))
     if not hasattr(shelf, name):
         setattr(shelf, name, make())
@@ -37,120 +26,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _byte_symbols() -> dict[int, str]:
-    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest follow from 256 on."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    table, extra = {b: chr(b) for b in plain}, 256
-    for b in range(256):
-        if b not in table:
-            table[b] = chr(extra)
-            extra += 1
-    return table
-
-
-class Memo(dict):
-    """Bounded: when it is full, what it holds becomes the older half and what
-    that held is dropped; an older entry that is asked for becomes a new one."""
-
-    def __init__(self):
-        super().__init__()
-        self.older: dict[str, bytes] = {}
-
-    def find(self, key: str, make: Callable[[str], bytes]) -> bytes:
-        """The value of a key that the newer half lacks."""
-        got = self.older.get(key)
-        if got is None:
-            got = make(key)
-        if len(self) >= MEMO_UNITS:
-            self.older = dict(self)
-            self.clear()
-        self[key] = got
-        return got
-
-
-class Encoder:
-    """``encode(text)``: ids as little-endian uint32 bytes."""
-
-    def __init__(self, path: str | None = None):
-        from tokenizers import Tokenizer
-        self.library = Tokenizer.from_file(path or tokenizer_path(BYTE_BPE))
-        self.library.no_padding()
-        self.library.no_truncation()
-        self._model = self.library.model
-        self._special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        # the memo's reasoning holds for a plain byte-level pattern; other tokenizers take the library whole
-        pre = str(self.library.pre_tokenizer)
-        self.plain = pre.startswith("ByteLevel") and "add_prefix_space=False" in pre and "use_regex=True" in pre \
-            and self.library.normalizer is None
-        self._symbols = _byte_symbols()
-        self._after = Memo()     # units that follow a space
-        self._first = Memo()     # units at a text's start
-        self._piece = Memo()     # single pieces
-
-    @staticmethod
-    def _bytes(ids: list[int]) -> bytes:
-        out = array("I", ids)
-        if sys.byteorder != "little":
-            out.byteswap()
-        return out.tobytes()
-
-    def whole(self, text: str) -> bytes:
-        return self._bytes(self.library.encode(text, add_special_tokens=False).ids)
-
-    def _new_word(self, piece: str) -> bytes:
-        symbols = piece.encode().decode("latin-1").translate(self._symbols)
-        return self._bytes([t.id for t in self._model.tokenize(symbols)])
-
-    def _word(self, piece: str) -> bytes:
-        got = self._piece.get(piece)
-        return self._piece.find(piece, self._new_word) if got is None else got
-
-    def _unit(self, unit: str, lead: str) -> bytes:
-        """Ids of ``lead + unit``; lead is a space or nothing."""
-        plain = _PLAIN(unit)
-        if plain:
-            letters, marks = plain.groups()
-            return self._word(lead + letters) + self._word(marks) if marks else self._word(lead + letters)
-        a, feed, b = unit.partition("\n")
-        if feed and a and b and not a[-1].isspace() and not b[0].isspace():
-            return self._unit(a, lead) + self._word("\n") + self._unit(b, "")
-        return self.whole(lead + unit)
-
-    def _known(self, memo: Memo, unit: str, lead: str) -> bytes:
-        got = memo.get(unit)
-        return memo.find(unit, lambda u: self._unit(u, lead)) if got is None else got
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.plain or any(s in text for s in self._special):
-            return self.whole(text)
-        units = text.split(" ")
-        parts = list(map(self._after.get, units))
-        parts[0] = self._known(self._first, units[0], "") if units[0] else b""
-        i = -1
-        for _ in range(parts.count(None)):
-            i = parts.index(None, i + 1)
-            u = units[i]
-            if not u or u[0].isspace():
-                return self._joined(units)
-            parts[i] = self._known(self._after, u, " ")
-        return b"".join(parts)
-
-    def _joined(self, units: list[str]) -> bytes:
-        """Units that begin with a blank, or are empty, belong to the one before."""
-        out, start = [], 0
-        for i in range(1, len(units) + 1):
-            if i == len(units) or (units[i] and not units[i][0].isspace()):
-                run = " ".join(units[start:i])
-                lead = " " if start else ""
-                if i == start + 1 and run:
-                    out.append(self._known(self._after if start else self._first, run, lead))
-                elif lead + run:
-                    out.append(self.whole(lead + run))
-                start = i
-        return b"".join(out)
+def _load(path: str) -> UnitCoder:
+    from tokenizers import Tokenizer
+    return UnitCoder(Tokenizer.from_file(path))
 
 
-def encoder(path: str | None = None) -> Encoder:
-    return per_process(f"encoder:{path}", lambda: Encoder(path))
+def coder(path: str | None = None) -> UnitCoder:
+    """The coder of a tokenizers file (default: the public byte-level BPE)."""
+    return per_process(f"coder:{path}", lambda: _load(path or tokenizer_path(BYTE_BPE)))

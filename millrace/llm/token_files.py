@@ -29,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm import text as tx
 from millrace.llm.scratch import Workspace
-from millrace.llm.subword import encoder
+from millrace.llm.subword import coder
 
 
 @dataclass(frozen=True)
@@ -166,16 +167,19 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        part, ids = TaskContext.get().partitionId(), encoder(config.tokenizer)
-        wide = ids.library.get_vocab_size(with_added_tokens=True) > 1 << 16 or config.end_id >= 1 << 16
-        end = np.array([config.end_id], "<u4")
+        part, units = TaskContext.get().partitionId(), coder(config.tokenizer)
+        wide = units.library.get_vocab_size(with_added_tokens=True) > 1 << 16 or config.end_id >= 1 << 16
+        end = np.array([config.end_id], np.uint32)
         writer, n_docs = None, 0
         name = f"part-{part:05d}-{uuid.uuid4().hex}"
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                writer = writer or Writer(folder, name, config, wide, id_type)
-                writer.add(doc_id, np.concatenate([np.frombuffer(ids.encode(text.as_py() or ""), "<u4"), end]))
-                n_docs += 1
+            keys = batch.column(0).to_pylist()
+            for a, b, data, offsets in tx.text_blocks(batch.column(1)):
+                ids, first = units.encode(data, offsets)
+                for k in range(b - a):
+                    writer = writer or Writer(folder, name, config, wide, id_type)
+                    writer.add(keys[a + k], np.concatenate([ids[first[k]:first[k + 1]], end]))
+                n_docs += b - a
         if writer:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([name]), pa.array([n_docs], pa.int64()),
                                               pa.array([writer.close()], pa.int64())], names=["part", "name", "n_docs", "n_tokens"])
