@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 
 from millrace.llm import text as tx
 from millrace.llm.subword import per_process
-from millrace.llm.unit_coder import UnitCoder, byte_symbols, gather
+from millrace.llm.unit_coder import BLOCK_BYTES, UnitCoder, byte_symbols, gather
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 BLOCK_IDS = 1 << 18         # ids decoded at once (memory only)
@@ -130,7 +130,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _once(coder_of, shared)
         for batch in batches:
-            for a, b, data, offsets in tx.text_blocks(batch.column(1)):
+            for a, b, data, offsets in tx.text_blocks(batch.column(1), BLOCK_BYTES):
                 ids, first = coder.encode(data, offsets)
                 values = [ids, *(_once(ByteTable, shared).spans(ids, first, data, offsets) if spans else ())]
                 lists = [pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(v.astype(np.int32))) for v in values]

@@ -41,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import shared
 from millrace.llm import text as tx
 from millrace.llm.scratch import Workspace, sorted_groups
 
@@ -456,14 +457,14 @@ def _answered(src: DataFrame, kind: str, ws: Workspace, cuts: int, config: Confi
 def score(docs: DataFrame, model: Model, words: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_tokens, n_known, train_tokens, base_score, score."""
     c = model.filter.config
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared.share(docs.sparkSession, model)
     floor = model.tokens + c.smooth * (model.types + 1)
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = src.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        m, serial = sent.value, TaskContext.get().partitionId() << 33
+        m, serial = shared.unpack(sent), TaskContext.get().partitionId() << 33
         for batch in batches:
             for a, b, data, offsets in tx.text_blocks(batch.column(1)):
                 seq, row, _ = sequences(data, offsets)
@@ -471,7 +472,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, ws: Workspace, id_col
                 serial += b - a
 
     def run_answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, held, answers = sent.value, None, []
+        m, held, answers = shared.unpack(sent), None, []
 
         def scored() -> Iterator[pa.RecordBatch]:
             block, ids, texts = held

@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm import bloom
 from millrace.llm import text as tx
@@ -291,30 +292,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: Config | None = None) -> DataFrame:
     """One document of each class, all columns unchanged.
 
-    Only rows whose id may have to go (it isn't kept, or it is repeated) are
-    joined and shuffled; a bounded filter lets all others pass in place.  Rows
-    without an id stay."""
+    Rows that share an id but not their text are documents of their own here:
+    they go by a hash of both (below zero), so that none is judged by another's
+    text; of rows that share both one stays.  Only rows that may have to go
+    (not kept, or repeated) are joined and shuffled; a bounded filter lets all
+    others pass in place.  Rows without an id stay."""
     config = config or Config()
     spark, ws = docs.sparkSession, Workspace(docs.sparkSession, "keep-one")
-    classes = near_duplicates(docs, id_col, text_col, config).where(F.col(id_col).isNotNull())
-    suspects = ws.put("suspects", classes.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
-                      .where("n > 1 or not kept"))
-    bits = spark.sparkContext.broadcast(bloom.build(suspects.select(F.xxhash64("id").alias("key")), config.filter_segments, 4))
-    keyed = docs.select(*[docs[c] for c in docs.columns], F.xxhash64(docs[id_col].cast("bigint")).alias("_suspect_key"))
-
-    def split(want: bool) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                key = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                mask = bloom.contains(bits.value, key, 4)
-                yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(mask == want))
-
-        return keyed.mapInArrow(run, docs.schema)
-
-    held = split(True)
-    named = held.where(held[id_col].isNotNull())
-    judged = named.join(suspects.select(F.col("id").alias("_suspect_id"), F.col("kept").alias("_suspect_kept")),
-                        named[id_col] == F.col("_suspect_id"), "left").where(F.coalesce("_suspect_kept", F.lit(True)))
-    # repeated rows of a kept id: one of them
-    once = judged.drop("_suspect_kept", "_suspect_id").dropDuplicates([id_col])
-    return split(False).unionByName(once).unionByName(held.where(held[id_col].isNull()))
+    key = docs[id_col].cast("bigint")
+    often = ws.put("often", docs.select(key.alias("id")).where("id is not null").groupBy("id").count().where("count > 1").select("id"))
+    # the caller's columns travel as one struct, so that no name clashes
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), key.alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    if often.limit(1).count():
+        rows = _own_names(rows, bloom.build(often.select(F.xxhash64("id").alias("key")), config.filter_segments, 4))
+    classes = near_duplicates(rows.select("id", "text"), "id", "text", config).where("id is not null")
+    suspects = ws.put("suspects", classes.groupBy("id").agg(F.count("*").alias("n"), F.max("kept").alias("kept")).where("n > 1 or not kept"))
+    bits = bloom.build(suspects.select(F.xxhash64("id").alias("key")), config.filter_segments, 4)
+    marked = _met(rows.select("row", "id"), bits)
+    judged = marked.where("met and id is not null").join(suspects, "id", "left").where("coalesce(kept, true)")
+    once = judged.where("n is null or n = 1").select("row").unionByName(judged.where("n > 1").dropDuplicates(["id"]).select("row"))
+    return marked.where("not met or id is null").select("row").unionByName(once).select("row.*")
+
+
+def _met(rows: DataFrame, bits: np.ndarray) -> DataFrame:
+    """``rows`` with ``met``: the filter (of hashed ids) may hold the row's id."""
+    sent = rows.sparkSession.sparkContext.broadcast(bits)
+    keyed = rows.withColumn("met", F.xxhash64("id"))
+    last = len(keyed.columns) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column(last).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(bloom.contains(sent.value, key, 4))], names=batch.schema.names)
+
+    return keyed.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("met", T.BooleanType())]))
+
+
+def _own_names(rows: DataFrame, often: np.ndarray) -> DataFrame:
+    """``rows`` with a hash of id and text as the id of those whose id is repeated."""
+    own = F.xxhash64("id", "text").bitwiseOR(F.lit(-(1 << 63)))
+    return _met(rows, often).withColumn("id", F.when(F.col("met") & F.col("id").isNotNull(), own).otherwise(F.col("id"))).drop("met")

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 
 from millrace.llm import text as tx
 from millrace.llm.subword import coder, per_process
+from millrace.llm.unit_coder import BLOCK_BYTES
 
 
 @dataclass(frozen=True)
@@ -114,7 +115,7 @@ class Packer:
 
     def texts(self, doc_ids: list, column) -> Iterator[tuple]:
         """Adds texts, a block at a time."""
-        for a, b, data, offsets in tx.text_blocks(column):
+        for a, b, data, offsets in tx.text_blocks(column, BLOCK_BYTES):
             ids, first = self.coder.encode(data, offsets)
             for k in range(b - a):
                 yield from self.add(doc_ids[a + k], ids[first[k]:first[k + 1]])

@@ -147,9 +147,9 @@ def release() -> None:
         trim(0)
 
 
-def text_blocks(column) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_blocks(column, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) over blocks of whole rows."""
     data, offsets = column_bytes(column)
-    for a, b in row_blocks(offsets):
+    for a, b in row_blocks(offsets, limit):
         yield a, b, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
     release()

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from millrace.llm import text as tx
 from millrace.llm.scratch import Workspace
 from millrace.llm.subword import coder
+from millrace.llm.unit_coder import BLOCK_BYTES
 
 
 @dataclass(frozen=True)
@@ -174,7 +175,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         name = f"part-{part:05d}-{uuid.uuid4().hex}"
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            for a, b, data, offsets in tx.text_blocks(batch.column(1)):
+            for a, b, data, offsets in tx.text_blocks(batch.column(1), BLOCK_BYTES):
                 ids, first = units.encode(data, offsets)
                 for k in range(b - a):
                     writer = writer or Writer(folder, name, config, wide, id_type)

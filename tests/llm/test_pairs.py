@@ -68,6 +68,25 @@ def test_small_blocks_find_the_same_links(spark):
     assert got == brute_components(texts)
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    rng = __import__("random").Random(6)
+    a, b, c = (d.prose(rng, 80) for _ in range(3))
+    near = a.replace(a.split(" ")[40], "changed", 1)
+    rest = d.rows()[0][2:]
+    for rows, texts in (([(1, a), (2, a), (2, b)], {a: 1, b: 1}),                  # a unique text under a repeated id
+                        ([(1, near), (2, a), (2, b)], {a: 1, b: 1}),               # linked through one text of the id only
+                        ([(2, a), (2, a), (2, b), (3, b), (3, c)], {a: 1, b: 1, c: 1}),
+                        ([(7, ""), (7, ""), (8, None)], {"": 2})):
+        docs = spark.createDataFrame([(i, t, *rest) for i, t in rows], d.SCHEMA).withColumnsRenamed({"component": "row", "serial": "met"})
+        kept = near_dups.keep_one(docs.repartition(2))
+        assert kept.schema == docs.schema
+        got = {}
+        for r in kept.collect():
+            t = a if r.text == near else r.text or ""
+            got[t] = got.get(t, 0) + 1
+        assert got == texts
+
+
 def test_keep_one_per_class_with_repeated_rows_and_null_ids(spark):
     rows = d.rows()
     extra = [rows[30], rows[30], (None, rows[31][1], *rows[31][2:]), (None, None, *rows[31][2:])]
