@@ -23,8 +23,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20       # text coded at once, about: the fewer blocks, the fewer units are looked up
-MEMO_BYTES = 128 << 20      # what a process remembers of units, about
+BLOCK_BYTES = 1 << 20       # text coded at once, about
+MEMO_BYTES = 64 << 20       # what a process remembers of units, about
 LONG_UNIT = 200             # longer units (bytes) are not remembered
 _COST = 180                 # bytes of one remembered unit beside its own (string, dictionary entry, place)
 
