@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet in the shared folder and read again as the next one's docs.
 All but the last return the columns of ``docs`` unchanged.
+
+Defined results of the stages: a null or empty text fails the quality rules (too
+few words); rows without an id are judged by their text in the first two
+stages and never dropped as near duplicates; rows that share an id are
+documents of their own, rows that share id and text are one; an empty table
+stays empty; other columns, whatever their names, pass through.
 """
 
 from __future__ import annotations
@@ -51,12 +57,25 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Rows of an Arrow batch while the stages run.  Workers and executors hold
+#: several batches at once and keep that memory over stages; results don't
+#: depend on it.
+BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``; every stage's result is written and read again."""
+    """The stages applied to ``documents``; every stage's result is written and
+    read again.  Nothing is left to compute in what is returned."""
     ws = Workspace(spark, "pipeline")
     docs, before = table(spark, sf_dir, "documents"), []
-    for name, stage in STAGES:
-        docs = ws.put(name, stage(spark, docs, sf_dir))
-        ws.drop(*before)
-        before = [name]
+    key, rows = BATCH_ROWS
+    usual = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        for name, stage in STAGES:
+            docs = ws.put(name, stage(spark, docs, sf_dir))
+            ws.drop(*before)
+            before = [name]
+    finally:
+        spark.conf.set(key, usual)
     return docs
