@@ -5,26 +5,28 @@ run over end, words, end.  Counts of 1- to ``order``-grams are exact, over all
 training texts, and every n-gram that occurs enters the filter: no threshold,
 so what the model holds grows with the input.
 
-Counts are quantised: level q stands for counts from base**(q-1).  The filter
-holds (n-gram, 1) ... (n-gram, q); a lookup probes levels 1, 2, ... until one is
-missing.  The probability of a token is interpolated over the orders whose
-context the filter knows: an order gives lower bound of the n-gram's level /
-upper bound of the context's, so no context gets more than its mass; unigrams
-use the mean count of their level; a word outside the filter is the unknown one.
-
-The filter is cut into segments by ranges of the keys, as many as there are
-n-grams for, each sized by its entries.  n-grams travel packed: a task sums or
-deduplicates those of a chunk of text, sorts them, and sends each segment one
-row of them, so a common n-gram is one entry per chunk wherever it goes.  A
-filter of at most ``capacity`` entries is broadcast; a larger one stays a table,
-and blocks of texts send their distinct n-grams to the segments and get one byte
-of level for each back, in the same order.  Both ways give the same scores.  The filter
-takes 48 bits of a key: with 5e9 n-grams an absent one has another's key in
-2e-5 of the cases, far below the 3e-3 in which its probes are all set.
-
-The base score is exact: words of count N / exact_words or more (at most
-``exact_words``) are looked up from a bounded broadcast table, the others by a
-join on the word's hash, so no hot word enters a shuffle.
+Counts are quantised: level q stands for the whole numbers from base**(q-1) to
+below base**q.  The filter holds (n-gram, 1) ... (n-gram, q); a lookup probes
+levels 1, 2, ... until one is missing.  The probability of a token is
+interpolated over the orders whose context the filter knows: an order gives
+(least count of the n-gram's level - ``discount``) / greatest count of the
+context's, so no context gets more than its mass and n-grams seen once count
+little; unigrams use the mean count of their level; a word outside the filter is
+the unknown one.
+
+The filter is cut into segments by ranges of the keys, one per ``segment_bytes``
+of text.  A task sums the n-grams of a block of text, sorts them, and sends each
+segment one packed row of all orders, so a common n-gram is one entry per block
+wherever it goes.  A filter of at most ``capacity`` entries is broadcast and texts
+are scored where they lie.  Above, a segment is probed where it is built: every
+distinct n-gram once, and each block gets a byte of level back for each of its
+n-grams, in the order sent.  Both ways give the same scores.  Rows sent are blocks
+times segments, at most one per n-gram of a block.
+
+The filter takes 48 bits of a longer n-gram's key: with 5e9 n-grams an absent one
+has another's key in 2e-5 of the cases, far below the 3e-3 in which its probes are
+all set.  Words are told apart by 63 bits.  The base score is exact: words' counts
+travel with their levels.
 
 Defined results: a null or empty text is its end token alone.  Every row gets
 its own result, repeated rows too.  No training rows: N and V are 0, the only
@@ -46,74 +48,79 @@ from millrace.llm import text as tx
 from millrace.llm.scratch import Workspace, sorted_groups
 
 END = np.uint64(0x5DEECE66D1CEB00C)      # the end token's hash
+SENT_BYTES = 1 << 22                     # packed rows handed to Spark at once
+MOST_TASKS = 1 << 14                     # segments beyond it share tasks, one after the other
 
 
 @dataclass(frozen=True)
 class Config:
     order: int = 3
     capacity: int = 1 << 22          # most entries of a filter that is broadcast (how, not what: same scores)
-    segment_grams: int = 1 << 21     # n-grams, repeats counted, for which there is a segment
+    segment_bytes: int = 1 << 24     # text for which there is a segment
+    block_bytes: int = 1 << 23       # text whose n-grams are summed and looked up together
     base: float = 1.5                # counts of one level differ by at most this factor
     bits_per_entry: int = 12
     probes: int = 8
     weights: tuple = (0.2, 0.15)     # of the 2-gram, 3-gram, ... estimates
-    exact_words: int = 1 << 20       # most words in the broadcast table of exact counts
-    chunk: int = 1 << 22             # n-grams summed in a task before they are shuffled
-    block_bytes: int = 1 << 22       # text whose n-grams are looked up together
+    discount: float = 0.75           # taken off an n-gram's count
     smooth: float = 0.1
 
 
-def sequences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, tx.Words]:
+def sequences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of each row with an end token before and after, and their rows."""
     w = tx.words(data, offsets, lower=True)
-    n = len(offsets) - 1
-    row = np.repeat(np.arange(n), w.count() + 2)
+    row = np.repeat(np.arange(len(offsets) - 1), w.count() + 2)
     seq = np.full(len(row), END, np.uint64)
     seq[np.arange(len(w.start)) + 2 * w.row + 1] = w.hashes()
-    return seq, row, w
+    return seq, row
 
 
-def level_key(key: np.ndarray, order: int, level) -> np.ndarray:
-    """What the filter holds for an n-gram's level."""
-    return tx.mix(key ^ tx.mix(np.atleast_1d(np.asarray(level, np.uint64)) + np.uint64(1000 * order)))
+def grams(seq: np.ndarray, row: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, first tokens) of an order's n-grams; the lowest bit of a key is free."""
+    if order == 1:
+        return seq & ~np.uint64(1), np.arange(len(seq))
+    key, at = tx.windows(seq, row, order)
+    return key & ~np.uint64((1 << 16) - 1), at
+
+
+def planes(a: np.ndarray) -> bytes:
+    """Bytes of whole numbers, equal places together (most are zero)."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
 
 
-COUNT = np.uint64((1 << 16) - 1)     # the low bits of a packed key hold a count
+def from_planes(raw: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def pack(key: np.ndarray) -> bytes:
-    """Ascending uint64 keys as differences, byte planes apart (most are zero)."""
-    return np.ascontiguousarray(np.diff(key, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Ascending uint64 keys as differences."""
+    return planes(np.diff(key, prepend=np.uint64(0)))
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    step = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
-    return np.cumsum(step, dtype=np.uint64)
+    return np.cumsum(from_planes(raw, np.uint64), dtype=np.uint64)
 
 
-def sliced(key: np.ndarray, order: int, cuts: int) -> Iterator[tuple[int, slice]]:
-    """(slot, range) of ascending keys for each of the order's 2**cuts segments that has some."""
-    edge = np.searchsorted(key, np.arange(1 << cuts, dtype=np.uint64) << np.uint64(64 - cuts))
-    edge = np.append(edge, len(key))
-    for k in np.flatnonzero(np.diff(edge)).tolist():
-        yield order << 40 | k, slice(int(edge[k]), int(edge[k + 1]))
+def level_key(key: np.ndarray, order: int, level: int) -> np.ndarray:
+    """What the filter holds for an n-gram's level."""
+    return tx.mix(key ^ tx.mix(np.array([level + 1000 * order], np.uint64)))
 
 
-def _spots(key: np.ndarray, size, probes: int) -> Iterator[np.ndarray]:
-    a = tx.mix(key)
-    b = tx.mix(a) | np.uint64(1)
-    for k in range(probes):
-        yield (((a + np.uint64(k) * b) >> np.uint64(20)) % size).astype(np.int64)
+def level_of(n: np.ndarray, base: float) -> np.ndarray:
+    return (np.floor(np.log(np.maximum(n, 1)) / np.log(base) + 1e-9) + 1).astype(np.int64)
 
 
 def segment_bits(key: np.ndarray, n: np.ndarray, order: int, config: Config) -> tuple[int, np.ndarray]:
     """(entries, bit array) of one segment's n-grams and counts."""
-    q = (np.floor(np.log(n) / np.log(config.base) + 1e-9) + 1).astype(np.int64)
+    q = level_of(n, config.base)
     entries = int(q.sum())
     bits = np.zeros(max(1, -(-entries * config.bits_per_entry // 8)) * 8, bool)
     for level in range(1, int(q.max(initial=0)) + 1):
-        for at in _spots(level_key(key[q >= level], order, level), np.uint64(len(bits)), config.probes):
-            bits[at] = True
+        a = tx.mix(level_key(key[q >= level], order, level))
+        b = tx.mix(a) | np.uint64(1)
+        for k in range(config.probes):
+            bits[((a + np.uint64(k) * b) >> np.uint64(20)) % np.uint64(len(bits))] = True
     return entries, np.packbits(bits)
 
 
@@ -127,200 +134,248 @@ class Filter:
         """The bit arrays of an order's segments (those that have entries)."""
         parts = [segments.get(k, np.zeros(1, np.uint8)) for k in range(1 << self.cuts)]
         size = np.array([8 * len(x) for x in parts], np.uint64)
-        self.orders[order] = np.concatenate(parts), np.cumsum(size).astype(np.int64) - size.astype(np.int64), size
-
-    def levels(self, key: np.ndarray, order: int) -> np.ndarray:
-        """Level of each key (0: not in the model)."""
-        unique, back = np.unique(key & ~COUNT, return_inverse=True)
-        return self.probe(unique, order)[back]
+        self.orders[order] = np.concatenate(parts), np.cumsum(size) - size, size
 
     def probe(self, key: np.ndarray, order: int) -> np.ndarray:
+        """Level of each key (0: not in the model)."""
         flat, begin, size = self.orders[order]
-        part = (key >> np.uint64(64 - self.cuts)).astype(np.int64)
-        out = np.zeros(len(key), np.int64)
+        part = (key >> np.uint64(64 - self.cuts)).astype(np.int64) if self.cuts else np.zeros(len(key), np.int64)
+        out = np.zeros(len(key), np.uint8)
         left, level = np.arange(len(key)), 1
         while len(left):
-            some = np.arange(len(left))
-            for at in _spots(level_key(key[left], order, level), size[part[left]], self.config.probes):
-                at = at[some] + begin[part[left[some]]]
-                hit = (flat[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
-                some = some[hit]
-            left = left[some]
+            a = tx.mix(level_key(key[left], order, level))
+            b = tx.mix(a) | np.uint64(1)
+            for _ in range(self.config.probes):
+                at = (a >> np.uint64(20)) % size[part[left]] + begin[part[left]]
+                hit = (flat[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 > 0
+                left, a, b = left[hit], a[hit], b[hit]
+                a = a + b
             out[left] = level
             level += 1
         return out
 
-    def low(self, level: np.ndarray) -> np.ndarray:
-        return np.where(level > 0, self.config.base ** (level - 1.0), 0.0)
-
-    def high(self, level: np.ndarray) -> np.ndarray:
-        return np.where(level > 0, self.config.base ** level.astype(float), np.inf)
-
-    def grams(self, seq: np.ndarray, row: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(keys, first token, level) for the orders up to ``order``; a level
-        only counts where both parts are in the model."""
-        out = [(seq, np.arange(len(seq)), self.levels(seq, 1))]
-        for n in range(2, order + 1):
-            key, at = tx.windows(seq, row, n)
-            shorter = np.zeros(len(seq), np.int64)
-            shorter[out[-1][1]] = out[-1][2]
-            may = (shorter[at] > 0) & (shorter[at + 1] > 0)
-            level = np.full(len(key), -1, np.int64)
-            level[may] = self.levels(key[may], n)
-            out.append((key, at, level))
-        return out
-
-
-class Answered(Filter):
-    """Levels of one block's n-grams as its segments gave them back."""
-
-    def levels(self, key: np.ndarray, order: int) -> np.ndarray:
-        unique, level = self.orders[order]
-        return level[np.searchsorted(unique, key & ~COUNT)]
-
-
-def block_keys(seq: np.ndarray, row: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(order, distinct keys, ascending) of a block's n-grams."""
-    for n in range(1, order + 1):
-        yield n, np.unique((seq if n == 1 else tx.windows(seq, row, n)[0]) & ~COUNT)
-
-
-def _counted(src: DataFrame, config: Config) -> DataFrame:
-    """Exact counts (key, n) of the words of ``src`` (text)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n_held = [], 0
-
-        def summed() -> pa.RecordBatch:
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
-
-        for batch in batches:
-            for _, _, data, offsets in tx.text_blocks(batch.column(0)):
-                seq, row, _ = sequences(data, offsets)
-                first = np.ones(len(row), bool)      # without the end token before the text
-                first[1:] = row[1:] != row[:-1]
-                held.append(seq[~first])
-                n_held += len(held[-1])
-                if n_held >= config.chunk:
-                    yield summed()
-                    held, n_held = [], 0
-        if n_held:
-            yield summed()
 
-    return src.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+def merged(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, ascending, how many of each) of keys marked in the lowest bit."""
+    key = np.sort(key)
+    plain = key & ~np.uint64(1)
+    first = np.flatnonzero(np.concatenate([[True], plain[1:] != plain[:-1]]))
+    return plain[first], np.add.reduceat((key & np.uint64(1)).astype(np.uint32), first, dtype=np.uint32)
 
 
-PACKED = "slot bigint, data binary"
-
+def spread(key: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The value of each key, from those of the distinct keys in ascending order."""
+    order = np.argsort(key)
+    held = key[order]
+    group = np.cumsum(np.concatenate([[False], held[1:] != held[:-1]]))
+    out = np.empty(len(key), value.dtype)
+    out[order] = value[group]
+    return out
 
-def _summed(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys, ascending, and counts of keys with counts in their low bits."""
-    data = np.sort(data)
-    key = data & ~COUNT
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return key[first], np.add.reduceat((data & COUNT).astype(np.int64), first)
 
+ASKED = "slot bigint, block bigint, keys array<binary>, counts array<binary>"
 
-def _packed(data: np.ndarray, order: int, cuts: int) -> pa.RecordBatch:
-    """A chunk's n-grams with counts, summed, one row per segment."""
-    key, n = _summed(data)
-    times = -(-n // int(COUNT))          # larger counts take several entries
-    key, n, rest = np.repeat(key, times), np.full(times.sum(), int(COUNT)), n - (times - 1) * int(COUNT)
-    n[np.cumsum(times) - times] = rest
-    data = np.sort(key | n.astype(np.uint64))
-    slot, rows = zip(*((slot, pack(data[at])) for slot, at in sliced(data, order, cuts)))
-    return pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(rows, pa.binary())], names=["slot", "data"])
 
+def _lists(rows: list[list[bytes]]) -> pa.Array:
+    return pa.array(rows, pa.list_(pa.binary()))
 
-def _words_packed(words: DataFrame, cuts: int, config: Config) -> DataFrame:
-    most = F.lit(int(COUNT))
-    parts = F.when(F.col("n") <= most, F.array("n")).otherwise(
-        F.concat(F.array_repeat(most.cast("bigint"), F.floor((F.col("n") - 1) / most).cast("int")), F.array((F.col("n") - 1) % most + 1)))
 
+def packed_rows(block: int, seq: np.ndarray, row: np.ndarray, teach: np.ndarray, cuts: int, order: int) -> Iterator[tuple]:
+    """(slot, block, keys by order, counts in training texts by order) of a block, ascending by segment."""
+    mark = teach[row]
+    first = np.concatenate([[True], row[1:] != row[:-1]])     # the end token before a text is no token of its own
+    held = []
+    for n in range(1, order + 1):
+        key, at = grams(seq, row, n)
+        if len(key):
+            held.append(merged(key | (mark & ~first if n == 1 else mark[at]).astype(np.uint64)))
+        else:
+            held.append((np.empty(0, np.uint64), np.empty(0, np.uint32)))
+    lows = np.arange(1 << cuts, dtype=np.uint64) << np.uint64(64 - cuts) if cuts else np.zeros(1, np.uint64)
+    edge = [np.append(np.searchsorted(key, lows), len(key)) for key, _ in held]
+    for slot in np.flatnonzero(np.diff(edge).sum(axis=0)).tolist():
+        parts = [(key[e[slot]:e[slot + 1]], n[e[slot]:e[slot + 1]]) for (key, n), e in zip(held, edge)]
+        yield slot, block, [pack(key) for key, _ in parts], [planes(n) for _, n in parts]
+
+
+def in_batches(rows: Iterator[tuple], size) -> Iterator[list[tuple]]:
+    """Lists of rows of about ``SENT_BYTES``."""
+    held, n = [], 0
+    for r in rows:
+        held.append(r)
+        n += size(r)
+        if n >= SENT_BYTES:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def _asked(src: DataFrame, kind: str, cuts: int, config: Config, with_texts: bool) -> DataFrame:
+    """Blocks of ``src`` (id, text, teach): what they send the segments and, if
+    wanted, their texts (slot -1, place in the block)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n_held = [], 0
-        for batch in batches:
-            held.append(batch.column(0).to_numpy().astype(np.int64).view(np.uint64) & ~COUNT | batch.column(1).to_numpy().astype(np.uint64))
-            n_held += batch.num_rows
-            if n_held >= config.chunk:
-                yield _packed(np.concatenate(held), 1, cuts)
-                held, n_held = [], 0
-        if n_held:
-            yield _packed(np.concatenate(held), 1, cuts)
-
-    return words.select("key", F.explode(parts).alias("n")).mapInArrow(run, PACKED)
+        from pyspark import TaskContext
+        block = TaskContext.get().partitionId() << 33
+
+        def blocks() -> Iterator[pa.RecordBatch]:
+            held, size = [], 0
+            for batch in batches:
+                _, offsets = tx.column_bytes(batch.column(1))
+                for a, b in tx.row_blocks(offsets, config.block_bytes):
+                    step = int(offsets[b] - offsets[a])
+                    if held and size + step > config.block_bytes:
+                        yield pa.Table.from_batches(held).combine_chunks()
+                        held, size = [], 0
+                    held.append(batch.slice(a, b - a))
+                    size += step
+            if held:
+                yield pa.Table.from_batches(held).combine_chunks()
+
+        for table in blocks():
+            ids, texts, teach = table.columns
+            if with_texts:
+                for a, b in tx.row_blocks(tx.column_bytes(texts)[1], SENT_BYTES):
+                    none = _lists([None] * (b - a))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(b - a, -1)), pa.array(np.full(b - a, block)), none, none, pa.array(np.arange(a, b)),
+                         ids.slice(a, b - a).combine_chunks(), texts.slice(a, b - a).combine_chunks()], names=names)
+            seq, row = sequences(*tx.column_bytes(texts))
+            rows = packed_rows(block, seq, row, teach.to_numpy(), cuts, config.order)
+            for some in in_batches(rows, lambda r: sum(map(len, r[2]))):
+                slot, of, keys, counts = map(list, zip(*some))
+                k = len(slot)
+                cols = [pa.array(slot, pa.int64()), pa.array(of, pa.int64()), _lists(keys), _lists(counts)]
+                if with_texts:
+                    cols += [pa.nulls(k, pa.int64()), pa.nulls(k, table.schema.field(0).type), pa.nulls(k, table.schema.field(1).type)]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+            block += len(ids)
+            tx.release()
 
+    names = ["slot", "block", "keys", "counts"] + (["place", "id", "text"] if with_texts else [])
+    return src.mapInArrow(run, ASKED + (f", place bigint, id {kind}, text string" if with_texts else ""))
 
-def _grams_packed(src: DataFrame, cuts: int, config: Config) -> DataFrame:
-    """Summed 2- to ``order``-grams of chunks of text, one row per chunk and segment."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n_held = {n: [] for n in range(2, config.order + 1)}, 0
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for order, keys in held.items():
-                key = np.concatenate(keys)
-                keys.clear()
-                if len(key):
-                    yield _packed(key & ~COUNT | np.uint64(1), order, cuts)
+TOLD = ("slot bigint, block bigint, levels array<binary>, counts binary, entries array<bigint>, tokens bigint, types bigint, "
+        "grams array<bigint>, total array<bigint>, bits array<binary>, words binary")
 
-        for batch in batches:
-            for _, _, data, offsets in tx.text_blocks(batch.column(0)):
-                seq, row, _ = sequences(data, offsets)
-                for order, keys in held.items():
-                    keys.append(tx.windows(seq, row, order)[0])
-                n_held += len(seq)
-                if n_held >= config.chunk:
-                    yield from out()
-                    n_held = 0
-        if n_held:
-            yield from out()
-        tx.release()
 
-    return src.mapInArrow(run, PACKED)
+def _told(asked: DataFrame, cuts: int, config: Config, answers: bool) -> DataFrame:
+    """A row on each segment (block -1: sums, and its bits and words unless there are
+    answers) and, with answers, one for each block that asked it."""
+    names = [x.split()[0] for x in TOLD.split(", ")]
 
+    def segment(slot: int, group: pa.Table) -> Iterator[tuple]:
+        blocks = group.column(1).to_pylist()
+        levels, counts, about, bits, words = [[] for _ in blocks], None, [], [], b""
+        for n in range(1, config.order + 1):
+            parts = [unpack(x[n - 1].as_py()) for x in group.column(2)]
+            key = np.concatenate(parts)
+            times = np.concatenate([from_planes(x[n - 1].as_py(), np.uint32) for x in group.column(3)])
+            ends = np.cumsum([len(x) for x in parts])[:-1]
+            order = np.argsort(key)
+            held = key[order]
+            fresh = np.concatenate([[True], held[1:] != held[:-1]])[:len(held)]
+            first = np.flatnonzero(fresh)
+            total = np.add.reduceat(times[order].astype(np.int64), first) if len(first) else np.empty(0, np.int64)
+            held, group_of = held[first], np.cumsum(fresh) - 1
+            seen = total > 0
+            entries, own = segment_bits(held[seen], total[seen], n, config)
+            about.append(entries)
+            if n == 1:
+                q = level_of(total[seen], config.base)
+                sums = (int(total.sum()), int(seen.sum()), np.bincount(q).tolist(), np.bincount(q, weights=total[seen]).astype(np.int64).tolist())
+            if not answers:
+                bits.append(own.tobytes())
+                if n == 1:
+                    words = pack(held[seen]) + planes(total[seen])
+                continue
+            f = Filter(config, 0)
+            f.hold(n, {0: own})
+            level = f.probe(held, n)
+            back = np.empty(len(key), np.int64)
+            back[order] = group_of
+            for mine, x in zip(levels, np.split(level[back], ends)):
+                mine.append(x.tobytes())
+            if n == 1:
+                counts = [planes(x) for x in np.split(total[back], ends)]
+        yield slot, -1, None, None, about, *sums, bits, words
+        if answers:
+            for block, level, count in zip(blocks, levels, counts):
+                yield slot, block, level, count, None, None, None, None, None, None, None
 
-def _segments(packed: DataFrame, config: Config) -> DataFrame:
-    """(slot, entries, bits) of each segment, from the rows of its chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64(),
+                 pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary()]
         for group in sorted_groups(batches, 1):
-            slot = group.column(0)[0].as_py()
-            key, n = _summed(np.concatenate([unpack(x.as_py()) for x in group.column(1)]))
-            entries, bits = segment_bits(key, n, slot >> 40, config)
-            yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int64()), pa.array([entries], pa.int64()), pa.array([bits.tobytes()], pa.binary())],
-                                             names=["slot", "entries", "bits"])
-        tx.release()
+            rows = segment(group.column(0)[0].as_py(), group)
+            for some in in_batches(rows, lambda r: sum(map(len, (r[2] or []) + (r[9] or []))) + len(r[3] or b"")):
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*some), types)], names=names)
+            del group, rows
+            tx.release()
 
-    return packed.repartition("slot").sortWithinPartitions("slot").mapInArrow(run, "slot bigint, entries bigint, bits binary")
+    tasks = min(1 << cuts, MOST_TASKS)
+    return (asked.repartitionById(tasks, (F.col("slot") % tasks).cast("int")).sortWithinPartitions("slot", "block")
+            .mapInArrow(run, TOLD))
 
 
 @dataclass
 class Model:
-    filter: Filter
+    """What the corpus taught: sums, and for a corpus small enough the filter and the words' exact counts."""
+    config: Config
     tokens: int                  # N
     types: int                   # V
     level_mean: np.ndarray       # unigrams: mean count by level
-    rare: float                  # probability of the unknown word
-    exact_key: np.ndarray        # frequent words' hashes, ascending, and their counts
-    exact_count: np.ndarray
-
-    def token_logs(self, seq: np.ndarray, row: np.ndarray, f: Filter) -> tuple[np.ndarray, np.ndarray]:
-        """(position, log10 probability) of every token after a row's first."""
-        c = f.config
-        grams = f.grams(seq, row, c.order)
-        target = np.flatnonzero(np.concatenate([[False], row[1:] == row[:-1]]))
-        level = grams[0][2]
-        p = np.where(level > 0, self.level_mean[np.minimum(level, len(self.level_mean) - 1)] / max(1, self.tokens), self.rare)
-        held = level                       # levels of the contexts, by first token
-        for n, (key, at, q) in enumerate(grams[1:], 2):
-            context = held[at]
-            known = context > 0
+    filter: Filter | None = None
+    word_key: np.ndarray | None = None       # ascending
+    word_count: np.ndarray | None = None
+
+    def base_logs(self, count: np.ndarray) -> np.ndarray:
+        smooth = self.config.smooth
+        return np.log10((count + smooth) / (self.tokens + smooth * (self.types + 1)))
+
+    def token_logs(self, row: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
+        """log10 probability of every token (0 for the end tokens before texts);
+        ``levels``: by order, those of the n-grams beginning at each token."""
+        c, n_all = self.config, len(row)
+        floor = self.tokens + c.smooth * (self.types + 1)
+        by_level = np.concatenate([[c.smooth / floor], self.level_mean[1:] / floor])
+        held = levels[0]
+        p = by_level[np.minimum(held, len(by_level) - 1)]
+        # counts of a level are whole numbers
+        q = np.arange(256.0)
+        low = np.where(q > 0, np.ceil(c.base ** np.minimum(q - 1, 200) - 1e-6), 0)
+        high = np.where(q > 0, np.ceil(c.base ** np.minimum(q, 200) - 1e-6) - 1, np.inf)
+        gain = np.minimum(1, np.maximum(0, low - c.discount)[:, None] / np.maximum(high, 1)[None, :])
+        for n in range(2, c.order + 1):
+            k = n_all - n + 1
+            if k <= 0:
+                break
+            known = (row[:k] == row[n - 1:]) & (held[:k] > 0)
+            own = np.where(known & (held[1:k + 1] > 0), levels[n - 1][:k], 0)
             share = np.where(known, c.weights[n - 2], 0.0)
-            own = np.minimum(1.0, f.low(np.maximum(q, 0)) / f.high(context))
-            spot = at + n - 1
-            p[spot] = (1 - share) * p[spot] + share * np.where(known, own, 0.0)
-            held = np.zeros(len(seq), np.int64)
-            held[at] = np.maximum(q, 0)
-        return target, np.log10(p[target])
+            p[n - 1:] = (1 - share) * p[n - 1:] + share * gain[own, held[:k]]
+            held = np.append(own, np.zeros(n - 1, own.dtype))
+        logs = np.log10(p)
+        logs[np.concatenate([[True], row[1:] != row[:-1]])] = 0
+        return logs
+
+
+def _sums(told: DataFrame, config: Config) -> tuple[Model, int]:
+    """The model's sums and the filter's entries, from the rows on segments."""
+    about = told.where(F.col("block") == -1)
+    r = about.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v"),
+                  F.sum(F.expr("aggregate(entries, 0L, (a, x) -> a + x)")).alias("entries")).first()
+    levels = (about.select(F.posexplode(F.arrays_zip("grams", "total")).alias("q", "x"))
+              .groupBy("q").agg(F.sum("x.grams").alias("grams"), F.sum("x.total").alias("total")).collect())
+    mean = np.zeros(max([r["q"] for r in levels], default=0) + 1)
+    for x in levels:
+        mean[x["q"]] = x["total"] / max(1, x["grams"])
+    return Model(config, r["n"] or 0, r["v"] or 0, mean), r["entries"] or 0
+
+
+def _cuts(n_bytes: int, config: Config) -> int:
+    return max(0, int(np.ceil(np.log2(max(1, n_bytes / config.segment_bytes)))))
 
 
 def _put(ws: Workspace, name: str, df: DataFrame) -> DataFrame:
@@ -334,189 +389,123 @@ def _put(ws: Workspace, name: str, df: DataFrame) -> DataFrame:
         conf.unset(key) if before is None else conf.set(key, before)
 
 
-def fit(docs: DataFrame, ws: Workspace, text_col: str = "text", config: Config | None = None) -> tuple[Model, DataFrame]:
-    """Train on all rows of ``docs``; returns the model and the table of word counts (key, n)."""
-    config = config or Config()
-    src = docs.select(docs[text_col].alias("text"))
-    words = _put(ws, "words", _counted(src, config))
-    r = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    tokens, types = r["n"], r["v"]
-    cuts = max(1, int(np.ceil(np.log2(max(1, tokens) / config.segment_grams))))
-    packed = _words_packed(words, cuts, config).union(_grams_packed(src, cuts, config))
-    segments = _put(ws, "segments", _segments(packed, config))
-    model = Filter(config, cuts)
-    if (segments.agg(F.sum("entries")).first()[0] or 0) <= config.capacity:
-        got = {r["slot"]: np.frombuffer(r["bits"], np.uint8) for r in segments.collect()}
-        for n in range(1, config.order + 1):
-            model.hold(n, {slot & (1 << 40) - 1: x for slot, x in got.items() if slot >> 40 == n})
-    q = (F.floor(F.log("n") / F.lit(float(np.log(config.base))) + F.lit(1e-9)) + 1).cast("bigint")
-    levels = words.groupBy(q.alias("q")).agg(F.count("*").alias("grams"), F.sum("n").alias("total")).collect()
-    mean = np.zeros(max([r["q"] for r in levels], default=0) + 1)
-    for r in levels:
-        mean[r["q"]] = r["total"] / r["grams"]
-    rare = config.smooth / (tokens + config.smooth * (types + 1))
-    mean *= tokens / (tokens + config.smooth * (types + 1))
-    exact = words.where(F.col("n") >= max(1, -(-tokens // config.exact_words))).toPandas()
-    key = exact["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(key)
-    return Model(model, tokens, types, mean, rare, key[order], exact["n"].to_numpy(np.int64)[order]), words
+def _source(docs: DataFrame, id_col: str, text_col: str, teach: Column) -> DataFrame:
+    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.coalesce(teach, F.lit(False)).alias("teach"))
+
 
+def _most_entries(src: DataFrame, config: Config) -> tuple[int, int]:
+    """(bytes of all texts, a bound on the entries of the training texts' filter):
+    a count of n takes at most n levels, and a word has a byte and a blank after it."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    r = src.agg(F.sum(size).alias("all"), F.sum(F.when(F.col("teach"), F.floor((size + 1) / 2) + 1)).alias("tokens")).first()
+    return r["all"] or 0, config.order * (r["tokens"] or 0)
 
-def _scored(m: Model, f: Filter, ids: pa.Array, seq: np.ndarray, row: np.ndarray, serial: int) -> Iterator[pa.RecordBatch]:
-    """A row for each text of a block, then its words that aren't in the broadcast table."""
+
+def fit(docs: DataFrame, ws: Workspace, text_col: str = "text", config: Config | None = None) -> Model:
+    """Learn from all rows of ``docs``; for corpora whose filter can be broadcast
+    (others are learned and scored together by :func:`score_with`)."""
+    config = config or Config()
+    src = _source(docs, text_col, text_col, F.lit(True))
+    cuts = _cuts(_most_entries(src, config)[0], config)
+    told = _put(ws, "segments", _told(_asked(src, "string", cuts, config, False), cuts, config, False))
+    model, entries = _sums(told, config)
+    if entries > config.capacity:
+        raise ValueError(f"the filter has {entries} entries, more than the {config.capacity} that are broadcast; use score_with")
+    got = told.select("slot", "bits", "words").orderBy("slot").collect()
+    model.filter = Filter(config, cuts)
+    for n in range(1, config.order + 1):
+        model.filter.hold(n, {r["slot"]: np.frombuffer(r["bits"][n - 1], np.uint8) for r in got})
+    half = [len(r["words"]) // 2 for r in got]
+    model.word_key = np.concatenate([unpack(r["words"][:h]) for r, h in zip(got, half)] or [np.empty(0, np.uint64)])
+    model.word_count = np.concatenate([from_planes(r["words"][h:], np.int64) for r, h in zip(got, half)] or [np.empty(0, np.int64)])
+    return model
+
+
+def _scored(m: Model, ids: pa.Array, row: np.ndarray, levels: list[np.ndarray], count: np.ndarray) -> pa.RecordBatch:
+    """A row for each text, from its tokens' levels and exact counts."""
     n = len(ids)
-    at, logs = m.token_logs(seq, row, f)
-    c, floor = f.config, m.tokens + f.config.smooth * (m.types + 1)
-    key, owner = seq[at], row[at]
-    spot = np.minimum(np.searchsorted(m.exact_key, key), max(0, len(m.exact_key) - 1))
-    exact = m.exact_key[spot] == key if len(m.exact_key) else np.zeros(len(key), bool)
-    count = m.exact_count[spot[exact]] if exact.any() else np.empty(0, np.int64)
-    base = np.bincount(owner[exact], weights=np.log10((count + c.smooth) / floor), minlength=n).astype(np.float64)
-    known = np.bincount(owner[exact], minlength=n).astype(np.int64)
-    # the other words, summed per row
-    pair = np.stack([owner[~exact].astype(np.uint64), key[~exact]])
-    order = np.lexsort(pair[::-1])
-    pair = pair[:, order]
-    fresh = np.ones(pair.shape[1], bool)
-    fresh[1:] = (pair[:, 1:] != pair[:, :-1]).any(axis=0)
-    first = np.flatnonzero(fresh)
-    times = np.diff(np.concatenate([first, [pair.shape[1]]]))
-    k = len(first)
-    none = pa.nulls(k, pa.int64())
-    serials = serial + np.arange(n)
-    docs_part = [serials, tx.mix(serials.view(np.uint64)).view(np.int64), np.zeros(n, np.int64)]
-    rare_part = [serials[pair[0][first].astype(np.int64)], pair[1][first].view(np.int64), times.astype(np.int64)]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(docs_part[0]), pa.array(docs_part[1]), pa.array(docs_part[2]), ids,
-         pa.array(np.bincount(owner, minlength=n).astype(np.int64)), pa.array(known), pa.array(base),
-         pa.array(np.bincount(owner, weights=logs, minlength=n).astype(np.float64))], names=NAMES)
-    if k:
-        yield pa.RecordBatch.from_arrays(
-            [*map(pa.array, rare_part), pa.nulls(k, ids.type), none, none, pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())], names=NAMES)
-
-
-def _answered(src: DataFrame, kind: str, ws: Workspace, cuts: int, config: Config) -> DataFrame:
-    """(block, slot, ids, texts, levels): blocks of texts (slot -1), each followed
-    by the levels of its distinct n-grams, segment by segment, in key order."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        serial = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            _, offsets = tx.column_bytes(batch.column(1))
-            texts = batch.column(1).cast(pa.string()).fill_null("")
-            for a, b in tx.row_blocks(offsets, config.block_bytes):
-                ends = pa.array([0, b - a], pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([serial], pa.int64()), pa.ListArray.from_arrays(ends, batch.column(0).slice(a, b - a)),
-                     pa.ListArray.from_arrays(ends, texts.slice(a, b - a))], names=["block", "ids", "texts"])
-                serial += b - a
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                seq, row, _ = sequences(*tx.column_bytes(batch.column(1)[i].values))
-                rows = [(slot, pack(key[at])) for order, key in block_keys(seq, row, config.order) for slot, at in sliced(key, order, cuts)]
-                slot, keys = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array([batch.column(0)[i].as_py()] * len(slot), pa.int64()),
-                                                  pa.array(keys, pa.binary())], names=["slot", "block", "data"])
-            tx.release()
+    own = np.concatenate([[False], row[1:] == row[:-1]])
+    base = np.where(own, m.base_logs(count), 0.0)
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = None, None
-        for batch in batches:
-            block, slot, levels = [], [], []
-            for s, k, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if k < 0:                    # the segment comes before what is asked of it
-                    held, at = Filter(config, cuts), s
-                    held.hold(s >> 40, {s & (1 << 40) - 1: np.frombuffer(data, np.uint8)})
-                    continue
-                key = unpack(data)
-                got = held.probe(key, s >> 40) if at == s else np.zeros(len(key), np.int64)
-                block.append(k)
-                slot.append(s)
-                levels.append(got.astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(slot, pa.int64()), pa.array(levels, pa.binary())],
-                                             names=["block", "slot", "levels"])
-        tx.release()
+    def per_text(x: np.ndarray) -> np.ndarray:
+        return np.bincount(row, weights=x, minlength=n)
+
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array(per_text(own).astype(np.int64)), pa.array(per_text(own & (count > 0)).astype(np.int64)),
+         pa.array(np.full(n, m.tokens)), pa.array(per_text(base)), pa.array(per_text(m.token_logs(row, levels)))], names=NAMES)
 
-    # written, so that both reads see the same blocks; small row groups bound what a reader holds
-    cut_up = src.mapInArrow(cut, f"block bigint, ids array<{kind}>, texts array<string>")
-    cut_up.write.mode("overwrite").option("parquet.block.size", 1 << 24).parquet(f"{ws.path}/blocks")
-    blocks = ws.get("blocks")
-    asked = blocks.select("block", "texts").mapInArrow(ask, "slot bigint, block bigint, data binary")
-    bits = ws.get("segments").select("slot", F.lit(-1).cast("bigint").alias("block"), F.col("bits").alias("data"))
-    levels = _put(ws, "levels", asked.union(bits).repartition("slot").sortWithinPartitions("slot", "block")
-                  .mapInArrow(answer, "block bigint, slot bigint, levels binary"))
-    ws.drop("segments")
-    none = F.lit(None)
-    return (blocks.select("block", F.lit(-1).cast("bigint").alias("slot"), "ids", "texts", none.cast("binary").alias("levels"))
-            .union(levels.select("block", "slot", none.cast(f"array<{kind}>").alias("ids"), none.cast("array<string>").alias("texts"), "levels"))
-            .repartition("block").sortWithinPartitions("block", "slot"))
 
+NAMES = ["id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-def score(docs: DataFrame, model: Model, words: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def _result(kind: str) -> str:
+    return f"id {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_tokens, n_known, train_tokens, base_score, score."""
-    c = model.filter.config
     sent = shared.share(docs.sparkSession, model)
-    floor = model.tokens + c.smooth * (model.types + 1)
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    kind = src.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        m, serial = shared.unpack(sent), TaskContext.get().partitionId() << 33
+        m = shared.unpack(sent)
         for batch in batches:
             for a, b, data, offsets in tx.text_blocks(batch.column(1)):
-                seq, row, _ = sequences(data, offsets)
-                yield from _scored(m, m.filter, batch.column(0).slice(a, b - a), seq, row, serial)
-                serial += b - a
-
-    def run_answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, held, answers = shared.unpack(sent), None, []
-
-        def scored() -> Iterator[pa.RecordBatch]:
-            block, ids, texts = held
-            data, offsets = tx.column_bytes(texts)
-            seq, row, _ = sequences(data, offsets)
-            f = Answered(c, m.filter.cuts)
-            for order, key in block_keys(seq, row, c.order):
-                got = [np.frombuffer(x, np.uint8) for slot, x in answers if slot >> 40 == order]
-                f.orders[order] = key, np.concatenate(got or [np.empty(0, np.uint8)]).astype(np.int64)
-            # as many rows at once as without segments
-            for a, b in tx.row_blocks(offsets):
-                lo, hi = np.searchsorted(row, [a, b])
-                yield from _scored(m, f, ids.slice(a, b - a), seq[lo:hi], row[lo:hi] - a, block + a)
+                seq, row = sequences(data, offsets)
+                levels = []
+                for n in range(1, m.config.order + 1):
+                    key, at = grams(seq, row, n)
+                    levels.append(np.zeros(len(seq), np.uint8))
+                    levels[-1][at] = spread(key, m.filter.probe(np.unique(key), n)) if len(key) else 0
+                key = grams(seq, row, 1)[0]
+                spot = np.minimum(np.searchsorted(m.word_key, key), max(0, len(m.word_key) - 1))
+                count = np.where(m.word_key[spot] == key, m.word_count[spot], 0) if len(m.word_key) else np.zeros(len(key), np.int64)
+                yield _scored(m, batch.column(0).slice(a, b - a), row, levels, count)
+
+    return src.mapInArrow(run, _result(src.schema["id"].dataType.simpleString())).withColumnRenamed("id", id_col)
+
+
+def score_with(docs: DataFrame, teach: Column, ws: Workspace, id_col: str = "doc_id", text_col: str = "text", config: Config | None = None) -> DataFrame:
+    """Score all rows of ``docs`` by the model of those that ``teach``, whatever the filter's size."""
+    c = config or Config()
+    src = _source(docs, id_col, text_col, teach)
+    kind = src.schema["id"].dataType.simpleString()
+    cuts = _cuts(_most_entries(src, c)[0], c)
+    # written, so that texts and questions are of the same blocks; small row groups bound what a reader holds
+    _asked(src, kind, cuts, c, True).write.mode("overwrite").option("parquet.block.size", 1 << 24).parquet(f"{ws.path}/asked")
+    asked = ws.get("asked")
+    told = _put(ws, "told", _told(asked.where("slot >= 0").select("slot", "block", "keys", "counts"), cuts, c, True))
+    sent = shared.share(docs.sparkSession, _sums(told, c)[0])
 
-        for batch in batches:
-            for i in range(batch.num_rows):
-                slot = batch.column(1)[i].as_py()
-                if slot < 0:
-                    if held is not None:
-                        yield from scored()
-                    held, answers = (batch.column(0)[i].as_py(), batch.column(2)[i].values, batch.column(3)[i].values), []
-                else:
-                    answers.append((slot, batch.column(4)[i].as_py()))
-        if held is not None:
-            yield from scored()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.unpack(sent)
+        for group in sorted_groups(batches, 1):
+            n_texts = int(np.searchsorted(group.column(1).to_numpy(), 0))
+            ids, texts = (group.column(k).slice(0, n_texts).combine_chunks() for k in (3, 4))
+            seq, row = sequences(*tx.column_bytes(texts))
+            told_levels, told_counts = (group.column(k).slice(n_texts) for k in (5, 6))
+            levels, count = [], None
+            for n in range(1, c.order + 1):
+                key, at = grams(seq, row, n)
+                got = np.frombuffer(b"".join(x[n - 1].as_py() for x in told_levels), np.uint8)
+                levels.append(np.zeros(len(seq), np.uint8))
+                levels[-1][at] = spread(key, got) if len(key) else 0
+                if n == 1:
+                    count = spread(key, np.concatenate([from_planes(x.as_py(), np.int64) for x in told_counts]))
+            # as many rows at once as without segments
+            ends = np.searchsorted(row, np.arange(n_texts + 1))
+            for a, b in tx.row_blocks(tx.column_bytes(texts)[1]):
+                at = slice(int(ends[a]), int(ends[b]))
+                yield _scored(m, ids.slice(a, b - a), row[at] - a, [x[at] for x in levels], count[at])
+            del group
         tx.release()
 
-    out = f"serial bigint, key bigint, times bigint, id {kind}, n_tokens bigint, n_known bigint, base double, score double"
-    if model.filter.orders:
-        rows = src.mapInArrow(run, out)
-    else:
-        rows = _answered(src, kind, ws, model.filter.cuts, c).mapInArrow(run_answered, out)
-    joined = rows.join(words.select("key", F.col("n").alias("c")), "key", "left")
-    count = F.coalesce("c", F.lit(0))
-    rare = F.col("times") > 0
-    out = joined.groupBy("serial").agg(
-        F.max("id").alias("id"), F.max("n_tokens").alias("n_tokens"),
-        F.sum(F.when(rare, F.when(count > 0, F.col("times")).otherwise(F.lit(0))).otherwise(F.col("n_known"))).alias("n_known"),
-        F.sum(F.when(rare, F.col("times") * F.log10((count + c.smooth) / F.lit(floor))).otherwise(F.col("base"))).alias("base_score"),
-        F.max("score").alias("score"))
-    return out.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
-
-
-NAMES = ["serial", "key", "times", "id", "n_tokens", "n_known", "base", "score"]
+    none = F.lit(None)
+    texts = asked.where("slot = -1").select("block", "slot", "place", "id", "text", none.cast("array<binary>").alias("levels"), none.cast("binary").alias("counts"))
+    answers = told.where("block >= 0").select("block", "slot", none.cast("bigint").alias("place"), none.cast(kind).alias("id"), none.cast("string").alias("text"),
+                                              "levels", "counts")
+    return (texts.union(answers).repartition("block").sortWithinPartitions("block", "slot", "place")
+            .mapInArrow(run, _result(kind)).withColumnRenamed("id", id_col))
 
 
 def held_out(id_col: Column) -> Column:
@@ -526,7 +515,10 @@ def held_out(id_col: Column) -> Column:
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: Config | None = None) -> DataFrame:
     """Learn from the rows that aren't held out, score all rows."""
-    ws = Workspace(docs.sparkSession, "lm")
-    model, words = fit(docs.where(~held_out(docs[id_col])), ws, text_col, config)
-    out = score(docs, model, words, ws, id_col, text_col)
+    config, ws = config or Config(), Workspace(docs.sparkSession, "lm")
+    teach = ~held_out(docs[id_col])
+    if _most_entries(_source(docs, id_col, text_col, teach), config)[1] <= config.capacity:
+        out = score(docs, fit(docs.where(teach), ws, text_col, config), id_col, text_col)
+    else:
+        out = score_with(docs, teach, ws, id_col, text_col, config)
     return out.select(id_col, held_out(F.col(id_col)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
