@@ -211,49 +211,49 @@ def in_batches(rows: Iterator[tuple], size) -> Iterator[list[tuple]]:
         yield held
 
 
-def _asked(src: DataFrame, kind: str, cuts: int, config: Config, with_texts: bool) -> DataFrame:
-    """Blocks of ``src`` (id, text, teach): what they send the segments and, if
-    wanted, their texts (slot -1, place in the block)."""
+def _blocks(src: DataFrame, kind: str, config: Config) -> DataFrame:
+    """Rows of ``src`` (id, text, teach) in blocks: one row of lists each, named by its first row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        block = TaskContext.get().partitionId() << 33
-
-        def blocks() -> Iterator[pa.RecordBatch]:
-            held, size = [], 0
-            for batch in batches:
-                _, offsets = tx.column_bytes(batch.column(1))
-                for a, b in tx.row_blocks(offsets, config.block_bytes):
-                    step = int(offsets[b] - offsets[a])
-                    if held and size + step > config.block_bytes:
-                        yield pa.Table.from_batches(held).combine_chunks()
-                        held, size = [], 0
-                    held.append(batch.slice(a, b - a))
-                    size += step
-            if held:
-                yield pa.Table.from_batches(held).combine_chunks()
-
-        for table in blocks():
-            ids, texts, teach = table.columns
-            if with_texts:
-                for a, b in tx.row_blocks(tx.column_bytes(texts)[1], SENT_BYTES):
-                    none = _lists([None] * (b - a))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(b - a, -1)), pa.array(np.full(b - a, block)), none, none, pa.array(np.arange(a, b)),
-                         ids.slice(a, b - a).combine_chunks(), texts.slice(a, b - a).combine_chunks()], names=names)
-            seq, row = sequences(*tx.column_bytes(texts))
-            rows = packed_rows(block, seq, row, teach.to_numpy(), cuts, config.order)
-            for some in in_batches(rows, lambda r: sum(map(len, r[2]))):
-                slot, of, keys, counts = map(list, zip(*some))
-                k = len(slot)
-                cols = [pa.array(slot, pa.int64()), pa.array(of, pa.int64()), _lists(keys), _lists(counts)]
-                if with_texts:
-                    cols += [pa.nulls(k, pa.int64()), pa.nulls(k, table.schema.field(0).type), pa.nulls(k, table.schema.field(1).type)]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
-            block += len(ids)
-            tx.release()
+        block, held, size = TaskContext.get().partitionId() << 33, [], 0
 
-    names = ["slot", "block", "keys", "counts"] + (["place", "id", "text"] if with_texts else [])
-    return src.mapInArrow(run, ASKED + (f", place bigint, id {kind}, text string" if with_texts else ""))
+        def listed() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            ends = pa.array([0, len(table)], pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *(pa.ListArray.from_arrays(ends, x.combine_chunks()) for x in table.columns)],
+                                              names=["block", "ids", "texts", "teach"])
+
+        for batch in batches:
+            _, offsets = tx.column_bytes(batch.column(1))
+            for a, b in tx.row_blocks(offsets, config.block_bytes):
+                step = int(offsets[b] - offsets[a])
+                if held and size + step > config.block_bytes:
+                    yield listed()
+                    block += sum(x.num_rows for x in held)
+                    held, size = [], 0
+                held.append(batch.slice(a, b - a))
+                size += step
+        if held:
+            yield listed()
+
+    return src.mapInArrow(run, f"block bigint, ids array<{kind}>, texts array<string>, teach array<boolean>")
+
+
+def _asked(blocks: DataFrame, cuts: int, config: Config) -> DataFrame:
+    """What blocks (block, texts, teach) send the segments."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                seq, row = sequences(*tx.column_bytes(batch.column(1)[i].values))
+                rows = packed_rows(batch.column(0)[i].as_py(), seq, row, batch.column(2)[i].values.to_numpy(zero_copy_only=False), cuts, config.order)
+                for some in in_batches(rows, lambda r: sum(map(len, r[2]))):
+                    slot, of, keys, counts = map(list, zip(*some))
+                    yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(of, pa.int64()), _lists(keys), _lists(counts)],
+                                                     names=["slot", "block", "keys", "counts"])
+                del seq, row, rows
+                tx.release()
+
+    return blocks.select("block", "texts", "teach").mapInArrow(run, ASKED)
 
 
 TOLD = ("slot bigint, block bigint, levels array<binary>, counts binary, entries array<bigint>, tokens bigint, types bigint, "
@@ -374,10 +374,6 @@ def _sums(told: DataFrame, config: Config) -> tuple[Model, int]:
     return Model(config, r["n"] or 0, r["v"] or 0, mean), r["entries"] or 0
 
 
-def _cuts(n_bytes: int, config: Config) -> int:
-    return max(0, int(np.ceil(np.log2(max(1, n_bytes / config.segment_bytes)))))
-
-
 def _put(ws: Workspace, name: str, df: DataFrame) -> DataFrame:
     """``ws.put``; what the write shuffled is removed with its end, not at some later collection."""
     conf, key = ws.spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -393,12 +389,13 @@ def _source(docs: DataFrame, id_col: str, text_col: str, teach: Column) -> DataF
     return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.coalesce(teach, F.lit(False)).alias("teach"))
 
 
-def _most_entries(src: DataFrame, config: Config) -> tuple[int, int]:
-    """(bytes of all texts, a bound on the entries of the training texts' filter):
+def _sizes(src: DataFrame, config: Config) -> tuple[int, int]:
+    """(cuts of the key range, a bound on the entries of the training texts' filter):
     a count of n takes at most n levels, and a word has a byte and a blank after it."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
     r = src.agg(F.sum(size).alias("all"), F.sum(F.when(F.col("teach"), F.floor((size + 1) / 2) + 1)).alias("tokens")).first()
-    return r["all"] or 0, config.order * (r["tokens"] or 0)
+    cuts = max(0, int(np.ceil(np.log2(max(1, (r["all"] or 0) / config.segment_bytes)))))
+    return cuts, config.order * (r["tokens"] or 0)
 
 
 def fit(docs: DataFrame, ws: Workspace, text_col: str = "text", config: Config | None = None) -> Model:
@@ -406,8 +403,8 @@ def fit(docs: DataFrame, ws: Workspace, text_col: str = "text", config: Config |
     (others are learned and scored together by :func:`score_with`)."""
     config = config or Config()
     src = _source(docs, text_col, text_col, F.lit(True))
-    cuts = _cuts(_most_entries(src, config)[0], config)
-    told = _put(ws, "segments", _told(_asked(src, "string", cuts, config, False), cuts, config, False))
+    cuts, _ = _sizes(src, config)
+    told = _put(ws, "segments", _told(_asked(_blocks(src, "string", config), cuts, config), cuts, config, False))
     model, entries = _sums(told, config)
     if entries > config.capacity:
         raise ValueError(f"the filter has {entries} entries, more than the {config.capacity} that are broadcast; use score_with")
@@ -470,20 +467,21 @@ def score_with(docs: DataFrame, teach: Column, ws: Workspace, id_col: str = "doc
     c = config or Config()
     src = _source(docs, id_col, text_col, teach)
     kind = src.schema["id"].dataType.simpleString()
-    cuts = _cuts(_most_entries(src, c)[0], c)
-    # written, so that texts and questions are of the same blocks; small row groups bound what a reader holds
-    _asked(src, kind, cuts, c, True).write.mode("overwrite").option("parquet.block.size", 1 << 24).parquet(f"{ws.path}/asked")
-    asked = ws.get("asked")
-    told = _put(ws, "told", _told(asked.where("slot >= 0").select("slot", "block", "keys", "counts"), cuts, c, True))
+    cuts, _ = _sizes(src, c)
+    # written, so that both reads see the same blocks; small row groups bound what a reader holds
+    (_blocks(src, kind, c).write.mode("overwrite").option("parquet.block.size", 1 << 24).option("compression", "zstd")
+     .parquet(f"{ws.path}/blocks"))
+    blocks = ws.get("blocks")
+    told = _put(ws, "told", _told(_asked(blocks, cuts, c), cuts, c, True))
     sent = shared.share(docs.sparkSession, _sums(told, c)[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.unpack(sent)
         for group in sorted_groups(batches, 1):
-            n_texts = int(np.searchsorted(group.column(1).to_numpy(), 0))
-            ids, texts = (group.column(k).slice(0, n_texts).combine_chunks() for k in (3, 4))
+            ids, texts = (group.column(k)[0].values for k in (2, 3))
+            n_texts = len(ids)
             seq, row = sequences(*tx.column_bytes(texts))
-            told_levels, told_counts = (group.column(k).slice(n_texts) for k in (5, 6))
+            told_levels, told_counts = (group.column(k).slice(1) for k in (4, 5))
             levels, count = [], None
             for n in range(1, c.order + 1):
                 key, at = grams(seq, row, n)
@@ -501,10 +499,11 @@ def score_with(docs: DataFrame, teach: Column, ws: Workspace, id_col: str = "doc
         tx.release()
 
     none = F.lit(None)
-    texts = asked.where("slot = -1").select("block", "slot", "place", "id", "text", none.cast("array<binary>").alias("levels"), none.cast("binary").alias("counts"))
-    answers = told.where("block >= 0").select("block", "slot", none.cast("bigint").alias("place"), none.cast(kind).alias("id"), none.cast("string").alias("text"),
+    texts = blocks.select("block", F.lit(-1).cast("bigint").alias("slot"), "ids", "texts", none.cast("array<binary>").alias("levels"),
+                          none.cast("binary").alias("counts"))
+    answers = told.where("block >= 0").select("block", "slot", none.cast(f"array<{kind}>").alias("ids"), none.cast("array<string>").alias("texts"),
                                               "levels", "counts")
-    return (texts.union(answers).repartition("block").sortWithinPartitions("block", "slot", "place")
+    return (texts.union(answers).repartition("block").sortWithinPartitions("block", "slot")
             .mapInArrow(run, _result(kind)).withColumnRenamed("id", id_col))
 
 
@@ -517,7 +516,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Learn from the rows that aren't held out, score all rows."""
     config, ws = config or Config(), Workspace(docs.sparkSession, "lm")
     teach = ~held_out(docs[id_col])
-    if _most_entries(_source(docs, id_col, text_col, teach), config)[1] <= config.capacity:
+    if _sizes(_source(docs, id_col, text_col, teach), config)[1] <= config.capacity:
         out = score(docs, fit(docs.where(teach), ws, text_col, config), id_col, text_col)
     else:
         out = score_with(docs, teach, ws, id_col, text_col, config)
