@@ -41,15 +41,15 @@ _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
 
 @dataclass(frozen=True)
 class Config:
-    sample_rows: int = 4000          # labelled rows used for training and calibration
+    sample_rows: int = 4000          # labelled rows used for training and calibration (and most labels learned)
     sample_chars: int = 1500         # characters taken from each
-    max_languages: int = 256         # the most frequent labels are learned
     orders: tuple = (2, 3, 4)
     buckets_log2: int = 16
     dim: int = 16
     steps: int = 350             # gradient steps, however few rows there are
     batch: int = 64
     rate: float = 4.0
+    largest: float = 30.0        # bound of every embedding and weight, so that training stays finite
     reject_rate: float = 0.002
     max_threshold: float = 0.5
     seed: int = 11
@@ -147,12 +147,13 @@ def train(rows: list[tuple[str, str]], config: Config) -> Model | None:
             g[np.arange(len(pick)), y[pick]] -= 1
             rate = config.rate * max(0.02, 1 - step / config.steps) / len(pick)
             back = (g @ w) / sizes[:, None] * rate * config.dim
-            w -= rate * (g.T @ h)
+            w = np.clip(w - rate * (g.T @ h), -config.largest, config.largest)
             b -= 0.1 * rate * g.sum(axis=0)
             by = np.argsort(f, kind="stable")
             run = np.flatnonzero(np.concatenate([[True], f[by][1:] != f[by][:-1]]))
             owner = np.repeat(np.arange(len(pick)), sizes)[by]
-            emb[f[by][run]] -= np.add.reduceat(back[owner], run, axis=0).astype(np.float32)
+            at_rows = f[by][run]
+            emb[at_rows] = np.clip(emb[at_rows] - np.add.reduceat(back[owner], run, axis=0).astype(np.float32), -config.largest, config.largest)
             step += 1
     model = Model(languages, emb, w, b, 1.0, 0.0, config)
     if len(languages) <= config.dim:
@@ -209,20 +210,20 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     config = config or Config()
     src = docs.select(docs[id_col].cast("string").alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     src = src.where("lang is not null")
-    counts = {r["lang"]: r["n"] for r in src.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(config.max_languages).collect()}
+    counts = src.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(config.sample_rows).collect()
     if not counts:
         return None
-    # equal shares for the languages, as far as each has rows; the hash decides which rows
+    # every row of a label with less than an equal share, then equal shares of the others; the hash decides which rows
     share = max(1, config.sample_rows // len(counts))
-    part = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2.0 * share / n))]), F.col("lang"))
+    part = F.least(F.lit(1.0), 2.0 * share / F.col("n"))
+    named = F.broadcast(docs.sparkSession.createDataFrame([(r["lang"], r["n"]) for r in counts], src.select("lang", F.lit(0).cast("bigint").alias("n")).schema))
     pick = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     room = F.greatest(F.length("text") - config.sample_chars, F.lit(0)) + 1
     at = F.pmod(F.xxhash64("id", F.lit(3)), room).cast("int") + 1
-    rows = (src.where(F.col("lang").isin(list(counts))).withColumn("pick", pick / part).where("pick < 1")
-            .where("text is not null and length(text) > 0")
-            .select("lang", "pick", "id", F.substr("text", at, F.lit(config.sample_chars)).alias("text"))
-            .orderBy("pick", "id", "text").limit(config.sample_rows).select("lang", "text").collect())
+    rows = (src.join(named, "lang").withColumn("pick", pick / part).withColumn("large", F.col("n") > share)
+            .where("(pick < 1 or not large) and text is not null and length(text) > 0")
+            .select("lang", "large", "pick", "id", F.substr("text", at, F.lit(config.sample_chars)).alias("text"))
+            .orderBy("large", "pick", "id", "text").limit(config.sample_rows).select("lang", "text").collect())
     model = train([(r["lang"], r["text"]) for r in rows], config)
     tx.release()
     return model

@@ -1,5 +1,6 @@
 """Operators that judge rows one by one: quality rules, language, token counts."""
 
+import math
 import collections
 import random
 import zlib
@@ -152,3 +153,42 @@ def test_token_counts_query(spark, library):
 
 def test_signed_columns_survive_hashing():
     assert tx.mix(np.array([0, 1], np.uint64)).dtype == np.uint64
+
+
+def test_language_scores_are_finite_whatever_the_labels(spark):
+    rng = random.Random(5)
+    # two large labels without signal, many labels of one row each
+    rows = [(i, d.prose(rng, 60), f"l{i % 2}") for i in range(600)] + [(1000 + i, f"only{i} " * 20, f"rare{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language.fit(docs, config=language.Config(sample_rows=800))
+    assert {f"rare{i}" for i in range(300)} <= set(model.languages)
+    assert np.isfinite(model.table).all() and math.isfinite(model.threshold) and math.isfinite(model.temperature)
+    assert all(0 <= r["score"] <= 1 for r in language.identify(docs, model).collect())
+
+
+def test_language_scores_match_a_plain_softmax(spark):
+    rng = random.Random(6)
+    rows = [(i, d.prose(rng, 50, lang), lang) for i, lang in enumerate(list(d.LEX) * 30)]
+    rows += [(900, "x", "en"), (901, "Ünï 12 cödé", "de"), (902, None, None), (903, "12 # 34", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs.where("doc_id < 900"))
+    c = model.config
+    got = {r["doc_id"]: r for r in language.identify(docs, model).collect()}
+    for i, text, _ in rows:
+        sym = [b if b > 127 else (b | 32) if chr(b).isalpha() else 32 for b in (text or "").encode()]
+        if not any(ch.isalpha() for ch in text or ""):
+            assert (got[i]["lang_pred"], got[i]["score"], got[i]["rejected"]) == ("und", 0.0, True)
+            continue
+        total, count = np.zeros(len(model.languages)), 0
+        for n in c.orders:
+            for at in range(len(sym) - n + 1):
+                if sym[at] == 32 and (n == 1 or sym[at + 1] == 32):
+                    continue
+                code = 0
+                for b in sym[at:at + n]:
+                    code = (code * 257 + b) % (1 << 32)
+                total += model.table[((code + n) * 2654435769 % (1 << 32)) >> (32 - c.buckets_log2)]
+                count += 1
+        z = (total / max(1, count) + model.bias) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert got[i]["lang_pred"] == model.languages[int(p.argmax())] and math.isclose(got[i]["score"], p.max(), rel_tol=1e-3)
