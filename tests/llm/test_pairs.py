@@ -147,6 +147,16 @@ def test_leaks_in_blocks_and_empty_tables(spark):
     assert decontaminate.keep_clean(docs, items.limit(0)).count() == docs.count()
 
 
+def test_items_of_their_own_vocabulary_are_found_whatever_the_basis(spark):
+    rng = random.Random(12)
+    items = [(i, " ".join(f"w{rng.randrange(10**9):x}" for _ in range(30))) for i in range(150)]
+    docs = [(i, d.prose(rng, 80) + " " + t + " " + d.prose(rng, 80)) for i, t in items] + [(1000 + i, d.prose(rng, 200)) for i in range(60)]
+    c = decontaminate.Config(rank=8, sample_passages=40, block_items=20)       # many blocks, a basis too small for the items
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+                              spark.createDataFrame(items, "item_id long, text string"), config=c).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i) for i, _ in items}
+
+
 def test_given_leaks_are_found(spark):
     sf = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
