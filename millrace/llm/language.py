@@ -14,7 +14,8 @@ threshold that would reject ``Config.reject_rate`` of those rows (never above
 ``Config.max_threshold``), or when it has no letter at all.
 
 Defined results: null text or no letter: ``und`` with score 0, rejected.  No
-labelled rows at all: every text is ``und``.  Of equally likely languages the
+labelled rows at all: every text is ``und``.  Of more labels than ``sample_rows`` the
+most frequent are learned.  Of equally likely languages the
 first in sorted order wins.  Other columns, whatever their names, are not read.
 """
 
