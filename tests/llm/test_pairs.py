@@ -297,3 +297,20 @@ def test_repeated_texts_score_above_single_ones(spark):
     taught = [i for i in got if zlib.crc32(str(i).encode()) % 10]
     twice = [got[i] for i in taught if i < 10 and i + 60 in taught]
     assert min(twice) > max(got[i] for i in taught if 10 <= i < 60)
+
+
+def test_leaks_prune_keeps_every_pair_that_verification_accepts():
+    config, rng = decontaminate.Config(), np.random.default_rng(5)
+    vocabulary = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    items = [decontaminate.Item(k, vocabulary[rng.integers(0, 60, rng.integers(5, 33))], set()) for k in range(40)]
+    for x in items:
+        x.answer = set(x.words[-5:].tolist())
+    scale = decontaminate.Scale(32, items, np.ones((1 << config.buckets_log2, 2), np.float32), config)
+    h = np.concatenate([x.words[rng.random(len(x.words)) < keep] for keep in (1.0, 0.7, 0.5, 0.0) for x in items])
+    lead = np.arange(0, len(h), 7)
+    stop = np.minimum(lead + 40, len(h))
+    window, item = (x.ravel() for x in np.meshgrid(np.arange(len(lead)), np.arange(len(items)), indexing="ij"))
+    likely = scale.sharing(decontaminate._slot(h), lead, stop, window, item)
+    accepted = np.array([decontaminate.verdict(items[x], scale.masks[x], h[lead[k]:stop[k]].tolist(), config)[2]
+                         for k, x in zip(window, item)])
+    assert accepted.sum() > 50 and not (accepted & ~likely).any() and (~likely).any()
