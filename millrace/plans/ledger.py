@@ -4,7 +4,8 @@ The reference keeps four keyed tables and updates them in place.  Parquet
 has no in-place update, so every state change is an appended record and the
 keyed view is "latest record per key" — an aggregate (struct max), never a
 driver-side loop.  Appends are idempotent per run (same run id, same keys),
-and the views make re-appended records harmless.
+and the views make re-appended records harmless.  At a run's end the tables'
+files are folded once they are many; no record is dropped.
 """
 
 from __future__ import annotations
@@ -83,14 +84,23 @@ class Ledger:
         self.store.append(table, df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
 
     def raw(self, table: str) -> DataFrame:
+        """The table's records, each once (a fold or a repeated append may have
+        left a record in several files)."""
         if table == "metadata.audit_log":
             self.flush()
-        return self.store.read(table)
+        return self.store.read(table).distinct()
+
+    def fold(self, keep: int = 32) -> None:
+        """Keep the number of ledger files bounded, whatever the number of runs."""
+        for table in TABLES:
+            self.store.fold(table, keep)
 
     def latest(self, table: str) -> DataFrame:
         """Keyed view: the latest record per key (LED-4 upsert semantics)."""
         schema, keys, order = TABLES[table]
-        return latest_by(self.raw(table), keys, [*order, *[f.name for f in schema.fields]],
+        if table == "metadata.audit_log":
+            self.flush()
+        return latest_by(self.store.read(table), keys, [*order, *[f.name for f in schema.fields]],
                          [f.name for f in schema.fields])
 
     # LED-6

@@ -18,7 +18,8 @@
   folder and swapped in by rename, so readers never see half a table
   and a model may read the table it replaces.
 * The ledger tables (``metadata.*``) are append-only; "latest row per key"
-  views are aggregates on read (:mod:`millrace.plans.ledger`).
+  views are aggregates on read (:mod:`millrace.plans.ledger`).  Their small
+  files are folded into few, so they don't grow in number with the runs.
 
 File-system calls go through Hadoop's FileSystem API of the session, so the
 same code works on local disk, HDFS or an object store.
@@ -38,6 +39,7 @@ BATCH_COLUMN = "_batch"
 HISTORY = "metadata.file_history"
 # names of mark files; Spark's readers skip them
 WRITE_MARK, SOURCE_MARK, FULL_MARK = "_id-", "_from-", "_full-"
+FOLD_BYTES = 128 << 20          # of a folded file of an append-only table
 
 
 def check_table_name(table: str) -> tuple[str, str]:
@@ -75,6 +77,17 @@ class HadoopFS:
     def touch(self, p: str) -> None:
         self._fs(p).create(self._path(p), True).close()
 
+    def write_lines(self, p: str, lines: list[str]) -> None:
+        out = self._fs(p).create(self._path(p), True)
+        out.write(bytearray("\n".join(lines).encode()))
+        out.close()
+
+    def read_lines(self, p: str) -> list[str]:
+        stream = self._fs(p).open(self._path(p))
+        text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return text.splitlines()
+
     def list_names(self, p: str) -> list[str]:
         if not self.exists(p):
             return []
@@ -181,7 +194,11 @@ class TableStore:
         merge (no pass over all file footers) is needed."""
         p = self.path(table)
         if not self.batches(table):
-            return self.spark.read.parquet(p)
+            folded = self._folded(p)
+            if not folded:
+                return self.spark.read.parquet(p)
+            return self.spark.read.parquet(*(glob_escape(f"{p}/{n}") for n in self.fs.list_names(p)
+                                             if not n.startswith((".", "_")) and n not in folded))
         visible = self.committed(table)
         if not visible:
             raise ValueError(f"{table} has no committed batch")
@@ -206,10 +223,9 @@ class TableStore:
 
     def _recorded(self, batches: list[str]) -> dict:
         """Batch id -> when its run was recorded, for recorded ones (one row a batch)."""
-        history = self.path(HISTORY)
-        if not self.fs.exists(history):
+        if not self.fs.exists(self.path(HISTORY)):
             return {}
-        runs = (self.spark.read.parquet(history).where(F.col("status") == "SUCCESS")
+        runs = (self.read(HISTORY).where(F.col("status") == "SUCCESS")
                 .select(F.concat_ws(".", "pipeline_name", "run_id").alias("batch"), "loaded_at"))
         asked = self.spark.createDataFrame([(b,) for b in batches], "batch string")
         found = runs.join(asked, "batch", "left_semi").groupBy("batch").agg(F.max("loaded_at").alias("at"))
@@ -304,6 +320,43 @@ class TableStore:
         """Append-only write (ledger records)."""
         df.write.mode("append").parquet(self.path(table))
 
+    def fold(self, table: str, keep: int = 32) -> int:
+        """Fold an append-only table's files into a few once they are more than
+        ``keep``; returns how many were folded.
+
+        Folded files are named in a note, so that readers leave them out, and
+        stay until the next fold, so that a reader that began before still finds
+        them.  Between the fold's files and its note, or after a crash there,
+        records are there twice: readers take distinct ones.
+        """
+        folder = self.path(table)
+        note = f"{folder}/_folded"
+        files = {p.rsplit("/", 1)[1]: size for p, size, _ in self.fs.glob(f"{glob_escape(folder)}/*")}
+        files = {name: size for name, size in files.items() if not name.startswith((".", "_"))}
+        done = self._folded(folder)
+        live = sorted(files.keys() - done)
+        if len(live) <= keep:
+            return 0
+        for name in done & files.keys():
+            self.fs.delete(f"{folder}/{name}")
+        fold = uuid.uuid4().hex
+        tmp = f"{folder}/.__fold_{fold}"
+        parts = 1 + sum(files[name] for name in live) // FOLD_BYTES
+        (self.spark.read.schema(self.read(table).schema).parquet(*(glob_escape(f"{folder}/{name}") for name in live))
+         .distinct().coalesce(parts).write.parquet(tmp))
+        for name in self.fs.list_names(tmp):
+            if not name.startswith((".", "_")):
+                self._move(f"{tmp}/{name}", f"{folder}/fold-{fold}-{name}")
+        self.fs.delete(tmp)
+        self.fs.write_lines(f"{folder}/.__note_{fold}", live)
+        self.publish(f"{folder}/.__note_{fold}", note)
+        return len(live)
+
+    def _folded(self, folder: str) -> set[str]:
+        """Names of files whose records a later file holds."""
+        self._repair(f"{folder}/_folded")
+        return set(self.fs.read_lines(f"{folder}/_folded")) if self.fs.exists(f"{folder}/_folded") else set()
+
     def clear(self, table: str) -> None:
         """Empty a table; its columns stay (no-op when absent)."""
         if self.exists(table):

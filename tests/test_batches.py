@@ -276,3 +276,58 @@ def test_an_export_is_whole_or_as_before(spark, wh, tmp_root, monkeypatch, singl
     with pytest.raises(RuntimeError, match="could not rename"):
         export(7)
     assert before == [3, 5] and spark.read.parquet(out).count() == 5
+
+
+def _files(store, table):
+    return [n for n in store.fs.list_names(store.path(table)) if not n.startswith((".", "_"))]
+
+
+def test_ledger_files_stay_bounded_and_no_record_is_lost(wh):
+    store, ledger = wh
+    history = "metadata.file_history"
+    for run in range(5):
+        for part in range(3):
+            _record(ledger, "erp", f"r{run}-{part}")
+        before = store.read(history)
+        ledger.fold(keep=4)
+        assert before.distinct().count() == 3 * run + 3              # a reader that began before the fold
+        assert ledger.raw(history).count() == 3 * run + 3
+        assert ledger.latest(history).count() == 3 * run + 3
+        assert len(_files(store, history)) <= 2 * (4 + 3) + 1        # the live ones and those of the last fold
+    assert ledger.raw("metadata.watermark").count() == 0
+
+
+def test_a_fold_that_crashes_leaves_every_record_once(wh, monkeypatch):
+    store, ledger = wh
+    history = "metadata.file_history"
+    for run in range(6):
+        _record(ledger, "erp", f"r{run}")
+    _land(store, "r5", [1])
+    move = TableStore._move
+    for failing in range(3):                  # the folded file's move, the note's, the note's over an earlier one
+        calls = iter(range(100))
+
+        def breaks(self, src, dst, failing=failing, calls=calls):
+            if next(calls) == failing:
+                raise RuntimeError("lost")
+            move(self, src, dst)
+
+        with monkeypatch.context() as m:
+            m.setattr(TableStore, "_move", breaks)
+            try:
+                ledger.fold(keep=2)
+            except RuntimeError:
+                pass
+        assert sorted(r.run_id for r in ledger.raw(history).collect()) == [f"r{k}" for k in range(6)]
+        assert _ids(store) == ["S1"]
+        for again in range(3):
+            _record(ledger, "erp", "r0")      # more files; another record of a known run
+        assert ledger.latest(history).where("run_id = 'r0'").count() == 1
+        assert sorted({r.run_id for r in ledger.raw(history).collect()}) == [f"r{k}" for k in range(6)]
+        monkeypatch.undo()
+        ledger.fold(keep=2)
+        assert sorted({r.run_id for r in ledger.raw(history).collect()}) == [f"r{k}" for k in range(6)]
+        store.drop(history)
+        ledger.initialize()
+        for run in range(6):
+            _record(ledger, "erp", f"r{run}")
