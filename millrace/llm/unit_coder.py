@@ -3,7 +3,8 @@
 A block's bytes are cut where the byte-level pattern always ends a piece,
 whatever stands around; the units between cuts are dictionary-encoded by Arrow
 and only distinct units that the process hasn't met lately go to the library,
-all of a block in one call.  The ids of the block are then gathered by numpy.
+many in one call.  The ids of the block are then gathered by numpy.  When the
+memory for units is full, those met in most blocks are kept.
 
 Cuts (the pattern looks behind nowhere, and ahead only after blanks):
 
@@ -19,11 +20,13 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20       # text coded at once, about
+BLOCK_BYTES = 1 << 22       # text coded at once, about
+ASK_UNITS = 1 << 13         # units that go to the library in a call
 MEMO_BYTES = 64 << 20       # what a process remembers of units, about
 LONG_UNIT = 200             # longer units (bytes) are not remembered
 _COST = 180                 # bytes of one remembered unit beside its own (string, dictionary entry, place)
@@ -35,6 +38,7 @@ _ASCII_SEEN = (_BYTE > 0x20) & (_BYTE < 0x7F)
 _ASCII_MARK = _ASCII_SEEN & ~_ASCII_LETTER & ~((_BYTE >= 0x30) & (_BYTE <= 0x39))
 # first bytes that begin no Unicode blank (those begin with C2, E1, E2 or E3)
 _SOLID = _ASCII_SEEN | ((_BYTE >= 0xC3) & (_BYTE < 0xF5) & ~np.isin(_BYTE, [0xE1, 0xE2, 0xE3]))
+_ASCII_LETTERS = re.compile(" ?[A-Za-z]+").fullmatch
 _LETTERS_ONLY = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch      # one piece of the pattern
 
 
@@ -94,28 +98,60 @@ class UnitCoder:
         self.flat = np.empty(1 << 16, np.uint32)
         self.start = np.empty(1 << 14, np.int64)
         self.size = np.empty(1 << 14, np.int64)
+        self.met = np.zeros(1 << 14, np.int64)      # blocks in which a unit occurred
+
+    def _thin(self) -> None:
+        """Keep the units met in most blocks, up to half of the memory."""
+        names, place = list(self.memo), np.fromiter(self.memo.values(), np.int64, len(self.memo))
+        met, size = self.met[place], self.size[place]
+        cost = 4 * size + np.fromiter(map(len, names), np.int64, len(names)) + _COST
+        order = np.argsort(-met, kind="stable")
+        order = order[:int(np.searchsorted(np.cumsum(cost[order]), MEMO_BYTES // 2, side="right"))]
+        order = order[met[order] > 1]
+        ids, place, size, met = gather(self.flat, self.start[place[order]], size[order]), np.arange(len(order)), size[order], met[order]
+        self._forget()
+        self._keep([names[k] for k in order.tolist()], ids, size)
+        self.met[place] = met // 2
 
     def _ask(self, units: list[str]) -> list[list[int]]:
-        single = [bool(_LETTERS_ONLY(u)) for u in units]
-        words = [u.encode().decode("latin-1").translate(self.symbols) for u, s in zip(units, single) if s]
-        rest = [u for u, s in zip(units, single) if not s]
+        """Ids of each unit; single pieces need no pattern, and as ASCII only their blank needs a symbol."""
+        blank, symbols, words, rest, single = self.symbols[0x20], self.symbols, [], [], []
+        for u in units:
+            if _ASCII_LETTERS(u):
+                words.append(blank + u[1:] if u[0] == " " else u)
+                single.append(True)
+            elif _LETTERS_ONLY(u):
+                words.append(u.encode().decode("latin-1").translate(symbols))
+                single.append(True)
+            else:
+                rest.append(u)
+                single.append(False)
         a = iter(self.pieces.encode_batch_fast(words, add_special_tokens=False))
         b = iter(self.library.encode_batch_fast(rest, add_special_tokens=False))
         return [next(a if s else b).ids for s in single]
 
     def _learn(self, units: list[str]) -> np.ndarray:
         """Places of new units' ids."""
-        got = self._ask(units) if self.plain else [e.ids for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        total, place = int(size.sum()), np.arange(self.units, self.units + len(got))
+        out = []
+        for lo in range(0, len(units), ASK_UNITS):
+            some = units[lo:lo + ASK_UNITS]
+            got = self._ask(some) if self.plain else [e.ids for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
+            size = np.fromiter(map(len, got), np.int64, len(got))
+            out.append(self._keep(some, np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum())), size))
+        return np.concatenate(out)
+
+    def _keep(self, units: list[str], ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Remember units with their ids, one after the other; their places."""
+        total, place = len(ids), np.arange(self.units, self.units + len(units))
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while self.units + len(got) > len(self.start):
+        while self.units + len(units) > len(self.start):
             self.start = np.concatenate([self.start, np.empty_like(self.start)])
             self.size = np.concatenate([self.size, np.empty_like(self.size)])
-        self.flat[self.used:self.used + total] = np.fromiter((i for ids in got for i in ids), np.uint32, total)
+            self.met = np.concatenate([self.met, np.zeros_like(self.met)])
+        self.flat[self.used:self.used + total] = ids
         self.start[place], self.size[place] = self.used + np.cumsum(size) - size, size
-        self.used, self.units = self.used + total, self.units + len(got)
+        self.used, self.units = self.used + total, self.units + len(units)
         self.memo.update((u, p) for u, p in zip(units, place.tolist()) if len(u) <= LONG_UNIT)
         self.held += 4 * total + sum(map(len, units)) + _COST * len(units)
         return place
@@ -140,12 +176,13 @@ class UnitCoder:
         units = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data)).dictionary_encode()
         distinct = units.dictionary.to_pylist()
         if self.held > MEMO_BYTES:
-            self._forget()
+            self._thin()
         get = self.memo.get
         place = np.array([get(u, -1) for u in distinct], np.int64)
         new = np.flatnonzero(place < 0)
         if len(new):
             place[new] = self._learn([distinct[i] for i in new.tolist()])
+        self.met[place] += 1
         place = place[units.indices.to_numpy()]
         size = self.size[place]
         ids = gather(self.flat, self.start[place], size)

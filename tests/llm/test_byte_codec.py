@@ -53,6 +53,18 @@ def test_a_small_memo_changes_nothing(tikt, monkeypatch):
         assert coded(coder, texts[i:i + 40])[0] == [tikt.encode_ordinary(t) for t in texts[i:i + 40]]
 
 
+def test_a_full_memo_keeps_the_units_met_most(tikt, monkeypatch):
+    monkeypatch.setattr(unit_coder, "MEMO_BYTES", 20_000)
+    coder, asked = bc.coder_of(bc.model()), []
+    ask = coder._ask
+    monkeypatch.setattr(coder, "_ask", lambda units: asked.extend(units) or ask(units))
+    for i in range(40):
+        text = " usual words" + "".join(f" r{i}x{k}" for k in range(30))
+        assert coded(coder, [text])[0] == [tikt.encode_ordinary(text)]
+        assert coder.held < 2 * 20_000
+    assert asked.count(" usual") == asked.count(" words") == 1 and len(asked) > 1200
+
+
 def test_spans_are_the_librarys_offsets():
     coder, table, library = bc.coder_of(bc.model()), bc.ByteTable(bc.model()), Tokenizer.from_str(bc.model())
     for text in fuzz(3, 300) + ["a\U0001f9ff中文ünï"]:
