@@ -3,9 +3,9 @@
 1.  Document frequencies of hashed words over all documents give the TF-IDF
     weights.
 2.  A randomised SVD (random range, power iterations, QR) of TF-IDF passages:
-    the benchmark's passages and a bounded hash sample of corpus passages
-    (``sample_passages``), both as heavy.  Products with the passage matrix run
-    as Spark tasks over all of them; the driver only sums bounded parts.
+    the benchmark's passages and all passages of all documents
+    (``passage_words`` words each), both as heavy.  Products with the passage matrix
+    run as Spark tasks over all of them; the driver only receives their sum.
 3.  Every document is read whole.  Overlapping windows of 16, 32, 64 and 128
     words are projected and compared with the projected benchmark passages of
     that length; a window is a candidate when its cosine is at least
@@ -45,8 +45,10 @@ class Config:
     rank: int = 64
     oversample: int = 8
     power_iterations: int = 2
-    sample_passages: int = 20_000
-    part_rows: int = 2500         # passages multiplied in a task at once
+    sample_passages: int | None = None       # no effect: the basis is fitted on all passages
+    passage_words: int = 64       # words of a corpus passage (255 at most)
+    piece_words: int = 1 << 13    # words of passages that travel together
+    task_passages: int = 400_000  # passages a task multiplies (8 tasks at least)
     least_kept: float = 0.45      # of an item's TF-IDF length in the basis; others are also looked up by runs of words
     block_items: int = 20_000
     hop: int = 4                  # words; windows begin at hops of a quarter of their length
@@ -68,31 +70,66 @@ def _bucket(h: np.ndarray, config: Config) -> np.ndarray:
     return (h >> np.uint64(64 - config.buckets_log2)).astype(np.int64)
 
 
-def _frequencies(docs: DataFrame, config: Config) -> tuple[np.ndarray, int]:
-    """Documents in which each word bucket occurs, and documents with words."""
+def _passage_sizes(first: np.ndarray, words: int) -> np.ndarray:
+    """Words of each passage when every text (words first[i] .. first[i + 1] - 1) is cut every ``words`` words."""
+    n = np.diff(first)
+    n = n[n > 0]
+    count = -(-n // words)
+    size = np.full(int(count.sum()), words)
+    size[np.cumsum(count) - 1] = n - words * (count - 1)
+    return size
+
+
+_PIECES = "buckets binary, sizes binary"
+
+
+def _pieces(bucket: np.ndarray, size: np.ndarray, words: int) -> Iterator[tuple[bytes, bytes]]:
+    """Consecutive passages as rows of about ``words`` words: (16-bit buckets, 8-bit sizes)."""
+    end, a = np.cumsum(size), 0
+    while a < len(size):
+        before = int(end[a] - size[a])
+        b = max(a + 1, int(np.searchsorted(end, before + words, side="right")))
+        yield bucket[before:end[b - 1]].astype(np.uint16).tobytes(), size[a:b].astype(np.uint8).tobytes()
+        a = b
+
+
+def _tokens(docs: DataFrame, config: Config) -> DataFrame:
+    """All passages of all texts, and per task (``part`` not null) the documents
+    in which each word bucket occurs, the documents with words and the passages."""
     size = 1 << config.buckets_log2
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        df, n = np.zeros(size + 1, np.int64), 0
+        schema = pa.schema([("part", pa.int64()), ("counts", pa.binary()), ("buckets", pa.binary()), ("sizes", pa.binary())])
+        df = np.zeros(size + 2, np.int64)
         for batch in batches:
             for _, _, data, offsets in tx.text_blocks(batch.column(0)):
                 w = _words(data, offsets)
-                pair = np.unique(w.row * size + _bucket(w.hashes(), config))
-                df[:size] += np.bincount(pair % size, minlength=size)
-                n += int((w.count() > 0).sum())
-        df[size] = n
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 32], pa.int64()), pa.array([df.tobytes()], pa.binary())],
-                                         names=["part", "counts"])
+                bucket, passages = _bucket(w.hashes(), config), _passage_sizes(w.first, config.passage_words)
+                pair = w.row * size + bucket
+                pair = np.sort(pair.astype(np.int32) if len(offsets) <= (1 << 31) // size else pair)
+                df[:size] += np.bincount(pair[np.diff(pair, prepend=-1) != 0] % size, minlength=size)
+                df[size:] += (w.count() > 0).sum(), len(passages)
+                rows = list(_pieces(bucket, passages, config.piece_words))
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.binary()),
+                                                  *(pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1))], schema=schema)
+        yield pa.RecordBatch.from_pylist([{"part": TaskContext.get().partitionId() % 32, "counts": df.tobytes()}], schema=schema)
+
+    return docs.select("text").mapInArrow(run, f"part bigint, counts binary, {_PIECES}")
+
+
+def _frequencies(tokens: DataFrame, config: Config) -> tuple[np.ndarray, int, int]:
+    """Documents in which each word bucket occurs, documents with words, passages."""
+    size = 1 << config.buckets_log2
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _summed(batches, np.int64):
             yield batch
 
-    rows = docs.select("text").mapInArrow(count, "part bigint, counts binary")
+    rows = tokens.where("part is not null").select("part", "counts")
     rows = rows.repartition(32, "part").mapInArrow(total, "part bigint, counts binary").collect()
-    df = sum((np.frombuffer(r["counts"], np.int64) for r in rows), np.zeros(size + 1, np.int64))
-    return df[:size], int(df[size])
+    df = sum((np.frombuffer(r["counts"], np.int64) for r in rows), np.zeros(size + 2, np.int64))
+    return df[:size], int(df[size]), int(df[size + 1])
 
 
 def _summed(batches: Iterator[pa.RecordBatch], kind) -> Iterator[pa.RecordBatch]:
@@ -106,69 +143,55 @@ def _summed(batches: Iterator[pa.RecordBatch], kind) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([acc.tobytes()], pa.binary())], names=["part", "counts"])
 
 
-def _sampled(docs: DataFrame, n_docs: int, config: Config) -> DataFrame:
-    """Bounded hash sample of passages: (key, buckets of 64 words)."""
-    share = min(1.0, 1.5 * config.sample_passages / max(1, n_docs))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in tx.text_blocks(batch.column(1)):
-                w = _words(data, offsets)
-                bucket, key = _bucket(w.hashes(), config), batch.column(0).slice(a, b - a).to_pylist()
-                out_key, out = [], []
-                for r in range(b - a):
-                    lo, hi = int(w.first[r]), int(w.first[r + 1])
-                    if hi > lo:
-                        at = lo + (abs(key[r]) >> 20) % max(1, hi - lo - 63)
-                        out_key.append(key[r])
-                        out.append(bucket[at:min(hi, at + 64)].astype(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(out_key, pa.int64()), pa.array(out, pa.list_(pa.int32()))], names=["key", "buckets"])
-
-    key = F.xxhash64("id", F.lit(29))
-    picked = docs.select(key.alias("key"), "text").where((F.pmod("key", F.lit(1 << 20)) < int(share * (1 << 20))) & F.col("text").isNotNull())
-    return picked.mapInArrow(run, "key bigint, buckets array<int>").orderBy("key").limit(config.sample_passages)
-
-
-def _matrix(rows: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """TF-IDF rows of unit length, as (row starts, bucket, weight)."""
-    size = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows).astype(np.int64) if rows else np.empty(0, np.int64)
-    row = np.repeat(np.arange(len(rows)), size)
-    weight = idf[flat].astype(np.float64)
-    norm = np.sqrt(np.bincount(row, weights=weight ** 2, minlength=len(rows)))
-    return np.concatenate([[0], np.cumsum(size)]), flat, (weight / np.maximum(norm, 1e-9)[row]).astype(np.float32)
-
-
-def _gram(rows: list[np.ndarray], idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """A'(A basis) of the rows."""
-    out = np.zeros_like(basis)
-    for lo in range(0, len(rows), 512):
-        part = [r for r in rows[lo:lo + 512] if len(r)]
-        if part:
-            first, bucket, weight = _matrix(part, idf)
-            y = np.add.reduceat(basis[bucket] * weight[:, None], first[:-1], axis=0)
-            spread = np.repeat(y, np.diff(first), axis=0) * weight[:, None]
-            order = np.argsort(bucket, kind="stable")
-            at = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]]))
-            out[bucket[order][at]] += np.add.reduceat(spread[order], at, axis=0)
-    return out
-
-
-def _basis(passages: DataFrame, n_rows: int, idf: np.ndarray, config: Config) -> np.ndarray:
-    """Leading right singular vectors (buckets x rank) of ``n_rows`` passages (key, weight, buckets)."""
+def _add(out: np.ndarray, to: np.ndarray, table: np.ndarray, at: np.ndarray, piece: int = 2048) -> None:
+    """out[to[i]] += table[at[i]]; ``to`` ascends."""
+    rows = np.empty((piece, table.shape[1]), table.dtype)
+    for lo in range(0, len(to), piece):
+        own = to[lo:lo + piece]
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        np.take(table, at[lo:lo + piece], axis=0, out=rows[:len(own)], mode="clip")
+        out[own[first]] += np.add.reduceat(rows[:len(own)], first, axis=0)
+
+
+def _gram(bucket: np.ndarray, size: np.ndarray, idf: np.ndarray, scaled: np.ndarray, weight: float, out: np.ndarray) -> None:
+    """Adds weight * A'(A basis) but for the factor idf of its rows; A: the
+    passages' TF-IDF rows of unit length; ``scaled``: the basis times idf."""
+    row = np.repeat(np.arange(len(size)), size)
+    square = np.add.reduceat(idf[bucket] ** 2, np.cumsum(size) - size)
+    y = np.zeros((len(size), scaled.shape[1]), np.float32)
+    _add(y, row, scaled, bucket)
+    y *= (weight / np.maximum(square, 1e-18)).astype(np.float32)[:, None]
+    order = np.argsort(bucket, kind="stable")
+    _add(out, bucket[order], y, row[order])
+
+
+def _joined(batches: Iterator[pa.RecordBatch], words: int = 1 << 19, passages: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """Passages of consecutive rows of equal weight: (buckets, sizes, weight)."""
+    held: list[tuple] = []
+    n_words = n_passages = 0
+    for batch in batches:
+        for weight, buckets, sizes in zip(*(x.to_pylist() for x in batch.columns)):
+            row = np.frombuffer(buckets, np.uint16), np.frombuffer(sizes, np.uint8).astype(np.int64), weight
+            if held and (weight != held[0][2] or n_words + len(row[0]) > words or n_passages + len(row[1]) > passages):
+                yield np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), held[0][2]
+                held, n_words, n_passages = [], 0, 0
+            held.append(row)
+            n_words, n_passages = n_words + len(row[0]), n_passages + len(row[1])
+    if held:
+        yield np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), held[0][2]
+
+
+def _basis(passages: DataFrame, idf: np.ndarray, config: Config) -> np.ndarray:
+    """Leading right singular vectors (buckets x rank) of all passages (weight, buckets, sizes)."""
     rng = np.random.default_rng(7)
     size, width = 1 << config.buckets_log2, config.rank + config.oversample
     q = rng.standard_normal((size, width), dtype=np.float32)
     sc = passages.sparkSession.sparkContext
-    parts = max(8, -(-n_rows // config.part_rows))
-    tasks = min(parts, 1 << 12)
-    dealt = passages.select(F.pmod("key", F.lit(parts)).alias("part"), "weight", "buckets")
-    dealt = dealt.repartition(tasks, "part").sortWithinPartitions("part", "weight")
     step_rows = max(1, size // 64)          # rows of the product that travel together
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, 1):
-            acc = sum(np.frombuffer(x.as_py(), np.float32) for x in group.column("rows"))
+            acc = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in group.column("rows")).astype(np.float32)
             yield pa.RecordBatch.from_arrays([group.column("block").slice(0, 1).combine_chunks(), pa.array([acc.tobytes()], pa.binary())],
                                              names=["block", "rows"])
 
@@ -177,17 +200,17 @@ def _basis(passages: DataFrame, n_rows: int, idf: np.ndarray, config: Config) ->
 
         def product(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             weights, basis = sent.value
-            got = np.zeros_like(basis)
-            for group in sorted_groups(batches, 1):
-                rows, own = [np.array(x.as_py(), np.int64) for x in group.column("buckets")], group.column("weight").to_numpy()
-                for w in np.unique(own):
-                    got += _gram([rows[i] for i in np.flatnonzero(own == w)], weights, basis) * np.float32(w)
+            got, scaled = np.zeros_like(basis), basis * weights[:, None]
+            for bucket, sizes, weight in _joined(batches):
+                _gram(bucket, sizes, weights, scaled, weight, got)
+            got *= weights[:, None]
             for lo in range(0, size, step_rows):
                 yield pa.RecordBatch.from_arrays([pa.array([lo], pa.int64()), pa.array([got[lo:lo + step_rows].tobytes()], pa.binary())],
                                                  names=["block", "rows"])
+            tx.release()
 
         # partial products are added up by the workers; the driver gets each row of the sum once
-        sums = (dealt.mapInArrow(product, "block bigint, rows binary").repartition(8, "block").sortWithinPartitions("block")
+        sums = (passages.mapInArrow(product, "block bigint, rows binary").repartition(8, "block").sortWithinPartitions("block")
                 .mapInArrow(total, "block bigint, rows binary"))
         got = np.zeros_like(q)
         for r in sums.toLocalIterator():
@@ -431,23 +454,29 @@ class Retriever:
         n_items = bench.count()
         self.blocks = max(1, -(-n_items // c.block_items)) if n_items <= c.block_items else -(-2 * n_items // c.block_items)
         self.bench = bench
-        df, n_docs = _frequencies(src, c)
+        tokens = ws.put("tokens", _tokens(src, c))
+        df, n_docs, n_corpus = _frequencies(tokens, c)
         idf = np.log((n_docs + 1.0) / (df + 1.0)).clip(0.05).astype(np.float32)
-        sample = ws.put("sample", _sampled(src, n_docs, c))
 
         def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for key, text in zip(*(x.to_pylist() for x in batch.columns)):
-                    own = [_bucket(x.words, c).astype(np.int32) for x in _passages([(None, text)], c)]
-                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(own), pa.int64()), pa.array(own, pa.list_(pa.int32()))], names=["key", "buckets"])
-
-        # items of all blocks, together as heavy as the sample
-        items = ws.put("items", bench.select(F.xxhash64("item", "text").alias("key"), "text").mapInArrow(passages, "key bigint, buckets array<int>"))
-        n_sample, n_passages = sample.count(), items.count()
-        weight = max(1.0, n_sample / max(1, n_passages))
-        both = sample.withColumn("weight", F.lit(1.0)).unionByName(items.withColumn("weight", F.lit(float(weight))))
-        self.basis, self.idf = _basis(both, n_sample + n_passages, idf, c), idf
-        ws.drop("sample", "items")
+                for text in batch.column(0).to_pylist():
+                    own = [_bucket(x.words, c) for x in _passages([(None, text)], c)]
+                    if own:
+                        size = np.array([len(x) for x in own])
+                        rows = list(_pieces(np.concatenate(own), size, c.piece_words))
+                        yield pa.RecordBatch.from_arrays([pa.array([len(own)] + [0] * (len(rows) - 1), pa.int64()),
+                                                          *(pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1))], names=["n", "buckets", "sizes"])
+
+        # items of all blocks, together as heavy as all of the corpus
+        items = ws.put("items", bench.select("text").mapInArrow(passages, f"n bigint, {_PIECES}"))
+        n_passages = items.agg(F.sum("n")).first()[0] or 0
+        weight = max(1.0, n_corpus / max(1, n_passages))
+        tasks = min(1 << 12, max(8, -(-n_corpus // c.task_passages)))
+        corpus = tokens.where("part is null").select(F.lit(1.0).alias("weight"), "buckets", "sizes").coalesce(tasks)
+        both = corpus.unionByName(items.select(F.lit(float(weight)).alias("weight"), "buckets", "sizes").coalesce(8))
+        self.basis, self.idf = _basis(both, idf, c), idf
+        ws.drop("tokens", "items")
         tx.release()
 
     def _items(self, block: int) -> list[Item]:

@@ -6,9 +6,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import bloom, decontaminate, lm_bloom, near_dups
+from millrace.llm import text as tx
 from tests.llm import data as d
 
 
@@ -157,6 +159,17 @@ def test_items_of_their_own_vocabulary_are_found_whatever_the_basis(spark):
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i) for i, _ in items}
 
 
+def test_basis_is_fitted_on_every_passage(spark):
+    c = decontaminate.Config(rank=130)
+    docs = [(i, " ".join(f"w{i}x{k}" for k in range(4) for _ in range(64))) for i in range(30)]        # four passages of a word each
+    fitted = decontaminate.Retriever(spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+                                     spark.createDataFrame([(1, "another item of six words")], "item_id long, text string"), config=c)
+    words = [f"w{i}x{k}" for i in range(30) for k in range(4)]
+    w = decontaminate._words(*tx.column_bytes(pa.array(words, pa.string())))
+    kept = np.linalg.norm(fitted.basis[decontaminate._bucket(w.hashes(), c)], axis=1)
+    assert len(kept) == 120 and kept.min() > 0.99
+
+
 def test_given_leaks_are_found(spark):
     sf = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
