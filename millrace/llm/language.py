@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from millrace.llm import text as tx
 
 UNKNOWN = "und"
+BLOCK_BYTES = 1 << 17        # text predicted at once; a byte takes some 100 bytes of memory meanwhile
 _SYMBOL = np.arange(256, dtype=np.uint32)
 _SYMBOL[:128] = 0x20
 _SYMBOL[0x61:0x7B] = np.arange(0x61, 0x7B)
@@ -185,7 +186,7 @@ def _calibrate(model: Model, held: list[tuple[str, str]], label: dict) -> None:
 
 def predict(model: Model | None, column) -> Iterator[tuple[int, int, list, np.ndarray, np.ndarray]]:
     """(first row, end row, language, score, rejected) over blocks of a text column."""
-    for a, b, data, offsets in tx.text_blocks(column):
+    for a, b, data, offsets in tx.text_blocks(column, BLOCK_BYTES):
         n = b - a
         letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
         some = letters[offsets[1:]] > letters[offsets[:-1]]

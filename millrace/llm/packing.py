@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from millrace.llm import text as tx
+from millrace.llm.shared import forget
 from millrace.llm.subword import coder, per_process
 from millrace.llm.unit_coder import BLOCK_BYTES
 
@@ -46,6 +47,7 @@ class Config:
     least_power: int = 128       # shorter powers of two are padded like the rest
     block: int = 1 << 17
     tokenizer: str | None = None
+    memo_bytes: int | None = None    # kept of met units by a worker (memory only); default: the coder's
 
 
 def cut(position: np.ndarray, penalty: np.ndarray, config: Config, last: bool) -> list[int]:
@@ -108,6 +110,7 @@ class Packer:
     def __init__(self, config: Config, first_sequence: int):
         self.config, self.sequence = config, first_sequence
         self.coder = coder(config.tokenizer)
+        self.coder.limit = config.memo_bytes
         self.ends = per_process(f"sentence_ends:{config.tokenizer}", lambda: _sentence_ends(self.coder.library))
         self.ids: list[np.ndarray] = []      # documents of the block, the first perhaps begun before
         self.docs: list[tuple[int, int, int]] = []   # id, ids before this part, all its ids
@@ -175,6 +178,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         from pyspark import TaskContext
+        forget()            # workers outlive stages
         packer = Packer(config, TaskContext.get().partitionId() << 32)
         for batch in batches:
             yield from packer.texts(batch.column(0).to_pylist(), batch.column(1))

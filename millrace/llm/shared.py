@@ -26,3 +26,8 @@ def unpack(sent):
     if sent.value is not held.get("of"):
         held.update(of=sent.value, value=pickle.loads(sent.value))
     return held["value"]
+
+
+def forget() -> None:
+    """Drop the object that the process holds; :func:`unpack` would unpack it again."""
+    per_process("shared", dict).clear()

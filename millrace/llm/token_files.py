@@ -169,6 +169,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, units = TaskContext.get().partitionId(), coder(config.tokenizer)
+        units.limit = None
         wide = units.library.get_vocab_size(with_added_tokens=True) > 1 << 16 or config.end_id >= 1 << 16
         end = np.array([config.end_id], np.uint32)
         writer, n_docs = None, 0

@@ -90,6 +90,7 @@ class UnitCoder:
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.pieces = Tokenizer(library.model)          # the same model, without a pattern
         self.symbols = byte_symbols()
+        self.limit: int | None = None       # of MEMO_BYTES, when a caller has less room
         self._forget()
 
     def _forget(self) -> None:
@@ -106,7 +107,7 @@ class UnitCoder:
         met, size = self.met[place], self.size[place]
         cost = 4 * size + np.fromiter(map(len, names), np.int64, len(names)) + _COST
         order = np.argsort(-met, kind="stable")
-        order = order[:int(np.searchsorted(np.cumsum(cost[order]), MEMO_BYTES // 2, side="right"))]
+        order = order[:int(np.searchsorted(np.cumsum(cost[order]), (self.limit or MEMO_BYTES) // 2, side="right"))]
         order = order[met[order] > 1]
         ids, place, size, met = gather(self.flat, self.start[place[order]], size[order]), np.arange(len(order)), size[order], met[order]
         self._forget()
@@ -175,7 +176,7 @@ class UnitCoder:
         data = np.ascontiguousarray(data)
         units = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data)).dictionary_encode()
         distinct = units.dictionary.to_pylist()
-        if self.held > MEMO_BYTES:
+        if self.held > (self.limit or MEMO_BYTES):
             self._thin()
         get = self.memo.get
         place = np.array([get(u, -1) for u in distinct], np.int64)

@@ -115,6 +115,14 @@ def test_memo_gives_the_library_ids(ids):
             assert got[first[i]:first[i + 1]].tolist() == ids(t), repr(t)
 
 
+def test_pieces_are_the_same_with_little_memory(spark):
+    docs = d.frame(spark).coalesce(1)
+    want = packing.pack(docs).collect()
+    got = packing.pack(docs, config=packing.Config(memo_bytes=2000)).collect()
+    assert got == want and packing.Packer(packing.Config(memo_bytes=2000), 0).coder.limit == 2000
+    assert packing.Packer(packing.Config(), 0).coder.limit is None
+
+
 def test_chats_come_back_identical(spark):
     bad = ["", "</s>", "~", "a~", "\\b", "\\", "<\\l", "[INST] user\n", "</", "<", "x\n~\n", "</s", "\n", "é</s>[", "\\o[", None]
     rows = [(i, j, r, t, "x") for i, r in enumerate([*bad, "assistant", "user"]) for j, t in enumerate(bad)]

@@ -95,6 +95,16 @@ def test_language_held_out_accuracy_and_edges(spark):
     assert language.identify(docs.limit(0), model).count() == 0
 
 
+def test_predictions_come_in_small_blocks(spark, monkeypatch):
+    model = language.train([(r[2], r[1]) for r in d.rows() if r[2] and r[1]], language.Config(steps=20))
+    texts = pa.array([r[1] for r in d.rows()], pa.string())
+    whole = list(language.predict(model, texts))
+    monkeypatch.setattr(language, "BLOCK_BYTES", 1000)
+    small = list(language.predict(model, texts))
+    assert len(small) > 20 and [n for x in small for n in x[2]] == [n for x in whole for n in x[2]]
+    assert np.allclose(np.concatenate([x[3] for x in small]), np.concatenate([x[3] for x in whole]), atol=1e-4)
+
+
 def test_remainder_is_crc32_of_the_decimal_text(spark):
     ids = spark.range(50)
     got = ids.select("id", language.remainder(ids["id"], 10).alias("r")).collect()
