@@ -176,6 +176,42 @@ def test_language_scores_are_finite_whatever_the_labels(spark):
     assert all(0 <= r["score"] <= 1 for r in language.identify(docs, model).collect())
 
 
+def test_language_learns_from_every_row_however_they_are_dealt(spark):
+    rng = random.Random(8)
+    rows = [(i, d.prose(rng, 40, lang), lang) for i, lang in enumerate(list(d.LEX) * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    config = language.Config(sample_rows=10, steps=30)
+    whole = language.fit(docs, config=config)
+    again = language.fit(docs.orderBy("lang").coalesce(1), config=config)
+    assert (whole.table == again.table).all() and (whole.temperature, whole.threshold) == (again.temperature, again.threshold)
+    for gone in (0, 7, 20, 33):
+        assert (language.fit(docs.where(docs["doc_id"] != gone), config=config).table != whole.table).any()
+
+
+def test_language_trains_in_tasks_and_calibrates_on_all_held_rows(spark, monkeypatch):
+    monkeypatch.setattr(language, "TASK_ROWS", 100)
+    rng = random.Random(9)
+    rows = [(i, d.prose(rng, 40, lang), lang) for i, lang in enumerate(list(d.LEX) * 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    got = language.identify(docs, model).join(docs, "doc_id").select("doc_id", "text", "lang", "lang_pred", "score").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got) >= 0.98 * len(got)
+    held = {r["doc_id"] for r in docs.where("pmod(xxhash64(cast(doc_id as string), text, 7), 5) = 0").select("doc_id").collect()}
+    scores = sorted(r["score"] for r in got if r["doc_id"] in held)
+    want = min(0.5, scores[int(model.config.reject_rate * (len(scores) - 1))])
+    assert want - 1e-3 <= model.threshold <= want + 1e-6
+
+
+def test_language_learns_long_texts_whole(spark):
+    # what tells the languages apart is in the last 3000 of 40,000 characters, a training piece
+    trainer = language.Trainer(2, language.Config())
+    seen = []
+    trainer._step = lambda feats, counts, at, pick, y, weight, total, rate: seen.extend(total.tolist())
+    data, offsets = tx.column_bytes(pa.array(["ab " * 13000 + "zz" * 1500, "cd"], pa.large_string()))
+    trainer.learn(data, offsets, np.array([0, 1]), np.ones(2), 2)
+    assert sum(seen) > 2 * len(data) and len(seen) == 6 + 1 + 2
+
+
 def test_language_scores_match_a_plain_softmax(spark):
     rng = random.Random(6)
     rows = [(i, d.prose(rng, 50, lang), lang) for i, lang in enumerate(list(d.LEX) * 30)]
