@@ -48,6 +48,7 @@ class Config:
     block: int = 1 << 17
     tokenizer: str | None = None
     memo_bytes: int | None = None    # kept of met units by a worker (memory only); default: the coder's
+    text_bytes: int = BLOCK_BYTES    # text coded at once, about (memory only)
 
 
 def cut(position: np.ndarray, penalty: np.ndarray, config: Config, last: bool) -> list[int]:
@@ -118,7 +119,7 @@ class Packer:
 
     def texts(self, doc_ids: list, column) -> Iterator[tuple]:
         """Adds texts, a block at a time."""
-        for a, b, data, offsets in tx.text_blocks(column, BLOCK_BYTES):
+        for a, b, data, offsets in tx.text_blocks(column, self.config.text_bytes):
             ids, first = self.coder.encode(data, offsets)
             for k in range(b - a):
                 yield from self.add(doc_ids[a + k], ids[first[k]:first[k + 1]])

@@ -220,3 +220,9 @@ def test_pipeline_on_an_empty_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0
+
+
+def test_packing_in_small_blocks_of_text_gives_the_same_pieces(spark):
+    docs = d.frame(spark).coalesce(1)
+    whole = packing.pack(docs).collect()
+    assert packing.pack(docs, config=packing.Config(text_bytes=2000)).collect() == whole
