@@ -14,6 +14,7 @@ Table references are ``{name}`` placeholders: Spark binds DataFrames to them
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.sources.parquet import read_table
 
@@ -160,6 +161,9 @@ _TABLES = {
 _SPREAD = {"erp": ("lineitem", "l_orderkey"), "workflow": ("events", "event_id"), "customer": ("orders", "o_custkey")}
 
 
+_AMOUNTS = (("orders", "o_totalprice"), ("lineitem", "l_extendedprice"))
+
+
 def bronze(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """Derived Bronze table ``name`` (erp / workflow / customer) as a DataFrame.
 
@@ -171,6 +175,12 @@ def bronze(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     if spread:
         table, column = _SPREAD[name]
         frames[table] = frames[table].repartition(column)
+    if name == "erp":
+        # amounts become text once a row of their table, not once for every column of every line
+        for table, amount in _AMOUNTS:
+            sql = f"CAST(CAST({amount} AS DECIMAL(18,2)) AS STRING)"
+            frames[table] = frames[table].withColumn(f"{amount}_text", F.expr(sql))
+            text = text.replace(sql, f"{amount}_text")
     return spark.sql(text, **frames)
 
 

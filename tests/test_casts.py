@@ -41,3 +41,21 @@ def test_dates_and_timestamps_match_reference(spark, duck):
     for r in df.collect():
         exp = duck.execute("select try_cast(? as date), try_cast(? as timestamp)", [r.x] * 2).fetchone()
         assert (r.d, r.t) == tuple(exp), r.x
+
+
+def test_short_ways_of_casts_match_reference(spark, duck):
+    """Texts that look like the usual spellings; amounts of a derived row are made once."""
+    texts = ["2024/01/05 10:30:00", "2024/01/05T10:30:00", "2024-01-05  1:00:00", "2024-01-05 24:00:00", "2024/13/05 10:30:00",
+             "2024-01-05 10:30:6\t", "2024/1/05", "2024-01-1T", "2024-01-1\t", "+024-01-05", "2024/01-05", "2024//1/05", "2024/01/0a"]
+    df = spark.createDataFrame([(v,) for v in texts], "x string").select("x", to_date("x").alias("d"), to_timestamp_ntz("x").alias("t"))
+    for r in df.collect():
+        assert (r.d, r.t) == tuple(duck.execute("select try_cast(? as date), try_cast(? as timestamp)", [r.x] * 2).fetchone()), r.x
+    from millrace.plans.fixtures import bronze
+    plan = bronze(spark, "/root/testdata/sf0.001", "erp")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("cast(o_totalprice") == 1 and plan.count("cast(l_extendedprice") == 1
+
+
+def test_usual_slash_dates_need_no_pattern(spark):
+    """The separators decide before any pattern is matched."""
+    plan = spark.range(1).selectExpr("cast(id as string) x").select(to_date("x").alias("d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("try_cast(replace(") < plan.index("RLIKE")
