@@ -284,6 +284,10 @@ def verdict(item: Item, masks: dict, words: list, config: Config) -> tuple[float
 
 _SLOTS = 2048
 
+#: Text that is searched at once; a byte takes some 75 bytes of memory meanwhile.
+#: Results don't depend on it.
+SEARCH_BYTES = 1 << 18
+
 
 def _slot(h: np.ndarray) -> np.ndarray:
     return (h & np.uint64(_SLOTS - 1)).astype(np.int64)
@@ -500,7 +504,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             searcher = unpack(sent)
             for batch in batches:
-                for a, _, data, offsets in tx.text_blocks(batch.column(1)):
+                for a, _, data, offsets in tx.text_blocks(batch.column(1), SEARCH_BYTES):
                     got = searcher.search(data, offsets)
                     if got:
                         row, item, *rest = zip(*got)
@@ -526,7 +530,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             searcher = unpack(sent)
             for batch in batches:
-                for a, b, data, offsets in tx.text_blocks(batch.column(at)):
+                for a, b, data, offsets in tx.text_blocks(batch.column(at), SEARCH_BYTES):
                     clean = np.ones(b - a, bool)
                     clean[[r for r, *_ in searcher.search(data, offsets)]] = False
                     yield batch.slice(a, b - a).filter(pa.array(clean))

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from millrace.llm import text as tx
+from millrace.llm.shared import forget
+from millrace.llm.subword import put_away
 
 SYMBOLS = b"#*$%&|<>"
 _SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
@@ -135,14 +137,20 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rul
     return out.withColumnRenamed("id", id_col)
 
 
+#: Text that :func:`keep_good` judges at once (memory only, no effect on results).
+JUDGE_BYTES = 1 << 18
+
+
 def keep_good(docs: DataFrame, text_col: str = "text", rules: Rules | None = None) -> DataFrame:
     """The rows of ``docs`` that pass, all columns unchanged."""
     rules = rules or Rules()
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        put_away()          # workers outlive stages
+        forget()
         for batch in batches:
-            for a, b, data, offsets in tx.text_blocks(batch.column(at)):
+            for a, b, data, offsets in tx.text_blocks(batch.column(at), JUDGE_BYTES):
                 yield batch.slice(a, b - a).filter(pa.array(measure(data, offsets, rules)["kept"]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -12,7 +12,7 @@ import pickle
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
-from millrace.llm.subword import per_process
+from millrace.llm.subword import per_process, put_away
 
 
 def share(spark: SparkSession, value):
@@ -21,7 +21,8 @@ def share(spark: SparkSession, value):
 
 
 def unpack(sent):
-    """The object; a process holds one at a time of those it was sent."""
+    """The object; a process holds one at a time of those it was sent, and no tokenizer meanwhile."""
+    put_away()
     held = per_process("shared", dict)
     if sent.value is not held.get("of"):
         held.update(of=sent.value, value=pickle.loads(sent.value))

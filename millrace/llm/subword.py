@@ -21,6 +21,14 @@ def per_process(name: str, make: Callable):
     return getattr(shelf, name)
 
 
+def put_away() -> None:
+    """Drop the process's tokenizers: stages that code no text need the room, and
+    :func:`coder` loads them again."""
+    shelf = vars(sys.modules.get("_millrace_process_shelf", types.SimpleNamespace()))
+    for name in [n for n in shelf if n.startswith(("coder:", "sentence_ends:"))]:
+        del shelf[name]
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)

@@ -226,3 +226,19 @@ def test_packing_in_small_blocks_of_text_gives_the_same_pieces(spark):
     docs = d.frame(spark).coalesce(1)
     whole = packing.pack(docs).collect()
     assert packing.pack(docs, config=packing.Config(text_bytes=2000)).collect() == whole
+
+
+def test_stages_work_on_small_pieces_of_text_and_keep_no_tokenizer():
+    """Workers hold what a block of text takes; tokenizers only while texts are coded."""
+    from types import SimpleNamespace
+
+    from pyspark import cloudpickle
+
+    from millrace.llm import decontaminate, repetition, shared, subword
+    assert max(decontaminate.SEARCH_BYTES, repetition.JUDGE_BYTES) <= 1 << 18
+    first = subword.per_process("coder:x", object)
+    assert subword.per_process("coder:x", object) is first
+    assert shared.unpack(SimpleNamespace(value=cloudpickle.dumps([7]))) == [7]
+    assert subword.per_process("coder:x", object) is not first
+    subword.put_away()
+    shared.forget()
