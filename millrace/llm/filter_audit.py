@@ -168,7 +168,7 @@ def _encoded(docs: DataFrame, id_col: str, text_col: str, part_col: str, rules:
                       F.unhex(F.sha2(text, 256)).alias("key"), text.alias("text"))
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + size // config.bucket_bytes
-    blocks = ws.put("blocks", _blocks(src, buckets, rules, config))
+    blocks = ws.put("blocks", _blocks(src, buckets, rules, config), big_rows=True)
     codes = ws.put("codes", _codes(blocks.select("block", F.explode("sent").alias("s")).select("block", "s.*"), buckets))
     back = codes.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("bucket", "first", "codes")).alias("codes"))
     dictionary = codes.where("block is null").select("bucket", F.posexplode("words").alias("code", "word"))

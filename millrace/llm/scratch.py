@@ -17,8 +17,13 @@ class Workspace:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.path = spark, scratch(spark, label)
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+    def put(self, name: str, df: DataFrame, big_rows: bool = False, **options) -> DataFrame:
+        """``big_rows``: rows of some MB each, a row group of its own for every one.
+        Spark's reader decodes a row group's 4,096 rows at once, and its writer looks
+        at the size of a row group after 100 rows only."""
+        if big_rows:
+            options["parquet.block.row.count.limit"] = 1
+        df.write.mode("overwrite").options(**options).parquet(f"{self.path}/{name}")
         return self.get(name)
 
     def get(self, name: str) -> DataFrame:

@@ -55,3 +55,12 @@ def rows(seed: int = 3) -> list[tuple]:
 
 def frame(spark, data: list[tuple] | None = None):
     return spark.createDataFrame(rows() if data is None else data, SCHEMA).repartition(3)
+
+
+def row_groups(folder: str) -> list[int]:
+    """Rows of every row group of the Parquet files in a local folder."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+    found = [pq.ParquetFile(p).metadata for p in Path(re.sub(r"^file:(//)?", "", folder)).glob("*.parquet")]
+    return [m.row_group(i).num_rows for m in found for i in range(m.num_row_groups)]

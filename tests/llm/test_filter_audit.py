@@ -106,6 +106,13 @@ def test_words_travel_once_a_block(spark):
         assert len(b.sent) <= min(5, len(sent)) and all(s.words for s in b.sent)
 
 
+def test_every_block_is_a_row_group(spark):
+    """A reader decodes a row group at once: it must not hold more with more blocks in a file."""
+    encoded, _ = fa._encoded(d.frame(spark).coalesce(1), "doc_id", "text", "source", fa.Rules(), SMALL)
+    folder = next(f.rsplit("/", 1)[0] for f in encoded.inputFiles() if "/blocks/" in f)
+    assert len(d.row_groups(folder)) > 3 and set(d.row_groups(folder)) == {1}
+
+
 def test_query_matches_its_sql(spark, docs, tmp_root):
     labels = spark.createDataFrame([r for r in labels_rows()], "doc_id long, quality int, toxic int")
     plain = docs.where("doc_id is not null")
