@@ -468,10 +468,8 @@ def score_with(docs: DataFrame, teach: Column, ws: Workspace, id_col: str = "doc
     src = _source(docs, id_col, text_col, teach)
     kind = src.schema["id"].dataType.simpleString()
     cuts, _ = _sizes(src, c)
-    # written, so that both reads see the same blocks; small row groups bound what a reader holds
-    (_blocks(src, kind, c).write.mode("overwrite").option("parquet.block.size", 1 << 24).option("compression", "zstd")
-     .parquet(f"{ws.path}/blocks"))
-    blocks = ws.get("blocks")
+    # written, so that both reads see the same blocks
+    blocks = ws.put("blocks", _blocks(src, kind, c), big_rows=True, compression="zstd")
     told = _put(ws, "told", _told(_asked(blocks, cuts, c), cuts, c, True))
     sent = shared.share(docs.sparkSession, _sums(told, c)[0])
 

@@ -243,6 +243,13 @@ def test_filter_levels_are_those_of_the_counts(spark):
 SMALL = lm_bloom.Config(capacity=500, segment_bytes=9000, block_bytes=3000)     # many segments, none broadcast
 
 
+def test_every_block_of_texts_is_a_row_group(spark):
+    """A reader decodes a row group at once: it must not hold more with more blocks in a file."""
+    docs, ws = d.frame(spark).coalesce(1), lm_bloom.Workspace(spark, "test-blocks")
+    lm_bloom.score_with(docs, ~lm_bloom.held_out(docs["doc_id"]), ws, config=SMALL).count()
+    assert len(d.row_groups(f"{ws.path}/blocks")) > 3 and set(d.row_groups(f"{ws.path}/blocks")) == {1}
+
+
 def test_every_gram_stays_in_the_filter_and_segments_score_alike(spark):
     docs, texts, c = d.frame(spark), [r[1] for r in d.rows() if zlib.crc32(str(r[0]).encode()) % 10], SMALL
     seqs = [["\n", *d.words(t), "\n"] for t in texts]
