@@ -40,6 +40,10 @@ HISTORY = "metadata.file_history"
 # names of mark files; Spark's readers skip them
 WRITE_MARK, SOURCE_MARK, FULL_MARK = "_id-", "_from-", "_full-"
 FOLD_BYTES = 128 << 20          # of a folded file of an append-only table
+# How batches are encoded.  Their rows are wide text: looking every value up in a
+# dictionary, and copying it from there at every read, takes more time than zstd
+# needs for what repeats; pages of more rows give zstd more of it to find.
+BATCH_OPTIONS = {"parquet.enable.dictionary": "false", "parquet.page.row.count.limit": "200000"}
 
 
 def check_table_name(table: str) -> tuple[str, str]:
@@ -266,7 +270,7 @@ class TableStore:
         return target
 
     def _written(self, folder: str, df: DataFrame, source: str | None) -> str:
-        df.write.mode("overwrite").parquet(folder)
+        df.write.mode("overwrite").options(**BATCH_OPTIONS).parquet(folder)
         self.fs.touch(f"{folder}/{WRITE_MARK}{uuid.uuid4().hex}")
         if source is not None:
             self.fs.touch(f"{folder}/{SOURCE_MARK}{source}")

@@ -331,3 +331,17 @@ def test_a_fold_that_crashes_leaves_every_record_once(wh, monkeypatch):
         ledger.initialize()
         for run in range(6):
             _record(ledger, "erp", f"r{run}")
+
+
+def test_batches_are_written_without_dictionaries(wh, spark):
+    """Dictionaries cost wide text more time, when written and when read, than they save."""
+    import pyarrow.parquet as pq
+    store, _ = wh
+    rows = bronze(spark, SF_SMALL, "erp").select(*ERP_SOURCE_COLUMNS, "_source_file", "_loaded_at", "_run_id")
+    store.write_batch("bronze.erp", rows, "one")
+    models.build(store, "stg_erp")
+    assert store.read("silver.erp").count() > 0
+    for table in ("bronze.erp", "silver.erp"):
+        metas = [pq.ParquetFile(p[len("file:"):]).metadata for p, _, _ in store.fs.glob(f"{store.path(table)}/_batch=one/*.parquet")]
+        used = {e for m in metas for i in range(m.num_row_groups) for c in range(m.num_columns) for e in m.row_group(i).column(c).encodings}
+        assert "PLAIN" in used and not used & {"RLE_DICTIONARY", "PLAIN_DICTIONARY"}
